@@ -47,10 +47,12 @@ def apply_constraints(
     mean_action: str = "reference",
     keep_nulls: bool = False,
     actions: Sequence[str] = ("clip", "drop", "mean"),
+    drop_unparsable: bool = True,
 ) -> DataFrame:
     """Enforce ``{column: {dtype, min, max, action}}`` in one filter and one projection.
 
-    ``dtype`` int/float: text must parse as a number, rows with unparseable text go.
+    ``dtype`` int/float: text must parse as a number, rows with unparseable text go (or the cell
+    becomes missing, without ``drop_unparsable``).
     ``clip`` bounds values; ``drop`` (the default) keeps rows inside the range, nulls only with
     ``keep_nulls``; ``mean`` does nothing in ``"reference"`` mode and blanks violations for a
     later imputation in ``"null_out"`` mode. Rules for absent columns are skipped.
@@ -66,7 +68,8 @@ def apply_constraints(
         raw = value = q_col(name)
         if rule.get("dtype") in ("int", "float") and name not in numeric:
             value = to_number(raw.cast("string"))
-            keep = _and(keep, value.isNotNull() | raw.isNull())
+            if drop_unparsable:
+                keep = _and(keep, value.isNotNull() | raw.isNull())
         low, high = rule.get("min"), rule.get("max")
         action = rule.get("action", "drop")
         if (low is not None or high is not None) and action in actions:

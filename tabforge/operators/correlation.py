@@ -18,14 +18,12 @@ METHODS = ("pearson", "spearman", "kendall")
 DIGIT = 16  # ranks are compared digit by digit in this base
 
 
-def pearson_expression(a: Column, b: Column, weight: Column | None = None) -> Column:
+def pearson_expression(a: Column, b: Column) -> Column:
     """Co-moment over spreads; NULL, not an error, when either side is constant."""
     a, b = a.cast("double"), b.cast("double")
     both = a.isNotNull() & b.isNotNull()
-    if weight is None:
-        x, y = F.when(both, a), F.when(both, b)
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-    raise ValueError("weights are handled by weighted_pearson")
+    x, y = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def weighted_pearson(table: DataFrame, x: str, y: str, weight: str) -> DataFrame:

@@ -103,6 +103,8 @@ def box_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     columns = list(columns or column_roles(df).numeric)
     quartiles = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in columns})
     known = [c for c in columns if quartiles[c][0] is not None]
+    if not known:
+        raise ValueError("box statistics need at least one column with values")
     parts, rows = [], []
     for i, c in enumerate(known):
         q1, median, q3 = quartiles[c]

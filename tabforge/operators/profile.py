@@ -209,9 +209,9 @@ def value_counts(
     if not include_null:
         counts = counts.where(F.col("value").isNotNull())
     first = Window.partitionBy("column").orderBy(F.desc("n"), F.asc_nulls_last("value"))
-    return (
-        counts.withColumn("rank", F.row_number().over(first).cast("long")).where(F.col("rank") <= top_n)
-    )
+    # the filter stands on the bare row number, so each task keeps its own top rows before the shuffle
+    top = counts.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= top_n)
+    return top.withColumn("rank", F.col("rank").cast("long"))
 
 
 def top_categories(
