@@ -116,7 +116,6 @@ def _random_forest(df, features, target, key, *, seed, backend="ml", layout=FORE
     """Spark ML's forest, or (``backend="cells"``) the cell-based one, which also knows ``min_samples_split``."""
     if backend == "cells":
         return trees.fit_forest(df, features, target, key, bootstrap=True, seed=seed, **params)
-    # a node that may be split has at least min_samples_split rows, so its larger half has half of them
     forest = RandomForestRegressor(
         featuresCol="_features",
         labelCol=target,

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import numeric as num, text as tx
-from ..schema import column_roles, q_col, to_number
+from ..schema import column_roles, numeric_columns, q_col, to_number
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def apply_constraints(
         raise ValueError(f"unknown mean_action {mean_action!r}")
     values: dict[str, Column] = {}
     keep: Column | None = None
-    numeric = set(column_roles(df).numeric)
+    numeric = set(numeric_columns(df))
     for name, rule in rules.items():
         if name not in df.columns or not isinstance(rule, Mapping):
             continue
@@ -101,7 +101,7 @@ def validate_rows(df: DataFrame, rules: Mapping[str, Mapping[str, Any]], out: st
     """
     values: dict[str, Column] = {}
     problems: list[Column] = []
-    numeric = set(column_roles(df).numeric)
+    numeric = set(numeric_columns(df))
     for name, rule in rules.items():
         if name not in df.columns:
             problems.append(F.lit(name))

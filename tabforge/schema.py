@@ -37,6 +37,11 @@ def column_roles(df: DataFrame) -> Roles:
     return roles
 
 
+def numeric_columns(df: DataFrame) -> list[str]:
+    """Numeric columns of any table, nested columns or not."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+
+
 def existing_columns(
     df: DataFrame,
     columns: Sequence[str] | None = None,
