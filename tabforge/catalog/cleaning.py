@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import clean, features as fe, split as sp
-from ..schema import align_columns, binary_columns, low_cardinality
+from ..operators.profile import low_cardinality
+from ..schema import align_columns, binary_columns
 from ..session import checkpoint_dir
 from ..sources import readers, writers
 from .base import ORDERS_GAPS, query, rounded, source, table, union_all

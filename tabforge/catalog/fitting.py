@@ -205,7 +205,7 @@ def scale_robust(spark, folder):
     return _scaled(spark, folder, "robust")
 
 
-@query("scale_maxabs", _scale_sql("0", "max(abs({c}))"))
+@query("scale_maxabs", _scale_sql("min(0)", "max(abs({c}))"))
 def scale_maxabs(spark, folder):
     return _scaled(spark, folder, "maxabs")
 

@@ -52,9 +52,10 @@ def random_forest(spark, folder):
     return _trained(spark, folder, "random_forest", n_estimators=20, max_depth=6)
 
 
-@query("bagged_cells")
-def bagged_cells(spark, folder):
-    return _trained(spark, folder, "random_forest", backend="cells", n_estimators=20, max_depth=6)
+@query("random_forest_ml")
+def random_forest_ml(spark, folder):
+    settings = {"n_estimators": 20, "max_depth": 6, "min_samples_split": 4}
+    return _trained(spark, folder, "random_forest", backend="ml", **settings)
 
 
 @query("extra_trees")

@@ -88,16 +88,30 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Any]:
     return found
 
 
+def clearly_over(df: DataFrame, columns: Sequence[str], limit: int) -> set[str]:
+    """Columns whose sketched distinct count is far above ``limit``; one pass, nothing is shuffled.
+
+    The sketch errs by a few percent, so "far" (double) leaves no doubt; columns near the limit
+    are for an exact count to decide.
+    """
+    if not columns:
+        return set()
+    row = df.agg(*[F.approx_count_distinct(q_col(c), 0.05).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    return {c for i, c in enumerate(columns) if row[f"d{i}"] > 2 * limit}
+
+
 def sorted_levels(df: DataFrame, columns: Sequence[str], limit: int) -> tuple[dict[str, list], list[str]]:
     """Distinct non-null values per column in order, and the columns that have more than ``limit``.
 
-    A column beyond the limit yields no levels. The rank filter stays under 1000, so Spark cuts
-    a runaway column inside every task, before its values meet in one place.
+    A column beyond the limit yields no levels. Wide columns are recognised by a sketch, so their
+    values are never shuffled; the others have at most about twice the limit.
     """
     if not 0 < limit < 1000:
         raise ValueError("limit must be between 1 and 999")
-    found: dict[str, list] = {c: [] for c in columns}
-    for same_type in by_type(df, columns):
+    wide = clearly_over(df, columns, limit)
+    narrow = [c for c in columns if c not in wide]
+    found: dict[str, list] = {c: [] for c in narrow}
+    for same_type in by_type(df, narrow):
         in_order = Window.partitionBy("column").orderBy("value")
         rows = (
             value_table(df, same_type)
@@ -109,7 +123,7 @@ def sorted_levels(df: DataFrame, columns: Sequence[str], limit: int) -> tuple[di
         )
         for r in rows:
             found[r["column"]].append(r["value"])
-    over = [c for c in columns if len(found[c]) > limit]
+    over = [c for c in columns if c in wide or len(found[c]) > limit]
     return {c: sorted(v) for c, v in found.items() if c not in over}, over
 
 

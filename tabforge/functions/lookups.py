@@ -10,21 +10,24 @@ from .ordered import join_null_safe
 HEAVY_SHARE = 1000
 
 
-def attach(df: DataFrame, table: DataFrame, key: str, *, rows: int, weight: str | None = None) -> DataFrame:
-    """Left join on ``key``; ``table`` has one row per key value.
+def attach(df: DataFrame, table: DataFrame, key: str, *, rows: int, weight: str) -> DataFrame:
+    """Left join on ``key``; ``table`` has one row per key value and its frequency ``weight`` in ``df``.
 
-    With ``weight`` (rows of ``df`` per key), keys holding more than a thousandth of ``rows``
-    are joined by broadcast - there are fewer than a thousand of them - and the rest by
-    Spark's own choice, so a hot key never lands in one shuffle task.
+    Keys that hold more than a thousandth of ``rows`` are joined by broadcast - there are fewer
+    than a thousand of them. Their rows pass the shuffled join for the rest under a salted key
+    that matches nothing, so no task receives a whole hot key and ``df`` is read once.
     """
-    if weight is None:
-        return join_null_safe(df, table, [key], "left")
     limit = max(1, rows // HEAVY_SHARE)
     payload = [c for c in table.columns if c not in (key, weight)]
-    heavy = table.where(F.col(weight) > limit).drop(weight)
-    light = table.where(F.col(weight) <= limit).drop(weight)
-    flagged = heavy.withColumn("_heavy", F.lit(True))
-    marked = join_null_safe(df, F.broadcast(flagged), [key], "left")
-    done = marked.where(F.col("_heavy")).drop("_heavy")
-    rest = marked.where(F.col("_heavy").isNull()).drop("_heavy", *payload)
-    return done.unionByName(join_null_safe(rest, light, [key], "left").select(*[q_col(c) for c in done.columns]))
+    heavy = table.where(F.col(weight) > limit).select(
+        q_col(key), F.lit(True).alias("_heavy"), *[q_col(c).alias(f"_h_{c}") for c in payload]
+    )
+    light = table.where(F.col(weight) <= limit).select(q_col(key), F.lit(-1).alias("_salt"), *[q_col(c) for c in payload])
+    marked = join_null_safe(df, F.broadcast(heavy), [key], "left")
+    # the number of the task that read the row: stable when the task runs again
+    salted = marked.withColumn("_salt", F.when(F.col("_heavy"), F.spark_partition_id()).otherwise(-1))
+    joined = join_null_safe(salted, light, [key, "_salt"], "left")
+    return joined.select(
+        *[q_col(c) for c in df.columns],
+        *[F.when(F.col("_heavy"), q_col(f"_h_{c}")).otherwise(q_col(c)).alias(c) for c in payload],
+    )

@@ -130,3 +130,60 @@ def fill_along(
         return F.coalesce(F.last(q_col(c), ignorenulls=True).over(inside), F.col(f"_c_{position[c]}")).alias(c)
 
     return join_null_safe(cut, carried, [*groups, "_ob"]).select(*[filled(c) for c in df.columns])
+
+
+def average_ranks(df: DataFrame, columns: Sequence[str], prefix: str = "_rank") -> DataFrame:
+    """The table plus ``{prefix}{i}``: 1-based rank of every non-null value, ties at their average.
+
+    A column with few distinct values is ranked through a broadcast table of those values. Any
+    other is cut into buckets and ranked inside them. A value frequent enough to fill a bucket
+    alone needs no ranking there: its rows only pass through, spread by the task they came from.
+    """
+    few, many = _split_by_levels(df, columns)
+    position = {c: i for i, c in enumerate(columns)}
+    edges = {}
+    if many:
+        values = [bk.order_value(df, c) for c in many]
+        edges = dict(zip(many, bk.cut_points(df, values, bk.default_buckets(df))))
+    ranked = df
+    for c in columns:
+        out = f"{prefix}{position[c]}"
+        ranked = _rank_few(df, ranked, c, out) if c in few else _rank_many(df, ranked, c, edges[c], out)
+    return ranked
+
+
+FEW_LEVELS = 500
+
+
+def _split_by_levels(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], list[str]]:
+    from .fitting import sorted_levels
+
+    levels, over = sorted_levels(df, columns, FEW_LEVELS)
+    return list(levels), over
+
+
+def _rank_few(df: DataFrame, ranked: DataFrame, column: str, out: str) -> DataFrame:
+    counts = df.where(q_col(column).isNotNull()).groupBy(q_col(column)).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy(q_col(column)).rowsBetween(*BEFORE)), F.lit(0))
+    table = counts.select(q_col(column), (before + (F.col("_n") + 1) / 2.0).alias(out))  # at most FEW_LEVELS rows
+    return join_null_safe(ranked, F.broadcast(table), [column], "left")
+
+
+def _rank_many(df: DataFrame, ranked: DataFrame, column: str, edges: list[float], out: str) -> DataFrame:
+    hot = bk.single_valued(edges)
+    value = bk.order_value(df, column)
+    counts = bk.with_bucket(df.where(q_col(column).isNotNull()).select(q_col(column)), value, edges, "_b")
+    counts = counts.groupBy("_b").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(*BEFORE)), F.lit(0))
+    offsets = counts.select("_b", "_n", before.alias("_o"))  # at most MAX_BUCKETS rows
+    cut = bk.with_bucket(ranked, value, edges, "_b").join(F.broadcast(offsets), "_b", "left")
+    alone = F.col("_b").isin(hot) if hot else F.lit(False)
+    # missing values form a bucket without an offset; they pass through like the hot ones
+    passing = alone | q_col(column).isNull()
+    cut = cut.withColumn("_via", F.when(passing, F.spark_partition_id()).otherwise(-1))
+    inside = Window.partitionBy("_b", "_via").orderBy(q_col(column))
+    ties = F.count("*").over(Window.partitionBy("_b", "_via", q_col(column)))
+    here = F.when(alone, F.col("_o") + (F.col("_n") + 1) / 2.0).otherwise(
+        F.col("_o") + F.rank().over(inside) + (ties - 1) / 2.0
+    )
+    return cut.withColumn(out, F.when(q_col(column).isNotNull(), here)).drop("_b", "_via", "_n", "_o")

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import buckets as bk, fitting as fit
 from ..functions.hashing import key_hash
@@ -113,10 +113,18 @@ def feature_edges(df: DataFrame, features: Sequence[str], max_bins: int) -> list
     return [edges[n] for n in names]
 
 
+ROWS_PER_TASK = 5_000
+
+
 def binned(
-    df: DataFrame, features: Sequence[str], label: str, key: Sequence[str], edges: list[list[float]], base: float, seed: int
+    df: DataFrame, features: Sequence[str], label: str, key: Sequence[str], edges: list[list[float]], base: float,
+    seed: int, rows: int, tasks: int,
 ) -> DataFrame:
-    """(h, r, bins): row hash, label minus ``base``, and one byte per feature."""
+    """(h, r, bins): row hash, label minus ``base``, and one byte per feature.
+
+    A table that arrives in fewer tasks than there are cores is spread by its row hash; one that
+    already fills the cluster stays where it is.
+    """
     grids = [np.array(e) for e in edges]
 
     def to_bytes(batches):
@@ -135,7 +143,9 @@ def binned(
         (q_col(label).cast("double") - F.lit(base)).alias("r"),
         *[q_col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)],
     )
-    return wide.mapInArrow(to_bytes, "h long, r double, bins binary")
+    compact = wide.mapInArrow(to_bytes, "h long, r double, bins binary")
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, max(1, rows // ROWS_PER_TASK))
+    return compact.repartition(wanted, "h") if tasks < wanted else compact
 
 
 def unpack(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,7 +163,7 @@ def level_cells(
     data: DataFrame, trees: list[tuple[int, Tree, list[int], list[int]]], width: int, n_bins: int, level: int,
     sampling: str, rate: float, seed: int, recent: list[tuple],
 ) -> DataFrame:
-    """Sums of weight and residual per (tree, slot, feature, bin) for the open nodes of each tree.
+    """Per-task sums of weight and residual per (tree, slot, feature, bin) for the open nodes of each tree.
 
     ``trees`` lists (tree number, tree, open nodes, usable features); ``recent`` holds
     (arrays, depth, leaf values) of trees whose output is not yet part of the residual column.
@@ -198,80 +208,91 @@ def level_cells(
                     ["tree", "slot", "feature", "bin", "w", "g"],
                 )
 
-    partial = data.mapInArrow(add_up, CELLS)
-    return partial.groupBy("tree", "slot", "feature", "bin").agg(F.sum("w").alias("w"), F.sum("g").alias("g"))
-
-
-def best_splits(cells: DataFrame, rules: GrowthRules, edges: list[list[float]], level: int) -> DataFrame:
-    """One row per node: the admissible cut with the highest gain, or none."""
-    node = ["tree", "slot", "feature"]
-    along = Window.partitionBy(*node).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*node)
-    sums = cells.select(
-        *node,
-        "bin",
-        F.sum("w").over(along).alias("wl"),
-        F.sum("g").over(along).alias("gl"),
-        F.sum("w").over(whole).alias("wt"),
-        F.sum("g").over(whole).alias("gt"),
-        F.min("bin").over(whole).alias("first_bin"),
-        F.max("bin").over(whole).alias("last_bin"),
-    ).where(F.col("bin") < F.col("last_bin"))
-    if rules.random_cuts:
-        sums = _at_random_cut(sums, rules, edges, level)
-
-    def strength(g, w):
-        if rules.l1:
-            g = F.signum(g) * F.greatest(F.abs(g) - rules.l1, F.lit(0.0))
-        return g * g / (w + rules.l2)
-
-    wr, gr = F.col("wt") - F.col("wl"), F.col("gt") - F.col("gl")
-    gain = strength(F.col("gl"), F.col("wl")) + strength(gr, wr) - strength(F.col("gt"), F.col("wt"))
-    scored = sums.select("tree", "slot", "feature", "bin", "wl", "gl", wr.alias("wr"), gr.alias("gr"), gain.alias("gain"))
-    admissible = (F.col("wl") >= rules.min_leaf) & (F.col("wr") >= rules.min_leaf) & (F.col("gain") > MIN_GAIN)
-    # ties go to the lower feature and bin
-    order = F.struct("gain", -F.col("feature"), -F.col("bin"))
-    row = F.struct("feature", "bin", "wl", "gl", "wr", "gr", "gain")
-    return scored.where(admissible).groupBy("tree", "slot").agg(F.max_by(row, order).alias("s")).select("tree", "slot", "s.*")
-
-
-def _at_random_cut(sums: DataFrame, rules: GrowthRules, edges: list[list[float]], level: int) -> DataFrame:
-    """Keep, per node and feature, the cut that a uniform draw over the node's value span hits."""
-    spark = sums.sparkSession
-    # one row per feature
-    table = spark.createDataFrame([(i, [float(x) for x in e]) for i, e in enumerate(edges)], "feature int, edges array<double>")
-    joined = sums.join(F.broadcast(table), "feature")
-    # the outermost bins are open; they count as wide as their neighbours
-    size = F.size("edges")
-    edge = lambda i: F.get("edges", i)
-    low = F.when(F.col("first_bin") > 0, edge(F.col("first_bin") - 1)).otherwise(
-        edge(F.lit(0)) * 2 - edge(F.least(F.lit(1), size - 1))
-    )
-    high = F.when(F.col("last_bin") < size, edge(F.col("last_bin"))).otherwise(
-        edge(size - 1) * 2 - edge(F.greatest(size - 2, F.lit(0)))
-    )
-    draw = F.pmod(F.xxhash64("tree", "slot", "feature", F.lit(level), F.lit(rules.seed)), F.lit(1 << 40)) / float(1 << 40)
-    aim = low + draw * (high - low)
-    hit = F.size(F.filter("edges", lambda e: e < aim))
-    wanted = F.greatest(F.least(hit, F.col("last_bin") - 1), F.col("first_bin"))
-    # empty bins have no cell of their own: the last filled bin up to the cut stands for it
-    near = Window.partitionBy("tree", "slot", "feature")
-    return (
-        joined.withColumn("_cut", wanted)
-        .where(F.col("bin") <= F.col("_cut"))
-        .withColumn("_last", F.max("bin").over(near))
-        .where(F.col("bin") == F.col("_last"))
-        .withColumn("bin", F.col("_cut"))
-        .drop("edges", "_cut", "_last")
+    # few long tasks: each sends its cells once, so their number decides the shuffle volume
+    tasks = 2 * data.sparkSession.sparkContext.defaultParallelism
+    return data.coalesce(tasks).mapInArrow(add_up, CELLS)
+
+
+def best_splits(cells: DataFrame, rules: GrowthRules, edges: DataFrame | None, level: int) -> DataFrame:
+    """One row per node: the admissible cut with the highest gain, or none.
+
+    ``cells`` holds per-task sums. They are shuffled once, by (tree, node, feature): the final
+    sums, the running sums over bins and the totals all use that partitioning. Ties go to the
+    lower feature and bin.
+    """
+    return cells.sparkSession.sql(
+        f"""
+        WITH summed AS (
+            SELECT tree, slot, feature, bin, sum(w) AS w, sum(g) AS g
+            FROM (SELECT * FROM {{cells}} DISTRIBUTE BY tree, slot, feature)
+            GROUP BY tree, slot, feature, bin
+        ), running AS (
+            SELECT tree, slot, feature, bin, sum(w) OVER along AS wl, sum(g) OVER along AS gl,
+                   sum(w) OVER whole AS wt, sum(g) OVER whole AS gt,
+                   min(bin) OVER whole AS first_bin, max(bin) OVER whole AS last_bin
+            FROM summed
+            WINDOW along AS (PARTITION BY tree, slot, feature ORDER BY bin ROWS UNBOUNDED PRECEDING),
+                   whole AS (PARTITION BY tree, slot, feature)
+        ), cuts AS (
+            {RANDOM_CUTS.format(level=level, seed=rules.seed) if rules.random_cuts else EVERY_CUT}
+        ), scored AS (
+            SELECT tree, slot, feature, bin, wl, gl, wt - wl AS wr, gt - gl AS gr,
+                   {_strength('gl', 'wl', rules)} + {_strength('(gt - gl)', '(wt - wl)', rules)}
+                   - {_strength('gt', 'wt', rules)} AS gain
+            FROM cuts
+        )
+        SELECT tree, slot, best.* FROM (
+            SELECT tree, slot, max_by(struct(feature, bin, wl, gl, wr, gr, gain), struct(gain, -feature, -bin)) AS best
+            FROM scored
+            WHERE wl >= {rules.min_leaf!r}D AND wr >= {rules.min_leaf!r}D AND gain > {MIN_GAIN!r}D
+            GROUP BY tree, slot
+        )
+        """,
+        cells=cells,
+        **({"edges": edges} if rules.random_cuts else {}),
     )
 
 
+def _strength(g: str, w: str, rules: GrowthRules) -> str:
+    """Squared (shrunk) gradient sum over regularised weight."""
+    shrunk = f"greatest(abs({g}) - {rules.l1!r}D, 0D)" if rules.l1 else g
+    return f"try_divide({shrunk} * {shrunk}, {w} + {rules.l2!r}D)"
+
+
+EVERY_CUT = "SELECT * FROM running WHERE bin < last_bin"
+
+# Per node and feature, one cut at a uniform draw over the node's value span. The outermost
+# bins are open and count as wide as their neighbours; an empty bin has no cell, so the last
+# filled bin up to the cut stands for it. ``edges`` has one row per feature.
+RANDOM_CUTS = """
+            SELECT tree, slot, feature, cut AS bin, wl, gl, wt, gt FROM (
+                SELECT *, max(bin) OVER (PARTITION BY tree, slot, feature) AS last_filled FROM (
+                    SELECT *, greatest(least(size(filter(grid, e -> e < low + draw * (high - low))), last_bin - 1), first_bin) AS cut
+                    FROM (
+                        SELECT /*+ BROADCAST(e) */ r.*, grid,
+                            if(first_bin > 0, get(grid, first_bin - 1), get(grid, 0) * 2 - get(grid, least(1, size(grid) - 1))) AS low,
+                            if(last_bin < size(grid), get(grid, last_bin),
+                               get(grid, size(grid) - 1) * 2 - get(grid, greatest(size(grid) - 2, 0))) AS high,
+                            pmod(xxhash64(tree, slot, r.feature, {level}, {seed}), 1099511627776L) / 1099511627776D AS draw
+                        FROM running r JOIN {{edges}} e ON r.feature = e.feature
+                    )
+                    WHERE first_bin < last_bin
+                )
+                WHERE bin <= cut
+            )
+            WHERE bin = last_filled
+"""
+
+
 def grow(
     data: DataFrame, trees: dict[int, Tree], usable: dict[int, list[int]], edges: list[list[float]], rules: GrowthRules,
     sampling: str, rate: float, recent: list[tuple] = (),
 ) -> None:
     """Grow the given trees level by level, several trees per pass as far as cell memory allows."""
     width, n_bins = len(edges), max(len(e) for e in edges) + 1
+    grid = data.sparkSession.createDataFrame(
+        [(i, [float(x) for x in e]) for i, e in enumerate(edges)], "feature int, grid array<double>"
+    )
     open_nodes = {number: [0] for number in trees}
     for level in range(rules.max_depth):
         waiting = [number for number in trees if open_nodes[number]]
@@ -282,7 +303,7 @@ def grow(
                 batch.append(waiting.pop(0))
             jobs = [(number, trees[number], open_nodes[number], usable[number]) for number in batch]
             sums = level_cells(data, jobs, width, n_bins, level, sampling, rate, rules.seed, list(recent))
-            found = best_splits(sums, rules, edges, level).collect()  # one row per open node
+            found = best_splits(sums, rules, grid, level).collect()  # one row per open node
             following: dict[int, list[int]] = {number: [] for number in batch}
             for s in sorted(found, key=lambda s: (s["tree"], s["slot"])):
                 tree = trees[s["tree"]]

@@ -112,10 +112,15 @@ def fixed_layout(df: DataFrame, key: Sequence[str], parts: int) -> DataFrame:
     return df.repartition(parts, *[q_col(k) for k in key]).sortWithinPartitions(*[q_col(k) for k in key])
 
 
-def _random_forest(df, features, target, key, *, seed, backend="ml", layout=FOREST_LAYOUT, **params):
-    """Spark ML's forest, or (``backend="cells"``) the cell-based one, which also knows ``min_samples_split``."""
+def _random_forest(df, features, target, key, *, seed, backend="cells", layout=FOREST_LAYOUT, **params):
+    """The cell-based forest, or (``backend="ml"``) Spark ML's.
+
+    Spark ML has no ``min_samples_split``; it serves where ``min_samples_leaf`` already implies it.
+    """
     if backend == "cells":
         return trees.fit_forest(df, features, target, key, bootstrap=True, seed=seed, **params)
+    if params["min_samples_split"] > 2 * params["min_samples_leaf"]:
+        raise ValueError("Spark ML's forest cannot hold min_samples_split above twice min_samples_leaf")
     forest = RandomForestRegressor(
         featuresCol="_features",
         labelCol=target,

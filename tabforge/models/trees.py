@@ -116,11 +116,13 @@ def _node_table(trees: dict[int, hg.Tree], values: dict[int, np.ndarray], edges:
     return pd.concat(parts, ignore_index=True)
 
 
-def _label_summary(df: DataFrame, label: str) -> tuple[int, float]:
-    row = df.agg(F.count(q_col(label)).alias("n"), F.avg(q_col(label)).alias("m")).first()
+def _label_summary(df: DataFrame, label: str) -> tuple[float, dict[str, int]]:
+    """Mean label, and the size of the table as :func:`histograms.binned` wants it."""
+    seen = df.select(q_col(label).alias("y"), F.spark_partition_id().alias("task"))
+    row = seen.agg(F.count("y").alias("n"), F.avg("y").alias("m"), F.count_distinct("task").alias("t")).first()
     if not row["n"]:
         raise ValueError("no training rows")
-    return row["n"], float(row["m"])
+    return float(row["m"]), {"rows": row["n"], "tasks": row["t"]}
 
 
 def fit_forest(
@@ -143,11 +145,11 @@ def fit_forest(
     A bootstrap weighs each row by a Poisson(1) draw from its key hash; the ``min_samples``
     rules count weighted rows.
     """
-    _, mean = _label_summary(df, label)
+    mean, size = _label_summary(df, label)
     edges = hg.feature_edges(df, features, min(max_bins, 255))
     rules = hg.GrowthRules(max_depth, min_samples_split, min_samples_leaf, random_cuts, seed=seed)
     trees = {i: hg.Tree() for i in range(n_estimators)}
-    data = hg.keep(hg.binned(df, features, label, key, edges, mean, seed))
+    data = hg.keep(hg.binned(df, features, label, key, edges, mean, seed, **size))
     try:
         every = list(range(len(features)))
         hg.grow(data, trees, {i: every for i in trees}, edges, rules, "bootstrap" if bootstrap else "all", 1.0)
@@ -187,7 +189,7 @@ def fit_boosted(
     splits under gamma are pruned bottom-up. ``early_stopping_rounds`` holds back a key-hashed
     share of the rows and stops when their error has not improved for that many rounds.
     """
-    _, mean = _label_summary(df, label)
+    mean, size = _label_summary(df, label)
     held = None
     if early_stopping_rounds:
         threshold = int(validation_size * 2**52)
@@ -195,8 +197,8 @@ def fit_boosted(
         held, df = df.where(is_held), df.where(~is_held)
     edges = hg.feature_edges(df, features, min(max_bins, 255))
     rules = hg.GrowthRules(max_depth, 0.0, min_child_weight, False, reg_lambda, reg_alpha, gamma, seed)
-    base = hg.keep(hg.binned(df, features, label, key, edges, mean, seed))
-    watch = hg.keep(hg.binned(held, features, label, key, edges, mean, seed)) if held is not None else None
+    base = hg.keep(hg.binned(df, features, label, key, edges, mean, seed, **size))
+    watch = hg.keep(hg.binned(held, features, label, key, edges, mean, seed, **size)) if held is not None else None
     data, trees, leaf, recent = base, {}, {}, []
     best_error, best_round = float("inf"), -1
     rng = np.random.default_rng(seed)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import buckets as bk
 from ..functions.lookups import attach
-from ..functions.ordered import BEFORE, join_null_safe, running_sums
+from ..functions.ordered import BEFORE, average_ranks, join_null_safe, running_sums
 from ..schema import column_roles, q_col
 
 PAIRS_PER_JOB = 120
@@ -26,18 +26,6 @@ def pearson_expression(a: Column, b: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def weighted_pearson(table: DataFrame, x: str, y: str, weight: str) -> DataFrame:
-    """One row ``corr`` from a table of distinct (x, y) with multiplicities."""
-    w = F.col(weight).cast("double")
-    means = table.agg(
-        F.try_divide(F.sum(w * F.col(x)), F.sum(w)).alias("_mx"), F.try_divide(F.sum(w * F.col(y)), F.sum(w)).alias("_my")
-    )
-    dx, dy = F.col(x) - F.col("_mx"), F.col(y) - F.col("_my")
-    return table.join(F.broadcast(means)).agg(  # a single row of means
-        F.try_divide(F.sum(w * dx * dy), F.sqrt(F.sum(w * dx * dx)) * F.sqrt(F.sum(w * dy * dy))).alias("corr")
-    )
-
-
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], method: str = "pearson") -> DataFrame:
     """(column_a, column_b, corr) per pair; NULL where undefined."""
     if method not in METHODS:
@@ -103,39 +91,26 @@ def select_features(df: DataFrame, target: str, threshold: float = 0.1, method:
     return [c for c in df.columns if found.get(c) is not None and abs(found[c]) >= threshold]
 
 
-def average_ranks(table: DataFrame, value: str, weight: str, out: str) -> DataFrame:
-    """(value, rank, weight) with ties at their average rank, from a table with multiplicities."""
-    distinct = table.groupBy(value).agg(F.sum(weight).alias("_w"))
-    counted = running_sums(distinct, value, ["_w"])
-    return counted.select(value, (F.col("_w_before") + (F.col("_w") + 1) / 2.0).alias(out), F.col("_w"))
-
-
 def _spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Pearson on average ranks. Without gaps every column is ranked once, else once per pair.
-
-    Ranks come from distinct values, so repeated values collapse before anything is ordered.
-    """
+    """Pearson on average ranks. Without gaps every column is ranked once, else once per pair."""
     columns = sorted({c for pair in pairs for c in pair})
     row = df.agg(F.count("*").alias("n"), *[F.count(q_col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
     gaps = {c for i, c in enumerate(columns) if row[f"n{i}"] < row["n"]}
-    answers = []
     plain = [p for p in pairs if not gaps.intersection(p)]
-    if plain:
-        ranked = df.select(*[q_col(c) for c in columns])
-        names = {}
-        for i, c in enumerate(sorted({c for p in plain for c in p})):
-            names[c] = f"_rank{i}"
-            ones = df.select(q_col(c).alias(c), F.lit(1).alias("_one"))
-            table = average_ranks(ones, c, "_one", names[c])
-            ranked = attach(ranked, table, c, rows=row["n"], weight="_w")
-        ranks = ranked.select(*[F.col(r).alias(c) for c, r in names.items()])
-        answers.append(correlations(ranks, plain, "pearson"))
+    answers = [_pearson_of_ranks(df, plain)] if plain else []
     for a, b in pairs:
-        if (a, b) not in plain:
-            answers.append(_named(_spearman_pair(df, a, b), a, b))
+        if gaps.intersection((a, b)):
+            answers.append(_pearson_of_ranks(df.where(q_col(a).isNotNull() & q_col(b).isNotNull()), [(a, b)]))
     return reduce(DataFrame.unionByName, answers)
 
 
+def _pearson_of_ranks(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    columns = sorted({c for pair in pairs for c in pair})
+    ranked = average_ranks(df.select(*[q_col(c) for c in columns]), columns, "_rank")
+    ranks = ranked.select(*[F.col(f"_rank{i}").alias(c) for i, c in enumerate(columns)])
+    return correlations(ranks, pairs, "pearson")
+
+
 def _joint_counts(df: DataFrame, a: str, b: str) -> DataFrame:
     return (
         df.where(q_col(a).isNotNull() & q_col(b).isNotNull())
@@ -145,17 +120,6 @@ def _joint_counts(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def _spearman_pair(df: DataFrame, a: str, b: str) -> DataFrame:
-    joint = _joint_counts(df, a, b)
-    rows = joint.count()
-    for side, out in (("_x", "_rx"), ("_y", "_ry")):
-        # multiplicity in the joint table, which is what the join has to spread
-        spread = joint.groupBy(side).agg(F.count("*").alias("_m"))
-        table = join_null_safe(average_ranks(joint, side, "_n", out).drop("_w"), spread, [side])
-        joint = attach(joint, table, side, rows=rows, weight="_m")
-    return weighted_pearson(joint, "_rx", "_ry", "_n")
-
-
 def kendall(df: DataFrame, a: str, b: str, *, rows_per_bucket: int = 1_000_000) -> DataFrame:
     """One row ``corr``: tau-b, exact, without comparing rows pairwise.
 

@@ -15,13 +15,14 @@ from ..schema import column_roles, numeric_like, q_col, to_number
 FENCE = 1.5
 MANY_OUTLIERS_PCT = 5.0
 KDE_POINTS_PER_JOB = 50
+REPEATS = 10
 
 
 def bin_number(x: Column, low: float, high: float, bins: int) -> Column:
     """Equal-width bin of ``x``; the last bin is closed. A span of zero is widened by half on each side."""
-    if high == low:
-        low, high = low - 0.5, high + 0.5
-    return F.least(F.floor((x - F.lit(low)) / F.lit((high - low) / bins)), F.lit(bins - 1)).cast("int")
+    low, high = _spread_out(low, high)
+    at = F.floor((x - F.lit(low)) / F.lit((high - low) / bins)).cast("int")
+    return F.when(at >= bins, bins - 1).otherwise(at)  # ``least`` would turn NULL into the last bin
 
 
 def _ranges(df: DataFrame, columns: Sequence[str], extra: Sequence[str] = ()) -> dict[str, dict]:
@@ -37,7 +38,7 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
     entries, widths = [], []
     for c, s in found.items():
         x = q_col(c).cast("double")
-        low, high = (s["min"], s["max"]) if s["max"] > s["min"] else (s["min"] - 0.5, s["max"] + 0.5)
+        low, high = _spread_out(s["min"], s["max"])
         step = (high - low) / bins
         entries.append(F.struct(F.lit(c).alias("column"), bin_number(x, low, high, bins).alias("bin")))
         widths.append(F.struct(F.lit(c).alias("column"), F.lit(low).alias("low"), F.lit(step).alias("step")))
@@ -69,11 +70,17 @@ def centre_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> Da
 def kde(df: DataFrame, column: str, points: int = 200, *, cut: float = 0.0) -> DataFrame:
     """(point, x, density): Gaussian kernel density with Scott's bandwidth on an even grid.
 
-    Every grid point is a sum of its own in one aggregate, so rows are read once and never
-    multiplied; equal values are counted first.
+    Every grid point is a sum of its own in one aggregate, so rows are never multiplied. Values
+    are counted first where a sketch says that many rows repeat them.
     """
     x = q_col(column).cast("double")
-    base = df.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"), F.stddev_samp(x).alias("sd")).first()
+    base = df.agg(
+        F.count(x).alias("n"),
+        F.min(x).alias("lo"),
+        F.max(x).alias("hi"),
+        F.stddev_samp(x).alias("sd"),
+        F.approx_count_distinct(x).alias("d"),
+    ).first()
     n, sd = base["n"], base["sd"]
     if n < 2 or not sd:
         return df.sparkSession.createDataFrame([], "point int, x double, density double")
@@ -81,7 +88,9 @@ def kde(df: DataFrame, column: str, points: int = 200, *, cut: float = 0.0) -> D
     low, high = base["lo"] - cut * width, base["hi"] + cut * width
     grid = [low + (high - low) * i / (points - 1) for i in range(points)]
     norm = n * width * math.sqrt(2 * math.pi)
-    counted = df.select(x.alias("_x")).where(F.col("_x").isNotNull()).groupBy("_x").agg(F.count("*").alias("_n"))
+    counted = df.select(x.alias("_x"), F.lit(1).alias("_n")).where(F.col("_x").isNotNull())
+    if base["d"] * REPEATS <= n:
+        counted = counted.groupBy("_x").agg(F.sum("_n").alias("_n"))
     parts = []
     for at in range(0, points, KDE_POINTS_PER_JOB):
         block = grid[at : at + KDE_POINTS_PER_JOB]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fitting as fit, numeric as num
 from ..functions.quantiles import exact_quantiles
-from ..schema import column_roles, low_cardinality, q_col
+from ..schema import column_roles, q_col
 
 HIGH_MISSING_TABLE = 10.0
 HIGH_MISSING_COLUMN = 50.0
@@ -222,6 +222,16 @@ def top_categories(
     return value_counts(df, low_cardinality(df, columns, max_levels), top_n, include_null=False)
 
 
+def low_cardinality(df: DataFrame, columns: Sequence[str], limit: int = 50) -> list[str]:
+    """Columns with at most ``limit`` distinct non-null values; counted exactly unless clearly wide."""
+    wide = fit.clearly_over(df, columns, limit)
+    close = [c for c in columns if c not in wide]
+    if not close:
+        return []
+    row = df.agg(*[F.count_distinct(q_col(c)).alias(f"d{i}") for i, c in enumerate(close)]).first()
+    return [c for i, c in enumerate(close) if row[f"d{i}"] <= limit]
+
+
 def rare_categories(df: DataFrame, columns: Sequence[str] | None = None, share: float = RARE_SHARE) -> DataFrame:
     """Values (null counted as one) that hold less than ``share`` of the rows."""
     total = df.agg(F.count("*").alias("_rows"))

@@ -17,6 +17,7 @@ from ..operators import clean
 from ..operators.correlation import select_features
 from ..operators.evaluate import regression_metrics
 from ..operators.split import train_test_split
+from ..session import stored
 from ..sources import writers
 from .fitted import FeaturePlan, FittedPlan
 
@@ -156,7 +157,7 @@ def run_training(
     """From a raw table to ranked models; ``plan.key`` must identify rows."""
     if not plan.key:
         raise ValueError("a training run needs key columns: the split and row sampling hash them")
-    raw = prepare(df, plan.constraints, unify=plan.unify)
+    raw = stored(prepare(df, plan.constraints, unify=plan.unify))
     train, test = train_test_split(raw, list(plan.key), test_size=test_size, seed=plan.seed)
     fitted, train_ready = plan.fit_transform(train)
     test_ready = fitted.transform(test)

@@ -121,14 +121,6 @@ def binary_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[
     return [c for i, c in enumerate(columns) if row[f"b{i}"] is not False]
 
 
-def low_cardinality(df: DataFrame, columns: Sequence[str], limit: int = 50) -> list[str]:
-    """Columns with at most ``limit`` distinct non-null values."""
-    if not columns:
-        return []
-    row = df.agg(*[F.count_distinct(q_col(c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    return [c for i, c in enumerate(columns) if row[f"d{i}"] <= limit]
-
-
 def safe_name(name: str, default: str = "column") -> str:
     """Runs of anything but letters, digits, ``_`` and ``-`` become one ``_``."""
     return re.sub(r"[^A-Za-z0-9_-]+", "_", name).strip("_") or default
