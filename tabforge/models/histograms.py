@@ -113,7 +113,7 @@ def feature_edges(df: DataFrame, features: Sequence[str], max_bins: int) -> list
     return [edges[n] for n in names]
 
 
-ROWS_PER_TASK = 5_000
+ROWS_PER_TASK = 20_000
 
 
 def binned(
