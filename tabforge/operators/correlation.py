@@ -6,6 +6,8 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import buckets as bk
@@ -13,9 +15,10 @@ from ..functions.lookups import attach
 from ..functions.ordered import BEFORE, average_ranks, join_null_safe, running_sums
 from ..schema import column_roles, q_col
 
-PAIRS_PER_JOB = 120
+FEW_PAIRS = 20
 METHODS = ("pearson", "spearman", "kendall")
-DIGIT = 16  # ranks are compared digit by digit in this base
+DIGIT_BITS = 3  # ranks are compared digit by digit, this many bits at a time
+DIGIT = 1 << DIGIT_BITS
 
 
 def pearson_expression(a: Column, b: Column) -> Column:
@@ -33,8 +36,7 @@ def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], method: str =
     if not pairs:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, corr double")
     if method == "pearson":
-        blocks = [pairs[i : i + PAIRS_PER_JOB] for i in range(0, len(pairs), PAIRS_PER_JOB)]
-        return reduce(DataFrame.unionByName, [_pearson_block(df, block) for block in blocks])
+        return _pearson_block(df, pairs) if len(pairs) <= FEW_PAIRS else _pearson_by_products(df, pairs)
     if method == "spearman":
         return _spearman(df, pairs)
     return reduce(DataFrame.unionByName, [_named(kendall(df, a, b), a, b) for a, b in pairs])
@@ -49,6 +51,44 @@ def _pearson_block(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame
     return wide.select(F.inline(F.array(*rows)))
 
 
+def _pearson_by_products(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """All pairs of a wide table in one pass.
+
+    Thousands of aggregate expressions would not compile into one loop. Each task multiplies its
+    centred batches into column-by-column sums instead; Spark adds the sums per pair.
+    """
+    columns = sorted({c for pair in pairs for c in pair})
+    doubles = df.select(*[q_col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    means = np.array([m or 0.0 for m in doubles.agg(*[F.avg(c) for c in doubles.columns]).first()])
+    place = {c: i for i, c in enumerate(columns)}
+    left, right = (np.array([place[p[side]] for p in pairs], np.int32) for side in (0, 1))
+
+    def products(batches):
+        total = np.zeros((6, len(left)))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(len(means))])
+            known = np.isfinite(x).astype(float)
+            x = np.where(known > 0, x - means, 0.0)
+            sums, squares = x.T @ known, (x * x).T @ known
+            parts = ((known.T @ known)[left, right], sums[left, right], sums[right, left],
+                     squares[left, right], squares[right, left], (x.T @ x)[left, right])
+            total += np.array(parts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(left), dtype=np.int32)), *map(pa.array, total)], ["pair", "n", "sa", "sb", "saa", "sbb", "sab"]
+        )
+
+    names = ["n", "sa", "sb", "saa", "sbb", "sab"]
+    partial = doubles.mapInArrow(products, "pair int, " + ", ".join(f"{n} double" for n in names))
+    sums = partial.groupBy("pair").agg(*[F.sum(n).alias(n) for n in names])
+    spread = [F.greatest(F.col(f"s{c}{c}") - F.try_divide(F.col(f"s{c}") * F.col(f"s{c}"), F.col("n")), F.lit(0.0)) for c in "ab"]
+    # what rounding leaves of a constant column's spread does not count
+    flat = (spread[0] <= F.col("saa") * 1e-14) | (spread[1] <= F.col("sbb") * 1e-14)
+    moment = F.col("sab") - F.try_divide(F.col("sa") * F.col("sb"), F.col("n"))
+    corr = F.when(~flat, F.try_divide(moment, F.sqrt(spread[0]) * F.sqrt(spread[1])))
+    labels = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, column_a string, column_b string")
+    return F.broadcast(labels).join(sums, "pair", "left").select("column_a", "column_b", corr.alias("corr"))
+
+
 def _named(one: DataFrame, a: str, b: str) -> DataFrame:
     return one.select(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), "corr")
 
@@ -124,10 +164,10 @@ def kendall(df: DataFrame, a: str, b: str, *, rows_per_bucket: int = 1_000_000)
     """One row ``corr``: tau-b, exact, without comparing rows pairwise.
 
     Rows are reduced to distinct (x, y) with counts. Two rows with different x ranks differ
-    first at some base-16 digit; for that digit they share a prefix. So, digit by digit, rows
-    of one prefix are walked in y order and every row asks how many earlier rows have a
-    smaller digit - a windowed running count, spread over y buckets, with per-bucket
-    offsets. The number of passes is the number of digits.
+    first at some base-8 digit and share the digits above it. So, per digit position, the rows
+    of one prefix are walked in y order and every row asks how many earlier rows have a smaller
+    or larger digit - a windowed running count, spread over y buckets with per-bucket offsets.
+    The work is rows x digits, in one job.
     """
     joint = _joint_counts(df, a, b)
     size = joint.agg(F.count("*").alias("m"), F.sum("_n").alias("n"), F.count_distinct("_x").alias("dx")).first()
@@ -149,58 +189,52 @@ def _tau_b(coded: DataFrame, size, n_buckets: int, df: DataFrame) -> DataFrame:
     digits, reach = 0, 1
     while reach < size["dx"]:
         digits, reach = digits + 1, reach * DIGIT
-    concordant = discordant = 0
-    for level in range(digits):
-        below, above = _digit_level(coded, level, n_buckets).first()
-        concordant, discordant = concordant + (below or 0), discordant + (above or 0)
-    tied = coded.agg(F.sum(F.col("_n") * (F.col("_n") - 1) / 2).alias("t")).first()["t"]
-
-    def ties(side: str) -> float:
-        return (
-            coded.groupBy(side).agg(F.sum("_n").alias("n")).agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("t")).first()["t"]
-        )
-
-    pairs = size["n"] * (size["n"] - 1) / 2
-    x_ties, y_ties = ties("_x"), ties("_y")
-    # every pair is concordant, discordant, or tied on a side
-    assert concordant + discordant == pairs - x_ties - y_ties + tied
+    agree = differ = 0
+    if digits:
+        counts = _ordered_pairs(coded, digits, n_buckets).first()
+        agree, differ = counts["agree"], counts["differ"]
+
+    def ties(*sides: str) -> DataFrame:
+        """Pairs of rows that are equal on the given sides."""
+        return coded.groupBy(*sides).agg(F.sum("_n").alias("n")).agg(F.sum(F.expr("n * (n - 1) div 2")).alias("t"))
+
+    x_ties, y_ties, both = (r["t"] for r in ties("_x").union(ties("_y")).union(ties("_x", "_y")).collect())
+    pairs = size["n"] * (size["n"] - 1) // 2
+    if agree + differ != pairs - x_ties - y_ties + both:
+        raise ArithmeticError("pair counts do not add up: the table changed between passes")
     scale = (pairs - x_ties) ** 0.5 * (pairs - y_ties) ** 0.5
-    value = (concordant - discordant) / scale if scale else None
+    value = (agree - differ) / scale if scale else None
     return df.sparkSession.range(1).select(F.lit(value).cast("double").alias("corr"))
 
 
-def _digit_level(coded: DataFrame, level: int, n_buckets: int) -> DataFrame:
-    """Concordant and discordant pairs whose x ranks first differ at this digit."""
-    unit = DIGIT**level
+def _ordered_pairs(coded: DataFrame, n_digits: int, n_buckets: int) -> DataFrame:
+    """One row: pairs with equal order (``agree``) and opposite order (``differ``) of x and y.
+
+    Every row appears once per digit position, in the group of the rows that share its x rank
+    above that digit; pairs of one group are those that first differ there.
+    """
+    digits = range(DIGIT)
     rows = coded.select(
-        F.floor(F.col("_r") / (unit * DIGIT)).alias("_g"), (F.floor(F.col("_r") / unit) % DIGIT).alias("_d"), "_y", "_yb", "_n"
+        F.explode(F.sequence(F.lit(0), F.lit(n_digits - 1))).alias("_at"), "_r", "_y", "_yb", "_n"
+    ).selectExpr(
+        "_at", f"shiftright(_r, {DIGIT_BITS} * (_at + 1)) AS _g", f"shiftright(_r, {DIGIT_BITS} * _at) & {DIGIT - 1} AS _d",
+        "_y", "_yb", "_n",
     )
-    # copies of one (prefix, digit, y) act as one row
-    rows = rows.groupBy("_g", "_yb", "_y", "_d").agg(F.sum("_n").alias("_n"))
-    weight = [F.sum(F.when(F.col("_d") == d, F.col("_n"))) for d in range(DIGIT)]
-    earlier = Window.partitionBy("_g", "_yb").orderBy("_y").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    # rows of smaller y: everything up to here minus the rows of the same y
-    same = Window.partitionBy("_g", "_yb", "_y")
-    counted = rows.select(
-        "_g",
-        "_yb",
-        "_d",
-        "_n",
-        *[
-            (F.coalesce(w.over(earlier), F.lit(0)) - F.coalesce(w.over(same), F.lit(0))).alias(f"_w{d}")
-            for d, w in enumerate(weight)
-        ],
+    # one row per (prefix, y), with the number of rows per digit
+    per_y = rows.groupBy("_at", "_g", "_yb", "_y").agg(
+        *[F.sum(F.when(F.col("_d") == d, F.col("_n")).otherwise(0)).alias(f"_n{d}") for d in digits]
     )
+    smaller_y = Window.partitionBy("_at", "_g", "_yb").orderBy("_y").rowsBetween(*BEFORE)
+    counted = per_y.select("*", *[F.coalesce(F.sum(f"_n{d}").over(smaller_y), F.lit(0)).alias(f"_b{d}") for d in digits])
     if n_buckets > 1:
-        totals = rows.groupBy("_g", "_yb").agg(*[F.coalesce(w, F.lit(0)).alias(f"_t{d}") for d, w in enumerate(weight)])
-        across = Window.partitionBy("_g").orderBy("_yb").rowsBetween(*BEFORE)  # one row per bucket
+        totals = per_y.groupBy("_at", "_g", "_yb").agg(*[F.sum(f"_n{d}").alias(f"_t{d}") for d in digits])
+        across = Window.partitionBy("_at", "_g").orderBy("_yb").rowsBetween(*BEFORE)  # one row per bucket
         offsets = totals.select(
-            "_g", "_yb", *[F.coalesce(F.sum(f"_t{d}").over(across), F.lit(0)).alias(f"_o{d}") for d in range(DIGIT)]
+            "_at", "_g", "_yb", *[F.coalesce(F.sum(f"_t{d}").over(across), F.lit(0)).alias(f"_o{d}") for d in digits]
         )
-        counted = join_null_safe(counted, offsets, ["_g", "_yb"])
-        earlier_rows = [F.col(f"_w{d}") + F.col(f"_o{d}") for d in range(DIGIT)]
-    else:
-        earlier_rows = [F.col(f"_w{d}") for d in range(DIGIT)]
-    smaller = sum((F.when(F.col("_d") > d, earlier_rows[d]).otherwise(0) for d in range(DIGIT)), F.lit(0))
-    larger = sum((F.when(F.col("_d") < d, earlier_rows[d]).otherwise(0) for d in range(DIGIT)), F.lit(0))
-    return counted.agg(F.sum(F.col("_n") * smaller).alias("concordant"), F.sum(F.col("_n") * larger).alias("discordant"))
+        counted = join_null_safe(counted, offsets, ["_at", "_g", "_yb"])
+        counted = counted.withColumns({f"_b{d}": F.col(f"_b{d}") + F.col(f"_o{d}") for d in digits})
+    # against the rows of smaller y: a smaller digit agrees with the order, a larger one does not
+    agree = " + ".join(f"_n{d} * ({' + '.join(f'_b{e}' for e in digits if e < d)})" for d in digits if d > 0)
+    differ = " + ".join(f"_n{d} * ({' + '.join(f'_b{e}' for e in digits if e > d)})" for d in digits if d < DIGIT - 1)
+    return counted.agg(F.expr(f"sum({agree})").alias("agree"), F.expr(f"sum({differ})").alias("differ"))

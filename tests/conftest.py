@@ -11,7 +11,7 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 def spark(tmp_path_factory):
     from tabforge.session import local_session
 
-    session = local_session(8, spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoint")))
+    session = local_session(8, spark__sql__shuffle__partitions="4", spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()
 
