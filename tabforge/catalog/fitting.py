@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import encode as en, impute as im, outliers as ou, scale as sc, split as sp
 from ..plans.fitted import ONE_SHOT_STAGES, FeaturePlan
+from ..session import stored
 from .base import EVENTS_GAPS, ORDERS_GAPS, query, rounded, source, table
 
 ORDERS, EVENTS = source("orders", ORDERS_GAPS), source("events", EVENTS_GAPS)
@@ -328,7 +329,7 @@ def plan_input(spark, folder):
 def prepared_orders(spark, folder):
     from ..plans.training import prepare
 
-    return prepare(plan_input(spark, folder), PLAN_RULES)
+    return stored(prepare(plan_input(spark, folder), PLAN_RULES))
 
 
 def order_plan(**changes):
@@ -362,7 +363,7 @@ def tabular_new_rows(spark, folder):
     columns = plan_input(spark, folder).drop("o_orderpriority")
     from ..plans.training import prepare
 
-    fitted = order_plan().fit(prepare(columns.where("o_orderstatus <> 'P'"), PLAN_RULES))
+    fitted = order_plan().fit(stored(prepare(columns.where("o_orderstatus <> 'P'"), PLAN_RULES)))
     return rounded(fitted.transform(columns.drop("o_totalprice")), 6, "o_custkey")
 
 

@@ -100,10 +100,10 @@ def clearly_over(df: DataFrame, columns: Sequence[str], limit: int) -> set[str]:
     return {c for i, c in enumerate(columns) if row[f"d{i}"] > 2 * limit}
 
 
-def sorted_levels(df: DataFrame, columns: Sequence[str], limit: int) -> tuple[dict[str, list], list[str]]:
-    """Distinct non-null values per column in order, and the columns that have more than ``limit``.
+def level_counts(df: DataFrame, columns: Sequence[str], limit: int) -> tuple[dict[str, dict], list[str]]:
+    """``{column: {value: rows}}`` of the non-null values in order, and the columns with more than ``limit``.
 
-    A column beyond the limit yields no levels. Wide columns are recognised by a sketch, so their
+    A column beyond the limit yields no values. Wide columns are recognised by a sketch, so their
     values are never shuffled; the others have at most about twice the limit.
     """
     if not 0 < limit < 1000:
@@ -118,13 +118,19 @@ def sorted_levels(df: DataFrame, columns: Sequence[str], limit: int) -> tuple[di
             .where(F.col("value").isNotNull())
             .withColumn("at", F.row_number().over(in_order))
             .where(F.col("at") <= limit + 1)
-            .select("column", "value")
+            .select("column", "value", "n")
             .collect()  # at most columns x (limit + 1) rows
         )
         for r in rows:
-            found[r["column"]].append(r["value"])
+            found[r["column"]].append((r["value"], r["n"]))
     over = [c for c in columns if c in wide or len(found[c]) > limit]
-    return {c: sorted(v) for c, v in found.items() if c not in over}, over
+    return {c: dict(sorted(v)) for c, v in found.items() if c not in over}, over
+
+
+def sorted_levels(df: DataFrame, columns: Sequence[str], limit: int) -> tuple[dict[str, list], list[str]]:
+    """Distinct non-null values per column in order, and the columns that have more than ``limit``."""
+    counts, over = level_counts(df, columns, limit)
+    return {c: list(v) for c, v in counts.items()}, over
 
 
 def sorted_codes(df: DataFrame, column: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..schema import q_col
 from . import buckets as bk
@@ -73,8 +73,11 @@ def with_order_bucket(
         hot = bk.single_valued(cuts[0])
     if not hot:
         return cut
-    cut = bk.with_bucket(cut, values[1], cuts[1], out + "2")
-    width = len(cuts[1]) + 2
+    # about four pieces per ordinary bucket in all, however many values are hot
+    step = max(1, len(cuts[1]) * len(hot) // (4 * n))
+    finer = cuts[1][::step]
+    cut = bk.with_bucket(cut, values[1], finer, out + "2")
+    width = len(finer) + 2
     return cut.withColumn(
         out, F.col(out) * width + F.when(F.col(out).isin(hot), F.col(out + "2")).otherwise(0)
     ).drop(out + "2")
@@ -132,53 +135,68 @@ def fill_along(
     return join_null_safe(cut, carried, [*groups, "_ob"]).select(*[filled(c) for c in df.columns])
 
 
+FEW_LEVELS = 500
+
+
 def average_ranks(df: DataFrame, columns: Sequence[str], prefix: str = "_rank") -> DataFrame:
     """The table plus ``{prefix}{i}``: 1-based rank of every non-null value, ties at their average.
 
     A column with few distinct values is ranked through a broadcast table of those values. Any
     other is cut into buckets and ranked inside them. A value frequent enough to fill a bucket
     alone needs no ranking there: its rows only pass through, spread by the task they came from.
+    The number of passes over the table does not depend on the number of columns.
     """
-    few, many = _split_by_levels(df, columns)
-    position = {c: i for i, c in enumerate(columns)}
-    edges = {}
-    if many:
-        values = [bk.order_value(df, c) for c in many]
-        edges = dict(zip(many, bk.cut_points(df, values, bk.default_buckets(df))))
+    from .fitting import level_counts
+
+    few, many = level_counts(df, columns, FEW_LEVELS)
+    cuts = dict(zip(many, _bucket_counts(df, many))) if many else {}
     ranked = df
-    for c in columns:
-        out = f"{prefix}{position[c]}"
-        ranked = _rank_few(df, ranked, c, out) if c in few else _rank_many(df, ranked, c, edges[c], out)
+    for i, c in enumerate(columns):
+        out = f"{prefix}{i}"
+        ranked = _rank_few(ranked, c, few[c], out) if c in few else _rank_many(ranked, c, *cuts[c], out)
     return ranked
 
 
-FEW_LEVELS = 500
-
-
-def _split_by_levels(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], list[str]]:
-    from .fitting import sorted_levels
-
-    levels, over = sorted_levels(df, columns, FEW_LEVELS)
-    return list(levels), over
-
-
-def _rank_few(df: DataFrame, ranked: DataFrame, column: str, out: str) -> DataFrame:
-    counts = df.where(q_col(column).isNotNull()).groupBy(q_col(column)).agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy(q_col(column)).rowsBetween(*BEFORE)), F.lit(0))
-    table = counts.select(q_col(column), (before + (F.col("_n") + 1) / 2.0).alias(out))  # at most FEW_LEVELS rows
-    return join_null_safe(ranked, F.broadcast(table), [column], "left")
+def _rank_few(df: DataFrame, column: str, counts: dict, out: str) -> DataFrame:
+    rows, before = [], 0
+    for value, n in counts.items():
+        rows.append((value, before + (n + 1) / 2.0))
+        before += n
+    schema = T.StructType([T.StructField(column, df.schema[column].dataType), T.StructField(out, T.DoubleType())])
+    table = df.sparkSession.createDataFrame(rows, schema)  # at most FEW_LEVELS rows
+    return join_null_safe(df, F.broadcast(table), [column], "left")
+
+
+def _bucket_counts(df: DataFrame, columns: Sequence[str]) -> list[tuple[list[float], list[tuple[int, int, int]]]]:
+    """Per column: bucket edges, and (bucket, rows, rows before) - a sketching and a counting pass for all."""
+    values = [bk.order_value(df, c) for c in columns]
+    edges = bk.cut_points(df, values, bk.default_buckets(df))
+    cut = df.select(*[q_col(c) for c in columns])
+    for i, c in enumerate(columns):
+        cut = bk.with_bucket(cut, bk.order_value(df, c), edges[i], f"_b{i}")
+    entries = [
+        F.struct(F.lit(i).alias("i"), F.when(q_col(c).isNotNull(), F.col(f"_b{i}")).alias("b")) for i, c in enumerate(columns)
+    ]
+    counts = (
+        cut.select(F.explode(F.array(*entries)).alias("e"))
+        .where(F.col("e.b").isNotNull())
+        .groupBy("e.i", "e.b")
+        .agg(F.count("*").alias("n"))
+        .collect()  # at most columns x MAX_BUCKETS rows
+    )
+    offsets: list[list[tuple[int, int, int]]] = [[] for _ in columns]
+    for r in sorted(counts, key=lambda r: (r["i"], r["b"])):
+        mine = offsets[r["i"]]
+        mine.append((r["b"], r["n"], mine[-1][1] + mine[-1][2] if mine else 0))
+    return list(zip(edges, offsets))
 
 
-def _rank_many(df: DataFrame, ranked: DataFrame, column: str, edges: list[float], out: str) -> DataFrame:
+def _rank_many(df: DataFrame, column: str, edges: list[float], counts: list[tuple[int, int, int]], out: str) -> DataFrame:
     hot = bk.single_valued(edges)
-    value = bk.order_value(df, column)
-    counts = bk.with_bucket(df.where(q_col(column).isNotNull()).select(q_col(column)), value, edges, "_b")
-    counts = counts.groupBy("_b").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(*BEFORE)), F.lit(0))
-    offsets = counts.select("_b", "_n", before.alias("_o"))  # at most MAX_BUCKETS rows
-    cut = bk.with_bucket(ranked, value, edges, "_b").join(F.broadcast(offsets), "_b", "left")
+    offsets = df.sparkSession.createDataFrame(counts, "_b int, _n long, _o long")  # at most MAX_BUCKETS rows
+    cut = bk.with_bucket(df, bk.order_value(df, column), edges, "_b").join(F.broadcast(offsets), "_b", "left")
     alone = F.col("_b").isin(hot) if hot else F.lit(False)
-    # missing values form a bucket without an offset; they pass through like the hot ones
+    # missing values share the bucket after the last; they pass through like the hot ones
     passing = alone | q_col(column).isNull()
     cut = cut.withColumn("_via", F.when(passing, F.spark_partition_id()).otherwise(-1))
     inside = Window.partitionBy("_b", "_via").orderBy(q_col(column))

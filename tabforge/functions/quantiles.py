@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..schema import q_col
 from . import buckets as bk
 
-DIRECT_ROWS = 2_000_000
+DIRECT_ROWS = 4_000_000  # values of all columns together that one task may hold
+COLUMNS_PER_PASS = 12
 BINS = 2048
 SKETCH_ACCURACY = 10_000
 
@@ -47,7 +48,7 @@ def exact_quantiles(
         row = df.agg(*[F.count(q_col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
         counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
     answers: dict[str, list[float | None]] = {c: [] for c in probabilities}
-    if max(counts[c] for c in columns) <= direct_rows:
+    if sum(counts[c] for c in columns) <= direct_rows:
         row = df.agg(
             *[F.percentile(q_col(c), [float(p) for p in probabilities[c]]).alias(f"q{i}") for i, c in enumerate(columns)]
         ).first()
@@ -56,7 +57,11 @@ def exact_quantiles(
         return answers
 
     wanted = {c: sorted({r for p in probabilities[c] for r in _ranks(p, counts[c])}) for c in columns if counts[c]}
-    found = order_statistics(df, wanted, counts)
+    found: dict[str, dict[int, float]] = {}
+    names = list(wanted)
+    for at in range(0, len(names), COLUMNS_PER_PASS):
+        block = {c: wanted[c] for c in names[at : at + COLUMNS_PER_PASS]}
+        found.update(order_statistics(df, block, counts))
     for c in columns:
         if not counts[c]:
             answers[c] = [None] * len(probabilities[c])

@@ -17,7 +17,7 @@ from ..operators import clean
 from ..operators.correlation import select_features
 from ..operators.evaluate import regression_metrics
 from ..operators.split import train_test_split
-from ..session import stored
+from ..session import spread, stored
 from ..sources import writers
 from .fitted import FeaturePlan, FittedPlan
 
@@ -83,6 +83,7 @@ class TrainingRun:
         search_options: Mapping[str, Mapping[str, Any]] | None = None,
     ) -> "TrainingRun":
         """Train every model with defaults, given settings, or settings found by search."""
+        self.train, self.test = spread(self.train, self.key), spread(self.test, self.key)
         for d in (self.train, self.test):
             d.persist(StorageLevel.MEMORY_AND_DISK)
         try:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
@@ -61,3 +61,15 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame, key: list[str], rows_per_task: int = 20_000) -> DataFrame:
+    """Repartition by key when the rows arrive in fewer tasks than there are cores, else leave them.
+
+    For tables that repeated compute-heavy passes read: a few large file splits would keep most
+    of the cluster idle. One pass counts rows and tasks.
+    """
+    seen = df.select(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.count_distinct("task").alias("t"))
+    size = seen.first()
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, max(1, size["n"] // rows_per_task))
+    return df.repartition(wanted, *[F.col(f"`{k}`") for k in key]) if size["t"] < wanted else df
