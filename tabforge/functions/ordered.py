@@ -111,14 +111,11 @@ def fill_along(
     cut = with_order_bucket(df, order_by, n_buckets=n_buckets)
     keys = [q_col(c).desc() if backward else q_col(c).asc() for c in order_by]
     bucket_key = F.col("_ob").desc() if backward else F.col("_ob").asc()
-    nearest = F.min if backward else F.max
+    nearest = F.min_by if backward else F.max_by
+    # a single plain key keeps this a hash aggregate; several are compared as one struct
+    position_key = q_col(order_by[0]) if len(order_by) == 1 else F.struct(*[q_col(k) for k in order_by])
     summary = cut.groupBy(*groups, "_ob").agg(
-        *[
-            nearest(F.when(q_col(c).isNotNull(), F.struct(*[q_col(k) for k in order_by], q_col(c).alias("_value"))))
-            .getField("_value")
-            .alias(f"_s_{i}")
-            for i, c in enumerate(columns)
-        ]
+        *[nearest(q_col(c), F.when(q_col(c).isNotNull(), position_key)).alias(f"_s_{i}") for i, c in enumerate(columns)]
     )
     across = Window.partitionBy(*groups).orderBy(bucket_key).rowsBetween(*BEFORE)
     carried = summary.select(
@@ -136,6 +133,7 @@ def fill_along(
 
 
 FEW_LEVELS = 500
+LITERAL_RANKS = 16
 
 
 def average_ranks(df: DataFrame, columns: Sequence[str], prefix: str = "_rank") -> DataFrame:
@@ -162,6 +160,11 @@ def _rank_few(df: DataFrame, column: str, counts: dict, out: str) -> DataFrame:
     for value, n in counts.items():
         rows.append((value, before + (n + 1) / 2.0))
         before += n
+    if len(rows) <= LITERAL_RANKS:
+        rank = F.lit(None).cast("double")
+        for value, r in rows:
+            rank = F.when(q_col(column) == F.lit(value), r).otherwise(rank)
+        return df.withColumn(out, rank)
     schema = T.StructType([T.StructField(column, df.schema[column].dataType), T.StructField(out, T.DoubleType())])
     table = df.sparkSession.createDataFrame(rows, schema)  # at most FEW_LEVELS rows
     return join_null_safe(df, F.broadcast(table), [column], "left")

@@ -123,9 +123,13 @@ def _fit_batch(df: DataFrame, batch: Mapping[str, tuple[str, Any]], done: Imputa
     means = [c for c, (s, _) in batch.items() if s == "mean"]
     medians = [c for c, (s, _) in batch.items() if s == "median"]
     by_mode = [c for c, (s, _) in batch.items() if s == "mode"]
-    stats = fit.column_statistics(df, {c: ["mean"] for c in means}, {c: [0.5] for c in medians})
-    done.values.update({c: stats[c]["mean"] for c in means})
-    done.values.update({c: stats[c]["quantiles"][0] for c in medians})
+    needs = {**{c: ["mean", "rows"] for c in means}, **{c: ["rows"] for c in medians}}
+    stats = fit.column_statistics(df, needs, {c: [0.5] for c in medians})
+    for c in (*means, *medians):
+        value = stats[c]["mean"] if c in means else stats[c]["quantiles"][0]
+        if stats[c]["rows"] == stats[c]["count"] and value is not None and isinstance(df.schema[c].dataType, T.IntegralType):
+            value = float(round(value))  # an integer column without gaps keeps its type
+        done.values[c] = value
     most_common = fit.modes(df, by_mode) if by_mode else {}
     for c in by_mode:
         done.values[c] = most_common[c] if most_common[c] is not None else batch[c][1]
