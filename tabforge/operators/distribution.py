@@ -221,12 +221,12 @@ def qq_points(df: DataFrame, column: str, key: Sequence[str]) -> DataFrame:
     """
     known = df.select(q_col(column).cast("double").alias("value"), *[q_col(k).alias(f"_k{i}") for i, k in enumerate(key)])
     known = known.where(F.col("value").isNotNull())
-    total = known.agg(F.count("*").alias("_n"))
-    numbered = row_numbers(known, ["value", *[f"_k{i}" for i in range(len(key))]], "_at").join(F.broadcast(total))
-    i, n = F.col("_at") + 1.0, F.col("_n").cast("double")
+    numbered = row_numbers(known, ["value", *[f"_k{i}" for i in range(len(key))]], "_at")
+    i, n = F.col("_at") + 1.0, known.agg(F.count("*").cast("double")).scalar()
     last = F.pow(F.lit(0.5), 1.0 / n)
     p = F.when(i == n, last).when(i == 1.0, 1.0 - last).otherwise((i - 0.3175) / (n + 0.365))
-    return numbered.select("value", num.normal_quantile(p).alias("theoretical"))
+    placed = numbered.select("value", p.alias("_p"))
+    return placed.select("value", num.normal_quantile(F.col("_p")).alias("theoretical"))
 
 
 def qq_fit(df: DataFrame, column: str, key: Sequence[str]) -> DataFrame:

@@ -73,19 +73,15 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
         .groupBy((-q_col(score).cast("double")).alias("_s"))
         .agg(F.count_if(q_col(label) == 1).alias("pos"), F.count_if(q_col(label) != 1).alias("neg"))
     )
-    totals = steps.agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-    return (
-        running_sums(steps, "_s", ["pos", "neg"])
-        .join(F.broadcast(totals))  # a single row
-        .select(
-            (-F.col("_s")).alias("threshold"),
-            F.try_divide((F.col("pos_before") + F.col("pos")).cast("double"), F.col("all_pos")).alias("tpr"),
-            F.try_divide((F.col("neg_before") + F.col("neg")).cast("double"), F.col("all_neg")).alias("fpr"),
-            (F.col("pos_before") + F.col("pos")).alias("tp"),
-            (F.col("neg_before") + F.col("neg")).alias("fp"),
-            "pos",
-            "neg",
-        )
+    tp, fp = F.col("pos_before") + F.col("pos"), F.col("neg_before") + F.col("neg")
+    return running_sums(steps, "_s", ["pos", "neg"]).select(
+        (-F.col("_s")).alias("threshold"),
+        F.try_divide(tp.cast("double"), steps.agg(F.sum("pos")).scalar()).alias("tpr"),
+        F.try_divide(fp.cast("double"), steps.agg(F.sum("neg")).scalar()).alias("fpr"),
+        tp.alias("tp"),
+        fp.alias("fp"),
+        "pos",
+        "neg",
     )
 
 

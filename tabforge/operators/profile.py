@@ -20,16 +20,13 @@ def _missing(c: str) -> Column:
     return F.count_if(q_col(c).isNull())
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
-    """One row: ``rows`` and ``duplicates`` (copies beyond the first). Copies collapse map-side."""
-    return (
-        df.groupBy(*[q_col(c) for c in df.columns])
-        .agg(F.count("*").alias("_copies"))
-        .agg(
-            F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"),
-        )
-    )
+def _distinct_rows(df: DataFrame) -> DataFrame:
+    """Every different row with its number of ``_copies``; copies collapse before the shuffle."""
+    return df.groupBy(*[q_col(c) for c in df.columns]).agg(F.count("*").alias("_copies"))
+
+
+def _missing_copies(c: str) -> Column:
+    return F.coalesce(F.sum(F.when(q_col(c).isNull(), F.col("_copies"))), F.lit(0))
 
 
 def table_snapshot(df: DataFrame) -> DataFrame:
@@ -37,17 +34,14 @@ def table_snapshot(df: DataFrame) -> DataFrame:
 
     Everything follows from the table of distinct rows and their copies, so one shuffle does.
     """
-    missing = sum((q_col(c).isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
     width = len(df.columns)
-    cells = F.col("rows") * width
-    share = num.half_even(num.percent(F.col("total_missing"), cells), 2)
+    share = num.half_even(num.percent(F.col("total_missing"), F.col("rows") * width), 2)
     return (
-        df.groupBy(*[q_col(c) for c in df.columns])
-        .agg(F.count("*").alias("_copies"))
+        _distinct_rows(df)
         .agg(
             F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
             F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"),
-            F.coalesce(F.sum(missing * F.col("_copies")), F.lit(0)).alias("total_missing"),
+            sum((_missing_copies(c) for c in df.columns), F.lit(0)).cast("long").alias("total_missing"),
         )
         .select(
             "rows",
@@ -126,26 +120,25 @@ def missing_table(df: DataFrame, *, only_missing: bool = True) -> DataFrame:
 def data_overview(df: DataFrame) -> DataFrame:
     """One row: shape, role counts, columns with gaps, missing cells and duplicate rows."""
     roles = column_roles(df)
-    flags = [F.count_if(q_col(c).isNull()).alias(f"m{i}") for i, c in enumerate(df.columns)]
     gaps = [F.col(f"m{i}") for i in range(len(df.columns))]
-    return (
-        df.agg(*flags)
-        .select(
-            sum(((g > 0).cast("long") for g in gaps), F.lit(0).cast("long")).alias("columns_with_missing"),
-            sum(gaps, F.lit(0).cast("long")).alias("total_missing"),
-        )
-        .join(F.broadcast(duplicate_count(df)))  # one row beside one row
-        .select(
-            "rows",
-            F.lit(len(df.columns)).cast("long").alias("columns"),
-            F.lit(len(roles.numeric)).cast("long").alias("numeric_columns"),
-            F.lit(len(roles.categorical)).cast("long").alias("categorical_columns"),
-            F.lit(len(roles.datetime)).cast("long").alias("datetime_columns"),
-            F.lit(len(roles.boolean)).cast("long").alias("boolean_columns"),
-            "columns_with_missing",
-            "total_missing",
-            "duplicates",
-        )
+    counts = _distinct_rows(df).agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"),
+        *[_missing_copies(c).alias(f"m{i}") for i, c in enumerate(df.columns)],
+    )
+    sizes = {
+        "columns": len(df.columns),
+        "numeric_columns": len(roles.numeric),
+        "categorical_columns": len(roles.categorical),
+        "datetime_columns": len(roles.datetime),
+        "boolean_columns": len(roles.boolean),
+    }
+    return counts.select(
+        "rows",
+        *[F.lit(n).cast("long").alias(name) for name, n in sizes.items()],
+        sum(((g > 0).cast("long") for g in gaps), F.lit(0).cast("long")).alias("columns_with_missing"),
+        sum(gaps, F.lit(0).cast("long")).alias("total_missing"),
+        "duplicates",
     )
 
 
@@ -234,11 +227,10 @@ def low_cardinality(df: DataFrame, columns: Sequence[str], limit: int = 50) -> l
 
 def rare_categories(df: DataFrame, columns: Sequence[str] | None = None, share: float = RARE_SHARE) -> DataFrame:
     """Values (null counted as one) that hold less than ``share`` of the rows."""
-    total = df.agg(F.count("*").alias("_rows"))
-    part = F.try_divide(F.col("n").cast("double"), F.col("_rows"))
+    total = df.agg(F.count("*")).scalar()
+    part = F.try_divide(F.col("n").cast("double"), total)
     return (
         _text_counts(df, columns)
-        .join(F.broadcast(total))  # a single row
         .select("column", "value", "n", part.alias("share"))
         .where(F.col("share") < share)
     )
