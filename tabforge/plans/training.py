@@ -83,7 +83,7 @@ class TrainingRun:
         search_options: Mapping[str, Mapping[str, Any]] | None = None,
     ) -> "TrainingRun":
         """Train every model with defaults, given settings, or settings found by search."""
-        self.train, self.test = spread(self.train, self.key), spread(self.test, self.key)
+        self.train, self.test = spread([self.train, self.test], self.key)
         for d in (self.train, self.test):
             d.persist(StorageLevel.MEMORY_AND_DISK)
         try:

@@ -63,13 +63,16 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def spread(df: DataFrame, key: list[str], rows_per_task: int = 20_000) -> DataFrame:
-    """Repartition by key when the rows arrive in fewer tasks than there are cores, else leave them.
+def spread(tables: list[DataFrame], key: list[str], rows_per_task: int = 20_000) -> list[DataFrame]:
+    """Repartition tables by key when the first arrives in fewer tasks than there are cores, else leave them.
 
     For tables that repeated compute-heavy passes read: a few large file splits would keep most
-    of the cluster idle. One pass counts rows and tasks.
+    of the cluster idle. One pass over the first table counts its rows and tasks.
     """
-    seen = df.select(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.count_distinct("task").alias("t"))
+    first = tables[0]
+    seen = first.select(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.count_distinct("task").alias("t"))
     size = seen.first()
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, max(1, size["n"] // rows_per_task))
-    return df.repartition(wanted, *[F.col(f"`{k}`") for k in key]) if size["t"] < wanted else df
+    wanted = min(first.sparkSession.sparkContext.defaultParallelism, max(1, size["n"] // rows_per_task))
+    if size["t"] >= wanted:
+        return tables
+    return [df.repartition(wanted, *[F.col(f"`{k}`") for k in key]) for df in tables]
