@@ -15,6 +15,10 @@ from ..schema import q_col, usable_subset
 MAX_TERMS = 4096  # width up to which the normal equations are solved in one pass
 
 
+class TooWide(ValueError):
+    """The expansion has more terms than one pass of normal equations can hold."""
+
+
 def term_count(n_features: int, degree: int) -> int:
     """Monomials of degree 1 to ``degree`` in ``n_features`` variables."""
     return comb(n_features + degree, degree) - 1
@@ -37,7 +41,7 @@ def fit_polynomial_ridge(
     """
     chosen = usable_subset(feature_subset, features)
     if term_count(len(chosen), degree) > MAX_TERMS:
-        raise ValueError(f"{len(chosen)} features at degree {degree} expand to more than {MAX_TERMS} terms")
+        raise TooWide(f"{len(chosen)} features at degree {degree} expand to more than {MAX_TERMS} terms")
     stats = df.agg(F.count("*").alias("n"), F.stddev_pop(q_col(label)).alias("sd")).first()
     penalty = alpha / stats["n"] * (stats["sd"] or 1.0)
     return Pipeline(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 import math
 import random
 import time
@@ -16,8 +17,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.split import contiguous_folds, hash_folds
 from ..schema import q_col
+from .linear import TooWide
 from .registry import Param, Trainer
 
+log = logging.getLogger(__name__)
+
 TRIAL_SCHEMA = "trial int, params map<string,string>, fold int, mse double"
 
 
@@ -83,7 +87,8 @@ def search(
     """Try random points within a trial and a time budget; at least one trial always runs.
 
     ``fixed`` settings (such as a feature subset) apply to every trial, so the search sees the
-    same columns as the later training. Folds of a trial run side by side.
+    same columns as the later training. A polynomial too wide to solve counts as an infeasible trial.
+    Folds of a trial run side by side.
     """
     spark: SparkSession = df.sparkSession
     rng = random.Random(seed)
@@ -100,15 +105,21 @@ def search(
                 run = inheritable_thread_target(spark)(
                     lambda fold: fold_error(trainer, folded, fold, features, target, key, {**point, **fixed}, seed)
                 )
-                errors = list(pool.map(run, range(k)))
+                try:
+                    errors = list(pool.map(run, range(k)))
+                except TooWide as problem:
+                    log.warning("trial %s is not feasible: %s", trial, problem)
+                    errors = [None] * k
                 rows += [(trial, {n: json.dumps(v) for n, v in point.items()}, f, e) for f, e in enumerate(errors)]
                 known = [e for e in errors if e is not None]
-                value = math.sqrt(sum(known) / len(known))
+                value = math.sqrt(sum(known) / len(known)) if known else math.inf
                 points.append(point)
                 if best is None or value < best[0]:
                     best = (value, trial)
     finally:
         folded.unpersist()
+    if best[0] == math.inf:
+        raise TooWide("no trial of the search was feasible")
     return SearchResult(points[best[1]], best[0], len(points), spark.createDataFrame(rows, TRIAL_SCHEMA))
 
 

@@ -15,6 +15,7 @@ from ..schema import q_col
 from ..sources.writers import read_json_record, write_json_record
 from . import histograms as hg
 
+REFRESH = 10  # boosting rounds after which residuals are stored anew
 NODES = "tree int, node int, feature int, threshold double, left_child int, value double, gain double, weight double"
 
 
@@ -238,9 +239,6 @@ def fit_boosted(
     return TreeEnsemble(list(features), _node_table(trees, leaf, edges), mean, 1.0, averaged_gain=True, settings=settings)
 
 
-REFRESH = hg.REFRESH_ROUNDS
-
-
 def _subtracted(data: DataFrame, grown: list[tuple], width: int) -> DataFrame:
     """Residuals after the given trees, always computed from the first residuals.
 

@@ -7,7 +7,6 @@ applying them is a chain of narrow projections that Spark collapses.
 
 from __future__ import annotations
 
-import json
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field

@@ -185,6 +185,18 @@ def test_own_trainer(sample):
         TRAINERS.pop("mean")
 
 
+def test_infeasible_trials_are_recorded(sample, monkeypatch):
+    from tabforge.models import linear
+
+    df, _ = sample
+    monkeypatch.setattr(linear, "MAX_TERMS", 9)  # three features: degree 2 and no more
+    space = {"degree": Param(2, 3, integer=True)}
+    found = se.search(get_trainer("polynomial"), df, X, "y", ["id"], n_trials=5, k=2, space=space, seed=4)
+    assert found.best_params == {"degree": 2} and found.trials.where("mse is null").count() > 0
+    with pytest.raises(ValueError, match="feasible"):
+        se.search(get_trainer("polynomial"), df, X, "y", ["id"], n_trials=1, k=2, space={"degree": Param(4, 4, integer=True)})
+
+
 def test_draw_stays_in_bounds():
     import random
 
