@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stored
-from .words import Words, flat, gram, slices, words_of
+from .words import Words, flat, gram, slices, unused, words_of
 
 WINDOW = 13
 BLOCK_WORDS = 60_000
@@ -299,5 +299,6 @@ def is_contaminated():
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, in full. Rows that repeat an id are judged each by its text."""
     found = contaminated_words(docs, benchmark, doc_id=doc_id, text=text, **options)
-    bad = found.where(is_contaminated()).select(F.col(doc_id).alias("_id"), "text_print").distinct()
-    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("text_print")), "left_anti")
+    own_id, own_print = unused(docs.columns, "_id", "_print")
+    bad = found.where(is_contaminated()).select(F.col(doc_id).alias(own_id), F.col("text_print").alias(own_print)).distinct()
+    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col(own_id)) & (F.xxhash64(F.col(text)) == F.col(own_print)), "left_anti")

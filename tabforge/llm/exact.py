@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.lookups import attach
 from ..session import stored
+from .words import unused
 
 SALTS = 16
 
@@ -70,5 +71,6 @@ def _combined(rows: DataFrame, salts: int) -> DataFrame:
 
 def without_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, in full."""
-    ids = exact_copies(docs, doc_id=doc_id, text=text).where("kept").select(F.col("keep_id").alias("_keep"))
-    return docs.join(ids, F.col(doc_id).eqNullSafe(F.col("_keep")), "left_semi")
+    (own,) = unused(docs.columns, "_keep")
+    ids = exact_copies(docs, doc_id=doc_id, text=text).where("kept").select(F.col("keep_id").alias(own))
+    return docs.join(ids, F.col(doc_id).eqNullSafe(F.col(own)), "left_semi")

@@ -177,7 +177,7 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
     A text taken whole stays as it is; a run keeps the text from its first word to its last. Documents of which
     nothing is taken are left out.
     """
-    names = options.get("doc_id", "doc_id"), options.get("text", "text")
+    doc_id, text = options.get("doc_id", "doc_id"), options.get("text", "text")
     plan = mixed(docs, **options).where("taken > 0").select(
         F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "rounds", "begin1", "end1", "begin2", "end2"
     )
@@ -185,36 +185,35 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
     # a run that goes round may meet itself in one document: its two parts are separate rows
     runs = F.array(F.struct(F.col("begin2").alias("begin"), F.col("end2").alias("end")), F.struct(F.col("begin1").alias("begin"), F.col("end1").alias("end")))
     parts = plan.withColumn("_runs", F.concat(whole, F.filter(runs, lambda r: r["end"] > r["begin"])))
-    # rows that repeat an id: each pairs with one row of the plan
+    # of rows that repeat an id, each pairs with one row of the plan
     same_id = Window.partitionBy("_id", "_size").orderBy("rounds", "begin1", "begin2", "end1", "end2")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    size = F.size(F.filter(F.split(F.col("row").getField(text), r"[\x20\x09-\x0D]+", -1), lambda w: w != ""))
     numbered = parts.select("_id", "_size", "_runs", F.row_number().over(same_id).alias("_nth"))
-    kind, columns = docs.schema, docs.columns
-    sizes = _with_size(docs, names[1])
-    nth = F.row_number().over(Window.partitionBy(names[0], "_words").orderBy(F.xxhash64(names[1])))
-    keyed = sizes.withColumn("_row", nth)
-    joined = keyed.join(numbered, F.col(names[0]).eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size")) & (F.col("_row") == F.col("_nth")))
-    taken = joined.select(*[F.col(f"`{c}`") for c in columns], F.explode("_runs").alias("_run")).select(*[F.col(f"`{c}`") for c in columns], F.col("_run.begin").alias("_b"), F.col("_run.end").alias("_e"))
-    return _cut_texts(taken, names[1], kind)
+    keyed = docs.select(row.alias("row")).select("row", F.col("row").getField(doc_id).alias("_own"), F.coalesce(size, F.lit(0)).cast("long").alias("_words"))
+    keyed = keyed.withColumn("_row", F.row_number().over(Window.partitionBy("_own", "_words").orderBy(F.xxhash64("row"))))
+    joined = keyed.join(numbered, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size")) & (F.col("_row") == F.col("_nth")))
+    taken = joined.select("row", F.explode("_runs").alias("run"))
+    return _cut_texts(taken, text, docs.schema)
 
 
-def _with_size(docs: DataFrame, text: str) -> DataFrame:
-    return docs.withColumn("_words", F.coalesce(F.size(F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+", -1), lambda w: w != "")), F.lit(0)).cast("long"))
-
-
-def _cut_texts(taken: DataFrame, text: str, kind) -> DataFrame:
-    at = [f.name for f in kind].index(text)
-    schema = kind
+def _cut_texts(taken: DataFrame, text: str, schema) -> DataFrame:
+    """The rows with their texts cut to the runs of words."""
+    at = schema.names.index(text)
 
     def run(batches):
         for batch in batches:
-            texts, begin, end = batch.column(at).to_pylist(), batch.column(len(schema)).to_pylist(), batch.column(len(schema) + 1).to_pylist()
+            columns, runs = batch.column(0).flatten(), batch.column(1).to_pylist()
             out = []
-            for one, b, e in zip(texts, begin, end):
-                raw = (one or "").encode()
+            for one, run in zip(columns[at].to_pylist(), runs):
                 start, count = _pieces(*flat(pa.array([one], pa.string())))
-                whole = b == 0 and e >= count[1]
-                out.append(one if whole else raw[start[b] : start[e] if e < len(start) else len(raw)].decode().rstrip(" \t\n\v\f\r"))
-            columns = [pa.array(out, batch.column(at).type) if i == at else batch.column(i) for i in range(len(schema))]
+                b, e = run["begin"], run["end"]
+                if b == 0 and e >= count[1]:
+                    out.append(one)
+                else:
+                    raw = one.encode()
+                    out.append(raw[start[b] : start[e] if e < len(start) else len(raw)].decode().rstrip(" \t\n\v\f\r"))
+            columns[at] = pa.array(out, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return taken.mapInArrow(run, schema)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import checkpoint_dir
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -63,8 +67,88 @@ def benchmark_decontamination(spark, folder):
     )
 
 
-@query("op5_source_mixing")
+HASHED = "CAST('0x' || substr(md5(concat_ws(':', {}, '17')), 1, 13) AS BIGINT)"
+
+
+@query("op5_source_mixing", f"""
+    WITH s AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+    src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1.0::DOUBLE AS w FROM s GROUP BY source),
+    caps AS (SELECT *, 3.0::DOUBLE * source_size AS cap FROM src),
+    steps AS (SELECT *, (SELECT sum(source_size)::DOUBLE FROM src) - coalesce(sum(cap) OVER before, 0) AS room,
+        sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+        FROM caps WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    level AS (SELECT room / rest AS e FROM steps WHERE room / rest <= cap / w ORDER BY cap / w LIMIT 1),
+    aims AS (SELECT source, source_size, least(cap, w * (SELECT e FROM level)) AS target FROM caps),
+    dealt AS (SELECT doc_id, size, source_size, target, source, at, at % CAST(greatest(1, ceil(source_size / 200000)) AS BIGINT) AS shard
+        FROM (SELECT *, {HASHED.format("coalesce(CAST(doc_id AS VARCHAR), '')")} AS at FROM s) JOIN aims USING (source)),
+    shards AS (SELECT source, shard, sum(size) AS words, CAST(ceil(sum(size) / 64) AS BIGINT) AS blocks, first(target) AS target, first(source_size) AS source_size
+        FROM dealt GROUP BY source, shard),
+    parties AS (SELECT *, CASE WHEN source_size > 0 THEN target * blocks / source_size ELSE 0 END AS votes FROM shards),
+    seats AS (SELECT source, shard FROM (SELECT source, shard, row_number() OVER (ORDER BY votes / (2 * k + 1) DESC, source, shard) AS nth
+        FROM parties, unnest(range(3 * blocks)) AS r(k)) WHERE nth <= (SELECT round(sum(votes)) FROM parties)),
+    quotas AS (SELECT source, shard, words, blocks, (SELECT count(*) FROM seats q WHERE q.source = p.source AND q.shard = p.shard) AS quota,
+        {HASHED.format("coalesce(source, ''), shard")} % greatest(1, blocks) AS f FROM parties p),
+    runs AS (SELECT source, shard, quota // blocks AS rounds, CAST(floor(f * words / blocks) AS BIGINT) AS a,
+        CAST(floor(least(blocks, f + quota % blocks) * words / blocks) AS BIGINT) AS b,
+        CAST(floor(greatest(0, f + quota % blocks - blocks) * words / blocks) AS BIGINT) AS c FROM quotas WHERE blocks > 0),
+    laid AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY at, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS p FROM dealt)
+    SELECT doc_id, size, source_size, target, CAST(coalesce(rounds * size + greatest(0, least(p + size, b) - greatest(p, a)) + greatest(0, least(p + size, c) - p), 0) AS BIGINT) AS taken
+    FROM laid LEFT JOIN runs USING (source, shard)""")
 def source_mixing(spark, folder):
     from .mixing import mixed
 
     return mixed(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op3_token_output")
+def token_output(spark, folder):
+    from .tokens import token_index
+
+    return token_index(table(spark, folder, "documents"))
+
+
+@query("op6_token_counts")
+def token_counts(spark, folder):
+    from .separators import FILE_SCHEMA, document_counts, write_flat
+
+    flat_files = f"{checkpoint_dir(spark)}/flat-{uuid.uuid4().hex}"
+    write_flat(table(spark, folder, "documents"), flat_files)
+    return document_counts(spark.read.schema(FILE_SCHEMA).parquet(flat_files))
+
+
+@query("op2_license_scan")
+def license_scan(spark, folder):
+    from .licenses import license_summary
+
+    return license_summary(table(spark, folder, "documents")).drop("spans")
+
+
+@query("op8_toxicity")
+def toxicity_chain(spark, folder):
+    from .toxicity import fit_chain, toxicity
+
+    docs = table(spark, folder, "documents")
+    return toxicity(docs, fit_chain(docs, table(spark, folder, "labels")))
+
+
+@query("op10_language_id")
+def language_id(spark, folder):
+    from .language import fit_field, held_out, languages
+
+    docs = table(spark, folder, "documents")
+    field = fit_field(docs.where(~held_out()))
+    return languages(docs, field).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_near_dedup")
+def near_dedup(spark, folder):
+    from .near import near_classes
+
+    return near_classes(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size", "kept", "n_shingles")
+
+
+@query("op1_html_text")
+def html_text(spark, folder):
+    from .html import extract_text
+
+    return extract_text(table(spark, folder, "pages"))

@@ -132,6 +132,16 @@ def lists(values: np.ndarray, first: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(first.astype(np.int32), pa.int32()), pa.array(values, kind))
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with underscores added until no column has it."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def words_of(text: str | None) -> list[str]:
     """The words of one text, for short texts such as test items and templates."""
     words = Words(*flat(pa.array([text], pa.string())))
