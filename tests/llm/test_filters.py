@@ -46,7 +46,7 @@ def test_long_items_are_cut_without_losing_windows(spark, hard):
 
 
 def test_uncontaminated_keeps_rows_whole(spark, hard):
-    items = spark.createDataFrame([(8, " ".join(f"tok{i}" for i in range(20)))], "item_id long, text string")
+    items = spark.createDataFrame([(8, " ".join(f"tok{i}" for i in range(30)))], "item_id long, text string")
     kept = uncontaminated(hard, items)
     assert kept.columns == hard.columns
     assert sorted(r["doc_id"] or 0 for r in kept.select("doc_id").collect()) == [0, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14]
