@@ -2,7 +2,7 @@
 
 Every word of a text gets a language, so code-switched texts are labelled word by word; the language of a text is the
 one with the most expected words. A word's evidence is the sum of weights of its prefixes and suffixes (affixes), its
-byte trigrams with its edges marked, and the word itself if the lexicon has it. Learned transition weights tie neighbours
+byte trigrams, and the word itself if the lexicon has it. Learned transition weights tie neighbours
 together, and forward-backward sums over all labellings give each word's probabilities.
 
 The model is fitted on a bounded, documented sample: about ``per_language`` documents of each language by a hash of the id,

@@ -100,7 +100,7 @@ def test_features_of_a_word():
     hashes = words.hashes()
     which, buckets = language.word_features(words, np.arange(3), hashes, np.sort(hashes[:1]))
     own = [sorted(buckets[which == i].tolist()) for i in range(3)]
-    assert own[0] == own[2] and len(own[0]) == 4 + 4 + 2 + 1 and len(set(own[0]) & set(own[1])) >= 3
+    assert own[0] == own[2] and len(own[0]) == 4 + 4 + 2 + 1 and len(set(own[0]) & set(own[1])) >= 2
 
 
 def test_code_switched_text_is_labelled_word_by_word(spark):
