@@ -461,7 +461,7 @@ def hexbin(spark, folder):
     SELECT a.k AS actual, p.k AS predicted, (SELECT count(*) FROM labels WHERE quality = a.k AND toxic = p.k) AS n FROM c a, c p""",
 )
 def confusion_matrix(spark, folder):
-    return ev.confusion_matrix(table(spark, folder, "labels"), "quality", "toxic")
+    return ev.confusion_matrix(table(spark, folder, "labels"), "quality", "toxic", dense_classes=100)
 
 
 ROC = """WITH r AS (SELECT quality, n_chars::DOUBLE AS s FROM labels JOIN documents USING (doc_id)),

@@ -16,18 +16,22 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schema import q_col
 
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 1 << 17  # edges that a task and the driver hold as doubles: one megabyte
+TEXT_BYTES = 6  # of a text that place it among the buckets
 EXACT_DOUBLE = float(2**53)
 
 
 def default_buckets(df: DataFrame) -> int:
-    """A few buckets per shuffle task, bounded so that per-bucket tables stay tiny."""
+    """A few buckets per shuffle task, so that buckets follow the size that the cluster was set up for."""
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(2, min(MAX_BUCKETS, 4 * tasks))
 
 
 def order_value(df: DataFrame, column: str) -> Column:
-    """A double that never decreases when the order column grows."""
+    """A double that never decreases when the order column grows.
+
+    Text is placed by its first bytes; texts that agree in them share a bucket, inside which the whole text decides.
+    """
     kind = df.schema[column].dataType
     c = q_col(column)
     if isinstance(kind, T.NumericType):
@@ -38,7 +42,10 @@ def order_value(df: DataFrame, column: str) -> Column:
         return F.unix_micros(c.cast("timestamp")).cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(c).cast("double")
-    raise ValueError(f"order column {column!r} must be numeric, a date or a timestamp, not {kind.simpleString()}")
+    if isinstance(kind, T.StringType):
+        lead = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, TEXT_BYTES)), 2 * TEXT_BYTES, "0")
+        return F.conv(lead, 16, 10).cast("double")
+    raise ValueError(f"order column {column!r} must be numeric, text, a date or a timestamp, not {kind.simpleString()}")
 
 
 def cut_points(df: DataFrame, values: list[Column], buckets: int) -> list[list[float]]:

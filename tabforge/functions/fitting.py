@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..schema import q_col
+from ..schema import known, q_col
 from ..session import cut_lineage
 from .quantiles import exact_quantiles
 
@@ -42,6 +42,7 @@ def column_statistics(
     if not wanted:
         return {}
     columns = list(wanted)
+    df = df.select(*[known(df, c).alias(c) for c in columns])  # one notion of "missing"
     parts = [
         AGGREGATES[name](q_col(c)).alias(f"{name}_{i}") for i, c in enumerate(columns) for name in wanted[c]
     ]

@@ -8,17 +8,30 @@ from ..schema import q_col
 from .ordered import join_null_safe
 
 HEAVY_SHARE = 1000
+BROADCAST_BYTES = 16 << 20  # of keys and payload as text; beyond it both sides are shuffled
 
 
-def attach(df: DataFrame, table: DataFrame, key: str, *, rows: int, weight: str) -> DataFrame:
+def measured_bytes(table: DataFrame) -> int:
+    """The size of a table of flat columns, each value as text; one job over the table."""
+    width = sum((F.coalesce(F.octet_length(q_col(c).cast("string")), F.lit(1)) + 16 for c in table.columns), F.lit(0))
+    return table.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
+
+
+def attach(
+    df: DataFrame, table: DataFrame, key: str, *, rows: int, weight: str, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Left join on ``key``; ``table`` has one row per key value and its frequency ``weight`` in ``df``.
 
-    Keys that hold more than a thousandth of ``rows`` are joined by broadcast - there are fewer
+    A table whose measured size is at most ``broadcast_bytes`` goes to every task, and ``df`` stays where it is.
+
+    Otherwise keys that hold more than a thousandth of ``rows`` are joined by broadcast - there are fewer
     than a thousand of them. Their rows pass the shuffled join for the rest under a salted key
     that matches nothing, so no task receives a whole hot key and ``df`` is read once.
     """
     limit = max(1, rows // HEAVY_SHARE)
     payload = [c for c in table.columns if c not in (key, weight)]
+    if broadcast_bytes and measured_bytes(table) <= broadcast_bytes:
+        return join_null_safe(df, F.broadcast(table.drop(weight)), [key], "left").select(*[q_col(c) for c in (*df.columns, *payload)])
     heavy = table.where(F.col(weight) > limit).select(
         q_col(key), F.lit(True).alias("_heavy"), *[q_col(c).alias(f"_h_{c}") for c in payload]
     )

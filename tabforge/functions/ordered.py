@@ -58,21 +58,22 @@ def with_order_bucket(
 ) -> DataFrame:
     """Bucket number consistent with the lexicographic order of ``order_by``.
 
-    Where one value of the first column fills a bucket alone, that bucket is cut again by the
-    second column, so equal leading keys do not pile up in one task.
+    Where one value of the first column fills a bucket alone, and where it is missing, that bucket is
+    cut again by the second column, so equal leading keys do not pile up in one task.
     """
     n = n_buckets or bk.default_buckets(df)
     lead = order_by[0]
     values = [bk.order_value(df, lead)]
-    hot: list[int] = []
     if len(order_by) > 1:
         values.append(bk.order_value(df, order_by[1]))
     cuts = bk.cut_points(df, values, n)
     cut = bk.with_bucket(df, values[0], cuts[0], out)
-    if len(order_by) > 1 and all(abs(e) < bk.EXACT_DOUBLE for e in cuts[0]):
-        hot = bk.single_valued(cuts[0])
-    if not hot:
+    if len(order_by) == 1:
         return cut
+    hot = [len(cuts[0]) + 1]  # the bucket of rows without a leading value
+    whole = not isinstance(df.schema[lead].dataType, T.StringType)
+    if whole and all(abs(e) < bk.EXACT_DOUBLE for e in cuts[0]):
+        hot += bk.single_valued(cuts[0])
     # about four pieces per ordinary bucket in all, however many values are hot
     step = max(1, len(cuts[1]) * len(hot) // (4 * n))
     finer = cuts[1][::step]
@@ -93,6 +94,7 @@ def row_numbers(
         "_ob", F.coalesce(F.sum("_n").over(Window.orderBy("_ob").rowsBetween(*BEFORE)), F.lit(0)).alias("_o")
     )
     inside = Window.partitionBy("_ob").orderBy(*[q_col(c) for c in order_by])
+    # the table of offsets has a row per bucket; Spark broadcasts it while it is small
     return cut.join(offsets, "_ob").select(
         *[q_col(c) for c in df.columns], (F.col("_o") + F.row_number().over(inside) - 1).cast("long").alias(out)
     )
@@ -196,8 +198,8 @@ def _bucket_counts(df: DataFrame, columns: Sequence[str]) -> list[tuple[list[flo
 
 def _rank_many(df: DataFrame, column: str, edges: list[float], counts: list[tuple[int, int, int]], out: str) -> DataFrame:
     hot = bk.single_valued(edges)
-    offsets = df.sparkSession.createDataFrame(counts, "_b int, _n long, _o long")  # at most MAX_BUCKETS rows
-    cut = bk.with_bucket(df, bk.order_value(df, column), edges, "_b").join(F.broadcast(offsets), "_b", "left")
+    offsets = df.sparkSession.createDataFrame(counts, "_b int, _n long, _o long")  # a row per bucket
+    cut = bk.with_bucket(df, bk.order_value(df, column), edges, "_b").join(offsets, "_b", "left")
     alone = F.col("_b").isin(hot) if hot else F.lit(False)
     # missing values share the bucket after the last; they pass through like the hot ones
     passing = alone | q_col(column).isNull()

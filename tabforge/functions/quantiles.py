@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..schema import q_col
+from ..schema import known, q_col
 from . import buckets as bk
 
 DIRECT_ROWS = 4_000_000  # values of all columns together that one task may hold
@@ -40,10 +40,11 @@ def exact_quantiles(
     counts: Mapping[str, int] | None = None,
     direct_rows: int = DIRECT_ROWS,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles per column; only the answers reach the driver."""
+    """Linearly interpolated quantiles per column; only the answers reach the driver. NaN counts as missing."""
     columns = [c for c in probabilities if probabilities[c]]
     if not columns:
         return {c: [] for c in probabilities}
+    df = df.select(*[known(df, c).alias(c) for c in columns])
     if counts is None:
         row = df.agg(*[F.count(q_col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
         counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
@@ -85,11 +86,19 @@ def order_statistics(
     *,
     bins: int = BINS,
 ) -> dict[str, dict[int, float]]:
-    """The values at the given 0-based ranks of the sorted non-null column."""
+    """The values at the given 0-based ranks of the sorted column; missing values and NaN have no rank.
+
+    ``counts`` are the ranked rows. Every pass settles or shrinks every bracket; one that leaves them as they
+    were means that the table is not the one that was counted.
+    """
+    df = df.select(*[known(df, c).alias(c) for c in ranks])
     found: dict[str, dict[int, float]] = {c: {} for c in ranks}
     open_brackets = _first_brackets(df, ranks, counts)
     while open_brackets:
-        open_brackets = _narrow(df, open_brackets, found, bins)
+        following = _narrow(df, open_brackets, found, bins)
+        if following == open_brackets or any(b.low == math.inf or b.high == -math.inf for b in following):
+            raise ArithmeticError("a rank lies beyond the rows: the table changed between passes")
+        open_brackets = following
     return found
 
 
@@ -192,7 +201,7 @@ def grouped_quantiles(
     per (group, value bucket); only buckets holding a wanted rank are looked at again, value
     by value, so no group is ever gathered in one place.
     """
-    rows = df.select(*[q_col(g) for g in groups], q_col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    rows = df.select(*[q_col(g) for g in groups], known(df, value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     if rows.count() <= direct_rows:
         return rows.groupBy(*groups).agg(
             F.count("*").alias("n"),
@@ -209,14 +218,14 @@ def grouped_quantiles(
         (F.col("_ask.rank") >= F.col("_before")) & (F.col("_ask.rank") < F.col("_before") + F.col("_c"))
     )
     targets = asks.groupBy(*groups, "_b", "_before", "_n").agg(F.collect_list("_ask").alias("_asks"))
-    left, right = cut.alias("l"), targets.alias("r")
+    # a value that fills its bucket is one row before it meets the wanted ranks
+    counted = cut.groupBy(*groups, "_b", "_x").agg(F.count("*").alias("_c"))
+    left, right = counted.alias("l"), targets.alias("r")
     match = F.col("l._b") == F.col("r._b")
     for g in groups:
         match = match & F.col(f"l.`{g}`").eqNullSafe(F.col(f"r.`{g}`"))
-    values = (
-        left.join(right, match)
-        .groupBy(*[F.col(f"r.`{g}`").alias(g) for g in groups], F.col("r._b"), "_before", "_n", "_asks", "_x")
-        .agg(F.count("*").alias("_c"))
+    values = left.join(right, match).select(
+        *[F.col(f"r.`{g}`").alias(g) for g in groups], F.col("r._b").alias("_b"), "_before", "_n", "_asks", "_x", "_c"
     )
     inside = Window.partitionBy(*groups, "_b").orderBy("_x")
     ranked = values.withColumn(

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import fitting as fit
 from ..functions.hashing import key_hash
 from ..schema import q_col
+from ..session import spark_cores
 
 CELL_BYTES = 64 << 20  # histogram memory per task and pass
 MIN_GAIN = 1e-9
@@ -143,7 +144,7 @@ def binned(
         *[q_col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)],
     )
     compact = wide.mapInArrow(to_bytes, "h long, r double, bins binary")
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, max(1, rows // ROWS_PER_TASK))
+    wanted = min(spark_cores(df.sparkSession), max(1, rows // ROWS_PER_TASK))
     return compact.repartition(wanted, "h") if tasks < wanted else compact
 
 
@@ -207,9 +208,8 @@ def level_cells(
                     ["tree", "slot", "feature", "bin", "w", "g"],
                 )
 
-    # few long tasks: each sends its cells once, so their number decides the shuffle volume
-    tasks = 2 * data.sparkSession.sparkContext.defaultParallelism
-    return data.coalesce(tasks).mapInArrow(add_up, CELLS)
+    # every task sends its cells once, so their number decides the shuffle volume
+    return data.coalesce(2 * spark_cores(data.sparkSession)).mapInArrow(add_up, CELLS)
 
 
 def best_splits(cells: DataFrame, rules: GrowthRules, edges: DataFrame | None, level: int) -> DataFrame:
@@ -287,26 +287,29 @@ def grow(
     data: DataFrame, trees: dict[int, Tree], usable: dict[int, list[int]], edges: list[list[float]], rules: GrowthRules,
     sampling: str, rate: float, recent: list[tuple] = (),
 ) -> None:
-    """Grow the given trees level by level, several trees per pass as far as cell memory allows."""
+    """Grow the given trees level by level, in passes that the cell memory allows: several trees, or a part of
+    the open nodes of one tree."""
     width, n_bins = len(edges), max(len(e) for e in edges) + 1
     grid = data.sparkSession.createDataFrame(
         [(i, [float(x) for x in e]) for i, e in enumerate(edges)], "feature int, grid array<double>"
     )
     open_nodes = {number: [0] for number in trees}
     for level in range(rules.max_depth):
-        waiting = [number for number in trees if open_nodes[number]]
+        most = max(1, CELL_BYTES // (width * n_bins * 16))  # nodes of one pass
+        waiting = [
+            (number, open_nodes[number][at : at + most]) for number in trees for at in range(0, len(open_nodes[number]), most)
+        ]
+        following: dict[int, list[int]] = {number: [] for number in trees}
         while waiting:
-            batch, cells = [], 0
-            while waiting and (not batch or cells + len(open_nodes[waiting[0]]) * width * n_bins * 16 <= CELL_BYTES):
-                cells += len(open_nodes[waiting[0]]) * width * n_bins * 16
-                batch.append(waiting.pop(0))
-            jobs = [(number, trees[number], open_nodes[number], usable[number]) for number in batch]
+            batch: dict[int, list[int]] = {}
+            while waiting and waiting[0][0] not in batch and sum(map(len, batch.values())) + len(waiting[0][1]) <= most:
+                batch.update([waiting.pop(0)])
+            jobs = [(number, trees[number], nodes, usable[number]) for number, nodes in batch.items()]
             sums = level_cells(data, jobs, width, n_bins, level, sampling, rate, rules.seed, list(recent))
             found = best_splits(sums, rules, grid, level).collect()  # one row per open node
-            following: dict[int, list[int]] = {number: [] for number in batch}
             for s in sorted(found, key=lambda s: (s["tree"], s["slot"])):
                 tree = trees[s["tree"]]
-                at = open_nodes[s["tree"]][s["slot"]]
+                at = batch[s["tree"]][s["slot"]]
                 if level == 0:
                     tree.total[0] = (s["wl"] + s["wr"], s["gl"] + s["gr"])
                 if tree.total[at][0] < rules.min_split:
@@ -316,7 +319,7 @@ def grow(
                 for child, (weight, _) in zip(tree.split(at, s["feature"], s["bin"], s["gain"], sides), sides):
                     if weight >= max(rules.min_split, 2 * rules.min_leaf):
                         following[s["tree"]].append(child)
-            open_nodes.update(following)
+        open_nodes = following
 
 
 def prune(tree: Tree, gamma: float) -> None:

@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..schema import q_col, usable_subset
 
-MAX_TERMS = 4096  # width up to which the normal equations are solved in one pass
+NORMAL_TERMS = 4096  # width up to which the normal equations are solved in one pass; iterations beyond
 
 
 class TooWide(ValueError):
-    """The expansion has more terms than one pass of normal equations can hold."""
+    """The expansion has more terms than the caller allows."""
 
 
 def term_count(n_features: int, degree: int) -> int:
@@ -33,15 +33,18 @@ def fit_polynomial_ridge(
     alpha: float = 1.0,
     feature_subset: Sequence[str] | None = None,
     out: str = "prediction",
+    max_terms: int | None = None,
 ) -> PipelineModel:
     """Least squares plus ``alpha`` x squared length of the slopes; the intercept is free.
 
     Spark divides the squared error by the row count and scales the label to unit spread, so
-    the penalty is given as alpha / n x stddev(label). One pass gathers the normal equations.
+    the penalty is given as alpha / n x stddev(label). One pass gathers the normal equations; an expansion
+    too wide for them has the same objective minimised by L-BFGS. ``max_terms`` is the caller's own limit.
     """
     chosen = usable_subset(feature_subset, features)
-    if term_count(len(chosen), degree) > MAX_TERMS:
-        raise TooWide(f"{len(chosen)} features at degree {degree} expand to more than {MAX_TERMS} terms")
+    terms = term_count(len(chosen), degree)
+    if max_terms is not None and terms > max_terms:
+        raise TooWide(f"{len(chosen)} features at degree {degree} expand to {terms} terms, more than {max_terms}")
     stats = df.agg(F.count("*").alias("n"), F.stddev_pop(q_col(label)).alias("sd")).first()
     penalty = alpha / stats["n"] * (stats["sd"] or 1.0)
     return Pipeline(
@@ -55,7 +58,7 @@ def fit_polynomial_ridge(
                 regParam=penalty,
                 elasticNetParam=0.0,
                 standardization=False,
-                solver="normal",
+                **({"solver": "normal"} if terms <= NORMAL_TERMS else {"solver": "l-bfgs", "maxIter": 1000, "tol": 1e-10}),
             ),
         ]
     ).fit(df)

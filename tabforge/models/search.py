@@ -68,6 +68,8 @@ def cross_validate(
             errors = [e for e in pool.map(run, range(k)) if e is not None]
     finally:
         folded.unpersist()
+    if len(errors) < k:
+        raise ValueError(f"{k - len(errors)} of {k} folds have no rows")
     return math.sqrt(sum(errors) / len(errors))
 
 
@@ -93,6 +95,8 @@ def search(
     spark: SparkSession = df.sparkSession
     rng = random.Random(seed)
     budget = trainer.trials if n_trials is None else n_trials
+    if budget < 1:
+        raise ValueError("a search needs at least one trial")
     deadline = time.monotonic() + (trainer.seconds if timeout is None else timeout)
     folded = with_folds(df, key, k, order_by=order_by, seed=seed).persist()
     rows, best, points = [], None, []

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.hashing import key_hash
 from ..schema import q_col
+from ..session import stored
 from ..sources.writers import read_json_record, write_json_record
 from . import histograms as hg
 
@@ -159,7 +160,7 @@ def fit_forest(
     # a node's value is its mean residual; a tree without a split predicts the overall mean
     values = {i: np.array([g / w if w else 0.0 for w, g in t.total]) for i, t in trees.items()}
     settings = {"n_estimators": n_estimators, "max_depth": max_depth, "min_samples_split": min_samples_split,
-                "min_samples_leaf": min_samples_leaf}
+                "min_samples_leaf": min_samples_leaf, "max_bins": max_bins}
     return TreeEnsemble(list(features), _node_table(trees, values, edges), mean, 1.0 / n_estimators, settings=settings)
 
 
@@ -198,53 +199,44 @@ def fit_boosted(
         held, df = df.where(is_held), df.where(~is_held)
     edges = hg.feature_edges(df, features, min(max_bins, 255))
     rules = hg.GrowthRules(max_depth, 0.0, min_child_weight, False, reg_lambda, reg_alpha, gamma, seed)
-    base = hg.keep(hg.binned(df, features, label, key, edges, mean, seed, **size))
-    watch = hg.keep(hg.binned(held, features, label, key, edges, mean, seed, **size)) if held is not None else None
-    data, trees, leaf, recent = base, {}, {}, []
+    data = stored(hg.binned(df, features, label, key, edges, mean, seed, **size))
+    watch = stored(hg.binned(held, features, label, key, edges, mean, seed, **size)) if held is not None else None
+    trees, leaf, recent = {}, {}, []
     best_error, best_round = float("inf"), -1
     rng = np.random.default_rng(seed)
     used = max(1, int(colsample_bytree * len(features)))
-    try:
-        for number in range(n_estimators):
-            tree = hg.Tree()
-            usable = sorted(rng.choice(len(features), used, replace=False).tolist())
-            hg.grow(data, {number: tree}, {number: usable}, edges, rules, "subsample", subsample, recent)
-            hg.prune(tree, gamma)
-            # residuals are minus the gradient, so leaves move towards them
-            g = np.array([s for _, s in tree.total])
-            w = np.array([s for s, _ in tree.total])
-            soft = np.sign(g) * np.maximum(np.abs(g) - reg_alpha, 0.0)
-            safe = np.where(w + reg_lambda > 0, w + reg_lambda, 1.0)
-            leaf[number] = learning_rate * soft / safe
-            trees[number] = tree
-            recent.append((tree.arrays(), tree.depth, leaf[number]))
-            if len(recent) >= REFRESH and number + 1 < n_estimators:
-                fresh = hg.keep(_subtracted(base, [(t.arrays(), t.depth, leaf[i]) for i, t in trees.items()], len(features)))
-                if data is not base:
-                    data.unpersist()
-                data, recent = fresh, []
-            if watch is not None:
-                every = [(t.arrays(), t.depth, leaf[i]) for i, t in trees.items()]
-                error = _subtracted(watch, every, len(features)).agg(F.avg(F.col("r") * F.col("r"))).first()[0]
-                if error is not None and error < best_error:
-                    best_error, best_round = error, number
-                elif number - best_round >= early_stopping_rounds:
-                    break
-    finally:
-        for d in {id(d): d for d in (base, data, watch) if d is not None}.values():
-            d.unpersist()
+    for number in range(n_estimators):
+        tree = hg.Tree()
+        usable = sorted(rng.choice(len(features), used, replace=False).tolist())
+        hg.grow(data, {number: tree}, {number: usable}, edges, rules, "subsample", subsample, recent)
+        hg.prune(tree, gamma)
+        # residuals are minus the gradient, so leaves move towards them
+        g = np.array([s for _, s in tree.total])
+        w = np.array([s for s, _ in tree.total])
+        soft = np.sign(g) * np.maximum(np.abs(g) - reg_alpha, 0.0)
+        safe = np.where(w + reg_lambda > 0, w + reg_lambda, 1.0)
+        leaf[number] = learning_rate * soft / safe
+        trees[number] = tree
+        recent.append((tree.arrays(), tree.depth, leaf[number]))
+        if len(recent) >= REFRESH and number + 1 < n_estimators:
+            # only the new trees are applied: the residuals so far are in the stored table
+            data = stored(_subtracted(data, recent, len(features)))
+            watch = stored(_subtracted(watch, recent, len(features))) if watch is not None else None
+            recent = []
+        if watch is not None:
+            error = _subtracted(watch, recent, len(features)).agg(F.avg(F.col("r") * F.col("r"))).first()[0]
+            if error is not None and error < best_error:
+                best_error, best_round = error, number
+            elif number - best_round >= early_stopping_rounds:
+                break
     if watch is not None and best_round >= 0:
         trees = {i: t for i, t in trees.items() if i <= best_round}
-    settings = {"n_estimators": len(trees), "max_depth": max_depth, "learning_rate": learning_rate}
+    settings = {"n_estimators": len(trees), "max_depth": max_depth, "learning_rate": learning_rate, "max_bins": max_bins}
     return TreeEnsemble(list(features), _node_table(trees, leaf, edges), mean, 1.0, averaged_gain=True, settings=settings)
 
 
 def _subtracted(data: DataFrame, grown: list[tuple], width: int) -> DataFrame:
-    """Residuals after the given trees, always computed from the first residuals.
-
-    Every refresh starts from the same binned table, so lineage never grows with the rounds and
-    a lost executor costs one recomputation.
-    """
+    """The table with residuals after the given further trees."""
 
     def subtract(batches):
         for batch in batches:

@@ -186,19 +186,21 @@ def kendall(df: DataFrame, a: str, b: str, *, rows_per_bucket: int = 1_000_000)
 
 
 def _tau_b(coded: DataFrame, size, n_buckets: int, df: DataFrame) -> DataFrame:
+    if size["n"] >= 2**31:  # products of counts need more than 64 bits
+        coded = coded.withColumn("_n", F.col("_n").cast("decimal(18,0)"))
     digits, reach = 0, 1
     while reach < size["dx"]:
         digits, reach = digits + 1, reach * DIGIT
     agree = differ = 0
     if digits:
         counts = _ordered_pairs(coded, digits, n_buckets).first()
-        agree, differ = counts["agree"], counts["differ"]
+        agree, differ = int(counts["agree"]), int(counts["differ"])
 
     def ties(*sides: str) -> DataFrame:
         """Pairs of rows that are equal on the given sides."""
-        return coded.groupBy(*sides).agg(F.sum("_n").alias("n")).agg(F.sum(F.expr("n * (n - 1) div 2")).alias("t"))
+        return coded.groupBy(*sides).agg(F.sum("_n").alias("n")).agg(F.sum(F.expr("CAST(n AS DECIMAL(19,0)) * (n - 1)").cast("decimal(38,0)")).alias("t"))
 
-    x_ties, y_ties, both = (r["t"] for r in ties("_x").union(ties("_y")).union(ties("_x", "_y")).collect())
+    x_ties, y_ties, both = (int(r["t"]) // 2 for r in ties("_x").union(ties("_y")).union(ties("_x", "_y")).collect())
     pairs = size["n"] * (size["n"] - 1) // 2
     if agree + differ != pairs - x_ties - y_ties + both:
         raise ArithmeticError("pair counts do not add up: the table changed between passes")
@@ -237,4 +239,4 @@ def _ordered_pairs(coded: DataFrame, n_digits: int, n_buckets: int) -> DataFrame
     # against the rows of smaller y: a smaller digit agrees with the order, a larger one does not
     agree = " + ".join(f"_n{d} * ({' + '.join(f'_b{e}' for e in digits if e < d)})" for d in digits if d > 0)
     differ = " + ".join(f"_n{d} * ({' + '.join(f'_b{e}' for e in digits if e > d)})" for d in digits if d < DIGIT - 1)
-    return counted.agg(F.expr(f"sum({agree})").alias("agree"), F.expr(f"sum({differ})").alias("differ"))
+    return counted.agg(F.sum(F.expr(agree).cast("decimal(38,0)")).alias("agree"), F.sum(F.expr(differ).cast("decimal(38,0)")).alias("differ"))

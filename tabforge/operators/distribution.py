@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fitting as fit, numeric as num
@@ -14,8 +16,8 @@ from ..schema import column_roles, numeric_like, q_col, to_number
 
 FENCE = 1.5
 MANY_OUTLIERS_PCT = 5.0
-KDE_POINTS_PER_JOB = 50
 REPEATS = 10
+KDE_ROWS = 2_000  # values that a task holds against the whole grid
 
 
 def bin_number(x: Column, low: float, high: float, bins: int) -> Column:
@@ -70,8 +72,8 @@ def centre_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> Da
 def kde(df: DataFrame, column: str, points: int = 200, *, cut: float = 0.0) -> DataFrame:
     """(point, x, density): Gaussian kernel density with Scott's bandwidth on an even grid.
 
-    Every grid point is a sum of its own in one aggregate, so rows are never multiplied. Values
-    are counted first where a sketch says that many rows repeat them.
+    One scan for all grid points: every Arrow batch adds its values into the sums of the whole grid, and a task
+    returns one row per point. Values are counted first where a sketch says that many rows repeat them.
     """
     x = q_col(column).cast("double")
     base = df.agg(
@@ -91,20 +93,19 @@ def kde(df: DataFrame, column: str, points: int = 200, *, cut: float = 0.0) -> D
     counted = df.select(x.alias("_x"), F.lit(1).alias("_n")).where(F.col("_x").isNotNull())
     if base["d"] * REPEATS <= n:
         counted = counted.groupBy("_x").agg(F.sum("_n").alias("_n"))
-    parts = []
-    for at in range(0, points, KDE_POINTS_PER_JOB):
-        block = grid[at : at + KDE_POINTS_PER_JOB]
-        z = [(F.lit(g) - F.col("_x")) / F.lit(width) for g in block]
-        wide = counted.agg(*[F.sum(F.col("_n") * F.exp(v * v * -0.5)).alias(f"k{i}") for i, v in enumerate(z)])
-        rows = [
-            F.struct(F.lit(at + i).alias("point"), F.lit(g).alias("x"), (F.col(f"k{i}") / norm).alias("density"))
-            for i, g in enumerate(block)
-        ]
-        parts.append(wide.select(F.inline(F.array(*rows))))
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return result
+    centres = np.array(grid)
+
+    def add_up(batches):
+        total = np.zeros(points)
+        for batch in batches:
+            x, n = (batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (0, 1))
+            for at in range(0, len(x), KDE_ROWS):
+                z = (centres[:, None] - x[None, at : at + KDE_ROWS]) / width
+                total += np.exp(z * z * -0.5) @ n[at : at + KDE_ROWS]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(points, dtype=np.int32)), pa.array(total)], names=["point", "k"])
+
+    sums = counted.mapInArrow(add_up, "point int, k double").groupBy("point").agg(F.sum("k").alias("k"))
+    return sums.select("point", (F.lit(low) + F.col("point") * F.lit((high - low) / (points - 1))).alias("x"), (F.col("k") / norm).alias("density"))
 
 
 def box_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fitting as fit
@@ -12,9 +13,9 @@ from ..functions.lookups import attach
 from ..functions.text import MISSING_LEVEL, lookup
 from ..schema import column_roles, q_col
 
-METHODS = ("onehot", "label", "ordinal")
+METHODS = ("onehot", "onehot_vector", "label", "ordinal")
 LITERAL_LEVELS = 100  # beyond this, codes come from a joined vocabulary table
-ONEHOT_LEVELS = 900
+ONEHOT_LEVELS = 900  # columns that a table can reasonably have; the caller may set another limit
 UNSEEN = -1
 
 
@@ -28,11 +29,12 @@ class ColumnEncoding:
     drop_first: bool = False
     vocabulary: DataFrame | None = None
     rows: int = 0
+    size: int = 0  # levels of the vocabulary
 
     @property
     def output_columns(self) -> list[str]:
         if self.method != "onehot":
-            return [self.column]
+            return [self.column]  # a vector column stays one column
         return [f"{self.column}_{v}" for v in self.levels[1 if self.drop_first else 0 :]]
 
     def expressions(self) -> list[Column]:
@@ -44,7 +46,7 @@ class ColumnEncoding:
                 F.coalesce((text == F.lit(v)).cast("int"), F.lit(0)).alias(name)
                 for v, name in zip(kept, self.output_columns)
             ]
-        kind = "int" if self.method == "label" else "double"
+        kind = "long" if self.method == "label" else "double"
         if self.method == "label":
             text = F.coalesce(text, F.lit(MISSING_LEVEL))
         code = lookup(text, {v: i for i, v in enumerate(self.levels)}) if self.levels else F.lit(None).cast("int")
@@ -66,9 +68,23 @@ class ColumnEncoding:
         coded = F.coalesce(F.col("_code"), F.lit(UNSEEN)).cast(kind)
         if self.method == "ordinal":
             coded = F.when(q_col(self.column).isNotNull(), coded)
+        if self.method == "onehot_vector":
+            return self._vectors(matched.select(*[coded.alias(c) if c == self.column else q_col(c) for c in df.columns]))
         return matched.select(*[coded.alias(c) if c == self.column else q_col(c) for c in df.columns])
 
 
+    def _vectors(self, coded: DataFrame) -> DataFrame:
+        """Codes as sparse indicator vectors with a place per level; unseen and missing levels are all zeros."""
+        size = self.size - (1 if self.drop_first else 0)
+        place = q_col(self.column) - (1 if self.drop_first else 0)
+        outside = F.when(place < 0, float(size)).otherwise(place)
+        names = [c for c in coded.columns]
+        one_row = coded.sparkSession.range(1).select(F.lit(float(size)).alias("_place"))
+        encoder = OneHotEncoder(inputCols=["_place"], outputCols=["_vector"], dropLast=True).fit(one_row)
+        found = encoder.transform(coded.withColumn("_place", outside.cast("double")))
+        return found.select(*[F.col("_vector").alias(c) if c == self.column else q_col(c) for c in names])
+
+
 def encode_plan(
     df: DataFrame,
     method: str = "onehot",
@@ -86,8 +102,14 @@ def encode_plan(
     return plan
 
 
-def fit_encoding(df: DataFrame, plan: Mapping[str, str], *, drop_first: bool = True) -> list[ColumnEncoding]:
-    """Collect sorted levels while they are few; write a vocabulary table where they are many."""
+def fit_encoding(
+    df: DataFrame, plan: Mapping[str, str], *, drop_first: bool = True, max_onehot: int = ONEHOT_LEVELS
+) -> list[ColumnEncoding]:
+    """Collect sorted levels while they are few; write a vocabulary table where they are many.
+
+    ``max_onehot`` bounds the indicator columns of one column (below 1000); ``onehot_vector`` has no bound, it codes by
+    a vocabulary table into one sparse vector column.
+    """
     if not plan:
         return []
     text = df.select(
@@ -99,18 +121,20 @@ def fit_encoding(df: DataFrame, plan: Mapping[str, str], *, drop_first: bool = T
     levels: dict[str, list] = {}
     many: list[str] = []
     onehot = [c for c, m in plan.items() if m == "onehot"]
-    coded = [c for c, m in plan.items() if m != "onehot"]
-    for columns, limit in ((onehot, ONEHOT_LEVELS), (coded, LITERAL_LEVELS)):
+    coded = [c for c, m in plan.items() if m in ("label", "ordinal")]
+    many += [c for c, m in plan.items() if m == "onehot_vector"]
+    for columns, limit in ((onehot, max_onehot), (coded, LITERAL_LEVELS)):
         if columns:
             found, over = fit.sorted_levels(text, columns, limit)
             levels.update(found)
             many += over
     too_wide = [c for c in many if plan[c] == "onehot"]
     if too_wide:
-        raise ValueError(f"one-hot needs more than {ONEHOT_LEVELS} columns for {too_wide}; use label or ordinal codes")
+        raise ValueError(f"one-hot needs more than {max_onehot} columns for {too_wide}; use onehot_vector, label or ordinal codes")
     rows = text.count() if many else 0
+    tables = {c: fit.sorted_codes(text, c) for c in many}
     return [
-        ColumnEncoding(c, m, vocabulary=fit.sorted_codes(text, c), rows=rows)
+        ColumnEncoding(c, m, [], drop_first and m == "onehot_vector", tables[c], rows, tables[c].count() if m == "onehot_vector" else 0)
         if c in many
         else ColumnEncoding(c, m, levels[c], drop_first and m == "onehot")
         for c, m in plan.items()

@@ -51,13 +51,19 @@ def error_table(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """(actual, predicted, n) over every pair of occurring classes, zeros included."""
+def confusion_matrix(df: DataFrame, label: str, prediction: str, *, dense_classes: int = 0) -> DataFrame:
+    """(actual, predicted, n) of the pairs that occur.
+
+    ``dense_classes`` asks for every pair of occurring classes, zeros included, and bounds their number: more
+    classes are an error, since the grid has their square.
+    """
     counts = df.groupBy(q_col(label).alias("actual"), q_col(prediction).alias("predicted")).agg(F.count("*").alias("n"))
-    # classes, not rows: the grid is the classes met on either side, squared
-    classes = counts.select(F.explode(F.array("actual", "predicted")).alias("c")).where("c is not null").agg(
-        F.array_sort(F.collect_set("c")).alias("all")
-    )
+    if not dense_classes:
+        return counts.where("actual is not null and predicted is not null")
+    met = counts.select(F.explode(F.array("actual", "predicted")).alias("c")).where("c is not null").distinct()
+    if met.limit(dense_classes + 1).count() > dense_classes:
+        raise ValueError(f"more than {dense_classes} classes: a dense confusion matrix would have their square")
+    classes = met.agg(F.array_sort(F.collect_set("c")).alias("all"))
     grid = classes.select(F.explode("all").alias("actual"), "all").select("actual", F.explode("all").alias("predicted"))
     return grid.join(counts, ["actual", "predicted"], "left").na.fill(0, ["n"])
 
@@ -87,14 +93,20 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row ``auc`` (NULL unless both classes occur): trapezoids over the tie-correct curve."""
-    area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0))
+    area = F.sum(F.col("neg").cast("double") * (F.col("tp") - F.col("pos") / 2.0))
     return roc_curve(df, label, score).agg(
-        F.try_divide(area, (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"),
+        F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"),
         F.sum("pos").alias("n_pos"),
         F.sum("neg").alias("n_neg"),
     )
 
 
+def evaluate_model(model, df: DataFrame, target: str, *, prefix: str = "test") -> tuple[DataFrame, DataFrame]:
+    """(metrics, rows with ``prediction``, residual and errors) of a fitted model on a table that has the target."""
+    scored = model.transform(df.where(q_col(target).isNotNull()))
+    return regression_metrics(scored, target, "prediction", prefix), error_table(residuals(scored, target, "prediction"), target, "prediction")
+
+
 def score_summary(df: DataFrame, predicted: str) -> DataFrame:
     """Number, mean and extremes of the predictions."""
     p = q_col(predicted)

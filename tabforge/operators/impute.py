@@ -26,6 +26,7 @@ class Imputation:
     forward: list[str] = field(default_factory=list)
     backward: list[str] = field(default_factory=list)
     order_by: list[str] = field(default_factory=list)
+    as_double: list[str] = field(default_factory=list)  # integer columns filled with a mean or median
 
     @property
     def stateless(self) -> bool:
@@ -39,10 +40,14 @@ class Imputation:
             columns = [c for c in columns if c in df.columns]
             if columns:
                 df = fill_along(df, columns, self.order_by, backward=backward)
-        return df.select(*[_filled(df, c, self.values) for c in df.columns])
+        return df.select(*[_filled(df, c, self.values, c in self.as_double) for c in df.columns])
 
 
-def _filled(df: DataFrame, name: str, values: Mapping[str, Any]) -> Column:
+def _filled(df: DataFrame, name: str, values: Mapping[str, Any], as_double: bool) -> Column:
+    if as_double:
+        # the type follows from the rule alone, whatever value the training rows gave
+        value = values.get(name)
+        return F.coalesce(q_col(name).cast("double"), F.lit(None if value is None else float(value)).cast("double")).alias(name)
     if values.get(name) is None:
         return q_col(name)
     return F.coalesce(q_col(name), _fill_literal(values[name], df.schema[name].dataType)).alias(name)
@@ -123,13 +128,13 @@ def _fit_batch(df: DataFrame, batch: Mapping[str, tuple[str, Any]], done: Imputa
     means = [c for c, (s, _) in batch.items() if s == "mean"]
     medians = [c for c, (s, _) in batch.items() if s == "median"]
     by_mode = [c for c, (s, _) in batch.items() if s == "mode"]
-    needs = {**{c: ["mean", "rows"] for c in means}, **{c: ["rows"] for c in medians}}
+    needs = {c: ["mean"] for c in means}
     stats = fit.column_statistics(df, needs, {c: [0.5] for c in medians})
     for c in (*means, *medians):
         value = stats[c]["mean"] if c in means else stats[c]["quantiles"][0]
-        if stats[c]["rows"] == stats[c]["count"] and value is not None and isinstance(df.schema[c].dataType, T.IntegralType):
-            value = float(round(value))  # an integer column without gaps keeps its type
         done.values[c] = value
+        if isinstance(df.schema[c].dataType, T.IntegralType):
+            done.as_double.append(c)
     most_common = fit.modes(df, by_mode) if by_mode else {}
     for c in by_mode:
         done.values[c] = most_common[c] if most_common[c] is not None else batch[c][1]

@@ -20,7 +20,6 @@ from ..schema import q_col
 
 TREES = 100
 SAMPLE_ROWS = 256
-POOL_ROWS = 64 * SAMPLE_ROWS
 EULER_GAMMA = 0.5772156649015329
 
 
@@ -79,13 +78,16 @@ def fit_isolation(
     base = df.agg(F.count("*").alias("n"), F.avg(q_col(column)).alias("mean")).first()
     if not base["n"] or base["mean"] is None:
         return IsolationSteps(np.array([]), np.array([0.0]), 0.0)
-    # a pool of bounded size, drawn once; every tree then draws its rows from the pool
-    share = min(1.0, 1.5 * POOL_ROWS / base["n"])
-    pool = df.select(
+    # every tree draws from all rows: those whose hash with the tree's number is lowest. The threshold lets
+    # through twice the sample and more in expectation, so the sample is the same as without it.
+    share = min(1.0, (2 * SAMPLE_ROWS + 128) / base["n"])
+    rows = df.select(
         F.coalesce(q_col(column).cast("double"), F.lit(base["mean"])).alias("x"), key_hash(key, seed).alias("h")
-    ).where(F.col("h") < int(share * HASH_RANGE))
-    drawn = pool.select(F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "x", "h").withColumn(
-        "at", F.row_number().over(Window.partitionBy("tree").orderBy(F.xxhash64("h", "tree"), "h", "x"))
+    )
+    draw = lambda t: F.pmod(F.xxhash64("h", t), F.lit(int(HASH_RANGE)))
+    picked = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < int(share * HASH_RANGE))
+    drawn = rows.select(F.explode(picked).alias("tree"), "x", "h").withColumn(
+        "at", F.row_number().over(Window.partitionBy("tree").orderBy(draw(F.col("tree")), "h", "x"))
     )
     sample = drawn.where(F.col("at") <= SAMPLE_ROWS)
     size = min(SAMPLE_ROWS, base["n"])

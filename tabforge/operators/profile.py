@@ -75,21 +75,31 @@ def dtype_counts(df: DataFrame) -> DataFrame:
     return totals.select(F.inline(F.array(*rows)))
 
 
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None, top_n: int | None = None) -> DataFrame:
-    """Type, missing count and share, distinct values and alerts per column, most gaps first."""
+def column_profile(
+    df: DataFrame, columns: Sequence[str] | None = None, top_n: int | None = None, *, exact: bool = True
+) -> DataFrame:
+    """Type, missing count and share, distinct values and alerts per column, most gaps first.
+
+    Distinct values are counted per column and value type before they are counted once more, so the rows are
+    read once and not expanded by Spark's several-distinct rewrite. ``exact=False`` takes a sketch
+    (within a few percent) and shuffles nothing.
+    """
     columns = list(columns or df.columns)
     parts = [F.count("*").alias("n")]
     for i, c in enumerate(columns):
-        parts += [_missing(c).alias(f"m{i}"), F.count_distinct(q_col(c)).alias(f"d{i}")]
+        parts.append(_missing(c).alias(f"m{i}"))
+        if not exact:
+            parts.append(F.approx_count_distinct(q_col(c), 0.02).alias(f"d{i}"))
     share = [num.half_even(num.percent(F.col(f"m{i}"), F.col("n")), 2) for i in range(len(columns))]
+    distinct = distinct_counts(df, columns) if exact else {}
     rows = [
         F.struct(
             F.lit(c).alias("column"),
             F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
             F.col(f"m{i}").alias("missing"),
             share[i].alias("missing_pct"),
-            F.col(f"d{i}").alias("unique"),
-            (F.col(f"d{i}") <= 1).cast("int").alias("constant"),
+            (F.col(f"d{i}") if not exact else F.lit(distinct[c])).cast("long").alias("unique"),
+            ((F.col(f"d{i}") if not exact else F.lit(distinct[c])) <= 1).cast("int").alias("constant"),
             F.coalesce(share[i] > HIGH_MISSING_COLUMN, F.lit(False)).cast("int").alias("high_missing"),
         )
         for i, c in enumerate(columns)
@@ -100,6 +110,15 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, top_n: i
     return profile.orderBy(F.desc_nulls_last("missing_pct"), "column").limit(top_n)
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Distinct non-null values per column: one grouped pass per value type."""
+    found = {c: 0 for c in columns}
+    for same_type in fit.by_type(df, columns):
+        values = fit.value_table(df, same_type).where(F.col("value").isNotNull())
+        found.update({r["column"]: r["count"] for r in values.groupBy("column").count().collect()})  # a row per column
+    return found
+
+
 def missing_table(df: DataFrame, *, only_missing: bool = True) -> DataFrame:
     """Missing count and share per column, without the cost of distinct counts."""
     parts = [F.count("*").alias("n"), *[_missing(c).alias(f"m{i}") for i, c in enumerate(df.columns)]]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.buckets import order_value
 from ..functions.hashing import HASH_RANGE, key_hash
@@ -57,19 +57,26 @@ def contiguous_folds(df: DataFrame, order_by: Sequence[str], k: int = 5, out: st
     """Unshuffled folds of the ordered table; the first ``rows % k`` folds have one row more.
 
     With one unique numeric or time order column the fold edges are order statistics, and the
-    fold is an expression. With more columns, rows are numbered in distributed order.
+    fold is an expression. With more columns, or text, rows are numbered in distributed order. Rows
+    without a leading order value come last: they all lie in the last fold where there is one
+    column, beside the ``n / k`` known rows of that fold.
     """
-    rows = df.count()
+    single = len(order_by) == 1 and not isinstance(df.schema[order_by[0]].dataType, T.StringType)
+    if single:
+        position = order_value(df, order_by[0])
+        position = F.when(~F.isnan(position), position)
+        rows = df.agg(F.count(position)).first()[0]
+    else:
+        rows = df.count()
     sizes = [rows // k + (1 if i < rows % k else 0) for i in range(k)]
     starts = [sum(sizes[:i]) for i in range(1, k)]
-    if len(order_by) == 1 and rows:
-        position = order_value(df, order_by[0])
+    if single:
         inner = [s for s in starts if s < rows]
-        edges = order_statistics(df.select(position.alias("p")), {"p": inner}, {"p": rows})["p"]
+        edges = order_statistics(df.select(position.alias("p")), {"p": inner}, {"p": rows})["p"] if inner else {}
         fold = F.lit(0)
         for s in starts:
             fold = fold + (F.when(position >= edges[s], 1).otherwise(0) if s in edges else 0)
-        return df.withColumn(out, fold.cast("int"))
+        return df.withColumn(out, F.when(position.isNull(), k - 1).otherwise(fold).cast("int"))
     numbered = row_numbers(df, order_by, "_rn")
     fold = F.lit(0)
     for s in starts:

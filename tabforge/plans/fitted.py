@@ -73,7 +73,7 @@ def _apply_impute(df, p, training):
 
 
 def _apply_encode(df, p, training):
-    return encode.apply_encoding(df, p["fitted"])
+    return encode.apply_encoding(df, p["fitted"]).drop(*p["refused"])
 
 
 def _apply_scale(df, p, training):
@@ -123,6 +123,7 @@ class FeaturePlan:
     encoding: str = "onehot"
     encoder_rules: Mapping[str, str] = field(default_factory=dict)
     drop_first: bool = True
+    max_onehot: int = encode.ONEHOT_LEVELS
     scaling: str = "standard"
     scaler_rules: Mapping[str, str] = field(default_factory=dict)
     exclude_scaling: Sequence[str] = ()
@@ -185,7 +186,8 @@ class FeaturePlan:
         if stage == "impute":
             return Step(stage, {"fitted": self._fit_imputation(df, free)})
         if stage == "encode":
-            return Step(stage, {"fitted": self._fit_encoding(df, free)})
+            fitted, refused = self._fit_encoding(df, free)
+            return Step(stage, {"fitted": fitted, "refused": refused})
         if stage == "scale":
             plan = scale.scale_plan(
                 df.select(*free),
@@ -219,16 +221,19 @@ class FeaturePlan:
             whole.dropped += p.dropped
             whole.forward += p.forward
             whole.backward += p.backward
+            whole.as_double += p.as_double
         return whole
 
-    def _fit_encoding(self, df: DataFrame, columns: Sequence[str]) -> list[encode.ColumnEncoding]:
+    def _fit_encoding(self, df: DataFrame, columns: Sequence[str]) -> tuple[list[encode.ColumnEncoding], list[str]]:
+        """The encodings, and the columns that could not be encoded: as raw text they are no features and go."""
         plan = encode.encode_plan(df.select(*columns), self.encoding, rules=self.encoder_rules)
         plan.pop(self.target, None)
 
         def one(names: Sequence[str]) -> list[encode.ColumnEncoding]:
-            return encode.fit_encoding(df, {c: plan[c] for c in names}, drop_first=self.drop_first)
+            return encode.fit_encoding(df, {c: plan[c] for c in names}, drop_first=self.drop_first, max_onehot=self.max_onehot)
 
-        return [e for part in self._fit_or_skip(one, list(plan)) for e in part]
+        fitted = [e for part in self._fit_or_skip(one, list(plan)) for e in part]
+        return fitted, [c for c in plan if c not in {e.column for e in fitted}]
 
     def _fit_or_skip(self, one, columns: Sequence[str]) -> list:
         """Fit all columns together; with ``on_error="skip"`` a failing column is left out and logged."""
@@ -314,9 +319,10 @@ def _plain(step: Step) -> dict[str, Any]:
     if step.kind == "scale":
         return {"fitted": [asdict(s) for s in fitted]}
     return {
+        "refused": step.params["refused"],
         "fitted": [
             {"column": e.column, "method": e.method, "levels": e.levels, "drop_first": e.drop_first, "rows": e.rows,
-             "has_vocabulary": e.vocabulary is not None}
+             "size": e.size, "has_vocabulary": e.vocabulary is not None}
             for e in fitted
         ]
     }
@@ -332,5 +338,5 @@ def _revived(spark: SparkSession, path: str, kind: str, params: dict[str, Any])
         for i, e in enumerate(params["fitted"]):
             table = spark.read.parquet(f"{path}/vocabulary/{i}") if e.pop("has_vocabulary") else None
             restored.append(encode.ColumnEncoding(vocabulary=table, **e))
-        return {"fitted": restored}
+        return {"fitted": restored, "refused": params["refused"]}
     return params

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..models.registry import SavedModel
 from ..operators.evaluate import score_summary
 from ..schema import q_col
+from ..session import stored
 from ..sources.readers import read_table
 from ..sources.writers import read_json_record, write_table
 from .fitted import FittedPlan
 
-PREDICTED = "Predicted_Price"
+PREDICTED = "Predicted_Price"  # fixed value: the name of the prediction column
 CARRIED = "_given"
 
 
@@ -53,7 +54,8 @@ def score_file(
         raise ValueError(f"model {name!r} is not part of the run; available: {sorted(record['models'])}")
     fitted = FittedPlan.load(spark, record["transformer"]["path"])
     model = SavedModel.load(spark, record["models"][name]["path"])
-    scored = score(read_table(spark, input_path, **options), fitted, model, out)
+    # scored once: the output file, the summary and the caller all read the stored rows
+    scored = stored(score(read_table(spark, input_path, **options), fitted, model, out))
     if output_path:
         write_table(scored, output_path)
     return scored, score_summary(scored, out)

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..models import results as rs
 from ..models.registry import TRAINERS, SavedModel, get_trainer
@@ -17,6 +17,7 @@ from ..operators import clean
 from ..operators.correlation import select_features
 from ..operators.evaluate import regression_metrics
 from ..operators.split import train_test_split
+from ..schema import q_col
 from ..session import spread, stored
 from ..sources import writers
 from .fitted import FeaturePlan, FittedPlan
@@ -56,8 +57,8 @@ class TrainingRun:
 
     def train_one(self, name: str, **params: Any) -> SavedModel:
         model = get_trainer(name).train(self.train, self.features, self.target, self.key, seed=self.seed, **params)
-        on_train = regression_metrics(model.transform(self.train, "_p"), self.target, "_p", "train").first().asDict()
-        on_test = regression_metrics(model.transform(self.test, "_p"), self.target, "_p", "test").first().asDict()
+        sides = [regression_metrics(model.transform(d, "_p"), self.target, "_p", side) for side, d in (("train", self.train), ("test", self.test))]
+        on_train = on_test = sides[0].crossJoin(sides[1]).first().asDict()  # one row each, one job for both
         self.models[name] = model
         self.results[name] = {
             "train_rmse": on_train["train_rmse"],
@@ -162,11 +163,18 @@ def run_training(
     train, test = train_test_split(raw, list(plan.key), test_size=test_size, seed=plan.seed)
     fitted, train_ready = plan.fit_transform(train)
     test_ready = fitted.transform(test)
+    # selection and training read what was written, not the steps that led there
+    if folder:
+        written = df.sparkSession.read.parquet(writers.write_processed(train_ready, test_ready, f"{folder}/processed"))
+        train_ready, test_ready = (
+            written.where(F.col("split") == side).select(*[q_col(c) for c in ready.columns])
+            for side, ready in (("train", train_ready), ("test", test_ready))
+        )
+    else:
+        train_ready, test_ready = stored(train_ready), stored(test_ready)
     chosen = select_features(
         train_ready.drop(*plan.key), plan.target, selection_threshold, method="spearman"
     )
-    if folder:
-        writers.write_processed(train_ready, test_ready, f"{folder}/processed")
     run = TrainingRun(train_ready, test_ready, fitted.features, plan.target, list(plan.key), plan.seed)
     run.train_all(names, optimize=optimize, feature_subset=chosen or None, hyperparams=hyperparams,
                   search_options=search_options)

@@ -90,6 +90,13 @@ def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     )
 
 
+def known(df: DataFrame, name: str) -> Column:
+    """The column with floating NaN as NULL."""
+    if isinstance(df.schema[name].dataType, FLOATING):
+        return F.when(~F.isnan(q_col(name)), q_col(name))
+    return q_col(name)
+
+
 def numeric_like(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
     """Numeric by type, or text whose every non-null value parses as a number (one pass)."""
     numeric = set(column_roles(df.select(*columns)).numeric)

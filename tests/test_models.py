@@ -49,7 +49,7 @@ def test_ridge_subset_and_width(sample):
     assert fit_polynomial_ridge(df, X, "y", degree=2, feature_subset=["a", "zzz"]).stages[0].getInputCols() == ["a"]
     assert term_count(3, 3) == 19
     with pytest.raises(ValueError, match="terms"):
-        fit_polynomial_ridge(df, [f"f{i}" for i in range(18)], "y", degree=5)
+        fit_polynomial_ridge(df, [f"f{i}" for i in range(18)], "y", degree=5, max_terms=4096)
 
 
 FOREST = {"n_estimators": 6, "max_depth": 4}
