@@ -11,8 +11,9 @@ a process ends as soon as its next point lies beyond the largest component.
 Steps: copies (equal word sequences) become one vertex; bands of components bucket the vertices; each bucket compares
 all its members with one leader (the member with most company over all bands), never all pairs, and the bags decide.
 Connected verified links make components. Buckets whose members are still in several components then compare the pairs
-across components whose signatures agree enough, in blocks of bounded size, and bags decide again. So a link that a
-leader does not show is found, at a cost that follows what leaders leave over.
+across components, in blocks of bounded size: first their signatures, then the lowest numbers of their bags (the whole
+bag of a text of up to 512 shingles), and whole bags decide again. So a link that a leader does not show is found, and
+pairs that are not alike are dropped inside the task that sees them.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ SIMILARITY = 0.8
 BANDS, ROWS = 28, 5  # a link of similarity 0.8 is missed with probability 1.5e-5
 SLACK = 4.0  # standard deviations below the wanted similarity at which signatures rule a pair out
 CHUNK = 2_000
-POINTS = 1 << 18
+SAMPLE = 512  # lowest numbers of a bag that stand for it before whole bags are compared
+POINTS = 1 << 17
+TEXT_BYTES = 2 << 20  # of whole texts that a task signs at once
 U = np.uint64
 
 
@@ -120,7 +123,7 @@ def sign(docs: DataFrame, doc_id: str, text: str, n_bands: int, n_rows: int, k:
     def run(batches):
         salt = mix(np.arange(n_bands, dtype=U) + U(77))
         for batch in batches:
-            for a, b, data, begins in slices(batch.column(2)):
+            for a, b, data, begins in slices(batch.column(2), TEXT_BYTES):
                 words = Words(data, begins)
                 where, shingle, weight = bags(words, k)
                 sig = signatures(where, shingle, weight, b - a, m).astype(U)
@@ -149,7 +152,7 @@ def bag_rows(rows: DataFrame, k: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for a, b, data, begins in slices(batch.column(1)):
+            for a, b, data, begins in slices(batch.column(1), TEXT_BYTES):
                 where, shingle, weight = bags(Words(data, begins), k)
                 repeat = np.repeat(np.arange(len(where)), weight)
                 nth = np.arange(len(repeat)) - np.repeat(np.cumsum(weight) - weight, weight)
@@ -197,16 +200,17 @@ def _verified(pairs: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _across(members: DataFrame, least: int, chunk: int) -> DataFrame:
-    """Pairs of one bucket in different components whose sketches agree enough, each in its first common band.
+def _across(members: DataFrame, least: int, chunk: int, similarity: float) -> DataFrame:
+    """Pairs of one bucket in different components whose sketches and samples agree enough, each in its first common band.
 
-    ``members``: key, n (of the bucket), band, v, comp, bands, sketch. A bucket of more than ``chunk`` members is dealt
+    ``members``: key, n (of the bucket), band, v, comp, bands, sketch, sample (the lowest numbers of the bag), whole (the
+    sample is the bag). A sample rules a pair out only ``SLACK`` standard deviations below the similarity. A bucket of more than ``chunk`` members is dealt
     into groups; each pair of groups is compared in a task of its own.
     """
     n_groups = F.ceil(F.col("n") / chunk).cast("int")
     own = members.withColumn("g", F.pmod(F.xxhash64("v"), n_groups).cast("int"))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), n_groups - 1))).withColumns({"i": F.least("g", "other"), "j": F.greatest("g", "other")})
-    ordered = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "g", "band", "v", "comp", "bands", "sketch")
+    ordered = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "g", "band", "v", "comp", "bands", "sketch", "sample", "whole")
 
     def group(table):
         n = table.num_rows
@@ -217,6 +221,9 @@ def _across(members: DataFrame, least: int, chunk: int) -> DataFrame:
             return None
         bands = table.column(7).combine_chunks().flatten().to_numpy().reshape(n, -1)
         sketch = np.frombuffer(b"".join(table.column(8).to_pylist()), np.uint8).reshape(n, -1)
+        sample = [np.frombuffer(x.as_buffer(), U) for x in table.column(9)]
+        whole = table.column(10).to_numpy()
+        reach = np.array([np.iinfo(U).max if w or not len(x) else x[-1] for x, w in zip(sample, whole)], U)
         a, b = [], []
         for row in range(n - 1):
             later = np.flatnonzero(comp[row + 1 :] != comp[row]) + row + 1
@@ -225,6 +232,8 @@ def _across(members: DataFrame, least: int, chunk: int) -> DataFrame:
             if len(later):
                 later = later[(sketch[later] == sketch[row]).sum(axis=1) >= least]
                 later = later[(bands[later] == bands[row]).argmax(axis=1) == band]
+            if len(later):
+                later = later[_alike(sample, reach, whole, row, later, similarity)]
                 a += [v[row]] * len(later)
                 b += v[later].tolist()
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]) if a else None
@@ -246,6 +255,20 @@ def _across(members: DataFrame, least: int, chunk: int) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long")
 
 
+def _alike(sample: list[np.ndarray], reach: np.ndarray, whole: np.ndarray, row: int, others: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether ``row`` may be similar to each of ``others``, by the numbers that both samples reach."""
+    own, upto = sample[row], np.minimum(reach[row], reach[others])
+    values = np.concatenate([sample[i] for i in others])
+    of = np.repeat(np.arange(len(others)), [len(sample[i]) for i in others])
+    inside = values <= upto[of]
+    place = np.minimum(np.searchsorted(own, values), len(own) - 1)
+    common = np.bincount(of[inside & (own[place] == values)], minlength=len(others))
+    union = np.bincount(of[inside], minlength=len(others)) + np.searchsorted(own, upto, side="right") - common
+    deviation = np.sqrt(similarity * (1 - similarity) / np.maximum(union, 1))
+    slack = np.where(whole[others] & whole[row], 1e-9, SLACK * deviation)
+    return common >= (similarity - slack) * union
+
+
 def components(links: DataFrame) -> DataFrame:
     """v, comp (the smallest vertex that it is linked with, over any number of links) for every vertex of a link."""
     edges = stored(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
@@ -288,16 +311,18 @@ def near_classes(
     leaders = company.join(standing, "v").groupBy("key").agg(F.max(F.struct("rank", F.col("v").alias("leader"))).alias("top")).select("key", "top.leader")
     pairs = company.join(leaders, "key").where("v <> leader").select(F.col("leader").alias("a"), F.col("v").alias("b")).distinct()
     pairs = stored(_agreeing(pairs, uniq, least))
-    bag = _bags_of(docs, uniq, pairs, doc_id, text, k)
+    bag = _bags_of(docs, uniq, pairs.select(F.explode(F.array("a", "b")).alias("v")), doc_id, text, k)
     links = stored(_verified(pairs, bag, similarity))
     found = components(links)
 
     placed = company.join(found, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
     split = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-    open_rows = placed.join(split, "key").join(uniq.select("v", "bands", "sketch"), "v")
-    rest = stored(_across(open_rows, least, chunk))
+    left_open = placed.join(split, "key")
+    bag = _bags_of(docs, uniq, left_open.select("v"), doc_id, text, k)
+    samples = bag.select("v", F.substring("bag", 1, 8 * SAMPLE).alias("sample"), (F.octet_length("bag") <= 8 * SAMPLE).alias("whole"))
+    rest = stored(_across(left_open.join(uniq.select("v", "bands", "sketch"), "v").join(samples, "v"), least, chunk, similarity))
     if not rest.isEmpty():
-        more = _verified(rest, _bags_of(docs, uniq, rest, doc_id, text, k), similarity)
+        more = _verified(rest, bag, similarity)
         found = components(stored(links.unionAll(more)))
 
     whole = stored(member.join(found, "v", "left").select("row", "doc_id", F.coalesce("comp", "v").alias("comp")))
@@ -309,9 +334,9 @@ def near_classes(
     )
 
 
-def _bags_of(docs: DataFrame, uniq: DataFrame, pairs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
-    """v, bag of every vertex of ``pairs``; each read from one document with that content."""
-    wanted = pairs.select(F.col("a").alias("v")).unionAll(pairs.select(F.col("b").alias("v"))).distinct()
+def _bags_of(docs: DataFrame, uniq: DataFrame, vertices: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
+    """v, bag of every vertex; each read from one document with that content."""
+    wanted = vertices.distinct()
     keys = uniq.select("v", F.col("doc_id").alias("_id"), F.col("print").alias("_print")).join(wanted, "v")
     source = docs.select(F.col(doc_id).alias("_d"), F.col(text).alias("text")).withColumn("_p", F.xxhash64("text"))
     texts = source.join(keys, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_p") == F.col("_print"))).select("v", "text")
