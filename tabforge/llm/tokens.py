@@ -1,7 +1,7 @@
 """Token ids of documents in files of Simple-8b words.
 
-Encoding: the tokenizer never joins two pieces over a space that stands between two non-space characters, so
-a text is cut there and each distinct piece is given to the tokenizer once per worker (a memo of bounded size).
+Encoding: the tokenizer never joins two pieces over a single space or line end, so a text is cut there and each
+distinct piece is given to the tokenizer once per worker (a memo of bounded size).
 
 A file row (a chunk) holds whole documents: their ids, their numbers of tokens, and blocks of ``BLOCK`` token ids.
 Each block is packed by itself into 64-bit words, so any block can be decoded alone; ``offsets`` says where the words
@@ -33,7 +33,8 @@ CHUNK_IDS = 1 << 20
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2])
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30])
 ESCAPE = 15
-MEMO = 300_000
+MEMO = 1_000_000  # pieces; about 200 MB
+TOGETHER = 10_000  # pieces of one string
 ENCODE_BYTES = 2 << 20
 U = np.uint64
 
@@ -50,10 +51,19 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Ids of texts, equal to encoding each whole text, for byte-level BPE that pre-splits at single spaces."""
+    """Ids of texts, equal to encoding each whole text, for byte-level BPE that pre-splits at white space.
+
+    A single space or line end between other characters always ends a piece of the tokenizer: the space belongs to
+    the piece that follows, the line end is a token of its own. Plain texts are cut at all of them; the key of a piece is
+    ``p`` for a space and p, a line end and p for just that, and ("", p) for p at the start of a text. Where a key shows
+    other white space, its text is not plain: it is cut only at its safe spaces, with keys ("first", p) and (" ", p).
+
+    New pieces without white space go to the tokenizer many in one string, a line end before each; the line ends'
+    tokens tell them apart again. The others are encoded one by one.
+    """
 
-    ODD_SPACE = re.compile(r"\s | \s|\A | \Z")
     SAFE = re.compile(r"(?<=\S) (?=\S)")
+    SPACE = re.compile(r"\s")
 
     def __init__(self, path: str, special_as_text: bool = False, memo: int = MEMO):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,37 +72,79 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
         self.memo = memo
+        (self.line_end,) = self._ids(["\n"])[0]
         self._forget()
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _forget(self):
-        self.place: dict[str, int] = {}
+        self.place: dict[str | tuple[str, str], int] = {}  # -1: a key that no plain text has
+        self.known = 0
         self.begin = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _learn(self, pieces: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        self.place.update(zip(pieces, range(len(self.place), len(self.place) + len(pieces))))
-        ends = self.begin[-1] + np.cumsum(np.fromiter(map(len, got), np.int64, len(got)))
-        self.begin = np.concatenate((self.begin, ends))
-        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(got), np.uint32)))
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and the number of ids of each text."""
-        pieces: list[str] = []
-        counts = []
-        for text in texts:
-            own = (self.SAFE.split(text) if self.ODD_SPACE.search(text) else text.split(" ")) if text else []
-            # all pieces but the first keep the space before them
-            pieces += own[:1]
-            pieces += [" " + p for p in own[1:]]
-            counts.append(len(own))
+    def _add(self, keys: list, sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.place.update(zip(keys, range(self.known, self.known + len(keys))))
+        self.known += len(keys)
+        self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(sizes)))
+        self.ids = np.concatenate((self.ids, ids))
+
+    def _learn(self, keys: list) -> None:
+        plain, alone = [], []
+        for k in keys:
+            if isinstance(k, str):
+                odd = k in ("", "\n") or self.SPACE.search(k, k[0] == "\n")
+            else:
+                odd = not k[1] or self.SPACE.search(k[1])
+            if not odd:
+                plain.append(k)
+            elif isinstance(k, str) or k[0] == "":
+                self.place[k] = -1
+            else:
+                alone.append(k)
+        for at in range(0, len(plain), TOGETHER):
+            some = plain[at : at + TOGETHER]
+            bodies = [(k if k[0] == "\n" else "\n " + k) if isinstance(k, str) else "\n " + k[1] if k[0] == " " else "\n" + k[1] for k in some]
+            ids = np.array(self._ids(["".join(bodies)])[0], np.uint32)
+            cuts = np.flatnonzero(ids == self.line_end)
+            if len(cuts) != len(some):  # a tokenizer that treats line ends otherwise
+                raise ValueError("this tokenizer does not keep line ends as tokens of their own")
+            own = np.fromiter((isinstance(k, str) and k[0] == "\n" for k in some), bool, len(some))
+            kept = np.ones(len(ids), bool)
+            kept[cuts[~own]] = False
+            self._add(some, np.diff(np.append(cuts, len(ids))) - ~own, ids[kept])
+        if alone:
+            got = self._ids([p if lead == "first" else " " + p for lead, p in alone])
+            self._add(alone, np.fromiter(map(len, got), np.int64, len(got)), np.fromiter(chain.from_iterable(got), np.uint32))
+
+    def _places(self, keys: list) -> np.ndarray:
         if len(self.place) > self.memo:
             self._forget()
-        missing = list(set(pieces).difference(self.place))
+        missing = list(set(keys).difference(self.place))
         if missing:
             self._learn(missing)
-        at = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
-        first = np.concatenate(([0], np.cumsum(counts))).astype(np.int64)
+        return np.fromiter(map(self.place.__getitem__, keys), np.int64, len(keys))
+
+    def _keys(self, text: str | None, plain: bool) -> list:
+        if not text:
+            return []
+        own: list = text.replace("\n", " \n").split(" ") if plain else self.SAFE.split(text)
+        if not plain:
+            own[1:] = [(" ", p) for p in own[1:]]
+        own[0] = ("" if plain else "first", own[0])
+        return own
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and the number of ids of each text."""
+        keys = [self._keys(t, True) for t in texts]
+        first = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int64)
+        at = self._places(list(chain.from_iterable(keys)))
+        if len(at) and at.min() < 0:
+            for i in np.unique(np.searchsorted(first, np.flatnonzero(at < 0), side="right") - 1).tolist():
+                keys[i] = self._keys(texts[i], False)
+            first = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int64)
+            at = self._places(list(chain.from_iterable(keys)))
         sizes = self.begin[at + 1] - self.begin[at]
         upto = np.concatenate(([0], np.cumsum(sizes)))
         ids = self.ids[np.repeat(self.begin[at] - upto[:-1], sizes) + np.arange(upto[-1])]
