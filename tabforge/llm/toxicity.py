@@ -28,10 +28,12 @@ CATEGORIES = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
 SAMPLE = 20_000
 VOCABULARY = 4_000
 LEAST_DOCS = 4
+LEAST_G = 25.0  # association below it is what chance gives among a million features
 PREFIXES = (4, 5, 6, 7, 8)
 FOLDS = 5
 RIDGE = 2.0
-STEPS = 200
+STEPS = 150
+SETTLED = 1e-3
 SEED = 8
 U = np.uint64
 
@@ -108,7 +110,10 @@ def _fit(rows: np.ndarray, columns: np.ndarray, n_features: int, dense: np.ndarr
         gradient[:-1] += RIDGE / n * look[:-1]
         new = look - rate * gradient
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        moved = np.abs(new - w).max()
         look, w, momentum = new + (momentum - 1) / following * (new - w), new, following
+        if moved < SETTLED:
+            break
     return w
 
 
@@ -164,8 +169,9 @@ def fit_chain(
     counted = rows.select("text", *names).mapInArrow(count, ", ".join(["feature long", "n long", *[f"{y} double" for y in names]]))
     summed = counted.groupBy("feature").agg(F.sum("n").alias("n"), *[F.sum(y).alias(y) for y in names]).where(F.col("n") >= LEAST_DOCS)
     whole = rows.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(y), F.lit(0.0)).alias(y) for y in names]).first()
+    # a feature must be associated with a category more than chance would have it
     strengths = [_association(F.col("n"), F.col(y), float(whole["n"]), float(whole[y])) for y in names]
-    best = summed.select("feature", (F.greatest(*strengths) if len(strengths) > 1 else strengths[0]).alias("g")).orderBy(F.desc("g"), "feature").limit(vocabulary)
+    best = summed.select("feature", (F.greatest(*strengths) if len(strengths) > 1 else strengths[0]).alias("g")).where(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "feature").limit(vocabulary)
     features = np.sort(np.array([r["feature"] for r in best.collect()], np.int64).view(U))
     shared = spark.sparkContext.broadcast(features)
 
