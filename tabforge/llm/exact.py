@@ -48,13 +48,13 @@ def exact_copies(
     keyed = rows.select("doc_id", "_digest", sha256(F.col("_content")).alias("text_sha256"))
     weighted = kept.withColumn("_w", F.col("group_size"))
     if clashing.isEmpty():
-        found = attach(keyed, weighted, "_digest", rows=total, weight="_w")
+        found = attach(keyed, weighted, "_digest", rows=total, weight="_w", broadcast_bytes=0)
     else:
         apart = rows.join(clashing, "_digest", "left_semi")
         ids = apart.groupBy("_digest", "_content", "doc_id").agg(F.count("*").alias("_times"))
         whole = ids.join(_combined(apart, salts), ["_digest", "_content"]).withColumn("_copy", F.explode(F.expr("sequence(1, _times)")))
         found = attach(
-            keyed.join(clashing, "_digest", "left_anti"), weighted.join(clashing, "_digest", "left_anti"), "_digest", rows=total, weight="_w"
+            keyed.join(clashing, "_digest", "left_anti"), weighted.join(clashing, "_digest", "left_anti"), "_digest", rows=total, weight="_w", broadcast_bytes=0
         ).unionByName(whole.select("doc_id", "_digest", sha256(F.col("_content")).alias("text_sha256"), "keep_id", "group_size"))
     return found.select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"

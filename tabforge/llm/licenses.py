@@ -47,8 +47,8 @@ DRIFT = 2
 HITS = "array<struct<at:int,hash:long,words:string>>"
 
 
-def template_grams(spark: SparkSession, base=None, templates=TEMPLATES, k: int = GRAM) -> DataFrame:
-    """hash, words, template, label, base, place, n_words, n_grams: one row per gram of each template."""
+def gram_rows(base=None, templates=TEMPLATES, k: int = GRAM) -> list[tuple]:
+    """(gram, template, label, base, place, n_words, n_grams, size): one row per gram of each template."""
     rows = []
     entries = [(phrase, label, True) for phrase, label in (BASE if base is None else base).items()]
     entries += [(text, label, False) for label, text in templates]
@@ -56,8 +56,12 @@ def template_grams(spark: SparkSession, base=None, templates=TEMPLATES, k: int =
         words = words_of(text)
         size = len(words) if is_base else min(k, len(words))
         for place in range(len(words) - size + 1):
-            own = words[place : place + size]
-            rows.append((gram_hash(own), " ".join(own), number, label, is_base, place, len(words), len(words) - size + 1, size))
+            rows.append((" ".join(words[place : place + size]), number, label, is_base, place, len(words), len(words) - size + 1, size))
+    return rows
+
+
+def template_grams(spark: SparkSession, base=None, templates=TEMPLATES, k: int = GRAM) -> DataFrame:
+    rows = [(gram_hash(r[0].split()), *r) for r in gram_rows(base, templates, k)]
     return spark.createDataFrame(
         rows, "hash long, gram string, template int, label string, base boolean, place int, n_words int, n_grams int, size int"
     )

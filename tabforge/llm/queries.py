@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import checkpoint_dir
+from .licenses import DRIFT, SHARE, gram_rows
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -116,7 +117,29 @@ def token_counts(spark, folder):
     return document_counts(spark.read.schema(FILE_SCHEMA).parquet(flat_files))
 
 
-@query("op2_license_scan")
+def _license_sql() -> str:
+    grams = ", ".join(
+        f"({t}, '{label}', {base}, {place}, {n_grams}, {size}, '{gram}')"
+        for gram, t, label, base, place, _, n_grams, size in gram_rows()
+    )
+    return f"""
+    WITH d AS ({WORD_LISTS}), t(template, label, base, place, n_grams, size, g) AS (VALUES {grams}),
+    sizes AS (SELECT DISTINCT size FROM t),
+    own AS (SELECT doc_id, size, i - 1 AS at, array_to_string(w[i:i + size - 1], ' ') AS g FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS r(i)),
+    lines AS (SELECT doc_id, template, label, base, n_grams, at - place AS diagonal, count(DISTINCT place) AS votes, min(at) AS a
+        FROM own JOIN t USING (size, g) GROUP BY ALL),
+    marked AS (SELECT *, CASE WHEN base OR coalesce(diagonal - lag(diagonal) OVER same > {DRIFT}, true) THEN 1 ELSE 0 END AS fresh
+        FROM lines WINDOW same AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+    numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS part FROM marked),
+    spans AS (SELECT doc_id, label, base, least(1.0, sum(votes) / n_grams)::DOUBLE AS score, min(a) AS a FROM numbered GROUP BY doc_id, template, label, base, n_grams, part),
+    good AS (SELECT * FROM spans WHERE score >= CASE WHEN base THEN 1.0 ELSE {SHARE} END)
+    SELECT doc_id, CAST(any_value(len(w)) AS BIGINT) AS n_words, count(*) FILTER (base) AS n_base, min(a) FILTER (base) AS first_word, max(a) FILTER (base) AS last_word,
+        coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
+        coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(score), 0) AS score
+    FROM d LEFT JOIN good USING (doc_id) GROUP BY doc_id"""
+
+
+@query("op2_license_scan", _license_sql())
 def license_scan(spark, folder):
     from .licenses import license_summary
 
