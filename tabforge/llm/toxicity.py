@@ -34,6 +34,7 @@ FOLDS = 5
 RIDGE = 2.0
 STEPS = 150
 SETTLED = 1e-3
+MEASURES = 3
 SEED = 8
 U = np.uint64
 
@@ -188,9 +189,26 @@ def fit_chain(
                 )
 
     schema = ", ".join(["features array<long>", "measures array<double>", "fold int", f"_id {rows.schema['_id'].dataType.simpleString()}", *[f"{y} double" for y in names]])
-    # the bounded sample, in an order that does not depend on its partitions
-    table = rows.select("text", "fold", "_id", *names).mapInArrow(design, schema).toPandas().sort_values("_id", kind="stable")
-    return _train(table, names, [n for n, _, _ in categories], features, folds)
+    designed = rows.select("text", "fold", "_id", *names).mapInArrow(design, schema)
+
+    def train(batches):
+        table = pa.Table.from_batches(list(batches)).sort_by("_id")  # an order that does not depend on partitions
+        lists = [table.column(c).combine_chunks() for c in ("features", "measures")]
+        counts = np.diff(lists[0].offsets.to_numpy())
+        targets = [table.column(y).to_numpy() > 0 for y in names]
+        weights, thresholds = _train(
+            np.repeat(np.arange(len(counts)), counts), lists[0].flatten().to_numpy(), lists[1].flatten().to_numpy().reshape(len(counts), -1),
+            table.column("fold").to_numpy(), targets, len(shared.value), folds,
+        )
+        yield pa.RecordBatch.from_arrays([pa.array([[w.tolist() for w in weights]]), pa.array([thresholds])], names=["weights", "thresholds"])
+
+    # the sample is bounded, so one task holds it; only the weights reach the driver
+    chain_names = [n for n, _, _ in categories]
+    fitted = designed.repartition(1).mapInArrow(train, "weights array<array<double>>, thresholds array<double>").collect() if whole["n"] else []
+    if not fitted:
+        nothing = _train(np.zeros(0, int), np.zeros(0, int), np.zeros((0, MEASURES)), np.zeros(0, int), [np.zeros(0, bool)] * len(names), len(features), folds)
+        return Chain(chain_names, features, *nothing)
+    return Chain(chain_names, features, [np.array(w) for w in fitted[0]["weights"]], list(fitted[0]["thresholds"]))
 
 
 def _association(n, yes, total: float, total_yes: float):
@@ -202,25 +220,20 @@ def _association(n, yes, total: float, total_yes: float):
     return 2 * (parts[0] + parts[1] + parts[2] + parts[3]) if 0 < share < 1 else F.lit(0.0)
 
 
-def _train(table, names, categories, features, folds: int) -> Chain:
-    counts = np.array([len(x) for x in table["features"]], np.int64)
-    rows = np.repeat(np.arange(len(table)), counts)
-    columns = np.concatenate([np.zeros(0, np.int64), *table["features"]]).astype(np.int64)
-    dense = np.array(table["measures"].tolist()).reshape(len(table), -1) if len(table) else np.zeros((0, 3))
-    fold = table["fold"].to_numpy()
+def _train(rows, columns, dense, fold, targets, n_features: int, folds: int) -> tuple[list[np.ndarray], list[float]]:
+    """Weights and threshold of each category in turn; ``rows`` and ``columns`` are the sparse 0/1 features."""
     weights, thresholds = [], []
-    for y in names:
-        target = table[y].to_numpy() > 0
-        apart = np.zeros(len(table))
+    for target in targets:
+        apart = np.zeros(len(dense))
         for k in range(folds):
             own = fold == k
             if own.any():
-                model = _fit(rows, columns, len(features), dense, target, ~own)
-                apart[own] = _scores(rows, columns, len(features), dense, model)[own]
-        weights.append(_fit(rows, columns, len(features), dense, target, np.ones(len(table), bool)))
+                model = _fit(rows, columns, n_features, dense, target, ~own)
+                apart[own] = _scores(rows, columns, n_features, dense, model)[own]
+        weights.append(_fit(rows, columns, n_features, dense, target, np.ones(len(dense), bool)))
         thresholds.append(_threshold(apart, target))
         dense = np.concatenate((dense, apart[:, None]), axis=1)
-    return Chain(list(categories), features, weights, thresholds)
+    return weights, thresholds
 
 
 def toxicity(docs: DataFrame, chain: Chain, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
