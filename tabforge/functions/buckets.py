@@ -82,7 +82,7 @@ def with_bucket(df: DataFrame, value: Column, edges: list[float], out: str) -> D
         splits=[-math.inf, *edges, math.inf], inputCol=probe, outputCol=out + "_d", handleInvalid="keep"
     )
     cut = cutter.transform(df.withColumn(probe, value))
-    return cut.withColumn(out, F.col(out + "_d").cast("int")).drop(probe, out + "_d")
+    return cut.withColumn(out, F.coalesce(F.col(out + "_d").cast("int"), F.lit(len(edges) + 1))).drop(probe, out + "_d")
 
 
 def bucket_of(value: float, edges: list[float]) -> int:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fitting as fit
-from ..schema import column_roles, q_col
+from ..schema import column_roles, known
 from .isolation import fit_isolation
 
 DEFAULT_THRESHOLD = {"iqr": 1.5, "zscore": 3.0, "iforest": 0.5}
@@ -22,7 +22,7 @@ def outlier_flag(
     if method not in DEFAULT_THRESHOLD:
         raise ValueError(f"unknown outlier method {method!r}")
     limit = DEFAULT_THRESHOLD[method] if threshold is None else threshold
-    x = q_col(column)
+    x = known(df, column)
     if method == "iqr":
         q1, q3 = fit.column_statistics(df, {}, {column: [0.25, 0.75]})[column]["quantiles"]
         if q1 is None:
