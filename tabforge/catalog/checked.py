@@ -166,7 +166,7 @@ def kfold_missing_keys(spark, folder):
 
 @query("row_numbers_by_text", "SELECT c_custkey, row_number() OVER (ORDER BY c_name, c_custkey) - 1 AS row_number FROM customer")
 def row_numbers_by_text(spark, folder):
-    return row_numbers(table(spark, folder, "customer", ("c_custkey", "c_name")), ["c_name", "c_custkey"])
+    return row_numbers(table(spark, folder, "customer", ("c_custkey", "c_name")), ["c_name", "c_custkey"]).drop("c_name")
 
 
 @query("encode_onehot_vector", """SELECT p_partkey, code AS place FROM part JOIN (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code

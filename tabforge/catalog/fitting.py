@@ -103,7 +103,7 @@ def _filled(spark, folder, rule, order_by):
 
 @query(
     "fill_from_batch",
-    f"""SELECT o_orderkey, coalesce(o_totalprice, (SELECT quantile_cont(o_totalprice, 0.5) FROM {ORDERS} WHERE o_orderstatus = 'F'))
+    f"""SELECT o_orderkey::DOUBLE AS o_orderkey, coalesce(o_totalprice, (SELECT quantile_cont(o_totalprice, 0.5) FROM {ORDERS} WHERE o_orderstatus = 'F'))
     AS o_totalprice, coalesce(o_custkey::DOUBLE, (SELECT quantile_cont(o_custkey, 0.5) FROM {ORDERS} WHERE o_orderstatus = 'O')) AS o_custkey
     FROM {ORDERS} WHERE o_orderstatus = 'O'""",
 )
