@@ -30,10 +30,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth of the words stand in benchmark windows."""
-    from tabforge.llm.contamination import uncontaminated
+    """Documents of which less than a twentieth of the words stand in benchmark windows, without those words."""
+    from tabforge.llm.contamination import decontaminated
 
-    return uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

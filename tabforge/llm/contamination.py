@@ -12,6 +12,8 @@ automaton, which works on the exact words, so no hash collision can make a hit.
 Items go in blocks of bounded size; each block is one automaton and one pass over the documents, so the
 automaton that tasks hold does not grow with the benchmark. Long items are cut into pieces that overlap by a
 window less one word, which keeps every window.
+
+Documents of which a twentieth is hit go as a whole. Out of the others the hit stretches beyond stated limits are cut.
 """
 
 from __future__ import annotations
@@ -29,6 +31,9 @@ from .words import Words, flat, gram, slices, unused, words_of
 WINDOW = 13
 BLOCK_WORDS = 60_000
 PIECE_WORDS = 20_000
+# Hit stretches of more words go, and all of a text's from this share of its words on
+MOST_WORDS = 0
+SHARE = 0.05
 SPAN = "array<struct<start:long,stop:long>>"
 
 
@@ -302,3 +307,70 @@ def uncontaminated(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_
     own_id, own_print = unused(docs.columns, "_id", "_print")
     bad = found.where(is_contaminated()).select(F.col(doc_id).alias(own_id), F.col("text_print").alias(own_print)).distinct()
     return docs.join(bad, F.col(doc_id).eqNullSafe(F.col(own_id)) & (F.xxhash64(F.col(text)) == F.col(own_print)), "left_anti")
+
+
+def without_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """All rows of ``docs``, their texts without the stretches of hit words that are beyond the limits.
+
+    A stretch goes if it has more than ``most_words`` words, or if the hit words are at least ``share`` of the text's. What
+    a cut brings together is judged again, so no stretch beyond the limits is left. Other texts stay as they are;
+    a column ``length`` (characters) follows the cut text where there is one.
+    """
+    return _cleaned(docs, benchmark, drop=False, **options)
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """What :func:`uncontaminated` keeps, its texts cut as by :func:`without_spans`; one scan of ``docs`` serves both."""
+    return _cleaned(docs, benchmark, drop=True, **options)
+
+
+def _cleaned(
+    docs: DataFrame, benchmark: DataFrame, *, drop: bool, doc_id: str = "doc_id", text: str = "text", length: str = "n_chars",
+    most_words: int = MOST_WORDS, share: float = SHARE, **options,
+) -> DataFrame:
+    own_id, own_print, bad, cuts = unused(docs.columns, "_id", "_print", "_bad", "_cuts")
+    same = F.col(doc_id).eqNullSafe(F.col(own_id)) & (F.xxhash64(F.col(text)) == F.col(own_print))
+    covered = F.col("n_hit") >= share * F.col("n_words")
+    over = F.filter(merged("spans"), lambda s: covered | (s["stop"] - s["start"] > most_words))
+    done, rows = [], docs
+    while True:  # after the first round only the rows that were cut
+        found = contaminated_words(rows, benchmark, doc_id=doc_id, text=text, **options).where("n_hit > 0").select(
+            F.col(doc_id).alias(own_id), F.col("text_print").alias(own_print), (is_contaminated() if drop else F.lit(False)).alias(bad), over.alias(cuts)
+        )
+        found = stored(found.where(F.col(bad) | (F.size(cuts) > 0)).distinct())
+        if found.isEmpty():
+            return reduce(DataFrame.unionAll, [*done, rows])
+        done.append(rows.join(found, same, "left_anti"))
+        hit = rows.join(found.where(~F.col(bad)), same).select(*[F.col(f"`{c}`") for c in docs.columns], cuts)
+        rows, drop = stored(_cut_spans(hit, text, length, docs.schema)), False
+
+
+def _cut_spans(hit: DataFrame, text: str, length: str, schema) -> DataFrame:
+    """The rows without the stretches of words that their last column lists."""
+    at = schema.names.index(text)
+    sized = schema.names.index(length) if length in schema.names else None
+
+    def run(batches):
+        for batch in batches:
+            columns = batch.columns[:-1]
+            out = [_without(one, spans) for one, spans in zip(columns[at].to_pylist(), batch.column(len(columns)).to_pylist())]
+            columns[at] = pa.array(out, columns[at].type)
+            if sized is not None:
+                columns[sized] = pa.array([len(x) for x in out], pa.int64()).cast(columns[sized].type)
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return hit.mapInArrow(run, schema)
+
+
+def _without(text: str, spans: list[dict]) -> str:
+    """The text from each stretch's first word to its last cut out; of the blanks on both sides, those before it stay."""
+    words, raw = Words(*flat(pa.array([text], pa.string()))), text.encode()
+    kept, begin = [], 0
+    for span in spans:
+        a, b = int(words.start[span["start"]]), int(words.end[span["stop"] - 1])
+        kept.append(raw[begin:a])
+        if not a or raw[a - 1 : a].isspace():
+            while raw[b : b + 1] in (b" ", b"\t"):
+                b += 1
+        begin = b
+    return b"".join([*kept, raw[begin:]]).decode()

@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 
 import brute
+import corpus_pipeline
 from conftest import pairs
-from tabforge.llm.contamination import contaminated_words, is_contaminated, uncontaminated
+from tabforge.llm.contamination import contaminated_words, decontaminated, is_contaminated, uncontaminated, without_spans
 from tabforge.llm.licenses import BASE, license_summary
 from pyspark.sql import functions as F
 
@@ -58,6 +59,44 @@ def test_contamination_of_and_by_nothing(spark, hard, nothing):
     assert contaminated_words(hard, none).where("n_hit > 0").count() == 0 and uncontaminated(hard, none).count() == hard.count()
 
 
+PASSAGE = " ".join(f"q{i}" for i in range(14))
+FILL = " ".join(f"f{i}" for i in range(400))
+
+
+@pytest.mark.parametrize("block_words", [60_000, 30])
+def test_spans_are_cut_from_what_stays(spark, block_words):
+    items = spark.createDataFrame([(1, PASSAGE), (2, " ".join(f"r{i}" for i in range(13))), (3, "Only two")], "item_id long, text string")
+    nested = PASSAGE.replace("q7", " ".join(f"r{i}" for i in range(13)) + " q7")  # the cut brings an item together
+    rows = [
+        (1, f"Start: {PASSAGE.upper()}, é end. {FILL}"), (2, f"{FILL}\n{PASSAGE}"), (2, f"{FILL}\n{PASSAGE}"), (3, PASSAGE), (4, FILL), (5, None),
+        (None, f"{nested} {FILL} {FILL}"), (6, f"{FILL} only. TWO é {PASSAGE} x"),
+    ]
+    df = spark.createDataFrame([(*r, len(r[1] or ""), 7) for r in rows], "doc_id long, text string, n_chars int, _cuts int")
+    got = without_spans(df, items, block_words=block_words)
+    assert got.schema == df.schema and got.where("n_chars <> length(coalesce(text, ''))").count() == 0
+    whole = Counter(pairs(got))
+    assert whole == Counter([(1, f"Start: , é end. {FILL}"), (2, f"{FILL}\n"), (2, f"{FILL}\n"), (3, ""), (4, FILL), (5, None), (None, f"{FILL} {FILL}"), (6, f"{FILL} é x")])
+    assert contaminated_words(got, items).where("n_hit > 0").count() == 0
+    # the verdict is on the given texts: what it rejects goes, the rest is cut
+    kept = {d for d, _ in pairs(uncontaminated(df, items))}
+    assert kept == {1, 2, 4, 5, None, 6}
+    assert Counter(pairs(decontaminated(df, items, block_words=block_words))) == Counter({r: n for r, n in whole.items() if r[0] in kept})
+
+
+def test_limits_of_spans(spark):
+    items = spark.createDataFrame([(1, PASSAGE), (2, "only two")], "item_id long, text string")
+    df = spark.createDataFrame([(1, f"{FILL} only two {PASSAGE} x only two"), (2, "a only two"), (3, f"only two {FILL}")], "doc_id long, text string")
+    got = dict(pairs(without_spans(df, items, most_words=2)))
+    assert got == {1: f"{FILL} x only two", 2: "a ", 3: f"only two {FILL}"}
+
+
+def test_stage_leaves_no_benchmark_passage(spark, tmp_path):
+    spark.createDataFrame([(1, PASSAGE)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(1, f"{FILL} {PASSAGE} x", "en", "a", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    found = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, str(tmp_path))
+    assert found.columns == docs.columns and pairs(found) == [(1, f"{FILL} x")]
+
+
 # ---- licenses ----------------------------------------------------------------------------------------------------------------
 
 NOTICES = [
