@@ -50,28 +50,28 @@ def poly_ridge(spark, folder):
 
 @query("random_forest")
 def random_forest(spark, folder):
-    return _trained(spark, folder, "random_forest", n_estimators=20, max_depth=6)
+    return _trained(spark, folder, "random_forest")
 
 
 @query("random_forest_ml")
 def random_forest_ml(spark, folder):
-    settings = {"n_estimators": 20, "max_depth": 6, "min_samples_split": 4}
-    return _trained(spark, folder, "random_forest", backend="ml", **settings)
+    # Spark ML's forest has no min_samples_split: 4 is what min_samples_leaf 2 implies
+    return _trained(spark, folder, "random_forest", backend="ml", min_samples_split=4)
 
 
 @query("extra_trees")
 def extra_trees(spark, folder):
-    return _trained(spark, folder, "extra_trees", n_estimators=20, max_depth=7)
+    return _trained(spark, folder, "extra_trees")
 
 
 @query("boosted_trees")
 def boosted_trees(spark, folder):
-    return _trained(spark, folder, "boosted_trees", n_estimators=15, learning_rate=0.3)
+    return _trained(spark, folder, "boosted_trees")
 
 
 @query("boosted_early_stopping")
 def boosted_early_stopping(spark, folder):
-    return _trained(spark, folder, "boosted_trees", n_estimators=12, learning_rate=0.9, early_stopping_rounds=2)
+    return _trained(spark, folder, "boosted_trees", early_stopping_rounds=2)
 
 
 def _run(spark, folder) -> TrainingRun:
@@ -87,40 +87,35 @@ def _trained(spark, folder, name, **params):
 
 @query("train_and_rank")
 def train_and_rank(spark, folder):
-    return rs.comparison(_small_run(spark, folder).results_frame()).drop("hyperparams")
+    return rs.comparison(_all_four(spark, folder).results_frame()).drop("hyperparams")
 
 
 @query("feature_importance")
 def feature_importance(spark, folder):
-    run = _small_run(spark, folder)
+    run = _all_four(spark, folder)
     return rs.importance_table(spark, run.models["extra_trees"])
 
 
 @query("importance_comparison")
 def importance_comparison(spark, folder):
-    return _small_run(spark, folder).compare_importances()
+    return _all_four(spark, folder).compare_importances()
 
 
-def _small_run(spark, folder):
-    settings = {
-        "polynomial": {},
-        "random_forest": {"n_estimators": 5, "max_depth": 5},
-        "extra_trees": {"n_estimators": 10, "max_depth": 5},
-        "boosted_trees": {"n_estimators": 6, "learning_rate": 0.3, "max_depth": 3},
-    }
-    return _run(spark, folder).train_all(list(settings), hyperparams=settings, feature_subset=["l_extendedprice", "l_discount"])
+def _all_four(spark, folder):
+    names = ["polynomial", "random_forest", "extra_trees", "boosted_trees"]
+    return _run(spark, folder).train_all(names, feature_subset=["l_extendedprice", "l_discount"])
 
 
 @query("search_ridge")
 def search_ridge(spark, folder):
     train, _ = sp.train_test_split(_lines(spark, folder), KEY)
-    found = se.search(get_trainer("polynomial"), train, FEATURES, "revenue", KEY, n_trials=2, k=3)
+    found = se.search(get_trainer("polynomial"), train, FEATURES, "revenue", KEY)
     return se.best_trial(found.trials).select("trial", "rmse")
 
 
 @query("cross_validation")
 def cross_validation(spark, folder):
-    value = se.cross_validate(get_trainer("polynomial"), _lines(spark, folder), FEATURES, "revenue", KEY, k=5, degree=1)
+    value = se.cross_validate(get_trainer("polynomial"), _lines(spark, folder), FEATURES, "revenue", KEY, k=5)
     return spark.createDataFrame([(value,)], "rmse double")
 
 

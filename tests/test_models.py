@@ -300,3 +300,39 @@ def test_ordered_fills_are_refused_on_streams(spark, sample, tmp_path):
     df.drop("y").write.parquet(str(tmp_path / "in"))
     with pytest.raises(ValueError, match="stream"):
         fitted.transform(read_stream(spark, str(tmp_path / "in"), df.drop("y").schema))
+
+
+def test_model_queries_run_at_the_default_settings(spark, monkeypatch):
+    from tabforge.catalog import QUERIES
+
+    seen, folds = [], []
+
+    class Trained(Exception):
+        pass
+
+    def train_one(self, name, feature_subset=None, **params):
+        seen.append((name, {k: v for k, v in params.items() if TRAINERS[name].defaults.get(k) != v}))
+
+    def no_results(self):
+        raise Trained
+
+    monkeypatch.setattr(TrainingRun, "train_one", train_one)
+    monkeypatch.setattr(TrainingRun, "results_frame", no_results)
+    monkeypatch.setattr(TrainingRun, "compare_importances", no_results)
+    monkeypatch.setattr(se, "fold_error", lambda trainer, folded, fold, features, target, key, params, seed: folds.append((fold, params)) or 1.0)
+    folder = "/root/testdata/sf0.001"
+    for name in ("random_forest", "random_forest_ml", "extra_trees", "boosted_trees", "boosted_early_stopping", "train_and_rank", "importance_comparison"):
+        with pytest.raises(Trained):
+            QUERIES[name](spark, folder)
+    with pytest.raises(KeyError):  # no model was kept
+        QUERIES["feature_importance"](spark, folder)
+    four = [(n, {}) for n in ("polynomial", "random_forest", "extra_trees", "boosted_trees")]
+    assert seen == [
+        ("random_forest", {}), ("random_forest", {"backend": "ml", "min_samples_split": 4}), ("extra_trees", {}), ("boosted_trees", {}),
+        ("boosted_trees", {"early_stopping_rounds": 2}), *four, *four, *four,
+    ]
+    QUERIES["cross_validation"](spark, folder)
+    assert sorted(f for f, _ in folds) == [0, 1, 2, 3, 4] and all(p == {} for _, p in folds)
+    folds.clear()
+    QUERIES["search_ridge"](spark, folder)
+    assert len(folds) == TRAINERS["polynomial"].trials * 5
