@@ -52,10 +52,31 @@ TAG = re.compile(
     r"""<!--(?:.*?--!?>|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S
 )
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-SIMPLE = re.compile(r"^(?:[a-zA-Z][\w-]*|[.#][\w-]+)$")
-NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
-VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+# style sheets: comments, what ends a part of a sheet (strings do not), selectors without combinators
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->", re.S)
+MARK = re.compile(r""""(?:\\.|[^"\\\n])*+"?|'(?:\\.|[^'\\\n])*+'?|\\.|[{};]""", re.S)
+COMMA = re.compile(r",(?![^()]*\))")
+COMPOUND = re.compile(r"(?:\*|[a-zA-Z][\w-]*)?(?:[.#](?:[\w-]|\\.)+)*")
+NAME = re.compile(r"[.#]?(?:[\w-]|\\.)+")
+DECLARED = re.compile(r"(display|visibility)\s*:\s*([a-z-]+)(?:\s+[a-z-]+)*\s*(!\s*important)?\s*", re.I)
+WITHIN = re.compile(r"\(\s*(min-|max-)?(width|height)\s*:\s*([\d.]+)(px|r?em)?\s*\)")
+BETWEEN = re.compile(r"\(\s*(?:([\d.]+)(px|r?em)?\s*([<>]=?)\s*)?(width|height)\s*(?:([<>]=?)\s*([\d.]+)(px|r?em)?\s*)?\)")
+VALUES = {
+    "display": frozenset(
+        "none block inline inline-block flex inline-flex grid inline-grid flow flow-root contents list-item ruby run-in math table inline-table table-row "
+        "table-cell table-caption table-column table-column-group table-row-group table-header-group table-footer-group initial inherit unset -webkit-box".split()
+    ),
+    "visibility": frozenset("visible hidden collapse initial inherit unset".split()),
+}
+# The screen that pages are read on, in CSS pixels, and what media queries ask of it
+SCREEN = {"width": 1280.0, "height": 800.0}
+MEDIA = {"screen": True, "all": True} | dict.fromkeys(
+    "(orientation:landscape) (prefers-color-scheme:light) (prefers-reduced-motion:no-preference) (hover:hover) (any-hover:hover) (hover) (pointer:fine) "
+    "(any-pointer:fine) (scripting:none) (color) (width) (height)".split(), True
+) | dict.fromkeys(
+    "(orientation:portrait) (prefers-color-scheme:dark) (prefers-reduced-motion:reduce) (prefers-reduced-motion) (hover:none) (any-hover:none) "
+    "(pointer:coarse) (pointer:none) (scripting:enabled) (monochrome)".split(), False
+)
 SPACE = re.compile(r"[ \t\n\r\f\v]+")
 
 
@@ -148,21 +169,139 @@ def _end(path: list[Element], tag: str) -> None:
 # ---- what shows ----------------------------------------------------------------------------------------------------------
 
 
-def _styles(root: Element) -> tuple[set[str], set[str]]:
-    """Simple selectors (a tag, a class or an id) that style sheets of the page do not display, or make invisible."""
-    gone, unseen = set(), set()
-    todo = [root]
-    while todo:
-        element = todo.pop()
-        if element.tag == "style" and element.children and isinstance(element.children[0], str):
-            for selectors, body in RULE.findall(element.children[0]):
-                none, seen = NOT_SHOWN.search(body), VISIBILITY.search(body)
-                if none or seen:
-                    simple = {s.strip() for s in selectors.split(",") if SIMPLE.match(s.strip())}
-                    gone |= simple if none else set()
-                    unseen |= simple if seen and seen[1].lower() != "visible" else set()
-        todo += [c for c in element.children if not isinstance(c, str)]
-    return gone, unseen
+def _pixels(number: str, unit: str | None) -> float:
+    try:
+        return float(number) * (16 if unit in ("em", "rem") else 1)
+    except ValueError:
+        return float("nan")
+
+
+def _holds(part: str) -> bool | None:
+    """Whether a media type or feature holds on the screen; None: not known."""
+    if (known := MEDIA.get(SPACE.sub("", part))) is not None:
+        return known
+    if m := WITHIN.fullmatch(part):
+        have, asked = SCREEN[m[2]], _pixels(m[3], m[4])
+        return have >= asked if m[1] == "min-" else have <= asked if m[1] else have == asked
+    if m := BETWEEN.fullmatch(part):
+        less = {"<": float.__lt__, "<=": float.__le__, ">": float.__gt__, ">=": float.__ge__}
+        have = SCREEN[m[4]]
+        return (not m[3] or less[m[3]](_pixels(m[1], m[2]), have)) and (not m[5] or less[m[5]](have, _pixels(m[6], m[7])))
+    return False if re.fullmatch(r"[a-z-]+", part) else None
+
+
+def on_screen(media: str) -> bool:
+    """Whether a list of media queries applies to the screen. A query that asks what is not known does not apply."""
+    if not media.strip():
+        return True
+    for one in COMMENT.sub(" ", media).lower().split(","):
+        words = re.sub(r"^\s*only\s", "", one).strip()
+        refused = re.match(r"not\s", words)
+        found = [_holds(part.strip()) for part in re.split(r"\sand(?=[\s(])|(?<=\))and(?=[\s(])", words[refused.end() :] if refused else words)]
+        if None not in found and all(found) != bool(refused):
+            return True
+    return False
+
+
+def _applies(rule: str) -> bool:
+    """Whether the rules in the block of an at-rule apply."""
+    name, _, condition = rule[1:].replace("(", " (", 1).partition(" ")
+    name = name.strip().lower()
+    if name == "media":
+        return on_screen(condition)
+    return name == "layer" or (name == "supports" and not condition.strip().lower().startswith("not"))
+
+
+def _rules(css: str):
+    """(selectors, declarations) of each style rule that applies, in order. Rules nested in a style rule are left out."""
+    css = COMMENT.sub(" ", css)
+    opened: list = []  # True: rules that apply, False: what is skipped, a list: the declarations of a rule
+    begin = 0
+    for mark in MARK.finditer(css):
+        if mark[0] not in ("{", "}", ";"):
+            continue
+        text, inside = css[begin : mark.start()].strip(), opened[-1] if opened else True
+        if mark[0] == ";" and inside is True and not text.startswith("@"):
+            continue
+        begin = mark.end()
+        if mark[0] == "{":
+            if inside is True:
+                opened.append(_applies(SPACE.sub(" ", text)) if text.startswith("@") else [text])
+            else:
+                opened.append(False)
+            continue
+        if isinstance(inside, list):
+            inside.append(text)
+        if mark[0] == "}" and opened:
+            opened.pop()
+            if isinstance(inside, list):
+                yield inside[0], inside[1:]
+    for rule in opened:  # the end of a sheet closes what is open
+        if isinstance(rule, list):
+            yield rule[0], [*rule[1:], *([css[begin:].strip()] if rule is opened[-1] else [])]
+
+
+def _declared(parts: list[str]) -> dict[str, tuple[bool, str]]:
+    """display and visibility as (important, value)."""
+    out: dict[str, tuple[bool, str]] = {}
+    for part in parts:
+        m = DECLARED.fullmatch(part.strip())
+        if m and m[2].lower() in VALUES[m[1].lower()]:
+            name, found = m[1].lower(), (bool(m[3]), m[2].lower())
+            if found[0] or not out.get(name, found)[0]:
+                out[name] = found
+    return out
+
+
+class Styles:
+    """What the style sheets of a page, in order, and style attributes declare of an element.
+
+    Selectors of tags, classes and ids without combinators count; important, style attribute, specificity and order decide.
+    """
+
+    def __init__(self, root: Element):
+        self.rules: dict[str, list[tuple]] = {}
+        self.known: dict[tuple, dict[str, tuple]] = {}
+        number, todo = 0, [root]
+        while todo:
+            element = todo.pop()
+            a = element.attributes
+            if element.tag == "style" and element.children and on_screen(a.get("media", "")) and a.get("type", "").strip().lower() in ("", "text/css"):
+                for selectors, body in _rules("".join(c for c in element.children if isinstance(c, str))):
+                    declared = _declared(body)
+                    for selector in map(str.strip, COMMA.split(selectors) if declared else ()):
+                        if selector and COMPOUND.fullmatch(selector):
+                            self._add(selector, declared, number)
+                            number += 1
+            if element.tag != "template":
+                todo += [c for c in reversed(element.children) if not isinstance(c, str)]
+
+    def _add(self, selector: str, declared: dict, number: int) -> None:
+        names = [re.sub(r"\\(.)", r"\1", n if n[0] in ".#" else n.lower()) for n in NAME.findall(selector)]
+        weight = (sum(n[0] == "#" for n in names), sum(n[0] == "." for n in names), sum(n[0] not in ".#" for n in names))
+        found = {name: ((important, False, weight, number), value) for name, (important, value) in declared.items()}
+        self.rules.setdefault(min(names, default="*"), []).append((frozenset(names), found))
+
+    def of(self, element: Element) -> dict[str, str]:
+        """The values of display and visibility that are declared."""
+        a = element.attributes
+        won: dict[str, tuple] = {}
+        if self.rules:
+            key = (element.tag, a.get("class"), a.get("id"))
+            if key not in self.known:
+                names = _names(element)
+                for name in (*names, "*"):
+                    for wanted, found in self.rules.get(name, ()):
+                        if wanted <= names:
+                            for what, one in found.items():
+                                won[what] = max(won.get(what, one), one)
+                self.known[key] = won
+            won = dict(self.known[key])
+        if "style" in a:
+            for what, (important, value) in _declared(COMMENT.sub(" ", a["style"]).split(";")).items():
+                one = ((important, True, (0, 0, 0), 0), value)
+                won[what] = max(won.get(what, one), one)
+        return {what: value for what, (_, value) in won.items()}
 
 
 def _names(element: Element) -> set[str]:
@@ -174,15 +313,14 @@ def _names(element: Element) -> set[str]:
     return own
 
 
-def _shown(element: Element, gone: set[str]) -> bool:
+def _shown(element: Element, display: str | None) -> bool:
+    """``display``: what is declared of the element, which goes before the attribute ``hidden``."""
     a = element.attributes
-    if element.tag in HIDDEN or ("hidden" in a and a["hidden"].lower() != "until-found"):
-        return False
-    if element.tag == "dialog" and "open" not in a:
-        return False
-    if "style" in a and NOT_SHOWN.search(a["style"]):
+    if element.tag in HIDDEN:
         return False
-    return not (gone and gone & _names(element))
+    if display:
+        return display != "none"
+    return not ("hidden" in a and a["hidden"].lower() != "until-found") and (element.tag != "dialog" or "open" in a)
 
 
 # ---- layout ------------------------------------------------------------------------------------------------------------------
@@ -315,7 +453,7 @@ class _Table:
 
 
 def render(root: Element) -> str:
-    gone, unseen = _styles(root)
+    styles = Styles(root)
     flows, tables, lists = [Page()], [], []
     # (element, next child, visible, preformatted, what to do at the end)
     stack: list[list] = [[root, 0, True, False, None]]
@@ -335,13 +473,14 @@ def render(root: Element) -> str:
             if visible and not closed and (not tables or tables[-1][1] != len(flows) or child.strip()):
                 page.raw(child.removeprefix("\n") if at == 0 and element.tag == "pre" else child) if pre else page.text(child)
             continue
-        if not _shown(child, gone):
+        style = styles.of(child)
+        if not _shown(child, style.get("display")):
             continue
         tag = child.tag
         if closed and tag != "summary":
             continue
-        style = VISIBILITY.search(child.attributes["style"]) if "style" in child.attributes else None
-        seen = style[1].lower() == "visible" if style else visible and not (unseen and unseen & _names(child))
+        own = style.get("visibility", "inherit")
+        seen = visible if own in ("inherit", "unset") else own in ("visible", "initial")
         if tag == "br":
             if seen:
                 page.br()

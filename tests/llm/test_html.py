@@ -41,6 +41,41 @@ def test_layout(html):
     assert visible_text(html) == CASES[html]
 
 
+NOTE = "<p class='note q' id=n>a</p>"
+SHEETS = {  # whether the note shows
+    ".note{display:none}": False, ".other{display:none}": True, "P.note.q#n{display:none}": False, "p.x{display:none}": True, "*{visibility:hidden}": False,
+    "@media print{.note{display:none}}": True, "@media screen{.note{display:none}}": False, "@media only screen and (min-width: 40em){.note{display:none}}": False,
+    "@media (max-width:600px){.note{display:none}}": True, "@media (width <= 600px){.note{display:none}}": True, "@media(400px<width){.note{display:none}}": False,
+    "@media print, (min-width:1px){.note{display:none}}": False, "@media not print{.note{display:none}}": False, "@media not screen{.note{display:none}}": True,
+    "@media (some-new:thing){.note{display:none}}": True, "@media print{a{b:c}} .note{display:none}": False, "@media print{a{b:c}.note{display:none}}": True,
+    "@media print{a{b:'}'}.note{display:none}}": True, "@media screen{@media print{.note{display:none}}}": True, "@supports (display:grid){.note{display:none}}": False,
+    "@import url(x.css); .note{display:none}": False, "@font-face{a:b}.note{display:none}": False, "/* .note{display:none} */": True, "/*.note{display:none}": True,
+    "<!-- .note{display:none} -->": False, ".note{/*x*/display:/**/none}": False, ".note{display:none": False, "@media print{.note{display:none": True,
+    ".note{display:none} .note{display:block}": True, ".note{display:block} .note{display:none}": False, ".note{display:none} p{display:block}": False,
+    "#n{display:block} .note{display:none}": True, ".note{display:none!important} .note{display:block}": False, ".note{display:none;display:flex}": True,
+    ".note{display:none} .note.q{display:block}": True, ".note{display:none} @media print{.note{display:block}}": False, ".x{.note{display:none}}": True,
+    ".note{visibility:hidden} .q{visibility:visible}": True, ".note{display:none;display:nonsense}": False, ":is(.x, .note, .y) b{display:none}": True,
+}
+
+
+@pytest.mark.parametrize("css", SHEETS)
+def test_rules_of_style_sheets(css):
+    assert visible_text(f"<style>{css}</style>{NOTE}") == ("a" if SHEETS[css] else "")
+
+
+def test_sheets_and_attributes():
+    rule = ".note{display:none}"
+    assert visible_text(f"<style media=print>{rule}</style>{NOTE}") == "a" and visible_text(f"<style media='screen, print'>{rule}</style>{NOTE}") == ""
+    assert visible_text(f"<style>{rule}</style><style>p.note{{display:block}}</style>{NOTE}") == "a"
+    assert visible_text(f"<style>p.note{{display:block}}</style><style>{rule}</style>{NOTE}") == "a"
+    assert visible_text(f"<style>.note{{display:block}}</style><style>{rule}</style>{NOTE}") == ""
+    assert visible_text(f"<style>{rule}</style><p class=note style='display:block'>a<i style='display:none'>b</i>") == "a"
+    assert visible_text("<style>.note{display:none!important}</style><p class=note style='display:block'>a") == ""
+    assert visible_text("<style>.note{visibility:hidden}</style><p class=note>a<b style='visibility:visible'>b</b><p class=note style='visibility:visible'>c") == "b\n\nc"
+    assert visible_text("<style>.on{display:block}</style><p hidden>a<p hidden class=on>b") == "b"
+    assert visible_text("<style>" + "@media screen{" * 20_000 + ".x{display:none}</style><p class=x>a<p>b") == "b"
+
+
 def test_deep_and_long_pages():
     assert visible_text("<div>" * 50_000 + "x") == "x"
     assert len(visible_text("<ul><li>a" * 3_000).splitlines()) == 3_000
