@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import checkpoint_dir
 from .licenses import DRIFT, SHARE, gram_rows
+from .quality import BUCKETS, LEAST_WORDS, LOSE, MOST_REPEATED, PAIR, SPREAD
+from .words import ODD
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -80,8 +82,8 @@ HASHED = "CAST('0x' || substr(md5(concat_ws(':', {}, '17')), 1, 13) AS BIGINT)"
         FROM caps WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
     level AS (SELECT room / rest AS e FROM steps WHERE room / rest <= cap / w ORDER BY cap / w LIMIT 1),
     aims AS (SELECT source, source_size, least(cap, w * (SELECT e FROM level)) AS target FROM caps),
-    dealt AS (SELECT doc_id, size, source_size, target, source, at, at % CAST(greatest(1, ceil(source_size / 200000)) AS BIGINT) AS shard
-        FROM (SELECT *, {HASHED.format("coalesce(CAST(doc_id AS VARCHAR), '')")} AS at FROM s) JOIN aims USING (source)),
+    dealt AS (SELECT doc_id, size, source_size, target, source, place, place % CAST(greatest(1, ceil(source_size / 200000)) AS BIGINT) AS shard
+        FROM (SELECT *, {HASHED.format("coalesce(CAST(doc_id AS VARCHAR), '')")} AS place FROM s) JOIN aims USING (source)),
     shards AS (SELECT source, shard, sum(size) AS words, CAST(ceil(sum(size) / 64) AS BIGINT) AS blocks, first(target) AS target, first(source_size) AS source_size
         FROM dealt GROUP BY source, shard),
     parties AS (SELECT *, CASE WHEN source_size > 0 THEN target * blocks / source_size ELSE 0 END AS votes FROM shards),
@@ -92,7 +94,7 @@ HASHED = "CAST('0x' || substr(md5(concat_ws(':', {}, '17')), 1, 13) AS BIGINT)"
     runs AS (SELECT source, shard, quota // blocks AS rounds, CAST(floor(f * words / blocks) AS BIGINT) AS a,
         CAST(floor(least(blocks, f + quota % blocks) * words / blocks) AS BIGINT) AS b,
         CAST(floor(greatest(0, f + quota % blocks - blocks) * words / blocks) AS BIGINT) AS c FROM quotas WHERE blocks > 0),
-    laid AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY at, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS p FROM dealt)
+    laid AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS p FROM dealt)
     SELECT doc_id, size, source_size, target, CAST(coalesce(rounds * size + greatest(0, least(p + size, b) - greatest(p, a)) + greatest(0, least(p + size, c) - p), 0) AS BIGINT) AS taken
     FROM laid LEFT JOIN runs USING (source, shard)""")
 def source_mixing(spark, folder):
@@ -125,8 +127,8 @@ def _license_sql() -> str:
     return f"""
     WITH d AS ({WORD_LISTS}), t(template, label, base, place, n_grams, size, g) AS (VALUES {grams}),
     sizes AS (SELECT DISTINCT size FROM t),
-    own AS (SELECT doc_id, size, i - 1 AS at, array_to_string(w[i:i + size - 1], ' ') AS g FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS r(i)),
-    lines AS (SELECT doc_id, template, label, base, n_grams, at - place AS diagonal, count(DISTINCT place) AS votes, min(at) AS a
+    own AS (SELECT doc_id, size, i - 1 AS spot, array_to_string(w[i:i + size - 1], ' ') AS g FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS r(i)),
+    lines AS (SELECT doc_id, template, label, base, n_grams, spot - place AS diagonal, count(DISTINCT place) AS votes, min(spot) AS a
         FROM own JOIN t USING (size, g) GROUP BY ALL),
     marked AS (SELECT *, CASE WHEN base OR coalesce(diagonal - lag(diagonal) OVER same > {DRIFT}, true) THEN 1 ELSE 0 END AS fresh
         FROM lines WINDOW same AS (PARTITION BY doc_id, template ORDER BY diagonal)),
@@ -175,3 +177,39 @@ def html_text(spark, folder):
     from .html import extract_text
 
     return extract_text(table(spark, folder, "pages"))
+
+
+TWO_64 = 1 << 64
+WORD = f"list_reduce(list_transform(list_reverse(regexp_extract_all(hex(encode(g)), '..')), lambda b: CAST('0x' || b AS INTEGER)::UHUGEINT + 1), lambda a, b: (a * {ODD} + b) % {TWO_64})"
+
+
+@query("op12_quality_rules", f"""
+    WITH d AS (SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    codes AS (SELECT g, {WORD} AS h FROM (SELECT DISTINCT unnest(w) AS g FROM d)),
+    words AS (SELECT nr, i, w[i] AS g FROM d, unnest(range(1, len(w) + 1)) AS r(i)),
+    hashed AS (SELECT nr, h, lead(h) OVER (PARTITION BY nr ORDER BY i) AS following FROM words JOIN codes USING (g)),
+    grams AS (SELECT nr, h AS k FROM hashed UNION ALL SELECT nr, (h * {PAIR} + following) % {TWO_64} FROM hashed WHERE following IS NOT NULL),
+    cells AS (SELECT nr, k * {SPREAD} % {TWO_64} // {TWO_64 // BUCKETS} AS bucket, count(*)::DOUBLE AS n FROM grams GROUP BY ALL),
+    sizes AS (SELECT nr, sum(n) AS size, nr IN (SELECT nr FROM d WHERE doc_id IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING max(quality) = 1)) AS good FROM cells GROUP BY nr),
+    sums AS (SELECT bucket, sum(n) AS r, coalesce(sum(n) FILTER (good), 0) AS t FROM cells JOIN sizes USING (nr) GROUP BY bucket),
+    whole AS (SELECT sum(r) AS all_r, sum(t) AS all_t FROM sums),
+    scores AS (SELECT nr, any_value(good) AS good,
+        sum(n * ln((t + 1) / ((r - n) * (all_t / greatest(all_r - size, 1)) + 1))) / any_value(size) AS score,
+        sum(n * ln((t - n + 1) / ((r - n) * ((all_t - size) / greatest(all_r - size, 1)) + 1))) FILTER (good) / any_value(size) AS left_out
+        FROM cells JOIN sizes USING (nr) JOIN sums USING (bucket), whole GROUP BY nr),
+    least AS (SELECT quantile_cont(left_out, {LOSE}) AS threshold FROM scores WHERE good),
+    windows AS (SELECT nr, i, array_to_string(w[i:i + 7], ' ') AS g FROM d, unnest(range(1, len(w) - 6)) AS r(i)),
+    again AS (SELECT nr, i FROM (SELECT nr, i, count(*) OVER (PARTITION BY nr, g) AS n FROM windows) WHERE n > 1),
+    places AS (SELECT nr, count(DISTINCT p) AS n_repeat_words FROM again, unnest(range(i, i + 8)) AS r(p) GROUP BY nr),
+    lines AS (SELECT nr, count(*) - count(DISTINCT l) AS n_dup_lines FROM (SELECT nr, unnest(string_split(x, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY nr),
+    base AS (SELECT nr, doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda g: length(g))), 0)::BIGINT AS word_chars,
+        length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+        FROM d LEFT JOIN lines USING (nr) LEFT JOIN places USING (nr)),
+    ruled AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed FROM base)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND coalesce(score >= (SELECT threshold FROM least), true) AS kept FROM ruled LEFT JOIN scores USING (nr)""")
+def quality_rules(spark, folder):
+    from .quality import fit_model, judged
+
+    docs = table(spark, folder, "documents")
+    return judged(docs, fit_model(docs, table(spark, folder, "labels"))).drop("score")
