@@ -7,8 +7,9 @@ the trusted ones, then both are smoothed alike, so what is rare in both weighs n
 sum of the weights of its n-grams over their number; its own n-grams do not count as raw text, else a text that is new to
 the trusted ones would speak against itself.
 
-The threshold is deterministic: the ``lose`` quantile of the trusted documents' scores, each with its own n-grams taken
-out of both counts. Every document at or above it is kept, unless a base rule (too short, too repetitive) rejects it.
+The threshold is deterministic: trusted documents are scored with their own n-grams taken out of both counts, and it lies
+below the ``lose`` quantile of these scores by ``margin`` of that quantile's distance from their median, since other good
+documents may lie a little lower. Every document at or above it is kept, unless a base rule (too short, too repetitive) rejects it.
 
 Shuffled are bucket sums only: each task adds its rows into one table of ``BUCKETS`` counts. Two passes read all
 texts (counts, verdicts), one the trusted texts.
@@ -32,6 +33,7 @@ WINDOW = 8  # words of a window that must not repeat
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # percent of the words
 LOSE = 0.002
+MARGIN = 0.25
 SLICE = 1 << 20
 U = np.uint64
 PAIR, SPREAD = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F  # odd multipliers
@@ -137,9 +139,10 @@ class Model:
     threshold: float | None
 
 def fit_model(
-    docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality", trusted=1, lose: float = LOSE
+    docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality", trusted=1, lose: float = LOSE,
+    margin: float = MARGIN,
 ) -> Model:
-    """Counts over all documents and all trusted ones, and the threshold below which ``lose`` of the trusted fall."""
+    """Counts over all documents and all trusted ones, and the threshold."""
     rows = flagged(docs, labels, doc_id=doc_id, text=text, label=label, trusted=trusted)
 
     def count(batches):
@@ -168,7 +171,8 @@ def fit_model(
                 yield pa.RecordBatch.from_arrays([pa.array(score[size > 0])], names=["score"])
 
     own = stored(rows.where("trusted").select("text").mapInArrow(left_out, "score double"))
-    return Model(t, r, exact_quantiles(own, {"score": [lose]})["score"][0])
+    low, middle = exact_quantiles(own, {"score": [lose, 0.5]})["score"]
+    return Model(t, r, low - margin * (middle - low))
 
 
 def verdict(texts: Text, model: Model):

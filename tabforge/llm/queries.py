@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import checkpoint_dir
 from .licenses import DRIFT, SHARE, gram_rows
-from .quality import BUCKETS, LEAST_WORDS, LOSE, MOST_REPEATED, PAIR, SPREAD
+from .quality import BUCKETS, LEAST_WORDS, LOSE, MARGIN, MOST_REPEATED, PAIR, SPREAD
 from .words import ODD
 
 QUERIES: dict = {}
@@ -197,7 +197,7 @@ WORD = f"list_reduce(list_transform(list_reverse(regexp_extract_all(hex(encode(g
         sum(n * ln((t + 1) / ((r - n) * (all_t / greatest(all_r - size, 1)) + 1))) / any_value(size) AS score,
         sum(n * ln((t - n + 1) / ((r - n) * ((all_t - size) / greatest(all_r - size, 1)) + 1))) FILTER (good) / any_value(size) AS left_out
         FROM cells JOIN sizes USING (nr) JOIN sums USING (bucket), whole GROUP BY nr),
-    least AS (SELECT quantile_cont(left_out, {LOSE}) AS threshold FROM scores WHERE good),
+    least AS (SELECT {1 + MARGIN} * quantile_cont(left_out, {LOSE}) - {MARGIN} * quantile_cont(left_out, 0.5) AS threshold FROM scores WHERE good),
     windows AS (SELECT nr, i, array_to_string(w[i:i + 7], ' ') AS g FROM d, unnest(range(1, len(w) - 6)) AS r(i)),
     again AS (SELECT nr, i FROM (SELECT nr, i, count(*) OVER (PARTITION BY nr, g) AS n FROM windows) WHERE n > 1),
     places AS (SELECT nr, count(DISTINCT p) AS n_repeat_words FROM again, unnest(range(i, i + 8)) AS r(p) GROUP BY nr),
@@ -260,3 +260,10 @@ def merkle_manifest(spark, folder):
     from .merkle import manifest
 
     return manifest(table(spark, folder, "documents"))
+
+
+@query("op13_periodic_runs")
+def word_runs(spark, folder):
+    from .runs import periodic_runs, repeated_tail, run_summary
+
+    return run_summary(periodic_runs(table(spark, folder, "documents"), tail=repeated_tail))
