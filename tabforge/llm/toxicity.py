@@ -13,6 +13,7 @@ squared) to any category are kept. Prediction reads every whole text of every do
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +29,6 @@ CATEGORIES = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
 SAMPLE = 20_000
 VOCABULARY = 4_000
 LEAST_DOCS = 4
-LEAST_G = 25.0  # association below it is what chance gives among a million features
 PREFIXES = (4, 5, 6, 7, 8)
 FOLDS = 5
 RIDGE = 2.0
@@ -123,13 +123,20 @@ def _scores(rows, columns, n_features: int, dense: np.ndarray, w: np.ndarray) ->
 
 
 def _threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The limit with the best F1 on out-of-fold probabilities, midway to the next lower one; over 1 without positives."""
+    """The limit with the best F1 on out-of-fold probabilities, midway to the next lower one.
+
+    At least half of what it calls positive must be so, and its F1 must beat that of calling everything positive; if no limit
+    does (as with few labels, where all probabilities lie about the base rate), none is set and nothing is positive.
+    """
     if not y.any():
         return 1.1
     order = np.argsort(-p, kind="stable")
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(len(y)) + 1 + y.sum())
+    hits, called = np.cumsum(y[order]), np.arange(len(y)) + 1
+    apart = np.append(p[order][1:] < p[order][:-1], True)  # a limit cannot part equal probabilities
+    f1 = np.where(apart & (2 * hits >= called), 2 * hits / (called + y.sum()), 0.0)
     best = int(np.argmax(f1))
+    if f1[best] <= 2 * y.sum() / (len(y) + y.sum()):
+        return 1.1
     low = p[order][best + 1] if best + 1 < len(p) else 0.0
     return float((p[order][best] + low) / 2)
 
@@ -168,11 +175,13 @@ def fit_chain(
                 yield pa.RecordBatch.from_arrays([pa.array(both[start, 1]), pa.array(n, pa.int64()), *[pa.array(yes[:, i]) for i in range(len(names))]], names=["feature", "n", *names])
 
     counted = rows.select("text", *names).mapInArrow(count, ", ".join(["feature long", "n long", *[f"{y} double" for y in names]]))
-    summed = counted.groupBy("feature").agg(F.sum("n").alias("n"), *[F.sum(y).alias(y) for y in names]).where(F.col("n") >= LEAST_DOCS)
+    # of the bounded sample
+    summed = stored(counted.groupBy("feature").agg(F.sum("n").alias("n"), *[F.sum(y).alias(y) for y in names]).where(F.col("n") >= LEAST_DOCS))
     whole = rows.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(y), F.lit(0.0)).alias(y) for y in names]).first()
-    # a feature must be associated with a category more than chance would have it
+    # a feature must be associated with a category more than chance would have it among as many features
+    least = chance_association(summed.count() * len(names))
     strengths = [_association(F.col("n"), F.col(y), float(whole["n"]), float(whole[y])) for y in names]
-    best = summed.select("feature", (F.greatest(*strengths) if len(strengths) > 1 else strengths[0]).alias("g")).where(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "feature").limit(vocabulary)
+    best = summed.select("feature", (F.greatest(*strengths) if len(strengths) > 1 else strengths[0]).alias("g")).where(F.col("g") >= least).orderBy(F.desc("g"), "feature").limit(vocabulary)
     features = np.sort(np.array([r["feature"] for r in best.collect()], np.int64).view(U))
     shared = spark.sparkContext.broadcast(features)
 
@@ -211,6 +220,15 @@ def fit_chain(
     return Chain(chain_names, features, [np.array(w) for w in fitted[0]["weights"]], list(fitted[0]["thresholds"]))
 
 
+def chance_association(features: int) -> float:
+    """The G squared (chi-squared, one degree of freedom) that chance gives to one of so many features."""
+    low, high = 0.0, 100.0
+    for _ in range(60):
+        g = (low + high) / 2
+        low, high = (g, high) if features * math.erfc(math.sqrt(g / 2)) > 1 else (low, g)
+    return low
+
+
 def _association(n, yes, total: float, total_yes: float):
     """G squared of a feature and a category."""
     cell = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)

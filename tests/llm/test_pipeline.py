@@ -9,6 +9,7 @@ import corpus_pipeline
 from conftest import pairs
 from tabforge.llm import QUERIES, SQL
 from tabforge.llm.tokens import Encoder, default_tokenizer
+from tabforge.llm.toxicity import accepted
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -22,13 +23,23 @@ def test_stages(spark):
         assert docs.columns == columns, name
         docs = docs.checkpoint()
         kept.append(pairs(docs))
-    texts = dict(kept[0])
-    for before, after in zip(kept[:3], kept[1:4]):  # filters change no text
+        assert kept[-1], name
+    for before, after in zip(kept[:2], kept[1:3]):  # these filters change no text
         assert set(after) <= set(before)
     assert len({brute.near_classes(kept[1])[d] for d, _ in kept[1]}) == len(kept[2])
     items = pairs(spark.read.parquet(f"{FOLDER}/benchmark.parquet"), "item_id", "text")
-    bad = {r[0] for r in brute.contaminated(kept[2], items) if r[-1]}
-    assert {d for d, _ in kept[2]} - bad == {d for d, _ in kept[3]}
+    judged = {r[0]: r for r in brute.contaminated(kept[2], items)}
+    texts = dict(kept[2])
+    assert {d for d, r in judged.items() if not r[-1]} == {d for d, _ in kept[3]}
+    cut = 0
+    for d, text in kept[3]:
+        if judged[d][2]:  # hit, but not dropped: the text goes on without the hit words
+            cut += 1
+            assert len(brute.words(text)) <= judged[d][1] - judged[d][2]
+        else:
+            assert text == texts[d]
+    assert not any(r[2] for r in brute.contaminated(kept[3], items)), cut
+    texts = dict(kept[3])
     assert all(" ".join(t.split()) in " ".join(texts[d].split()) for d, t in kept[4])
     found = pairs(corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER), "*")
     encoder = Encoder(default_tokenizer()).tokenizer
@@ -45,8 +56,23 @@ def test_run_and_hard_rows(spark, hard, tmp_path):
     labels.limit(0).write.parquet(str(tmp_path / "labels.parquet"))
     spark.read.parquet(f"{FOLDER}/benchmark.parquet").limit(0).write.parquet(str(tmp_path / "benchmark.parquet"))
     for df in (hard, hard.limit(0)):
-        for _, stage in corpus_pipeline.STAGES:
+        for name, stage in corpus_pipeline.STAGES:
+            some = df.count() > 0
             df = stage(spark, df, str(tmp_path)).checkpoint()
+            assert (df.count() > 0) == some, name
+
+
+@pytest.mark.parametrize("n", [0, 5, 87, 399])
+def test_few_labels_reject_no_clean_document(spark, n):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    some = spark.createDataFrame(sorted(labels.collect())[:n], labels.schema)
+    kept = {d for d, in pairs(accepted(docs, some), "doc_id")}
+    clean = {d for d, in pairs(labels.where("toxic = 0"), "doc_id")}
+    toxic = {d for d, in pairs(labels.where("toxic = 1"), "doc_id")}
+    assert len(clean & kept) >= 0.98 * len(clean)
+    if n == 399:
+        assert len(toxic - kept) >= 0.6 * len(toxic)  # 51 toxic documents teach which words mark them
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
