@@ -1,11 +1,16 @@
 """Distributed growth of regression trees from binned features.
 
 Spark ML has no extra-trees regressor and its boosting has no second-order regularisation, so
-both are grown here. Rows stay where they are: every level is one Spark job in which each task
-adds its rows into (tree, node, feature, bin) cells, Spark sums the cells, and window
-functions over the bins pick the best split per node. Only the chosen splits - a number fixed
-by the tree count and depth - reach the driver. Row sampling hashes the key, so a model does
-not depend on how the table is partitioned.
+both are grown here. A node with more than ``LOCAL_ROWS`` rows is split where its rows are: a
+level is one Spark job in which each task adds its rows into one array of (feature, bin) cells per
+node, the arrays of a node meet in one shuffle, and what they sum to decides the split. A node
+with fewer rows is finished by itself: its rows, one byte per feature, go to one task that grows
+the subtree below it, many nodes and trees at a time on the cluster. Trees that are small from
+their root share the rows that a task has received. Both ways use the same rules, cells and random
+draws, which follow from the tree's number and the node's path, so they grow the same trees.
+
+Only the chosen splits - a number fixed by the tree count and depth - reach the driver. Row
+sampling hashes the key, so a model does not depend on how the table is partitioned.
 """
 
 from __future__ import annotations
@@ -24,8 +29,10 @@ from ..schema import q_col
 from ..session import spark_cores
 
 CELL_BYTES = 64 << 20  # histogram memory per task and pass
+LOCAL_ROWS = 1 << 20  # rows of a node that one task finishes: at most this many times features + 16 bytes
 MIN_GAIN = 1e-9
-CELLS = "tree int, slot int, feature int, bin int, w double, g double"
+SPLITS = "tree int, path long, feature int, bin int, gain double, wl double, gl double, wr double, gr double"
+SPLIT_NAMES = ("tree", "path", "feature", "bin", "gain", "wl", "gl", "wr", "gr")
 
 
 @dataclass
@@ -159,167 +166,346 @@ def unpack(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, n
     )
 
 
-def level_cells(
-    data: DataFrame, trees: list[tuple[int, Tree, list[int], list[int]]], width: int, n_bins: int, level: int,
-    sampling: str, rate: float, seed: int, recent: list[tuple],
+def draws(number: int, paths: np.ndarray, features: np.ndarray, seed: int) -> np.ndarray:
+    """One uniform number per node and feature, by the tree's number and the node's path (1 at the root, 2 p and 2 p + 1 below)."""
+    node = mixed(paths.astype(np.uint64), seed * 1_000_003 + number)
+    bits = (node * float(1 << 53)).astype(np.uint64)
+    return np.stack([mixed(bits, 7919 + int(f)) for f in features], axis=1)
+
+
+def _strength(g: np.ndarray, w: np.ndarray, rules: GrowthRules) -> np.ndarray:
+    """Squared (shrunk) gradient sum over regularised weight."""
+    shrunk = np.maximum(np.abs(g) - rules.l1, 0.0) if rules.l1 else g
+    below = w + rules.l2
+    return np.divide(shrunk * shrunk, below, out=np.zeros_like(below), where=below > 0)
+
+
+def feature_splits(w: np.ndarray, g: np.ndarray, rules: GrowthRules, grid: np.ndarray, draw: np.ndarray):
+    """(gain, bin, wl, gl, wr, gr) per node for one feature, from cells (node, bin); gain is -1 where no cut is admissible.
+
+    Ties go to the lower bin. With random cuts there is one cut per node, at ``draw`` of the span of its values; the
+    outermost bins are open and count as wide as their neighbours.
+    """
+    wl, gl = np.cumsum(w, axis=1), np.cumsum(g, axis=1)
+    wt, gt = wl[:, -1:], gl[:, -1:]
+    if rules.random_cuts:
+        if not len(grid):
+            none = np.zeros(len(w))
+            return none - 1, none.astype(int), none, none, none, none
+        filled = w > 0
+        first = filled.argmax(axis=1)
+        last = w.shape[1] - 1 - filled[:, ::-1].argmax(axis=1)
+        low = np.where(first > 0, grid[np.maximum(first, 1) - 1], grid[0] * 2 - grid[min(1, len(grid) - 1)])
+        high = np.where(last < len(grid), grid[np.minimum(last, len(grid) - 1)], grid[-1] * 2 - grid[max(len(grid) - 2, 0)])
+        cut = np.searchsorted(grid, low + draw * (high - low), side="left")
+        at = np.maximum(np.minimum(cut, last - 1), first)[:, None]
+        wl, gl = np.take_along_axis(wl, at, 1), np.take_along_axis(gl, at, 1)
+    wr, gr = wt - wl, gt - gl
+    gain = _strength(gl, wl, rules) + _strength(gr, wr, rules) - _strength(gt, wt, rules)
+    gain = np.where((wl >= rules.min_leaf) & (wr >= rules.min_leaf) & (wl > 0) & (wr > 0) & (gain > MIN_GAIN), gain, -1.0)
+    best = gain.argmax(axis=1)[:, None]
+    take = lambda x: np.take_along_axis(x, best, 1)[:, 0]
+    return take(gain), (at if rules.random_cuts else best)[:, 0], take(wl), take(gl), take(wr), take(gr)
+
+
+def choose(cells, usable: Sequence[int], rules: GrowthRules, grids: list[np.ndarray], number: int, paths: np.ndarray) -> dict[str, np.ndarray]:
+    """The best split of every node; ``cells(f)`` gives (weights, sums) of feature f, by (node, bin). Ties go to the lower feature."""
+    draw = draws(number, paths, np.array(usable), rules.seed) if rules.random_cuts else np.zeros((len(paths), len(usable)))
+    best = None
+    for i, f in enumerate(usable):
+        found = feature_splits(*cells(f), rules, grids[f], draw[:, i])
+        if best is None:
+            best = {"feature": np.full(len(paths), f), **dict(zip(("gain", "bin", "wl", "gl", "wr", "gr"), found))}
+        else:
+            better = found[0] > best["gain"]
+            best["feature"] = np.where(better, f, best["feature"])
+            for name, value in zip(("gain", "bin", "wl", "gl", "wr", "gr"), found):
+                best[name] = np.where(better, value, best[name])
+    return {"path": paths, **best}
+
+
+def opened(found: dict[str, np.ndarray], rules: GrowthRules) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The splits that the rules allow, and for each whether its left and right child may be split again."""
+    good = (found["gain"] > 0) & (found["wl"] + found["wr"] >= rules.min_split)
+    kept = {k: v[good] for k, v in found.items()}
+    least = max(rules.min_split, 2 * rules.min_leaf)
+    return kept, np.stack((kept["wl"], kept["wr"]), axis=1) >= least
+
+
+def grow_rows(
+    columns: list[np.ndarray], w: np.ndarray | None, g: np.ndarray, rules: GrowthRules, grids: list[np.ndarray], number: int,
+    usable: Sequence[int], path: int = 1, level: int = 0,
+) -> list[dict[str, np.ndarray]]:
+    """Splits of the subtree at ``path``, level by level, from the bins (one column per feature), weights and sums of its rows."""
+    n_bins = max(map(len, grids)) + 1
+    paths, at, out = np.array([path]), np.zeros(len(g), np.int64), []
+    for _ in range(level, rules.max_depth):
+        if not len(paths) or not len(g):
+            break
+        parts = []
+        # nodes are taken in blocks whose cells stay within the memory of a pass
+        most = max(1, CELL_BYTES // (n_bins * 64))
+        for first in range(0, len(paths), most):
+            k = min(most, len(paths) - first)
+            here = None if len(paths) <= most else np.flatnonzero((at >= first) & (at < first + k))
+            pick = (lambda x: x) if here is None else (lambda x, here=here: x[here])
+            base, sums, weight = (pick(at) - first) * n_bins, pick(g), None if w is None else pick(w)
+
+            def cells(f):
+                code = base + pick(columns[f])
+                return np.bincount(code, weight, k * n_bins).astype(float).reshape(k, n_bins), np.bincount(code, sums, k * n_bins).reshape(k, n_bins)
+
+            parts.append(choose(cells, usable, rules, grids, number, paths[first : first + k]))
+        found = {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
+        kept, going = opened(found, rules)
+        out.append(kept)
+        # children that may be split again get the next numbers, rows of all others go
+        child = np.full((len(paths), 2), -1)
+        node = np.searchsorted(paths, kept["path"])
+        numbers = np.cumsum(going.ravel()).reshape(going.shape) - 1
+        child[node] = np.where(going, numbers, -1)
+        feature, cut = found["feature"][at], found["bin"][at]
+        value = columns[usable[0]].copy()
+        for f in usable[1:]:
+            np.copyto(value, columns[f], where=feature == f)
+        at = child[at, (value > cut).astype(np.int64)]
+        stay = at >= 0
+        columns = [c[stay] for c in columns]
+        at, g, w = at[stay], g[stay], None if w is None else w[stay]
+        paths = (kept["path"][:, None] * 2 + np.arange(2))[going]
+    return out
+
+
+def tree_of(splits: dict[str, np.ndarray]) -> Tree:
+    """The tree of all its splits; children are numbered in the order of their parents' paths."""
+    order = np.argsort(splits["path"])
+    s = {k: np.asarray(v)[order] for k, v in splits.items()}
+    m = len(order)
+    tree = Tree()
+    if not m:
+        return tree
+    node = np.where(s["path"] == 1, 0, 2 * np.searchsorted(s["path"], s["path"] // 2) + 1 + s["path"] % 2)
+    feature, cut, left, gain = np.zeros(2 * m + 1, int), np.full(2 * m + 1, 255), np.arange(2 * m + 1), np.zeros(2 * m + 1)
+    feature[node], cut[node], left[node], gain[node] = s["feature"], s["bin"], 2 * np.arange(m) + 1, s["gain"]
+    weight, total = np.empty(2 * m + 1), np.empty(2 * m + 1)
+    weight[0], total[0] = s["wl"][0] + s["wr"][0], s["gl"][0] + s["gr"][0]
+    weight[1::2], weight[2::2], total[1::2], total[2::2] = s["wl"], s["wr"], s["gl"], s["gr"]
+    tree.feature, tree.cut, tree.left, tree.gain = feature.tolist(), cut.tolist(), left.tolist(), gain.tolist()
+    tree.total = list(zip(weight.tolist(), total.tolist()))
+    tree.depth = int(s["path"][-1]).bit_length()
+    return tree
+
+
+def _table(number: int, found: dict[str, np.ndarray]) -> pa.RecordBatch:
+    columns = {"tree": np.full(len(found["path"]), number), **found}
+    kinds = {"tree": pa.int32(), "path": pa.int64(), "feature": pa.int32(), "bin": pa.int32()}
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], kinds.get(c, pa.float64())) for c in SPLIT_NAMES], names=list(SPLIT_NAMES))
+
+
+NO_SPLITS = _table(0, {c: np.zeros(0) for c in SPLIT_NAMES[1:]})
+
+
+def level_splits(
+    data: DataFrame, trees: list[tuple[int, Tree, list[int], list[int], list[int]]], grids: list[np.ndarray], rules: GrowthRules,
+    sampling: str, rate: float, recent: list[tuple],
 ) -> DataFrame:
-    """Per-task sums of weight and residual per (tree, slot, feature, bin) for the open nodes of each tree.
+    """One row per open node that can be split.
 
-    ``trees`` lists (tree number, tree, open nodes, usable features); ``recent`` holds
-    (arrays, depth, leaf values) of trees whose output is not yet part of the residual column.
+    ``trees`` lists (tree number, tree, open nodes, their paths, usable features); ``recent`` holds (arrays, depth, leaf
+    values) of trees whose output is not yet part of the residual column.
     """
+    width, n_bins = len(grids), max(map(len, grids)) + 1
     jobs = []
-    for number, tree, open_nodes, usable in trees:
+    for number, tree, open_nodes, paths, usable in trees:
         slot = np.full(len(tree.feature), -1, np.int64)
         slot[open_nodes] = np.arange(len(open_nodes))
-        jobs.append((number, tree.arrays(), slot, len(open_nodes), usable))
+        jobs.append((number, tree.arrays(), tree.depth, slot, paths, usable))
+    shared = data.sparkSession.sparkContext.broadcast((jobs, recent))  # sized by the model settings
 
     def add_up(batches):
-        sums = [np.zeros((2, n_slots, width, n_bins)) for _, _, _, n_slots, _ in jobs]
+        jobs, recent = shared.value
+        sums = [np.zeros((2, len(paths), width, n_bins)) for *_, paths, _ in jobs]
         for batch in batches:
             if not batch.num_rows:
                 continue
             h, r, bins = unpack(batch, width)
             for arrays, depth, value in recent:
                 r = r - value[place(bins, arrays, depth)]
-            for (number, arrays, slot, n_slots, usable), total in zip(jobs, sums):
-                at = slot[place(bins, arrays, level)]
-                weight = row_weights(h, seed * 1_000_003 + number, sampling, rate)
+            for (number, arrays, depth, slot, paths, usable), total in zip(jobs, sums):
+                at = slot[place(bins, arrays, depth)]
+                weight = row_weights(h, rules.seed * 1_000_003 + number, sampling, rate)
                 inside = at >= 0 if weight is None else (at >= 0) & (weight > 0)
-                rows, here = bins[inside], at[inside]
-                w = np.ones(len(here)) if weight is None else weight[inside]
-                g = r[inside] * w
+                rows, here = bins[inside], at[inside] * n_bins
+                w = None if weight is None else weight[inside]
+                g = r[inside] if w is None else r[inside] * w
                 for f in usable:
-                    cell = here * n_bins + rows[:, f]
-                    total[0, :, f, :] += np.bincount(cell, w, n_slots * n_bins).reshape(n_slots, n_bins)
-                    total[1, :, f, :] += np.bincount(cell, g, n_slots * n_bins).reshape(n_slots, n_bins)
-        for (number, _, _, _, _), total in zip(jobs, sums):
-            slots, features, cells = np.nonzero(total[0])
-            if len(slots):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(slots), number, np.int32)),
-                        pa.array(slots.astype(np.int32)),
-                        pa.array(features.astype(np.int32)),
-                        pa.array(cells.astype(np.int32)),
-                        pa.array(total[0][slots, features, cells]),
-                        pa.array(total[1][slots, features, cells]),
-                    ],
-                    ["tree", "slot", "feature", "bin", "w", "g"],
-                )
-
-    # every task sends its cells once, so their number decides the shuffle volume
-    return data.coalesce(2 * spark_cores(data.sparkSession)).mapInArrow(add_up, CELLS)
-
-
-def best_splits(cells: DataFrame, rules: GrowthRules, edges: DataFrame | None, level: int) -> DataFrame:
-    """One row per node: the admissible cut with the highest gain, or none.
-
-    ``cells`` holds per-task sums. They are shuffled once, by (tree, node, feature): the final
-    sums, the running sums over bins and the totals all use that partitioning. Ties go to the
-    lower feature and bin.
-    """
-    return cells.sparkSession.sql(
-        f"""
-        WITH summed AS (
-            SELECT tree, slot, feature, bin, sum(w) AS w, sum(g) AS g
-            FROM (SELECT * FROM {{cells}} DISTRIBUTE BY tree, slot, feature)
-            GROUP BY tree, slot, feature, bin
-        ), running AS (
-            SELECT tree, slot, feature, bin, sum(w) OVER along AS wl, sum(g) OVER along AS gl,
-                   sum(w) OVER whole AS wt, sum(g) OVER whole AS gt,
-                   min(bin) OVER whole AS first_bin, max(bin) OVER whole AS last_bin
-            FROM summed
-            WINDOW along AS (PARTITION BY tree, slot, feature ORDER BY bin ROWS UNBOUNDED PRECEDING),
-                   whole AS (PARTITION BY tree, slot, feature)
-        ), cuts AS (
-            {RANDOM_CUTS.format(level=level, seed=rules.seed) if rules.random_cuts else EVERY_CUT}
-        ), scored AS (
-            SELECT tree, slot, feature, bin, wl, gl, wt - wl AS wr, gt - gl AS gr,
-                   {_strength('gl', 'wl', rules)} + {_strength('(gt - gl)', '(wt - wl)', rules)}
-                   - {_strength('gt', 'wt', rules)} AS gain
-            FROM cuts
-        )
-        SELECT tree, slot, best.* FROM (
-            SELECT tree, slot, max_by(struct(feature, bin, wl, gl, wr, gr, gain), struct(gain, -feature, -bin)) AS best
-            FROM scored
-            WHERE wl >= {rules.min_leaf!r}D AND wr >= {rules.min_leaf!r}D AND gain > {MIN_GAIN!r}D
-            GROUP BY tree, slot
-        )
-        """,
-        cells=cells,
-        **({"edges": edges} if rules.random_cuts else {}),
-    )
+                    cell, n = here + rows[:, f], len(paths) * n_bins
+                    total[0, :, f, :] += np.bincount(cell, w, n).reshape(-1, n_bins)
+                    total[1, :, f, :] += np.bincount(cell, g, n).reshape(-1, n_bins)
+        for (number, *_, paths, _), total in zip(jobs, sums):
+            blobs = [pa.array([x.tobytes() for x in part], pa.binary()) for part in total]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(paths), number, np.int32)), pa.array(paths, pa.int64()), *blobs], names=["tree", "path", "w", "g"])
+
+    def decide(batches):
+        usable_of = {number: usable for number, *_, usable in shared.value[0]}
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for number, path, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
+                both = np.stack([np.frombuffer(x).reshape(width, n_bins) for x in blobs])
+                sums[(number, path)] = sums[(number, path)] + both if (number, path) in sums else both
+        for (number, path), both in sums.items():
+            found = choose(lambda f: both[:, None, f, :], usable_of[number], rules, grids, number, np.array([path]))  # noqa: B023
+            yield _table(number, opened(found, rules)[0])
 
+    # every task sends its cells once, so the number of tasks decides the shuffle volume
+    cells = data.coalesce(2 * spark_cores(data.sparkSession)).mapInArrow(add_up, "tree int, path long, w binary, g binary")
+    return cells.repartition("tree", "path").mapInArrow(decide, SPLITS)
 
-def _strength(g: str, w: str, rules: GrowthRules) -> str:
-    """Squared (shrunk) gradient sum over regularised weight."""
-    shrunk = f"greatest(abs({g}) - {rules.l1!r}D, 0D)" if rules.l1 else g
-    return f"try_divide({shrunk} * {shrunk}, {w} + {rules.l2!r}D)"
-
-
-EVERY_CUT = "SELECT * FROM running WHERE bin < last_bin"
-
-# Per node and feature, one cut at a uniform draw over the node's value span. The outermost
-# bins are open and count as wide as their neighbours; an empty bin has no cell, so the last
-# filled bin up to the cut stands for it. ``edges`` has one row per feature.
-RANDOM_CUTS = """
-            SELECT tree, slot, feature, cut AS bin, wl, gl, wt, gt FROM (
-                SELECT *, max(bin) OVER (PARTITION BY tree, slot, feature) AS last_filled FROM (
-                    SELECT *, greatest(least(size(filter(grid, e -> e < low + draw * (high - low))), last_bin - 1), first_bin) AS cut
-                    FROM (
-                        SELECT /*+ BROADCAST(e) */ r.*, grid,
-                            if(first_bin > 0, get(grid, first_bin - 1), get(grid, 0) * 2 - get(grid, least(1, size(grid) - 1))) AS low,
-                            if(last_bin < size(grid), get(grid, last_bin),
-                               get(grid, size(grid) - 1) * 2 - get(grid, greatest(size(grid) - 2, 0))) AS high,
-                            pmod(xxhash64(tree, slot, r.feature, {level}, {seed}), 1099511627776L) / 1099511627776D AS draw
-                        FROM running r JOIN {{edges}} e ON r.feature = e.feature
-                    )
-                    WHERE first_bin < last_bin
-                )
-                WHERE bin <= cut
-            )
-            WHERE bin = last_filled
-"""
+
+def finished(
+    data: DataFrame, units: list[tuple[int, Tree, list[int], list[int]]], usable: dict[int, list[int]], grids: list[np.ndarray],
+    rules: GrowthRules, sampling: str, rate: float, recent: list[tuple],
+) -> DataFrame:
+    """Splits below nodes of at most ``LOCAL_ROWS`` rows; ``units`` lists (tree number, tree so far, nodes, their paths).
+
+    The rows of a node go to one group, as packed arrays. Trees without a split share groups: each gets the table once and
+    grows several trees from it.
+    """
+    width = len(grids)
+    whole = [u for u in units if u[2] == [0]]
+    n_groups = min(len(whole), 2 * spark_cores(data.sparkSession))
+    shared_groups = [[(number, 1) for number, *_ in whole[i::n_groups]] for i in range(n_groups)]
+    alone = [(number, tree.arrays(), tree.depth, list(zip(nodes, paths))) for number, tree, nodes, paths in units if nodes != [0]]
+    work = {i: pairs for i, pairs in enumerate(shared_groups)}
+    keys: dict[tuple[int, int], int] = {}
+    for number, _, _, own in alone:
+        for _, path in own:
+            keys[(number, path)] = len(work)
+            work[len(work)] = [(number, path)]
+    shared = data.sparkSession.sparkContext.broadcast((work, alone, keys, recent))  # sized by the model settings
+
+    def send(batches):
+        _, alone, keys, recent = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, r, bins = unpack(batch, width)
+            for arrays, depth, value in recent:
+                r = r - value[place(bins, arrays, depth)]
+            out = [(i, h.tobytes(), r.tobytes(), bins.tobytes()) for i in range(n_groups)]
+            for number, arrays, depth, own in alone:
+                at = place(bins, arrays, depth)
+                if sampling != "all":
+                    weight = row_weights(h, rules.seed * 1_000_003 + number, sampling, rate)
+                    at = at if weight is None else np.where(weight > 0, at, -1)
+                for node, path in own:
+                    rows = np.flatnonzero(at == node)
+                    if len(rows):
+                        out.append((keys[(number, path)], h[rows].tobytes(), r[rows].tobytes(), bins[rows].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), *[pa.array([o[i] for o in out], pa.binary()) for i in (1, 2, 3)]], names=["unit", "h", "r", "bins"])
+
+    def finish(key, table):
+        parts = list(zip(*(table.column(i).to_pylist() for i in (1, 2, 3))))
+        h, r = (np.concatenate([np.frombuffer(p[i], kind) for p in parts]) for i, kind in ((0, np.int64), (1, np.float64)))
+        bins = np.concatenate([np.frombuffer(p[2], np.uint8).reshape(-1, width) for p in parts])
+        columns, w, g = [bins[:, f].astype(np.int64) for f in range(width)], None, r
+        if sampling == "all":  # rows with the same bins count as one
+            columns, w, g = combined(columns, r, grids)
+        grown = []
+        for number, path in shared.value[0][key[0].as_py()]:
+            own, weight, sums = columns, w, g
+            if sampling != "all":
+                weight = row_weights(h, rules.seed * 1_000_003 + number, sampling, rate)
+                if weight is not None:
+                    inside = weight > 0
+                    own, weight, sums = [c[inside] for c in columns], weight[inside], (r * weight)[inside]
+            grown += [_table(number, found) for found in grow_rows(own, weight, sums, rules, grids, number, usable[number], path, path.bit_length() - 1)]
+        return pa.Table.from_batches(grown, NO_SPLITS.schema)
+
+    sent = data.mapInArrow(send, "unit int, h binary, r binary, bins binary")
+    return sent.groupBy("unit").applyInArrow(finish, SPLITS)
+
+
+def combined(columns: list[np.ndarray], r: np.ndarray, grids: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Distinct bin vectors with the number of their rows and the sum of their residuals."""
+    code, room = np.zeros(len(r), np.int64), 1
+    for c, grid in zip(columns, grids):
+        room *= len(grid) + 1
+        if room > 1 << 62:
+            return columns, None, r
+        code = code * (len(grid) + 1) + c
+    _, first, which, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+    return [c[first] for c in columns], n.astype(float), np.bincount(which, r, len(first))
 
 
 def grow(
-    data: DataFrame, trees: dict[int, Tree], usable: dict[int, list[int]], edges: list[list[float]], rules: GrowthRules,
-    sampling: str, rate: float, recent: list[tuple] = (),
-) -> None:
-    """Grow the given trees level by level, in passes that the cell memory allows: several trees, or a part of
-    the open nodes of one tree."""
+    data: DataFrame, rows: int, numbers: Sequence[int], usable: dict[int, list[int]], edges: list[list[float]], rules: GrowthRules,
+    sampling: str, rate: float, recent: Sequence[tuple] = (),
+) -> dict[int, Tree]:
+    """Trees of the given numbers on a table of ``rows`` rows.
+
+    Nodes above ``LOCAL_ROWS`` are split level by level, in passes that the cell memory allows: several trees, or a part of
+    the open nodes of one tree. What remains is finished in one job.
+    """
+    grids = [np.array(e, float) for e in edges]
     width, n_bins = len(edges), max(len(e) for e in edges) + 1
-    grid = data.sparkSession.createDataFrame(
-        [(i, [float(x) for x in e]) for i, e in enumerate(edges)], "feature int, grid array<double>"
-    )
-    open_nodes = {number: [0] for number in trees}
-    for level in range(rules.max_depth):
-        most = max(1, CELL_BYTES // (width * n_bins * 16))  # nodes of one pass
-        waiting = [
-            (number, open_nodes[number][at : at + most]) for number in trees for at in range(0, len(open_nodes[number]), most)
-        ]
-        following: dict[int, list[int]] = {number: [] for number in trees}
+    splits: dict[int, list[dict[str, np.ndarray]]] = {n: [] for n in numbers}
+    trees = {n: Tree() for n in numbers}
+    large = {n: [1] for n in numbers if rows > LOCAL_ROWS}
+    small: dict[int, list[int]] = {n: [1] for n in numbers if rows <= LOCAL_ROWS}
+    most = max(1, CELL_BYTES // (width * n_bins * 16))  # nodes of one pass
+    for _ in range(rules.max_depth):
+        waiting = [(n, paths[at : at + most]) for n, paths in large.items() for at in range(0, len(paths), most)]
+        following: dict[int, list[int]] = {}
         while waiting:
             batch: dict[int, list[int]] = {}
             while waiting and waiting[0][0] not in batch and sum(map(len, batch.values())) + len(waiting[0][1]) <= most:
                 batch.update([waiting.pop(0)])
-            jobs = [(number, trees[number], nodes, usable[number]) for number, nodes in batch.items()]
-            sums = level_cells(data, jobs, width, n_bins, level, sampling, rate, rules.seed, list(recent))
-            found = best_splits(sums, rules, grid, level).collect()  # one row per open node
-            for s in sorted(found, key=lambda s: (s["tree"], s["slot"])):
-                tree = trees[s["tree"]]
-                at = batch[s["tree"]][s["slot"]]
-                if level == 0:
-                    tree.total[0] = (s["wl"] + s["wr"], s["gl"] + s["gr"])
-                if tree.total[at][0] < rules.min_split:
-                    continue
-                sides = ((s["wl"], s["gl"]), (s["wr"], s["gr"]))
-                tree.depth = level + 1
-                for child, (weight, _) in zip(tree.split(at, s["feature"], s["bin"], s["gain"], sides), sides):
-                    if weight >= max(rules.min_split, 2 * rules.min_leaf):
-                        following[s["tree"]].append(child)
-        open_nodes = following
+            jobs = [(n, trees[n], _nodes(splits[n], paths), paths, usable[n]) for n, paths in batch.items()]
+            for n, found in _by_tree(level_splits(data, jobs, grids, rules, sampling, rate, list(recent))):
+                splits[n].append(found)
+                kept, going = opened(found, rules)
+                weights = np.stack((kept["wl"], kept["wr"]), axis=1)
+                # weights bound the rows of a sample up to the draws of a bootstrap
+                for path, (w2, go) in zip(kept["path"].tolist(), zip(weights.tolist(), going.tolist())):
+                    for side in (0, 1):
+                        if go[side]:
+                            (following if w2[side] > LOCAL_ROWS else small).setdefault(n, []).append(2 * path + side)
+        large = following
+        for n in numbers:
+            if splits[n]:
+                trees[n] = tree_of(_joined(splits[n]))
+        if not large:
+            break
+    units = []
+    for n, paths in small.items():
+        paths = sorted(p for p in paths if p.bit_length() <= rules.max_depth)
+        if paths:
+            units.append((n, trees[n], _nodes(splits[n], paths), paths))
+    if units:
+        for n, found in _by_tree(finished(data, units, usable, grids, rules, sampling, rate, list(recent))):
+            splits[n].append(found)
+    return {n: tree_of(_joined(splits[n])) if splits[n] else Tree() for n in numbers}
+
+
+def _joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return {k: np.concatenate([p[k] for p in parts]) for k in SPLIT_NAMES[1:]}
+
+
+def _nodes(parts: list[dict[str, np.ndarray]], paths: list[int]) -> list[int]:
+    """Node numbers of open paths, as :func:`tree_of` gives them."""
+    if not parts:
+        return [0] * len(paths)
+    known = np.sort(np.concatenate([p["path"] for p in parts]))
+    at = np.array(paths)
+    return (2 * np.searchsorted(known, at // 2) + 1 + at % 2).tolist()
+
+
+def _by_tree(splits: DataFrame):
+    """(tree number, splits) of a table whose size follows the model settings."""
+    table = splits.toPandas()
+    for number, own in table.groupby("tree"):
+        yield int(number), {k: own[k].to_numpy() for k in SPLIT_NAMES[1:]}
 
 
 def prune(tree: Tree, gamma: float) -> None:

@@ -18,6 +18,7 @@ from . import histograms as hg
 
 REFRESH = 10  # boosting rounds after which residuals are stored anew
 NODES = "tree int, node int, feature int, threshold double, left_child int, value double, gain double, weight double"
+NODE_FIELDS = pa.schema([(c, pa.int32() if kind == "int" else pa.float64()) for c, kind in (x.split(" ") for x in NODES.split(", "))])
 
 
 @dataclass
@@ -88,27 +89,31 @@ class TreeEnsemble:
 
 
 def _depth(left: np.ndarray) -> int:
-    level = np.zeros(len(left), int)
-    for node, child in enumerate(left):
-        if child != node:
-            level[child] = level[child + 1] = level[node] + 1
-    return int(level.max(initial=0))
+    depth, level = 0, np.zeros(min(len(left), 1), np.int64)
+    while True:
+        inner = level[left[level] != level]
+        if not len(inner):
+            return depth
+        depth, level = depth + 1, np.concatenate((left[inner], left[inner] + 1))
 
 
 def _node_table(trees: dict[int, hg.Tree], values: dict[int, np.ndarray], edges: list[list[float]]) -> pd.DataFrame:
+    # cut values of all features in a row
+    begin = np.cumsum([0, *map(len, edges)])
+    flat = np.array([x for e in edges for x in e] + [0.0])
     parts = []
     for number, t in trees.items():
-        threshold = [
-            0.0 if t.is_leaf(i) else float(edges[t.feature[i]][t.cut[i]]) for i in range(len(t.feature))
-        ]
+        left, feature = np.array(t.left, np.int32), np.array(t.feature, np.int32)
+        split = left != np.arange(len(left))
+        at = np.where(split, begin[feature] + np.array(t.cut), len(flat) - 1)
         parts.append(
             pd.DataFrame(
                 {
                     "tree": np.int32(number),
-                    "node": np.arange(len(t.feature), dtype=np.int32),
-                    "feature": np.array(t.feature, np.int32),
-                    "threshold": threshold,
-                    "left_child": np.array(t.left, np.int32),
+                    "node": np.arange(len(left), dtype=np.int32),
+                    "feature": feature,
+                    "threshold": flat[at],
+                    "left_child": left,
                     "value": values[number],
                     "gain": t.gain,
                     "weight": [w for w, _ in t.total],
@@ -150,11 +155,10 @@ def fit_forest(
     mean, size = _label_summary(df, label)
     edges = hg.feature_edges(df, features, min(max_bins, 255))
     rules = hg.GrowthRules(max_depth, min_samples_split, min_samples_leaf, random_cuts, seed=seed)
-    trees = {i: hg.Tree() for i in range(n_estimators)}
     data = hg.keep(hg.binned(df, features, label, key, edges, mean, seed, **size))
     try:
-        every = list(range(len(features)))
-        hg.grow(data, trees, {i: every for i in trees}, edges, rules, "bootstrap" if bootstrap else "all", 1.0)
+        usable = {i: list(range(len(features))) for i in range(n_estimators)}
+        trees = hg.grow(data, size["rows"], range(n_estimators), usable, edges, rules, "bootstrap" if bootstrap else "all", 1.0)
     finally:
         data.unpersist()
     # a node's value is its mean residual; a tree without a split predicts the overall mean
@@ -190,6 +194,9 @@ def fit_boosted(
     split gains the increase of soft(G, alpha)^2 / (H + lambda), compared un-halved with gamma;
     splits under gamma are pruned bottom-up. ``early_stopping_rounds`` holds back a key-hashed
     share of the rows and stops when their error has not improved for that many rounds.
+
+    A table of at most ``histograms.LOCAL_ROWS`` rows is boosted by one task, all rounds in a row; a larger one where its rows
+    are, a round at a time. Rounds, trees and errors are the same.
     """
     mean, size = _label_summary(df, label)
     held = None
@@ -199,40 +206,100 @@ def fit_boosted(
         held, df = df.where(is_held), df.where(~is_held)
     edges = hg.feature_edges(df, features, min(max_bins, 255))
     rules = hg.GrowthRules(max_depth, 0.0, min_child_weight, False, reg_lambda, reg_alpha, gamma, seed)
-    data = stored(hg.binned(df, features, label, key, edges, mean, seed, **size))
-    watch = stored(hg.binned(held, features, label, key, edges, mean, seed, **size)) if held is not None else None
-    trees, leaf, recent = {}, {}, []
-    best_error, best_round = float("inf"), -1
-    rng = np.random.default_rng(seed)
-    used = max(1, int(colsample_bytree * len(features)))
-    for number in range(n_estimators):
-        tree = hg.Tree()
-        usable = sorted(rng.choice(len(features), used, replace=False).tolist())
-        hg.grow(data, {number: tree}, {number: usable}, edges, rules, "subsample", subsample, recent)
-        hg.prune(tree, gamma)
-        # residuals are minus the gradient, so leaves move towards them
-        g = np.array([s for _, s in tree.total])
-        w = np.array([s for s, _ in tree.total])
-        soft = np.sign(g) * np.maximum(np.abs(g) - reg_alpha, 0.0)
-        safe = np.where(w + reg_lambda > 0, w + reg_lambda, 1.0)
-        leaf[number] = learning_rate * soft / safe
-        trees[number] = tree
-        recent.append((tree.arrays(), tree.depth, leaf[number]))
-        if len(recent) >= REFRESH and number + 1 < n_estimators:
+    plan = _Rounds(n_estimators, learning_rate, max(1, int(colsample_bytree * len(features))), len(features), early_stopping_rounds, rules)
+    own = hg.binned(df, features, label, key, edges, mean, seed, **size)
+    aside = hg.binned(held, features, label, key, edges, mean, seed, **size) if held is not None else None
+    boost = _boosted_in_a_task if size["rows"] <= hg.LOCAL_ROWS else _boosted_in_place
+    nodes = boost(own, aside, size["rows"], plan, edges, subsample)
+    settings = {"n_estimators": int(nodes["tree"].max()) + 1, "max_depth": max_depth, "learning_rate": learning_rate, "max_bins": max_bins}
+    return TreeEnsemble(list(features), nodes, mean, 1.0, averaged_gain=True, settings=settings)
+
+
+@dataclass(frozen=True)
+class _Rounds:
+    n_estimators: int
+    learning_rate: float
+    used: int
+    width: int
+    patience: int | None
+    rules: hg.GrowthRules
+
+    def run(self, grow, after) -> tuple[dict[int, hg.Tree], dict[int, np.ndarray]]:
+        """Trees and leaf values; ``grow(number, usable)`` gives a round's tree, ``after(number, tree, leaf)`` the held-back error, if any."""
+        trees, leaf = {}, {}
+        best_error, best_round = float("inf"), -1
+        rng = np.random.default_rng(self.rules.seed)
+        for number in range(self.n_estimators):
+            tree = grow(number, sorted(rng.choice(self.width, self.used, replace=False).tolist()))
+            hg.prune(tree, self.rules.gamma)
+            # residuals are minus the gradient, so leaves move towards them
+            w, g = np.array(tree.total).T
+            soft = np.sign(g) * np.maximum(np.abs(g) - self.rules.l1, 0.0)
+            safe = np.where(w + self.rules.l2 > 0, w + self.rules.l2, 1.0)
+            trees[number], leaf[number] = tree, self.learning_rate * soft / safe
+            error = after(number, tree, leaf[number])
+            if self.patience and error is not None:
+                if error < best_error:
+                    best_error, best_round = error, number
+                elif number - best_round >= self.patience:
+                    break
+        last = best_round if best_round >= 0 else len(trees) - 1
+        return {i: t for i, t in trees.items() if i <= last}, leaf
+
+
+def _boosted_in_a_task(own: DataFrame, aside: DataFrame | None, rows: int, plan: _Rounds, edges: list[list[float]], rate: float) -> pd.DataFrame:
+    width, grids, rules = plan.width, [np.array(e, float) for e in edges], plan.rules
+    table = own.withColumn("held", F.lit(False))
+    if aside is not None:
+        table = table.unionByName(aside.withColumn("held", F.lit(True)))
+
+    def boost(batches):
+        parts = [(*hg.unpack(b, width), b.column(3).to_numpy(zero_copy_only=False)) for b in batches if b.num_rows]
+        h, r, bins, held = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(h, kind="stable")  # sums do not depend on how the rows arrived
+        h, r, bins, held = h[order], r[order], bins[order], held[order].astype(bool)
+        watch, watch_bins = r[held].copy(), bins[held]
+        h, r, bins = h[~held], r[~held].copy(), bins[~held]
+        columns = [bins[:, f].astype(np.int64) for f in range(width)]
+
+        def grow(number, usable):
+            weight = hg.row_weights(h, rules.seed * 1_000_003 + number, "subsample", rate)
+            if weight is None:
+                found = hg.grow_rows(columns, None, r, rules, grids, number, usable)
+            else:
+                at = np.flatnonzero(weight)
+                found = hg.grow_rows([c[at] for c in columns], None, r[at], rules, grids, number, usable)
+            return hg.tree_of({k: np.concatenate([p[k] for p in found]) for k in hg.SPLIT_NAMES[1:]}) if found else hg.Tree()
+
+        def after(_, tree, leaf):
+            np.subtract(r, leaf[hg.place(bins, tree.arrays(), tree.depth)], out=r)
+            if len(watch):
+                np.subtract(watch, leaf[hg.place(watch_bins, tree.arrays(), tree.depth)], out=watch)
+                return float(np.mean(watch * watch))
+
+        yield pa.RecordBatch.from_pandas(_node_table(*plan.run(grow, after), edges), NODE_FIELDS)
+
+    return table.repartition(1).mapInArrow(boost, NODES).toPandas()
+
+
+def _boosted_in_place(own: DataFrame, aside: DataFrame | None, rows: int, plan: _Rounds, edges: list[list[float]], rate: float) -> pd.DataFrame:
+    state = {"data": stored(own), "watch": stored(aside) if aside is not None else None, "recent": []}
+
+    def grow(number, usable):
+        return hg.grow(state["data"], rows, [number], {number: usable}, edges, plan.rules, "subsample", rate, state["recent"])[number]
+
+    def after(number, tree, leaf):
+        state["recent"].append((tree.arrays(), tree.depth, leaf))
+        if len(state["recent"]) >= REFRESH and number + 1 < plan.n_estimators:
             # only the new trees are applied: the residuals so far are in the stored table
-            data = stored(_subtracted(data, recent, len(features)))
-            watch = stored(_subtracted(watch, recent, len(features))) if watch is not None else None
-            recent = []
-        if watch is not None:
-            error = _subtracted(watch, recent, len(features)).agg(F.avg(F.col("r") * F.col("r"))).first()[0]
-            if error is not None and error < best_error:
-                best_error, best_round = error, number
-            elif number - best_round >= early_stopping_rounds:
-                break
-    if watch is not None and best_round >= 0:
-        trees = {i: t for i, t in trees.items() if i <= best_round}
-    settings = {"n_estimators": len(trees), "max_depth": max_depth, "learning_rate": learning_rate, "max_bins": max_bins}
-    return TreeEnsemble(list(features), _node_table(trees, leaf, edges), mean, 1.0, averaged_gain=True, settings=settings)
+            for name in ("data", "watch"):
+                if state[name] is not None:
+                    state[name] = stored(_subtracted(state[name], state["recent"], plan.width))
+            state["recent"] = []
+        if state["watch"] is not None:
+            return _subtracted(state["watch"], state["recent"], plan.width).agg(F.avg(F.col("r") * F.col("r"))).first()[0]
+
+    return _node_table(*plan.run(grow, after), edges)
 
 
 def _subtracted(data: DataFrame, grown: list[tuple], width: int) -> DataFrame:
