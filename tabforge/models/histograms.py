@@ -373,15 +373,17 @@ def finished(
     """
     width = len(grids)
     whole = [u for u in units if u[2] == [0]]
-    n_groups = min(len(whole), 2 * spark_cores(data.sparkSession))
-    shared_groups = [[(number, 1) for number, *_ in whole[i::n_groups]] for i in range(n_groups)]
+    n_groups = min(len(whole), spark_cores(data.sparkSession))
+    parts = max(n_groups, spark_cores(data.sparkSession))
+    group_ids = _one_key_each(data.sparkSession, parts)[:n_groups]
     alone = [(number, tree.arrays(), tree.depth, list(zip(nodes, paths))) for number, tree, nodes, paths in units if nodes != [0]]
-    work = {i: pairs for i, pairs in enumerate(shared_groups)}
+    work = {unit: [(number, 1) for number, *_ in whole[i::n_groups]] for i, unit in enumerate(group_ids)}
     keys: dict[tuple[int, int], int] = {}
+    following = max(group_ids, default=-1) + 1
     for number, _, _, own in alone:
         for _, path in own:
-            keys[(number, path)] = len(work)
-            work[len(work)] = [(number, path)]
+            keys[(number, path)] = following + len(keys)
+            work[keys[(number, path)]] = [(number, path)]
     shared = data.sparkSession.sparkContext.broadcast((work, alone, keys, recent))  # sized by the model settings
 
     def send(batches):
@@ -392,7 +394,7 @@ def finished(
             h, r, bins = unpack(batch, width)
             for arrays, depth, value in recent:
                 r = r - value[place(bins, arrays, depth)]
-            out = [(i, h.tobytes(), r.tobytes(), bins.tobytes()) for i in range(n_groups)]
+            out = [(i, h.tobytes(), r.tobytes(), bins.tobytes()) for i in group_ids]
             for number, arrays, depth, own in alone:
                 at = place(bins, arrays, depth)
                 if sampling != "all":
@@ -423,7 +425,14 @@ def finished(
         return pa.Table.from_batches(grown, NO_SPLITS.schema)
 
     sent = data.mapInArrow(send, "unit int, h binary, r binary, bins binary")
-    return sent.groupBy("unit").applyInArrow(finish, SPLITS)
+    return sent.repartition(parts, "unit").groupBy("unit").applyInArrow(finish, SPLITS)
+
+
+def _one_key_each(spark, parts: int) -> list[int]:
+    """For each of so many shuffle partitions a number that hashes to it, so that equal work is dealt out evenly."""
+    ids = spark.range(parts * 64).select(F.col("id").cast("int").alias("unit"))
+    dealt = ids.groupBy(F.pmod(F.hash("unit"), F.lit(parts)).alias("part")).agg(F.min("unit").alias("unit"))
+    return sorted(r["unit"] for r in dealt.collect())
 
 
 def combined(columns: list[np.ndarray], r: np.ndarray, grids: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:

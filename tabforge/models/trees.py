@@ -33,24 +33,30 @@ class TreeEnsemble:
     settings: dict = field(default_factory=dict)
 
     def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
-        trees = []
-        for _, t in self.nodes.sort_values(["tree", "node"]).groupby("tree"):
-            left = t["left_child"].to_numpy(np.int64)
-            depth = _depth(left)
-            trees.append((t["feature"].to_numpy(np.int64), t["threshold"].to_numpy(), left, t["value"].to_numpy(), depth))
+        # all trees in one row of nodes: a child is found by adding to its parent's number
+        nodes = self.nodes.sort_values(["tree", "node"])
+        sizes = nodes.groupby("tree", sort=True).size().to_numpy()
+        root = np.cumsum(sizes) - sizes
+        left = nodes["left_child"].to_numpy(np.int64) + np.repeat(root, sizes)
+        split = left != np.arange(len(left))
+        packed = (
+            nodes["feature"].to_numpy(np.int64), np.where(split, nodes["threshold"].to_numpy(float), np.inf), left, split, nodes["value"].to_numpy(float),
+            [(int(r), _depth(nodes["left_child"].to_numpy(np.int64)[r : r + n])) for r, n in zip(root, sizes)],
+        )
         # size fixed by the model settings, not by the data
-        shared = df.sparkSession.sparkContext.broadcast(trees)
+        shared = df.sparkSession.sparkContext.broadcast(packed)
         base, share, width = self.base, self.share, len(self.features)
 
         @F.pandas_udf("double")
         def predict(*columns: pd.Series) -> pd.Series:
+            feature, threshold, left, split, value, trees = shared.value
             x = np.column_stack([c.to_numpy(float) for c in columns])
             flat, row, total = x.ravel(), np.arange(len(x)) * width, np.zeros(len(x))
-            for feature, threshold, left, value, depth in shared.value:
-                node = np.zeros(len(x), np.int64)
+            for root, depth in trees:
+                node = np.full(len(x), root)
                 for _ in range(depth):
-                    # a missing value is never "at most the threshold"
-                    node = np.where(left[node] == node, node, left[node] + ~(flat[row + feature[node]] <= threshold[node]))
+                    # a missing value is never "at most the threshold"; a leaf stays where it is
+                    node = left[node] + (~(flat[row + feature[node]] <= threshold[node]) & split[node])
                 total += value[node]
             return pd.Series(base + share * total)
 
