@@ -5,12 +5,14 @@ from __future__ import annotations
 import random
 import uuid
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.ordered import row_numbers
 from ..functions.quantiles import exact_quantiles
 from ..models import search as se, trees
+from ..models.histograms import draws
 from ..models.linear import fit_polynomial_ridge
 from ..models.registry import Param, SavedModel, get_trainer
 from ..operators import encode as en, evaluate as ev, split as sp
@@ -43,6 +45,20 @@ def tree_stump(spark, folder):
     return _per_quantity(spark, folder, trees.fit_forest(lines, ["l_quantity"], "revenue", KEY, n_estimators=1, max_depth=1))
 
 
+DRAW = float(draws(0, np.array([1]), np.array([0]), 42)[0, 0])  # of the first tree's root
+
+
+@query("extra_tree_stump", f"""{STUMP}, l AS (SELECT q, row_number() OVER (ORDER BY q) - 1 AS i, lead(q) OVER (ORDER BY q) AS following FROM c),
+    e AS (SELECT i, (q + following) / 2 AS e FROM l WHERE following IS NOT NULL),
+    s AS (SELECT 2 * min(e) - (SELECT min(e) FROM e WHERE i > 0) AS low, 2 * max(e) - (SELECT max(e) FROM e WHERE i < (SELECT max(i) FROM e)) AS high, max(i) AS last FROM e),
+    k AS (SELECT least(count(*) FILTER (e < low + {DRAW!r} * (high - low)), any_value(last)) AS k FROM e, s),
+    b AS (SELECT r.* FROM r JOIN l USING (q), k WHERE i = k)
+    SELECT c.q AS l_quantity, round(m + CASE WHEN c.q <= b.q THEN b.gl / b.wl ELSE (b.g - b.gl) / (b.w - b.wl) END, 6) AS prediction FROM c, b, m""")
+def extra_tree_stump(spark, folder):
+    lines = table(spark, folder, "lineitem", LINES)
+    return _per_quantity(spark, folder, trees.fit_forest(lines, ["l_quantity"], "revenue", KEY, n_estimators=1, max_depth=1, random_cuts=True))
+
+
 SOFT = "sign({g}) * greatest(abs({g}) - 500, 0)"
 
 
@@ -53,6 +69,25 @@ def boosting_round(spark, folder):
     return _per_quantity(spark, folder, model)
 
 
+def _two_rounds_sql() -> str:
+    """Two stumps on one feature: the second on what the first leaves, from sums per value."""
+    gain = lambda t: " + ".join(f"({SOFT.format(g=g)}) * ({SOFT.format(g=g)}) / ({w} + 20)" for g, w in ((f"{t}.gl", f"{t}.wl"), (f"({t}.g - {t}.gl)", f"({t}.w - {t}.wl)")))
+    leaf = lambda t: (
+        f"CASE WHEN c.q <= {t}.q THEN 0.3 * {SOFT.format(g=f'{t}.gl')} / ({t}.wl + 20) ELSE 0.3 * {SOFT.format(g=f'({t}.g - {t}.gl)')} / ({t}.w - {t}.wl + 20) END")
+    return f"""{STUMP}, b AS (SELECT * FROM r WHERE wl < w ORDER BY {gain('r')} DESC, q LIMIT 1),
+    c2 AS (SELECT c.q, c.n, c.g - c.n * ({leaf('b')}) AS g, {leaf('b')} AS first FROM c, b),
+    r2 AS (SELECT q, sum(n) OVER (ORDER BY q) AS wl, sum(g) OVER (ORDER BY q) AS gl, sum(n) OVER () AS w, sum(g) OVER () AS g FROM c2),
+    b2 AS (SELECT * FROM r2 WHERE wl < w ORDER BY {gain('r2')} DESC, q LIMIT 1)
+    SELECT c.q AS l_quantity, round(m + c.first + {leaf('b2')}, 6) AS prediction FROM c2 c, b2, m"""
+
+
+@query("boosting_two_rounds", _two_rounds_sql())
+def boosting_two_rounds(spark, folder):
+    lines = table(spark, folder, "lineitem", LINES)
+    model = trees.fit_boosted(lines, ["l_quantity"], "revenue", KEY, n_estimators=2, max_depth=1, learning_rate=0.3, reg_lambda=20.0, reg_alpha=500.0)
+    return _per_quantity(spark, folder, model)
+
+
 ALPHA = 5000
 
 
@@ -86,6 +121,29 @@ def search_ridge_one_feature(spark, folder):
     return rounded(se.best_trial(found.trials).select("trial", "rmse"), 6, "rmse")
 
 
+def _quadratic_sql(k: int, trials: str) -> str:
+    """(trial, rmse) over hash folds of a ridge on x and x squared, from sums per fold."""
+    key = ", ".join(KEY)
+    sums = {"n": "1", "x": "x", "q": "x * x", "c": "x * x * x", "d": "x * x * x * x", "y": "y", "xy": "x * y", "qy": "x * x * y", "yy": "y * y"}
+    fold = ", ".join(f"sum({e}) AS {c}" for c, e in sums.items())
+    rest = ", ".join(f"sum({c}) OVER () - {c} AS t{c}" for c in sums)
+    return f"""WITH t AS (SELECT l_quantity::DOUBLE AS x, {ACTUAL} AS y, CAST('0x' || substr(md5(concat_ws(':', {key}, '42')), 1, 13) AS BIGINT) % {k} AS f FROM lineitem),
+    s AS (SELECT f, {fold} FROM t GROUP BY f), o AS (SELECT *, {rest} FROM s),
+    l AS (SELECT o.*, trial, tq - tx * tx / tn + alpha AS a11, tc - tx * tq / tn AS a12, td - tq * tq / tn + alpha AS a22,
+        txy - tx * ty / tn AS b1, tqy - tq * ty / tn AS b2 FROM o, (VALUES {trials}) AS a(trial, alpha)),
+    g AS (SELECT *, (a22 * b1 - a12 * b2) / (a11 * a22 - a12 * a12) AS g1, (a11 * b2 - a12 * b1) / (a11 * a22 - a12 * a12) AS g2 FROM l),
+    e AS (SELECT *, (ty - g1 * tx - g2 * tq) / tn AS g0 FROM g)
+    SELECT trial, round(sqrt(avg((yy - 2 * (g0 * y + g1 * xy + g2 * qy) + g0 * g0 * n + 2 * g0 * g1 * x + (2 * g0 * g2 + g1 * g1) * q + 2 * g1 * g2 * c + g2 * g2 * d) / n)), 6) AS rmse
+    FROM e GROUP BY trial"""
+
+
+@query("search_ridge_quadratic", _quadratic_sql(4, ", ".join(map(str, TRIALS))))
+def search_ridge_quadratic(spark, folder):
+    lines = table(spark, folder, "lineitem", LINES)
+    found = se.search(get_trainer("polynomial"), lines, ["l_quantity"], "revenue", KEY, n_trials=len(TRIALS), k=4, space=SPACE, degree=2)
+    return rounded(found.trials.groupBy("trial").agg(F.sqrt(F.avg("mse")).alias("rmse")), 6, "rmse")
+
+
 LINE = f"""WITH t AS (SELECT l_orderkey, l_linenumber, l_quantity::DOUBLE AS x, {ACTUAL} AS y FROM lineitem),
     f AS (SELECT regr_sxy(y, x) / (regr_sxx(y, x) + {ALPHA}) AS b, avg(y) AS my, avg(x) AS mx FROM t),
     p AS (SELECT t.*, my + b * (x - mx) AS p FROM t, f)"""

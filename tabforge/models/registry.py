@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..schema import q_col
 from ..sources.writers import read_json_record, write_json_record
 from . import trees
+from .gram import ridge_fold_errors
 from .linear import fit_polynomial_ridge
 
 
@@ -87,6 +88,8 @@ class Trainer:
     trials: int = 20
     seconds: float = 600.0
     has_importance: bool = True
+    # errors of many settings and folds at once: (folded, k, features, target, settings) -> per setting and fold
+    fold_errors: Callable[..., Any] | None = None
 
     def train(
         self, df: DataFrame, features: Sequence[str], target: str, key: Sequence[str], *, seed: int = 42, **params: Any
@@ -162,6 +165,7 @@ TRAINERS: dict[str, Trainer] = {
         10,
         300.0,
         has_importance=False,
+        fold_errors=ridge_fold_errors,
     ),
     "random_forest": Trainer(
         "random_forest",

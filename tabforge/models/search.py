@@ -61,11 +61,15 @@ def cross_validate(
     """Square root of the mean fold error (not the mean of the roots)."""
     folded = with_folds(df, key, k, order_by=order_by, seed=seed).persist()
     try:
-        with ThreadPoolExecutor(parallel) as pool:
-            run = inheritable_thread_target(df.sparkSession)(
-                lambda fold: fold_error(trainer, folded, fold, features, target, key, params, seed)
-            )
-            errors = [e for e in pool.map(run, range(k)) if e is not None]
+        at_once = _errors_at_once(trainer, folded, k, features, target, [params])
+        if at_once:
+            errors = [e for e in at_once[0] if e is not None]
+        else:
+            with ThreadPoolExecutor(parallel) as pool:
+                run = inheritable_thread_target(df.sparkSession)(
+                    lambda fold: fold_error(trainer, folded, fold, features, target, key, params, seed)
+                )
+                errors = [e for e in pool.map(run, range(k)) if e is not None]
     finally:
         folded.unpersist()
     if len(errors) < k:
@@ -73,6 +77,13 @@ def cross_validate(
     return math.sqrt(sum(errors) / len(errors))
 
 
+def _errors_at_once(trainer: Trainer, folded: DataFrame, k: int, features: Sequence[str], target: str, points: Sequence[Mapping[str, Any]]):
+    """Errors of all settings and folds where the trainer can tell them from sums; None: fit each."""
+    if trainer.fold_errors is None:
+        return None
+    return trainer.fold_errors(folded, k, features, target, [{**trainer.defaults, **p} for p in points])
+
+
 @dataclass
 class SearchResult:
     best_params: dict[str, Any]
@@ -90,7 +101,7 @@ def search(
 
     ``fixed`` settings (such as a feature subset) apply to every trial, so the search sees the
     same columns as the later training. A polynomial too wide to solve counts as an infeasible trial.
-    Folds of a trial run side by side.
+    Folds of a trial run side by side; where the trainer has ``fold_errors``, all trials and folds come from one pass.
     """
     spark: SparkSession = df.sparkSession
     rng = random.Random(seed)
@@ -101,16 +112,18 @@ def search(
     folded = with_folds(df, key, k, order_by=order_by, seed=seed).persist()
     rows, best, points = [], None, []
     try:
+        drawn = [draw(space or trainer.space, rng) for _ in range(budget)]
+        at_once = _errors_at_once(trainer, folded, k, features, target, [{**p, **fixed} for p in drawn])
         with ThreadPoolExecutor(parallel) as pool:
             for trial in range(budget):
-                if trial and time.monotonic() > deadline:
+                if trial and at_once is None and time.monotonic() > deadline:
                     break
-                point = draw(space or trainer.space, rng)
+                point = drawn[trial]
                 run = inheritable_thread_target(spark)(
                     lambda fold: fold_error(trainer, folded, fold, features, target, key, {**point, **fixed}, seed)
                 )
                 try:
-                    errors = list(pool.map(run, range(k)))
+                    errors = at_once[trial] if at_once is not None else list(pool.map(run, range(k)))
                 except TooWide as problem:
                     log.warning("trial %s is not feasible: %s", trial, problem)
                     errors = [None] * k

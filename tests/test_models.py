@@ -1,3 +1,4 @@
+import dataclasses
 import math
 
 import numpy as np
@@ -121,6 +122,44 @@ def test_early_stopping(sample):
     assert model.settings["n_estimators"] < 12
 
 
+@pytest.mark.parametrize("local_rows", [0, 150])
+def test_trees_are_the_same_wherever_they_grow(sample, monkeypatch, local_rows):
+    df, _ = sample
+    fits = (
+        lambda: trees.fit_forest(df, X, "y", ["id"], n_estimators=3, max_depth=5, random_cuts=True),
+        lambda: trees.fit_forest(df, X, "y", ["id"], n_estimators=2, max_depth=5, bootstrap=True, min_samples_leaf=3, min_samples_split=8),
+        lambda: trees.fit_boosted(df, X, "y", ["id"], n_estimators=3, max_depth=3, learning_rate=0.3, subsample=0.8, colsample_bytree=0.7, early_stopping_rounds=2),
+    )
+    want = [f().nodes.to_numpy(float) for f in fits]
+    monkeypatch.setattr(hg, "LOCAL_ROWS", local_rows)
+    for whole, f in zip(want, fits):
+        assert np.allclose(whole, f().nodes.to_numpy(float))
+
+
+def test_random_cut_by_hand():
+    w, g = np.array([[0, 2, 0, 3, 1.0]]), np.array([[0, 4, 0, -3, -1.0]])
+    grid = np.array([1.0, 2.0, 3.0, 4.0])
+    rules = hg.GrowthRules(1, random_cuts=True)
+    # values lie between the edges 1 and 5 (the last bin is as wide as its neighbour)
+    for draw, cut, left in ((0.0, 1, 2.0), (0.2, 1, 2.0), (0.3, 2, 2.0), (0.6, 3, 5.0), (0.99, 3, 5.0)):
+        gain, at, wl, *_ = hg.feature_splits(w, g, rules, grid, np.array([draw]))
+        assert (at[0], wl[0]) == (cut, left) and gain[0] > 0
+
+
+@pytest.mark.parametrize("degree, alpha", [(1, 0.5), (3, 20.0), (4, 1e-3)])
+def test_ridge_errors_from_sums_equal_fitted_ones(sample, degree, alpha):
+    df, _ = sample
+    trainer = get_trainer("polynomial")
+    slow = dataclasses.replace(trainer, fold_errors=None)
+    shifted = df.withColumn("a", F.col("a") * 5 + 40)
+    got, want = (se.cross_validate(t, shifted, ["a", "c"], "y", ["id"], k=2, degree=degree, alpha=alpha) for t in (trainer, slow))
+    assert got == pytest.approx(want, rel=1e-5)
+    found = se.search(trainer, df, X, "y", ["id"], n_trials=4, k=2, max_terms=20)
+    assert {r["mse"] is None for r in found.trials.collect()} == {True, False}
+    with pytest.raises(Exception, match="missing"):
+        se.cross_validate(trainer, df.withColumn("a", F.when(F.col("a") > 0, F.col("a"))), ["a"], "y", ["id"], k=2)
+
+
 def test_prune_works_upwards():
     tree = hg.Tree()
     left, right = tree.split(0, 0, 3, 5.0, ((5, 1.0), (5, -1.0)))
@@ -319,6 +358,7 @@ def test_model_queries_run_at_the_default_settings(spark, monkeypatch):
     monkeypatch.setattr(TrainingRun, "train_one", train_one)
     monkeypatch.setattr(TrainingRun, "results_frame", no_results)
     monkeypatch.setattr(TrainingRun, "compare_importances", no_results)
+    monkeypatch.setattr(se, "_errors_at_once", lambda *_: None)
     monkeypatch.setattr(se, "fold_error", lambda trainer, folded, fold, features, target, key, params, seed: folds.append((fold, params)) or 1.0)
     folder = "/root/testdata/sf0.001"
     for name in ("random_forest", "random_forest_ml", "extra_trees", "boosted_trees", "boosted_early_stopping", "train_and_rank", "importance_comparison"):

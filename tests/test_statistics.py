@@ -244,7 +244,7 @@ def test_errors_and_confusion(spark):
     df = spark.createDataFrame([(0.0, 2.0), (4.0, 3.0)], "y double, p double")
     assert sorted((r["abs_error"], r["pct_error"]) for r in ev.error_table(df, "y", "p").collect()) == [(1.0, 25.0), (2.0, 0.0)]
     labels = spark.createDataFrame([(0, 0), (0, 1), (2, 1)], "y int, p int")
-    got = {(r["actual"], r["predicted"]): r["n"] for r in ev.confusion_matrix(labels, "y", "p").collect()}
+    got = {(r["actual"], r["predicted"]): r["n"] for r in ev.confusion_matrix(labels, "y", "p", dense_classes=3).collect()}
     assert len(got) == 9 and got[(0, 1)] == 1 and got[(1, 1)] == 0
 
 
