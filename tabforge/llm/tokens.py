@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import checkpoint_dir
+from . import words
 from .words import flat
 
 END_ID = 2
@@ -33,7 +34,8 @@ CHUNK_IDS = 1 << 20
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2])
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30])
 ESCAPE = 15
-MEMO = 1_000_000  # pieces; about 200 MB
+MEMO_BYTES = 112 << 20  # of a worker's memo, as estimated from its pieces and ids
+ENTRY_BYTES = 130
 TOGETHER = 10_000  # pieces of one string
 ENCODE_BYTES = 2 << 20
 U = np.uint64
@@ -58,14 +60,15 @@ class Encoder:
     ``p`` for a space and p, a line end and p for just that, and ("", p) for p at the start of a text. Where a key shows
     other white space, its text is not plain: it is cut only at its safe spaces, with keys ("first", p) and (" ", p).
 
-    New pieces without white space go to the tokenizer many in one string, a line end before each; the line ends'
-    tokens tell them apart again. The others are encoded one by one.
+    New pieces without white space go to the tokenizer many in one string, each after a space (the only spaces of the string, so
+    tokens that begin with a space begin the pieces) or, where no space belongs to them, after a line end, whose tokens tell them
+    apart. The others are encoded one by one.
     """
 
     SAFE = re.compile(r"(?<=\S) (?=\S)")
     SPACE = re.compile(r"\s")
 
-    def __init__(self, path: str, special_as_text: bool = False, memo: int = MEMO):
+    def __init__(self, path: str, special_as_text: bool = False, memo: int = MEMO_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -73,6 +76,9 @@ class Encoder:
         self.tokenizer.encode_special_tokens = special_as_text
         self.memo = memo
         (self.line_end,) = self._ids(["\n"])[0]
+        vocabulary = self.tokenizer.get_vocab()
+        self.after_space = np.zeros(max(vocabulary.values()) + 1, bool)  # a byte-level vocabulary writes a space as U+0120
+        self.after_space[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         self._forget()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -80,13 +86,14 @@ class Encoder:
 
     def _forget(self):
         self.place: dict[str | tuple[str, str], int] = {}  # -1: a key that no plain text has
-        self.known = 0
+        self.known, self.size = 0, 0
         self.begin = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
     def _add(self, keys: list, sizes: np.ndarray, ids: np.ndarray) -> None:
         self.place.update(zip(keys, range(self.known, self.known + len(keys))))
         self.known += len(keys)
+        self.size += sum(len(k) if isinstance(k, str) else len(k[1]) for k in keys) + ENTRY_BYTES * len(keys) + 4 * len(ids)
         self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(sizes)))
         self.ids = np.concatenate((self.ids, ids))
 
@@ -103,6 +110,17 @@ class Encoder:
                 self.place[k] = -1
             else:
                 alone.append(k)
+        spaced = [k for k in plain if k[0] == " " or isinstance(k, str) and k[0] != "\n"]
+        if spaced:
+            plain = [k for k in plain if k[0] == "" or isinstance(k, str) and k[0] == "\n"]
+        for at in range(0, len(spaced), TOGETHER):
+            some = spaced[at : at + TOGETHER]
+            ids = np.array(self._ids(["".join(" " + (k if isinstance(k, str) else k[1]) for k in some)])[0], np.uint32)
+            cuts = np.flatnonzero(self.after_space[ids])
+            if len(cuts) == len(some) and cuts[0] == 0:
+                self._add(some, np.diff(np.append(cuts, len(ids))), ids)
+            else:
+                plain += some
         for at in range(0, len(plain), TOGETHER):
             some = plain[at : at + TOGETHER]
             bodies = [(k if k[0] == "\n" else "\n " + k) if isinstance(k, str) else "\n " + k[1] if k[0] == " " else "\n" + k[1] for k in some]
@@ -119,7 +137,7 @@ class Encoder:
             self._add(alone, np.fromiter(map(len, got), np.int64, len(got)), np.fromiter(chain.from_iterable(got), np.uint32))
 
     def _places(self, keys: list) -> np.ndarray:
-        if len(self.place) > self.memo:
+        if self.size > self.memo:
             self._forget()
         missing = list(set(keys).difference(self.place))
         if missing:
@@ -158,6 +176,7 @@ def encoder(path: str, special_as_text: bool = False) -> Encoder:
     """One encoder per worker and tokenizer file, so the memo outlives a task."""
     key = (path, special_as_text)
     if key not in _encoders:
+        words.release()  # tables of earlier tasks of other kinds
         _encoders[key] = Encoder(*key)
     return _encoders[key]
 

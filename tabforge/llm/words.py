@@ -42,6 +42,12 @@ def _power(which: str, n: int) -> np.ndarray:
     return _powers[which][:n]
 
 
+def release() -> None:
+    """Give back the memory of the power tables; they are made again where they are needed."""
+    for which in _powers:
+        _powers[which] = np.ones(1, U)
+
+
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row, and where each text begins (one more at the end)."""
     if isinstance(texts, pa.ChunkedArray):
