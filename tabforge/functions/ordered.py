@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..schema import q_col
+from ..session import stored
 from . import buckets as bk
 
 BEFORE = (Window.unboundedPreceding, -1)
@@ -56,13 +57,15 @@ def running_sums(
 def with_order_bucket(
     df: DataFrame, order_by: Sequence[str], out: str = "_ob", n_buckets: int | None = None
 ) -> DataFrame:
-    """Bucket number consistent with the lexicographic order of ``order_by``.
+    """Bucket number consistent with the lexicographic order of ``order_by``, missing values last in each column.
 
-    Where one value of the first column fills a bucket alone, and where it is missing, that bucket is
+    With text among the order columns Spark ranges the rows by all of them (:func:`_ranged`). Else, where one value of the first column fills a bucket alone, and where it is missing, that bucket is
     cut again by the second column, so equal leading keys do not pile up in one task.
     """
     n = n_buckets or bk.default_buckets(df)
     lead = order_by[0]
+    if any(isinstance(df.schema[c].dataType, T.StringType) for c in order_by):
+        return _ranged(df, order_by, out, n)
     values = [bk.order_value(df, lead)]
     if len(order_by) > 1:
         values.append(bk.order_value(df, order_by[1]))
@@ -71,8 +74,7 @@ def with_order_bucket(
     if len(order_by) == 1:
         return cut
     hot = [len(cuts[0]) + 1]  # the bucket of rows without a leading value
-    whole = not isinstance(df.schema[lead].dataType, T.StringType)
-    if whole and all(abs(e) < bk.EXACT_DOUBLE for e in cuts[0]):
+    if all(abs(e) < bk.EXACT_DOUBLE for e in cuts[0]):
         hot += bk.single_valued(cuts[0])
     # about four pieces per ordinary bucket in all, however many values are hot
     step = max(1, len(cuts[1]) * len(hot) // (4 * n))
@@ -84,6 +86,15 @@ def with_order_bucket(
     ).drop(out + "2")
 
 
+def _ranged(df: DataFrame, order_by: Sequence[str], out: str, n: int) -> DataFrame:
+    """The bucket is the range that Spark's range partitioning puts a row into, by whole texts and all order columns.
+
+    The ranges come from a sample of each task, so the rows are written with their bucket: a lost task, or a second
+    pass, finds the same ones. Rows that agree in all order columns share a bucket.
+    """
+    return stored(df.repartitionByRange(n, *[q_col(c).asc_nulls_last() for c in order_by]).withColumn(out, F.spark_partition_id()))
+
+
 def row_numbers(
     df: DataFrame, order_by: Sequence[str], out: str = "row_number", n_buckets: int | None = None
 ) -> DataFrame:
@@ -93,7 +104,7 @@ def row_numbers(
     offsets = counts.select(
         "_ob", F.coalesce(F.sum("_n").over(Window.orderBy("_ob").rowsBetween(*BEFORE)), F.lit(0)).alias("_o")
     )
-    inside = Window.partitionBy("_ob").orderBy(*[q_col(c) for c in order_by])
+    inside = Window.partitionBy("_ob").orderBy(*[q_col(c).asc_nulls_last() for c in order_by])
     # the table of offsets has a row per bucket; Spark broadcasts it while it is small
     return cut.join(offsets, "_ob").select(
         *[q_col(c) for c in df.columns], (F.col("_o") + F.row_number().over(inside) - 1).cast("long").alias(out)
@@ -111,14 +122,19 @@ def fill_along(
 ) -> DataFrame:
     """Carry the last known value forward (or the next one backward) into missing cells."""
     cut = with_order_bucket(df, order_by, n_buckets=n_buckets)
-    keys = [q_col(c).desc() if backward else q_col(c).asc() for c in order_by]
+    keys = [q_col(c).desc_nulls_first() if backward else q_col(c).asc_nulls_last() for c in order_by]
     bucket_key = F.col("_ob").desc() if backward else F.col("_ob").asc()
     nearest = F.min_by if backward else F.max_by
-    # a single plain key keeps this a hash aggregate; several are compared as one struct
-    position_key = q_col(order_by[0]) if len(order_by) == 1 else F.struct(*[q_col(k) for k in order_by])
-    summary = cut.groupBy(*groups, "_ob").agg(
-        *[nearest(q_col(c), F.when(q_col(c).isNotNull(), position_key)).alias(f"_s_{i}") for i, c in enumerate(columns)]
-    )
+    # a single plain key keeps this a hash aggregate; several are one struct, in which a missing key comes last
+    lead = q_col(order_by[0])
+    position_key = lead if len(order_by) == 1 else F.struct(*[e for k in order_by for e in (q_col(k).isNull().alias(f"n_{k}"), q_col(k).alias(k))])
+
+    def held(c: str) -> Column:
+        value = nearest(q_col(c), F.when(q_col(c).isNotNull(), position_key))
+        # rows without the only key share one bucket, in no order
+        return value if len(order_by) > 1 else F.coalesce(value, F.max(F.when(lead.isNull(), q_col(c))))
+
+    summary = cut.groupBy(*groups, "_ob").agg(*[held(c).alias(f"_s_{i}") for i, c in enumerate(columns)])
     across = Window.partitionBy(*groups).orderBy(bucket_key).rowsBetween(*BEFORE)
     carried = summary.select(
         *groups, "_ob", *[F.last(f"_s_{i}", ignorenulls=True).over(across).alias(f"_c_{i}") for i in range(len(columns))]

@@ -87,6 +87,31 @@ def test_text_order_columns(spark):
     assert sorted(r["count"] for r in folds) == [168, 168, 168]
 
 
+@pytest.mark.parametrize("text", ["concat('https://www.example.org/path/', lpad(id * 7919 % 20011, 6, '0'))", "'one text'", "if(id % 3 = 0, 'hot', concat('Customer#', id))"])
+def test_texts_with_one_beginning_are_spread(spark, text):
+    """By whole texts, and rows of one text by the next column."""
+    df = spark.range(20_000).selectExpr(f"{text} AS s", "id").repartition(6)
+    sizes = [r["count"] for r in od.with_order_bucket(df, ["s", "id"], n_buckets=10).groupBy("_ob").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 2 * 20_000 / 10
+    got = [(r["s"], r["id"]) for r in od.row_numbers(df, ["s", "id"], n_buckets=10).orderBy("row_number").collect()]
+    assert got == sorted(got) and len(set(got)) == 20_000
+
+
+def test_missing_keys_come_last(spark):
+    """In every order column, whether or not a bucket was cut again."""
+    rows = [(a, b) for a in (1, 1, 1, 2, None) for b in (5, 3, None)]
+    for kind in ("long", "string"):
+        df = spark.createDataFrame([(i, a, None if b is None else b if kind == "long" else str(b)) for i, (a, b) in enumerate(rows)], f"i long, a long, b {kind}")
+        got = [(r["a"], r["b"] and int(r["b"])) for r in od.row_numbers(df, ["a", "b", "i"], n_buckets=4).orderBy("row_number").collect()]
+        assert got == sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or 0))
+    known = spark.createDataFrame([(1, None, "x"), (2, 2.0, "x"), (None, 7.0, "x")], "k long, v double, g string")
+    for backward, expected in ((True, [2.0, 2.0, 7.0]), (False, [None, 2.0, 7.0])):
+        filled = od.fill_along(known, ["v"], ["k"], backward=backward, n_buckets=4)
+        assert [r["v"] for r in filled.orderBy(F.col("k").asc_nulls_last()).collect()] == expected
+    last = spark.createDataFrame([(1, None), (2, None), (None, 7.0)], "k long, v double")
+    assert {r["v"] for r in od.fill_along(last, ["v"], ["k"], backward=True, n_buckets=4).collect()} == {7.0}
+
+
 def test_missing_leading_keys_are_spread(spark):
     df = spark.range(4000).selectExpr("CASE WHEN id % 4 = 0 THEN id END AS k", "id")
     cut = od.with_order_bucket(df, ["k", "id"], n_buckets=16)
