@@ -1,6 +1,6 @@
 """All named queries; importing the package fills the registry."""
 
-from . import checked, cleaning, fitting, modelling, profiling  # noqa: F401
+from . import checked, cleaning, fitting, modelling, profiling, runs  # noqa: F401
 from .base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

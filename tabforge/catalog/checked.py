@@ -19,7 +19,7 @@ from ..operators import encode as en, evaluate as ev, split as sp
 from ..plans.fitted import FeaturePlan, FittedPlan
 from ..session import checkpoint_dir
 from ..sources import readers, writers
-from .base import query, rounded, table
+from .base import ORDERS_GAPS, query, rounded, table
 from .modelling import ACTUAL, KEY, LINES
 
 STUMP = f"""WITH t AS (SELECT l_quantity AS q, {ACTUAL} AS y FROM lineitem), m AS (SELECT avg(y) AS m FROM t),
@@ -89,6 +89,7 @@ def boosting_two_rounds(spark, folder):
 
 
 ALPHA = 5000
+ROWS_OF_AN_ARRAY = 10_000
 
 
 def _folds_sql(k: int, alphas: str) -> str:
@@ -182,13 +183,14 @@ def saved_plan_scores(spark, folder):
     return rounded(scored.select("o_orderkey", "o_totalprice", "o_orderpriority"), 8, "o_totalprice")
 
 
-@query("json_array_file", "SELECT r_regionkey, r_name FROM region")
+@query("json_array_file", """SELECT o_orderkey, o_orderstatus, o_totalprice, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority
+    FROM orders""")
 def json_array_file(spark, folder):
-    """An array of records in one document, written from and read back as the table."""
-    path = f"{checkpoint_dir(spark)}/regions-{uuid.uuid4().hex}"
-    regions = table(spark, folder, "region", ("r_regionkey", "r_name"))
-    regions.agg(F.to_json(F.collect_list(F.struct("*"))).alias("value")).coalesce(1).write.text(path)  # the fixed list of regions
-    return readers.read_json(spark, path).select("r_regionkey", "r_name")
+    """Documents of one array each, written from and read back as the table; Spark splits the work by file."""
+    orders = table(spark, folder, "orders", ("o_orderkey", "o_orderstatus", "o_totalprice", ORDERS_GAPS[2]))
+    path = f"{checkpoint_dir(spark)}/arrays-{uuid.uuid4().hex}"
+    writers.write_json_arrays(orders, path, ["o_orderkey"], files=orders.count() // ROWS_OF_AN_ARRAY + 1)
+    return readers.read_json(spark, path).select(*orders.columns)
 
 
 @query("results_read_back", "SELECT 'line' AS model, round(sqrt(avg((y - p) ** 2)), 4) AS test_rmse FROM (SELECT y, p FROM ("

@@ -7,9 +7,12 @@ import json
 from collections.abc import Mapping, Sequence
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.split import with_split_tag
+from ..schema import q_col
 from .readers import table_format
 
 RESULT_SCHEMA = (
@@ -34,6 +37,31 @@ def write_table(df: DataFrame, path: str, fmt: str | None = None, *, partition_b
     return path
 
 
+def write_json_arrays(df: DataFrame, path: str, key: Sequence[str], files: int) -> str:
+    """A folder of ``files`` JSON documents, each one array of the rows whose key hashes to it.
+
+    A reader parses a document in one task, so ``files`` should grow with the table; the writer holds one batch
+    of rows at a time. An empty table writes an empty folder, which reads back with a given schema only.
+    """
+    record = F.to_json(F.struct(*[q_col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("value")
+
+    def lines(batches):
+        lead = "["
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            leads = pa.array([lead] + [","] * (batch.num_rows - 1))
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(leads, batch.column(0), "")], names=["value"])
+            lead = ","
+        if lead == ",":
+            yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+    spread = df.repartition(files, *[q_col(c) for c in key]).select(record).mapInArrow(lines, "value string")
+    # one task writes one file, whatever limit of records the session sets
+    spread.write.mode("overwrite").option("maxRecordsPerFile", 0).text(path)
+    return path
+
+
 def write_processed(train: DataFrame, test: DataFrame, path: str, fmt: str | None = None) -> str:
     """Both sides with a ``split`` tag, one folder per side, so a reader of one side skips the other."""
     return write_table(with_split_tag(train, test), path, fmt or "parquet", partition_by=["split"])

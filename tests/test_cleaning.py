@@ -218,3 +218,20 @@ def test_checkpoint_dir_is_read_from_the_session(spark):
     from tabforge.session import checkpoint_dir
 
     assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_json_array_documents(spark, tmp_path):
+    """One array per file, whatever the batch size and the session's limit of records; an empty table gives no document."""
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL ELSE concat('a,\"', id, '\\n]') END AS `odd name`").repartition(3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 64)
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", 50)
+        path = writers.write_json_arrays(df, str(tmp_path / "arrays"), ["id"], 4)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before[0])
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", before[1])
+    assert len(list((tmp_path / "arrays").glob("part-*"))) == 4
+    assert sorted(map(tuple, readers.read_json(spark, path).select(*df.columns).collect())) == sorted(map(tuple, df.collect()), key=lambda r: r[0])
+    none = writers.write_json_arrays(df.limit(0), str(tmp_path / "none"), ["id"], 4)
+    assert readers.read_json(spark, none, df.schema).count() == 0
