@@ -30,6 +30,9 @@ from ..session import spark_cores
 
 CELL_BYTES = 64 << 20  # histogram memory per task and pass
 LOCAL_ROWS = 1 << 20  # rows of a node that one task finishes: at most this many times features + 16 bytes
+LOCAL_VECTORS = 1 << 20  # different vectors of bins whose sums one task grows a tree from
+PACKED_ROWS = 1 << 20  # rows that a task of that layout orders at once
+CHUNK_ROWS = 1 << 16  # rows of one packed chunk of the layout by vector
 MIN_GAIN = 1e-9
 SPLITS = "tree int, path long, feature int, bin int, gain double, wl double, gl double, wr double, gr double"
 SPLIT_NAMES = ("tree", "path", "feature", "bin", "gain", "wl", "gl", "wr", "gr")
@@ -497,6 +500,109 @@ def grow(
     return {n: tree_of(_joined(splits[n])) if splits[n] else Tree() for n in numbers}
 
 
+def vector_counts(data: DataFrame) -> tuple[DataFrame, int, int]:
+    """(rows per vector of bins, number of vectors, rows of the most frequent one) of a binned table."""
+    counts = data.groupBy("bins").agg(F.count("*").alias("n"))
+    row = counts.agg(F.count("*").alias("k"), F.max("n").alias("most")).first()
+    return counts, row["k"], row["most"] or 0
+
+
+def by_vector(data: DataFrame, rows: int, width: int, counts: DataFrame, most: int) -> DataFrame:
+    """(h, r, n, bins): chunks of rows ordered by their bins; ``bins`` has one entry per vector, ``n`` its rows in the chunk.
+
+    The rows of a vector go to one task; those of one too frequent for that are dealt out by their hash.
+    """
+    parts = max(spark_cores(data.sparkSession), rows // PACKED_ROWS + 1)
+    share = PACKED_ROWS // 4
+    salt = F.lit(0)
+    if most > share:  # fewer vectors than tasks
+        frequent = counts.where(F.col("n") > share).select("bins", F.expr(f"n div {share} + 1").alias("_ways"))
+        data = data.join(F.broadcast(frequent), "bins", "left")
+        salt = F.coalesce(F.pmod("h", "_ways"), F.lit(0))
+
+    def pack(batches):
+        held = [unpack(b, width) for b in batches if b.num_rows]
+        if not held:
+            return
+        h, r, bins = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((r, h, *bins.T[::-1]))  # sums do not depend on how the rows arrived
+        h, r, bins = h[order], r[order], bins[order]
+        for at in range(0, len(h), CHUNK_ROWS):
+            here = bins[at : at + CHUNK_ROWS]
+            start = np.flatnonzero(np.concatenate(([True], (here[1:] != here[:-1]).any(axis=1))))
+            n = np.diff(np.append(start, len(here))).astype(np.int32)
+            blobs = (h[at : at + CHUNK_ROWS], r[at : at + CHUNK_ROWS], n, here[start])
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in blobs], names=["h", "r", "n", "bins"])
+
+    laid = data.select("h", "r", "bins", salt.alias("_salt")).repartition(parts, "bins", "_salt").select("h", "r", "bins")
+    return laid.mapInArrow(pack, "h binary, r binary, n binary, bins binary")
+
+
+def chunks(batches, width: int):
+    """(h, r, n, start, bins) of every packed chunk; ``start`` is where the rows of each vector begin."""
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            h, r, n = (np.frombuffer(x, kind) for x, kind in zip(row, (np.int64, np.float64, np.int32)))
+            yield h, r, n, np.cumsum(n) - n, np.frombuffer(row[3], np.uint8).reshape(-1, width)
+
+
+def vector_sums(h, r, n, start, salt: int, sampling: str, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and weighted sums of each vector of a chunk in one tree's sample."""
+    weight = row_weights(h, salt, sampling, rate)
+    if weight is None:
+        return n.astype(float), np.add.reduceat(r, start)
+    return np.add.reduceat(weight, start), np.add.reduceat(r * weight, start)
+
+
+def merge_order(bins: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal vectors stand together, whatever the order of arrival, and where each begins in it."""
+    order = np.lexsort((g, *bins.T[::-1]))
+    ordered = bins[order]
+    return order, np.flatnonzero(np.concatenate(([True], (ordered[1:] != ordered[:-1]).any(axis=1))))
+
+
+def grow_by_vector(
+    packed: DataFrame, numbers: Sequence[int], usable: dict[int, list[int]], edges: list[list[float]], rules: GrowthRules,
+    sampling: str, rate: float,
+) -> dict[int, Tree]:
+    """Trees of the given numbers from the packed chunks of :func:`by_vector`.
+
+    A tree's sums go to one task that grows it; trees on all rows share the sums that a task has received.
+    """
+    grids, width = [np.array(e, float) for e in edges], len(edges)
+    numbers, cores = list(numbers), spark_cores(packed.sparkSession)
+    n_groups = min(len(numbers), cores) if sampling == "all" else len(numbers)
+    parts = max(n_groups, 1)
+    work = {unit: numbers[i::n_groups] for i, unit in enumerate(_one_key_each(packed.sparkSession, parts)[:n_groups])}
+
+    def send(batches):
+        for h, r, n, start, bins in chunks(batches, width):
+            if sampling == "all":
+                found = [(unit, *vector_sums(h, r, n, start, 0, sampling, rate)) for unit in list(work)[:1]]
+                found += [(unit, *found[0][1:]) for unit in list(work)[1:]]
+            else:
+                found = [(unit, *vector_sums(h, r, n, start, rules.seed * 1_000_003 + own[0], sampling, rate)) for unit, own in work.items()]
+            out = [(unit, bins[w > 0].tobytes(), w[w > 0].tobytes(), g[w > 0].tobytes()) for unit, w, g in found]
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), *[pa.array([o[i] for o in out], pa.binary()) for i in (1, 2, 3)]], names=["unit", "bins", "w", "g"])
+
+    def finish(key, table):
+        bins, w, g = (
+            np.frombuffer(b"".join(table.column(i).to_pylist()), kind) for i, kind in ((1, np.uint8), (2, np.float64), (3, np.float64))
+        )
+        if not len(w):
+            return NO_SPLITS.schema.empty_table()
+        bins = bins.reshape(-1, width)
+        order, start = merge_order(bins, g)
+        bins, w, g = bins[order[start]], np.add.reduceat(w[order], start), np.add.reduceat(g[order], start)
+        columns = [bins[:, f].astype(np.int64) for f in range(width)]
+        grown = [_table(number, found) for number in work[key[0].as_py()] for found in grow_rows(columns, w, g, rules, grids, number, usable[number])]
+        return pa.Table.from_batches(grown, NO_SPLITS.schema)
+
+    sent = packed.mapInArrow(send, "unit int, bins binary, w binary, g binary")
+    grown = dict(_by_tree(sent.repartition(parts, "unit").groupBy("unit").applyInArrow(finish, SPLITS)))
+    return {n: tree_of(grown[n]) if n in grown else Tree() for n in numbers}
+
+
 def _joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
     return {k: np.concatenate([p[k] for p in parts]) for k in SPLIT_NAMES[1:]}
 

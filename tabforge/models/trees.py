@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import copy
+import pickle
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -17,6 +19,7 @@ from ..sources.writers import read_json_record, write_json_record
 from . import histograms as hg
 
 REFRESH = 10  # boosting rounds after which residuals are stored anew
+MEMO_CELLS = 1 << 22  # cells between the cuts of an ensemble whose predictions a worker keeps: 9 bytes each
 NODES = "tree int, node int, feature int, threshold double, left_child int, value double, gain double, weight double"
 NODE_FIELDS = pa.schema([(c, pa.int32() if kind == "int" else pa.float64()) for c, kind in (x.split(" ") for x in NODES.split(", "))])
 
@@ -43,22 +46,43 @@ class TreeEnsemble:
             nodes["feature"].to_numpy(np.int64), np.where(split, nodes["threshold"].to_numpy(float), np.inf), left, split, nodes["value"].to_numpy(float),
             [(int(r), _depth(nodes["left_child"].to_numpy(np.int64)[r : r + n])) for r, n in zip(root, sizes)],
         )
+        # a row's way through the trees depends only on where its values stand among the cuts
+        cuts = [np.unique(packed[1][split & (packed[0] == f)]) for f in range(len(self.features))]
+        cells = 1
+        for c in cuts:
+            cells *= len(c) + 1
+        memo: dict = {}  # of a worker, kept over its tasks
         # size fixed by the model settings, not by the data
-        shared = df.sparkSession.sparkContext.broadcast(packed)
+        shared = df.sparkSession.sparkContext.broadcast((packed, cuts, memo))
         base, share, width = self.base, self.share, len(self.features)
 
         @F.pandas_udf("double")
         def predict(*columns: pd.Series) -> pd.Series:
-            feature, threshold, left, split, value, trees = shared.value
+            (feature, threshold, left, split, value, trees), cuts, memo = shared.value
+
+            def sums(x):
+                flat, row, total = x.ravel(), np.arange(len(x)) * width, np.zeros(len(x))
+                for root, depth in trees:
+                    node = np.full(len(x), root)
+                    for _ in range(depth):
+                        # a missing value is never "at most the threshold"; a leaf stays where it is
+                        node = left[node] + (~(flat[row + feature[node]] <= threshold[node]) & split[node])
+                    total += value[node]
+                return total
+
             x = np.column_stack([c.to_numpy(float) for c in columns])
-            flat, row, total = x.ravel(), np.arange(len(x)) * width, np.zeros(len(x))
-            for root, depth in trees:
-                node = np.full(len(x), root)
-                for _ in range(depth):
-                    # a missing value is never "at most the threshold"; a leaf stays where it is
-                    node = left[node] + (~(flat[row + feature[node]] <= threshold[node]) & split[node])
-                total += value[node]
-            return pd.Series(base + share * total)
+            if cells > MEMO_CELLS:
+                return pd.Series(base + share * sums(x))
+            cell = np.zeros(len(x), np.int64)
+            for c, v in zip(cuts, x.T):
+                cell = cell * (len(c) + 1) + np.searchsorted(c, v, side="left")  # a missing value stands above all cuts
+            if "known" not in memo:
+                memo["known"], memo["total"] = np.zeros(cells, bool), np.empty(cells)
+            fresh, first = np.unique(cell[~memo["known"][cell]], return_index=True)
+            if len(fresh):
+                memo["total"][fresh] = sums(x[~memo["known"][cell]][first])
+                memo["known"][fresh] = True
+            return pd.Series(base + share * memo["total"][cell])
 
         return df.withColumn(out, predict(*[q_col(c).cast("double") for c in self.features]))
 
@@ -138,6 +162,14 @@ def _label_summary(df: DataFrame, label: str) -> tuple[float, dict[str, int]]:
     return float(row["m"]), {"rows": row["n"], "tasks": row["t"]}
 
 
+def _packed(data: DataFrame, rows: int, width: int) -> DataFrame | None:
+    """The layout by vector of bins for a table with many rows and few vectors; None for others."""
+    if rows <= hg.LOCAL_ROWS:
+        return None
+    counts, vectors, most = hg.vector_counts(data)
+    return hg.by_vector(data, rows, width, counts, most) if vectors <= min(hg.LOCAL_VECTORS, rows // 2) else None
+
+
 def fit_forest(
     df: DataFrame,
     features: Sequence[str],
@@ -164,7 +196,12 @@ def fit_forest(
     data = hg.keep(hg.binned(df, features, label, key, edges, mean, seed, **size))
     try:
         usable = {i: list(range(len(features))) for i in range(n_estimators)}
-        trees = hg.grow(data, size["rows"], range(n_estimators), usable, edges, rules, "bootstrap" if bootstrap else "all", 1.0)
+        how = (usable, edges, rules, "bootstrap" if bootstrap else "all", 1.0)
+        packed = _packed(data, size["rows"], len(features))
+        if packed is None:
+            trees = hg.grow(data, size["rows"], range(n_estimators), *how)
+        else:
+            trees = hg.grow_by_vector(packed, range(n_estimators), *how)
     finally:
         data.unpersist()
     # a node's value is its mean residual; a tree without a split predicts the overall mean
@@ -201,8 +238,10 @@ def fit_boosted(
     splits under gamma are pruned bottom-up. ``early_stopping_rounds`` holds back a key-hashed
     share of the rows and stops when their error has not improved for that many rounds.
 
-    A table of at most ``histograms.LOCAL_ROWS`` rows is boosted by one task, all rounds in a row; a larger one where its rows
-    are, a round at a time. Rounds, trees and errors are the same.
+    A table of at most ``histograms.LOCAL_ROWS`` rows is boosted by one task, all rounds in a row. Of a larger one with at most
+    ``histograms.LOCAL_VECTORS`` different vectors of bins, one task boosts ``REFRESH`` rounds at a time from the sums of the
+    vectors in these rounds' samples; any other is boosted where its rows are, a round at a time. Rounds, trees and errors
+    are the same.
     """
     mean, size = _label_summary(df, label)
     held = None
@@ -215,12 +254,21 @@ def fit_boosted(
     plan = _Rounds(n_estimators, learning_rate, max(1, int(colsample_bytree * len(features))), len(features), early_stopping_rounds, rules)
     own = hg.binned(df, features, label, key, edges, mean, seed, **size)
     aside = hg.binned(held, features, label, key, edges, mean, seed, **size) if held is not None else None
-    boost = _boosted_in_a_task if size["rows"] <= hg.LOCAL_ROWS else _boosted_in_place
+    boost = _boosted_in_a_task if size["rows"] <= hg.LOCAL_ROWS else _boosted_large
     nodes = boost(own, aside, size["rows"], plan, edges, subsample)
     settings = {"n_estimators": int(nodes["tree"].max()) + 1, "max_depth": max_depth, "learning_rate": learning_rate, "max_bins": max_bins}
     return TreeEnsemble(list(features), nodes, mean, 1.0, averaged_gain=True, settings=settings)
 
 
+@dataclass
+class _Progress:
+    trees: dict[int, hg.Tree] = field(default_factory=dict)
+    leaf: dict[int, np.ndarray] = field(default_factory=dict)
+    best_error: float = float("inf")
+    best_round: int = -1
+    stopped: bool = False
+
+
 @dataclass(frozen=True)
 class _Rounds:
     n_estimators: int
@@ -230,27 +278,37 @@ class _Rounds:
     patience: int | None
     rules: hg.GrowthRules
 
-    def run(self, grow, after) -> tuple[dict[int, hg.Tree], dict[int, np.ndarray]]:
-        """Trees and leaf values; ``grow(number, usable)`` gives a round's tree, ``after(number, tree, leaf)`` the held-back error, if any."""
-        trees, leaf = {}, {}
-        best_error, best_round = float("inf"), -1
+    def run(self, grow, after, so_far: _Progress | None = None, most: int | None = None) -> _Progress:
+        """Up to ``most`` further rounds; ``grow(number, usable)`` gives a round's tree, ``after(number, tree, leaf)`` the held-back error, if any."""
+        state = so_far or _Progress()
         rng = np.random.default_rng(self.rules.seed)
-        for number in range(self.n_estimators):
-            tree = grow(number, sorted(rng.choice(self.width, self.used, replace=False).tolist()))
+        draws = [sorted(rng.choice(self.width, self.used, replace=False).tolist()) for _ in range(self.n_estimators)]
+        for number in self.following(state, most):
+            tree = grow(number, draws[number])
             hg.prune(tree, self.rules.gamma)
             # residuals are minus the gradient, so leaves move towards them
             w, g = np.array(tree.total).T
             soft = np.sign(g) * np.maximum(np.abs(g) - self.rules.l1, 0.0)
             safe = np.where(w + self.rules.l2 > 0, w + self.rules.l2, 1.0)
-            trees[number], leaf[number] = tree, self.learning_rate * soft / safe
-            error = after(number, tree, leaf[number])
+            state.trees[number], state.leaf[number] = tree, self.learning_rate * soft / safe
+            error = after(number, tree, state.leaf[number])
             if self.patience and error is not None:
-                if error < best_error:
-                    best_error, best_round = error, number
-                elif number - best_round >= self.patience:
+                if error < state.best_error:
+                    state.best_error, state.best_round = error, number
+                elif number - state.best_round >= self.patience:
+                    state.stopped = True
                     break
-        last = best_round if best_round >= 0 else len(trees) - 1
-        return {i: t for i, t in trees.items() if i <= last}, leaf
+        return state
+
+    def following(self, state: _Progress, most: int | None = None) -> range:
+        first = len(state.trees)
+        return range(first, first if state.stopped else min(self.n_estimators, first + (most or self.n_estimators)))
+
+
+def _kept(state: _Progress) -> tuple[dict[int, hg.Tree], dict[int, np.ndarray]]:
+    """Trees up to the best round, and leaf values."""
+    last = state.best_round if state.best_round >= 0 else len(state.trees) - 1
+    return {i: t for i, t in state.trees.items() if i <= last}, state.leaf
 
 
 def _boosted_in_a_task(own: DataFrame, aside: DataFrame | None, rows: int, plan: _Rounds, edges: list[list[float]], rate: float) -> pd.DataFrame:
@@ -283,11 +341,99 @@ def _boosted_in_a_task(own: DataFrame, aside: DataFrame | None, rows: int, plan:
                 np.subtract(watch, leaf[hg.place(watch_bins, tree.arrays(), tree.depth)], out=watch)
                 return float(np.mean(watch * watch))
 
-        yield pa.RecordBatch.from_pandas(_node_table(*plan.run(grow, after), edges), NODE_FIELDS)
+        yield pa.RecordBatch.from_pandas(_node_table(*_kept(plan.run(grow, after)), edges), NODE_FIELDS)
 
     return table.repartition(1).mapInArrow(boost, NODES).toPandas()
 
 
+def _boosted_large(own: DataFrame, aside: DataFrame | None, rows: int, plan: _Rounds, edges: list[list[float]], rate: float) -> pd.DataFrame:
+    kept = [hg.keep(d) for d in (own, aside) if d is not None]
+    try:
+        packed = [_packed(d, rows, plan.width) for d in kept]
+        if any(p is None for p in packed):
+            return _boosted_in_place(own, aside, rows, plan, edges, rate)
+        packed = [stored(p) for p in packed]
+    finally:
+        for d in kept:
+            d.unpersist()
+    return _boosted_by_vector(packed[0], packed[1] if aside is not None else None, plan, edges, rate)
+
+
+def _boosted_by_vector(own: DataFrame, aside: DataFrame | None, plan: _Rounds, edges: list[list[float]], rate: float) -> pd.DataFrame:
+    """Boosting from the packed chunks of :func:`histograms.by_vector`, ``REFRESH`` rounds a job.
+
+    Which rows a round samples does not depend on the rounds before it, and what a tree adds to a residual depends on the
+    vector alone: the sums of several rounds are taken at once, and the task that boosts takes from them what it has grown.
+    """
+    width, grids, rules = plan.width, [np.array(e, float) for e in edges], plan.rules
+    context, schema = own.sparkSession.sparkContext, "held boolean, bins binary, w binary, g binary, q double"
+    state = _Progress()
+    while plan.following(state, REFRESH):
+        shared, numbers = context.broadcast(state), list(plan.following(state, REFRESH))  # sized by the model settings
+
+        def send(batches, held, shared=shared, numbers=numbers):
+            done = shared.value
+            for h, r, n, start, bins in hg.chunks(batches, width):
+                for number, tree in done.trees.items():
+                    r = r - np.repeat(done.leaf[number][hg.place(bins, tree.arrays(), tree.depth)], n)
+                if held:
+                    w, g = n.astype(float), np.add.reduceat(r, start)
+                    # spread of the residuals around the mean of their vector
+                    sums, q = [(w, g)], float(np.square(r - np.repeat(g / w, n)).sum())
+                else:
+                    sums = [hg.vector_sums(h, r, n, start, rules.seed * 1_000_003 + number, "subsample", rate) for number in numbers]
+                    q = 0.0
+                blobs = [pa.array([x.tobytes()], pa.binary()) for x in (bins, np.stack([w for w, _ in sums]), np.stack([g for _, g in sums]))]
+                yield pa.RecordBatch.from_arrays([pa.array([held]), *blobs, pa.array([q])], names=["held", "bins", "w", "g", "q"])
+
+        def boost(batches, shared=shared, numbers=numbers):
+            held_rows, own_rows = [], []
+            for batch in batches:
+                for held, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                    (held_rows if held else own_rows).append(row)
+            bins, w, g = _vectors(own_rows, width)
+            order, start = hg.merge_order(bins, g[0])
+            bins = bins[order[start]]
+            columns = [bins[:, f].astype(np.int64) for f in range(width)]
+            added = np.zeros(len(bins))
+            watch, spread, watched = None, 0.0, None
+            if held_rows:
+                watch, watched, sums = _vectors(held_rows, width)
+                at = np.lexsort((sums[0], *watch.T[::-1]))
+                watch, watched, sums = watch[at], watched[0][at], sums[0][at]
+                off, spread = sums / watched, sum(sorted(row[3] for row in held_rows))
+
+            def grow(number, usable):
+                i = number - numbers[0]
+                weight = np.add.reduceat(w[i][order], start)
+                rest = np.add.reduceat(g[i][order], start) - weight * added
+                inside = weight > 0
+                found = hg.grow_rows([c[inside] for c in columns], weight[inside], rest[inside], rules, grids, number, usable)
+                return hg.tree_of({k: np.concatenate([p[k] for p in found]) for k in hg.SPLIT_NAMES[1:]}) if found else hg.Tree()
+
+            def after(_, tree, leaf):
+                np.add(added, leaf[hg.place(bins, tree.arrays(), tree.depth)], out=added)
+                if watch is not None:
+                    np.subtract(off, leaf[hg.place(watch, tree.arrays(), tree.depth)], out=off)
+                    return float((spread + (watched * off * off).sum()) / watched.sum())
+
+            grown = plan.run(grow, after, copy.deepcopy(shared.value), REFRESH)  # a task that is tried again starts from the same rounds
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(grown)], pa.binary())], names=["state"])
+
+        sums = own.mapInArrow(lambda batches, send=send: send(batches, False), schema)
+        if aside is not None:
+            sums = sums.unionByName(aside.mapInArrow(lambda batches, send=send: send(batches, True), schema))
+        state = pickle.loads(bytes(sums.repartition(1).mapInArrow(boost, "state binary").first()["state"]))
+    return _node_table(*_kept(state), edges)
+
+
+def _vectors(rows: list[list], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bins, and weights and sums by (round, vector), of the messages of all chunks."""
+    bins = np.concatenate([np.frombuffer(row[0], np.uint8).reshape(-1, width) for row in rows])
+    w, g = (np.concatenate([np.frombuffer(row[i]).reshape(-1, len(row[0]) // width) for row in rows], axis=1) for i in (1, 2))
+    return bins, w, g
+
+
 def _boosted_in_place(own: DataFrame, aside: DataFrame | None, rows: int, plan: _Rounds, edges: list[list[float]], rate: float) -> pd.DataFrame:
     state = {"data": stored(own), "watch": stored(aside) if aside is not None else None, "recent": []}
 
@@ -305,7 +451,7 @@ def _boosted_in_place(own: DataFrame, aside: DataFrame | None, rows: int, plan:
         if state["watch"] is not None:
             return _subtracted(state["watch"], state["recent"], plan.width).agg(F.avg(F.col("r") * F.col("r"))).first()[0]
 
-    return _node_table(*plan.run(grow, after), edges)
+    return _node_table(*_kept(plan.run(grow, after)), edges)
 
 
 def _subtracted(data: DataFrame, grown: list[tuple], width: int) -> DataFrame:

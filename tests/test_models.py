@@ -376,3 +376,39 @@ def test_model_queries_run_at_the_default_settings(spark, monkeypatch):
     folds.clear()
     QUERIES["search_ridge"](spark, folder)
     assert len(folds) == TRAINERS["polynomial"].trials * 5
+
+
+@pytest.mark.parametrize("limits", [{"LOCAL_VECTORS": 0}, {"PACKED_ROWS": 64, "CHUNK_ROWS": 7}])
+def test_trees_are_the_same_by_vectors_and_by_rows(spark, monkeypatch, limits):
+    # few different vectors, one of them frequent, keys that repeat and are missing
+    rows = [(None if i % 50 == 0 else i // 2, float(i * i % 7 if i % 3 else 0), float(i * i % 11 % 5 if i % 3 else 0), float(i * i % 13) + i % 7) for i in range(800)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double")
+    settings = {"max_depth": 3, "learning_rate": 0.3, "subsample": 0.8, "colsample_bytree": 0.6}
+    fits = (
+        lambda: trees.fit_forest(df, ["a", "b"], "y", ["id"], n_estimators=9, max_depth=4, random_cuts=True),
+        lambda: trees.fit_forest(df, ["a", "b"], "y", ["id"], n_estimators=3, max_depth=4, bootstrap=True, min_samples_leaf=3, min_samples_split=8),
+        lambda: trees.fit_boosted(df, ["a", "b"], "y", ["id"], n_estimators=7, **settings, early_stopping_rounds=3),
+        lambda: trees.fit_boosted(df, ["a", "b"], "y", ["id"], n_estimators=7, **settings),
+    )
+    want = [f().nodes.to_numpy(float) for f in fits]
+    monkeypatch.setattr(hg, "LOCAL_ROWS", 100)
+    monkeypatch.setattr(trees, "REFRESH", 3)
+    for name, value in limits.items():
+        monkeypatch.setattr(hg, name, value)
+    laid = []
+    by_vector = hg.by_vector
+    monkeypatch.setattr(hg, "by_vector", lambda *given: laid.append(given) or by_vector(*given))
+    for whole, f in zip(want, fits):
+        assert np.allclose(whole, f().nodes.to_numpy(float))
+    assert len(laid) == (0 if "LOCAL_VECTORS" in limits else 5)
+
+
+def test_kept_cells_give_the_same_predictions(sample, monkeypatch):
+    df, _ = sample
+    holes = df.withColumn("a", F.when(F.col("id") % 5 > 0, F.col("a")))
+    model = trees.fit_boosted(df, X, "y", ["id"], n_estimators=4, max_depth=3, learning_rate=0.3)
+    want = {}
+    for cells in (1 << 22, 0):
+        monkeypatch.setattr(trees, "MEMO_CELLS", cells)
+        want[cells] = sorted((r["id"], r["prediction"]) for r in model.transform(holes).collect())
+    assert want[0] == want[1 << 22] and len(want[0]) == df.count()
