@@ -15,6 +15,7 @@ sampling hashes the key, so a model does not depend on how the table is partitio
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -33,6 +34,7 @@ LOCAL_ROWS = 1 << 20  # rows of a node that one task finishes: at most this many
 LOCAL_VECTORS = 1 << 20  # different vectors of bins whose sums one task grows a tree from
 PACKED_ROWS = 1 << 20  # rows that a task of that layout orders at once
 CHUNK_ROWS = 1 << 16  # rows of one packed chunk of the layout by vector
+DRAWN_ROWS = 1 << 14
 MIN_GAIN = 1e-9
 SPLITS = "tree int, path long, feature int, bin int, gain double, wl double, gl double, wr double, gr double"
 SPLIT_NAMES = ("tree", "path", "feature", "bin", "gain", "wl", "gl", "wr", "gr")
@@ -103,11 +105,20 @@ POISSON_STEPS = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1, k + 1)) for k in
 
 def row_weights(h: np.ndarray, salt: int, sampling: str, rate: float) -> np.ndarray | None:
     """Multiplicity of each row in one tree; None for all ones."""
-    if sampling == "bootstrap":
-        return np.searchsorted(POISSON_STEPS, mixed(h, salt), side="right").astype(float)
-    if sampling == "subsample" and rate < 1.0:
-        return (mixed(h, salt) < rate).astype(float)
-    return None
+    if sampling != "bootstrap" and (sampling != "subsample" or rate >= 1.0):
+        return None
+    out = np.zeros(len(h))
+    for first in range(0, len(h), DRAWN_ROWS):  # few enough for the arrays of a draw to stay in a core's cache
+        drawn, some = mixed(h[first : first + DRAWN_ROWS], salt), out[first : first + DRAWN_ROWS]
+        if sampling == "subsample":
+            some[:] = drawn < rate
+            continue
+        for step in POISSON_STEPS:  # a few comparisons: nine rows of ten are below the third step
+            above = drawn >= step
+            if not above.any():
+                break
+            some += above
+    return out
 
 
 def feature_edges(df: DataFrame, features: Sequence[str], max_bins: int) -> list[list[float]]:
@@ -561,6 +572,41 @@ def merge_order(bins: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order, np.flatnonzero(np.concatenate(([True], (ordered[1:] != ordered[:-1]).any(axis=1))))
 
 
+def _code(columns: list[np.ndarray], grids: list[np.ndarray], used: Sequence[int]) -> np.ndarray:
+    code = np.zeros(len(columns[0]), np.int64)
+    for f in used:
+        code = code * (len(grids[f]) + 1) + columns[f]
+    return code
+
+
+def _every(grids: list[np.ndarray], used: Sequence[int]) -> list[np.ndarray]:
+    """Bins of every combination of the used features, one column per feature; the others are zeros."""
+    sizes = [len(grids[f]) + 1 for f in used]
+    found = dict(zip(used, np.indices(sizes).reshape(len(sizes), -1)))
+    return [found[f] if f in found else np.zeros(math.prod(sizes), np.int64) for f in range(len(grids))]
+
+
+def combinations(
+    columns: list[np.ndarray], w: np.ndarray, g: np.ndarray, grids: list[np.ndarray], usable: Sequence[int]
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The rows added up by the bins of the usable features, where these have fewer combinations than there are rows."""
+    room = math.prod(len(grids[f]) + 1 for f in usable)
+    if room >= len(w):
+        return columns, w, g
+    code = _code(columns, grids, usable)
+    return _every(grids, usable), np.bincount(code, w, room), np.bincount(code, g, room)
+
+
+def place_vectors(columns: list[np.ndarray], grids: list[np.ndarray], tree: Tree) -> np.ndarray:
+    """Node of every vector; a tree of few features is followed once per combination of their bins."""
+    used = sorted({tree.feature[node] for node in range(len(tree.left)) if not tree.is_leaf(node)})
+    if not used:
+        return np.zeros(len(columns[0]), np.int64)
+    if math.prod(len(grids[f]) + 1 for f in used) >= len(columns[0]):
+        return place(np.stack(columns, axis=1), tree.arrays(), tree.depth)
+    return place(np.stack(_every(grids, used), axis=1), tree.arrays(), tree.depth)[_code(columns, grids, used)]
+
+
 def grow_by_vector(
     packed: DataFrame, numbers: Sequence[int], usable: dict[int, list[int]], edges: list[list[float]], rules: GrowthRules,
     sampling: str, rate: float,
@@ -618,7 +664,7 @@ def _nodes(parts: list[dict[str, np.ndarray]], paths: list[int]) -> list[int]:
 
 def _by_tree(splits: DataFrame):
     """(tree number, splits) of a table whose size follows the model settings."""
-    table = splits.toPandas()
+    table = splits.toArrow().to_pandas()
     for number, own in table.groupby("tree"):
         yield int(number), {k: own[k].to_numpy() for k in SPLIT_NAMES[1:]}
 

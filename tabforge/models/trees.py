@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import copy
+import math
 import pickle
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -20,10 +21,78 @@ from . import histograms as hg
 
 REFRESH = 10  # boosting rounds after which residuals are stored anew
 MEMO_CELLS = 1 << 22  # cells between the cuts of an ensemble whose predictions a worker keeps: 9 bytes each
+WALK_ROWS = 1 << 12
 NODES = "tree int, node int, feature int, threshold double, left_child int, value double, gain double, weight double"
 NODE_FIELDS = pa.schema([(c, pa.int32() if kind == "int" else pa.float64()) for c, kind in (x.split(" ") for x in NODES.split(", "))])
 
 
+@dataclass
+class _Packed:
+    """Nodes of all trees in a row: a row's place among the cuts of ``feature`` is at most ``cut`` on the way to ``left``, else to the
+    node after it. A leaf is its own left child and its cut is never exceeded. ``trees`` lists (root, depth)."""
+
+    feature: np.ndarray
+    cut: np.ndarray
+    left: np.ndarray
+    value: np.ndarray
+    trees: list[tuple[int, int]]
+
+    def walk(self, places: np.ndarray) -> np.ndarray:
+        """Sums of leaf values, row by row."""
+        total = np.zeros(len(places))
+        for first in range(0, len(places), WALK_ROWS):  # few enough for the arrays of a step to stay in a core's cache
+            some = places[first : first + WALK_ROWS]
+            flat, row = some.ravel(), np.arange(len(some)) * places.shape[1]
+            for root, depth in self.trees:
+                node = np.full(len(some), root)
+                for _ in range(depth):
+                    node = self.left[node] + (flat[row + self.feature[node]] > self.cut[node])
+                total[first : first + WALK_ROWS] += self.value[node]
+        return total
+
+    def table_steps(self, shape: list[int]) -> int:
+        """What :meth:`table` costs, in steps of a row in :meth:`walk`."""
+        axes = sum(n > 1 for n in shape)
+        return len(self.trees) * math.prod(shape) * (axes + 2) // 2 + (len(self.left) << axes)
+
+    def table(self, shape: list[int]) -> np.ndarray:
+        """The same sums for every combination of places: each leaf fills a box.
+
+        Corners of the boxes get plus or minus the number of the leaf; running sums along all axes then number every place exactly.
+        """
+        axes = [f for f, n in enumerate(shape) if n > 1] or [0]
+        low, high = np.zeros((len(self.left), len(shape)), np.int32), np.empty((len(self.left), len(shape)), np.int32)
+        level = np.array([root for root, _ in self.trees])
+        high[level] = shape
+        is_leaf = self.left == np.arange(len(self.left))
+        while len(level := level[~is_leaf[level]]):
+            child, f, at = self.left[level], self.feature[level], self.cut[level] + 1
+            for side in (child, child + 1):
+                low[side], high[side] = low[level], high[level]
+            # a cut outside its node's box leaves one child empty
+            high[child, f] = np.minimum(high[child, f], at)
+            low[child + 1, f] = np.maximum(low[child + 1, f], at)
+            level = np.concatenate((child, child + 1))
+        filled = is_leaf & (low < high).all(axis=1)
+        room = [shape[f] + 1 for f in axes]
+        inner, total, leaf = tuple(slice(n - 1) for n in room), np.zeros([n - 1 for n in room]), np.zeros(room, np.int32)
+        for (root, _), end in zip(self.trees, [*(r for r, _ in self.trees[1:]), len(self.left)]):
+            own = np.flatnonzero(filled[root:end])
+            at, sign = np.zeros((len(own), 1), np.int64), np.ones(1)
+            for f, n in zip(axes, room):
+                sides = np.stack((low[root + own, f], high[root + own, f]), axis=1)
+                at, sign = (at[:, :, None] * n + sides[:, None, :]).reshape(len(own), -1), np.outer(sign, (1.0, -1.0)).ravel()
+            leaf[...] = 0
+            np.add.at(leaf.ravel(), at.ravel(), np.outer(own, sign).ravel().astype(np.int32))
+            for axis in range(len(axes) - 1):  # whole slices at a time
+                along = np.moveaxis(leaf, axis, 0)
+                for i in range(1, len(along)):
+                    along[i] += along[i - 1]
+            np.cumsum(leaf, axis=-1, dtype=np.int32, out=leaf)
+            total += self.value[root:end].take(leaf[inner])
+        return total.ravel()
+
+
 @dataclass
 class TreeEnsemble:
     """Fitted trees as a table of nodes; prediction = ``base`` + ``share`` x sum of leaf values."""
@@ -34,58 +103,61 @@ class TreeEnsemble:
     share: float
     averaged_gain: bool = False
     settings: dict = field(default_factory=dict)
+    _sent: tuple | None = field(default=None, init=False, repr=False, compare=False)
 
     def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
-        # all trees in one row of nodes: a child is found by adding to its parent's number
-        nodes = self.nodes.sort_values(["tree", "node"])
-        sizes = nodes.groupby("tree", sort=True).size().to_numpy()
-        root = np.cumsum(sizes) - sizes
-        left = nodes["left_child"].to_numpy(np.int64) + np.repeat(root, sizes)
-        split = left != np.arange(len(left))
-        packed = (
-            nodes["feature"].to_numpy(np.int64), np.where(split, nodes["threshold"].to_numpy(float), np.inf), left, split, nodes["value"].to_numpy(float),
-            [(int(r), _depth(nodes["left_child"].to_numpy(np.int64)[r : r + n])) for r, n in zip(root, sizes)],
-        )
-        # a row's way through the trees depends only on where its values stand among the cuts
-        cuts = [np.unique(packed[1][split & (packed[0] == f)]) for f in range(len(self.features))]
-        cells = 1
-        for c in cuts:
-            cells *= len(c) + 1
-        memo: dict = {}  # of a worker, kept over its tasks
-        # size fixed by the model settings, not by the data
-        shared = df.sparkSession.sparkContext.broadcast((packed, cuts, memo))
-        base, share, width = self.base, self.share, len(self.features)
+        context = df.sparkSession.sparkContext
+        if self._sent is None or self._sent[0] is not context:
+            # once per model, so that every table it scores uses the same memo; size fixed by the model settings, not by the data
+            self._sent = (context, context.broadcast((*self._packed(), {})))
+        shared, most = self._sent[1], MEMO_CELLS
+        base, share = self.base, self.share
 
         @F.pandas_udf("double")
         def predict(*columns: pd.Series) -> pd.Series:
-            (feature, threshold, left, split, value, trees), cuts, memo = shared.value
-
-            def sums(x):
-                flat, row, total = x.ravel(), np.arange(len(x)) * width, np.zeros(len(x))
-                for root, depth in trees:
-                    node = np.full(len(x), root)
-                    for _ in range(depth):
-                        # a missing value is never "at most the threshold"; a leaf stays where it is
-                        node = left[node] + (~(flat[row + feature[node]] <= threshold[node]) & split[node])
-                    total += value[node]
-                return total
-
-            x = np.column_stack([c.to_numpy(float) for c in columns])
-            if cells > MEMO_CELLS:
-                return pd.Series(base + share * sums(x))
-            cell = np.zeros(len(x), np.int64)
-            for c, v in zip(cuts, x.T):
-                cell = cell * (len(c) + 1) + np.searchsorted(c, v, side="left")  # a missing value stands above all cuts
+            packed, cuts, memo = shared.value
+            # a row's way through the trees depends only on where its values stand among the cuts: a missing one stands above all
+            cell = [np.searchsorted(c, v.to_numpy(float), side="left") for c, v in zip(cuts, columns)]
+            places, shape = np.stack(cell, axis=1), [len(c) + 1 for c in cuts]
+            if math.prod(shape) > most:
+                return pd.Series(base + share * packed.walk(places))
+            at = np.zeros(len(places), np.int64)
+            for n, place in zip(shape, cell):
+                at = at * n + place
             if "known" not in memo:
-                memo["known"], memo["total"] = np.zeros(cells, bool), np.empty(cells)
-            fresh, first = np.unique(cell[~memo["known"][cell]], return_index=True)
-            if len(fresh):
-                memo["total"][fresh] = sums(x[~memo["known"][cell]][first])
+                memo["known"], memo["total"], memo["walked"] = np.zeros(math.prod(shape), bool), np.empty(math.prod(shape)), 0
+            new = ~memo["known"][at]
+            fresh, first = np.unique(at[new], return_index=True)
+            memo["walked"] += len(fresh)
+            if len(fresh) and memo["walked"] * sum(depth for _, depth in packed.trees) > packed.table_steps(shape):
+                memo["total"] = packed.table(shape)
+                memo["known"][:] = True
+            elif len(fresh):
+                memo["total"][fresh] = packed.walk(places[new][first])
                 memo["known"][fresh] = True
-            return pd.Series(base + share * memo["total"][cell])
+            return pd.Series(base + share * memo["total"][at])
 
         return df.withColumn(out, predict(*[q_col(c).cast("double") for c in self.features]))
 
+    def __getstate__(self):
+        return {**self.__dict__, "_sent": None}  # a broadcast belongs to its session
+
+    def _packed(self) -> tuple[_Packed, list[np.ndarray]]:
+        """All trees in one row of nodes, and the cuts of each feature."""
+        nodes = self.nodes.sort_values(["tree", "node"])
+        sizes = nodes.groupby("tree", sort=True).size().to_numpy()
+        root = np.cumsum(sizes) - sizes
+        own = nodes["left_child"].to_numpy(np.int64)
+        left = own + np.repeat(root, sizes)
+        split, feature, threshold = left != np.arange(len(left)), nodes["feature"].to_numpy(np.int64), nodes["threshold"].to_numpy(float)
+        cuts = [np.unique(threshold[split & (feature == f)]) for f in range(len(self.features))]
+        cut = np.full(len(left), np.iinfo(np.int64).max)
+        for f, c in enumerate(cuts):
+            here = split & (feature == f)
+            cut[here] = np.searchsorted(c, threshold[here])
+        trees = [(int(r), _depth(own[r : r + n])) for r, n in zip(root, sizes)]
+        return _Packed(feature, cut, left, nodes["value"].to_numpy(float), trees), cuts
+
     def importances(self) -> dict[str, float]:
         """Shares that sum to 1: mean impurity decrease per tree, or mean gain per split for boosting."""
         splits = self.nodes[self.nodes["left_child"] != self.nodes["node"]]
@@ -162,12 +234,12 @@ def _label_summary(df: DataFrame, label: str) -> tuple[float, dict[str, int]]:
     return float(row["m"]), {"rows": row["n"], "tasks": row["t"]}
 
 
-def _packed(data: DataFrame, rows: int, width: int) -> DataFrame | None:
-    """The layout by vector of bins for a table with many rows and few vectors; None for others."""
+def _by_vector(data: DataFrame, rows: int, width: int) -> tuple[DataFrame, int] | None:
+    """The layout by vector of bins for a table with many rows and few vectors, and their number; None for others."""
     if rows <= hg.LOCAL_ROWS:
         return None
     counts, vectors, most = hg.vector_counts(data)
-    return hg.by_vector(data, rows, width, counts, most) if vectors <= min(hg.LOCAL_VECTORS, rows // 2) else None
+    return (hg.by_vector(data, rows, width, counts, most), vectors) if vectors <= min(hg.LOCAL_VECTORS, rows // 2) else None
 
 
 def fit_forest(
@@ -197,11 +269,11 @@ def fit_forest(
     try:
         usable = {i: list(range(len(features))) for i in range(n_estimators)}
         how = (usable, edges, rules, "bootstrap" if bootstrap else "all", 1.0)
-        packed = _packed(data, size["rows"], len(features))
+        packed = _by_vector(data, size["rows"], len(features))
         if packed is None:
             trees = hg.grow(data, size["rows"], range(n_estimators), *how)
         else:
-            trees = hg.grow_by_vector(packed, range(n_estimators), *how)
+            trees = hg.grow_by_vector(packed[0], range(n_estimators), *how)
     finally:
         data.unpersist()
     # a node's value is its mean residual; a tree without a split predicts the overall mean
@@ -239,7 +311,7 @@ def fit_boosted(
     share of the rows and stops when their error has not improved for that many rounds.
 
     A table of at most ``histograms.LOCAL_ROWS`` rows is boosted by one task, all rounds in a row. Of a larger one with at most
-    ``histograms.LOCAL_VECTORS`` different vectors of bins, one task boosts ``REFRESH`` rounds at a time from the sums of the
+    ``histograms.LOCAL_VECTORS`` different vectors of bins, one task boosts ``REFRESH`` rounds or more at a time from the sums of the
     vectors in these rounds' samples; any other is boosted where its rows are, a round at a time. Rounds, trees and errors
     are the same.
     """
@@ -349,33 +421,37 @@ def _boosted_in_a_task(own: DataFrame, aside: DataFrame | None, rows: int, plan:
 def _boosted_large(own: DataFrame, aside: DataFrame | None, rows: int, plan: _Rounds, edges: list[list[float]], rate: float) -> pd.DataFrame:
     kept = [hg.keep(d) for d in (own, aside) if d is not None]
     try:
-        packed = [_packed(d, rows, plan.width) for d in kept]
+        packed = [_by_vector(d, rows, plan.width) for d in kept]
         if any(p is None for p in packed):
             return _boosted_in_place(own, aside, rows, plan, edges, rate)
-        packed = [stored(p) for p in packed]
+        rounds = REFRESH * max(1, hg.LOCAL_VECTORS // max(vectors for _, vectors in packed))
+        packed = [stored(p) for p, _ in packed]
     finally:
         for d in kept:
             d.unpersist()
-    return _boosted_by_vector(packed[0], packed[1] if aside is not None else None, plan, edges, rate)
+    return _boosted_by_vector(packed[0], packed[1] if aside is not None else None, plan, edges, rate, rounds)
 
 
-def _boosted_by_vector(own: DataFrame, aside: DataFrame | None, plan: _Rounds, edges: list[list[float]], rate: float) -> pd.DataFrame:
-    """Boosting from the packed chunks of :func:`histograms.by_vector`, ``REFRESH`` rounds a job.
+def _boosted_by_vector(own: DataFrame, aside: DataFrame | None, plan: _Rounds, edges: list[list[float]], rate: float, rounds: int) -> pd.DataFrame:
+    """Boosting from the packed chunks of :func:`histograms.by_vector`, so many ``rounds`` a job.
 
     Which rows a round samples does not depend on the rounds before it, and what a tree adds to a residual depends on the
     vector alone: the sums of several rounds are taken at once, and the task that boosts takes from them what it has grown.
+    A round that uses few features grows its tree from the sums of their combinations, which may be far fewer than the vectors.
     """
     width, grids, rules = plan.width, [np.array(e, float) for e in edges], plan.rules
     context, schema = own.sparkSession.sparkContext, "held boolean, bins binary, w binary, g binary, q double"
     state = _Progress()
-    while plan.following(state, REFRESH):
-        shared, numbers = context.broadcast(state), list(plan.following(state, REFRESH))  # sized by the model settings
+    while plan.following(state, rounds):
+        shared, numbers = context.broadcast(state), list(plan.following(state, rounds))  # sized by the model settings
 
         def send(batches, held, shared=shared, numbers=numbers):
             done = shared.value
             for h, r, n, start, bins in hg.chunks(batches, width):
+                before = np.zeros(len(bins))
                 for number, tree in done.trees.items():
-                    r = r - np.repeat(done.leaf[number][hg.place(bins, tree.arrays(), tree.depth)], n)
+                    before += done.leaf[number][hg.place(bins, tree.arrays(), tree.depth)]
+                r = r - np.repeat(before, n)
                 if held:
                     w, g = n.astype(float), np.add.reduceat(r, start)
                     # spread of the residuals around the mean of their vector
@@ -401,23 +477,25 @@ def _boosted_by_vector(own: DataFrame, aside: DataFrame | None, plan: _Rounds, e
                 watch, watched, sums = _vectors(held_rows, width)
                 at = np.lexsort((sums[0], *watch.T[::-1]))
                 watch, watched, sums = watch[at], watched[0][at], sums[0][at]
+                watch_columns = [watch[:, f].astype(np.int64) for f in range(width)]
                 off, spread = sums / watched, sum(sorted(row[3] for row in held_rows))
 
             def grow(number, usable):
                 i = number - numbers[0]
                 weight = np.add.reduceat(w[i][order], start)
                 rest = np.add.reduceat(g[i][order], start) - weight * added
+                own, weight, rest = hg.combinations(columns, weight, rest, grids, usable)
                 inside = weight > 0
-                found = hg.grow_rows([c[inside] for c in columns], weight[inside], rest[inside], rules, grids, number, usable)
+                found = hg.grow_rows([c[inside] for c in own], weight[inside], rest[inside], rules, grids, number, usable)
                 return hg.tree_of({k: np.concatenate([p[k] for p in found]) for k in hg.SPLIT_NAMES[1:]}) if found else hg.Tree()
 
             def after(_, tree, leaf):
-                np.add(added, leaf[hg.place(bins, tree.arrays(), tree.depth)], out=added)
+                np.add(added, leaf[hg.place_vectors(columns, grids, tree)], out=added)
                 if watch is not None:
-                    np.subtract(off, leaf[hg.place(watch, tree.arrays(), tree.depth)], out=off)
+                    np.subtract(off, leaf[hg.place_vectors(watch_columns, grids, tree)], out=off)
                     return float((spread + (watched * off * off).sum()) / watched.sum())
 
-            grown = plan.run(grow, after, copy.deepcopy(shared.value), REFRESH)  # a task that is tried again starts from the same rounds
+            grown = plan.run(grow, after, copy.deepcopy(shared.value), rounds)  # a task that is tried again starts from the same rounds
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(grown)], pa.binary())], names=["state"])
 
         sums = own.mapInArrow(lambda batches, send=send: send(batches, False), schema)

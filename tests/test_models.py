@@ -1,5 +1,6 @@
 import dataclasses
 import math
+import pickle
 
 import numpy as np
 import pandas as pd
@@ -412,3 +413,48 @@ def test_kept_cells_give_the_same_predictions(sample, monkeypatch):
         monkeypatch.setattr(trees, "MEMO_CELLS", cells)
         want[cells] = sorted((r["id"], r["prediction"]) for r in model.transform(holes).collect())
     assert want[0] == want[1 << 22] and len(want[0]) == df.count()
+
+
+def test_a_table_of_combinations_predicts_what_the_walk_does(sample):
+    df, _ = sample
+    model = trees.fit_forest(df, X, "y", ["id"], n_estimators=20, max_depth=6, random_cuts=True)
+    packed, cuts = model._packed()
+    shape = [len(c) + 1 for c in cuts]
+    every = np.indices(shape).reshape(len(shape), -1).T
+    assert (packed.table(shape) == packed.walk(every)).all() and len(every) > 100
+    # a missing value stands above all cuts; a tree without a split has one combination
+    lone = trees._Packed(np.zeros(1, int), np.array([255]), np.zeros(1, int), np.array([2.5]), [(0, 0)])
+    assert lone.table([1, 1]).tolist() == [2.5] == lone.walk(np.zeros((1, 2), int)).tolist()
+
+
+def test_sides_of_a_run_share_what_a_worker_has_worked_out(sample):
+    df, _ = sample
+    model = trees.fit_forest(df, X, "y", ["id"], n_estimators=2, max_depth=3, random_cuts=True)
+    model.transform(df.where("id % 2 = 0"))
+    first = model._sent[1]
+    model.transform(df.where("id % 2 = 1"))
+    assert model._sent[1] is first  # one memo for both tables
+    again = pickle.loads(pickle.dumps(model))
+    assert again._sent is None and again.nodes.equals(model.nodes)
+
+
+def test_boosting_adds_up_the_combinations_of_a_rounds_features(spark, monkeypatch):
+    rows = [(i, float(i % 7), float(i * i % 11), float(i * 5 % 13), float(i * i % 17) + i % 7) for i in range(1600)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, y double")
+    settings = {"n_estimators": 8, "max_depth": 3, "learning_rate": 0.3, "subsample": 0.8, "colsample_bytree": 0.7}
+    fit = lambda **more: trees.fit_boosted(df, ["a", "b", "c"], "y", ["id"], **settings, **more).nodes.to_numpy(float)
+    want = fit(), fit(early_stopping_rounds=4)
+    monkeypatch.setattr(hg, "LOCAL_ROWS", 100)
+    jobs, grown = [], trees._boosted_by_vector
+    monkeypatch.setattr(trees, "_boosted_by_vector", lambda *given: jobs.append(given[-1]) or grown(*given))
+    for most in (hg.LOCAL_VECTORS, 700):  # all rounds in one job, and a few at a time
+        monkeypatch.setattr(hg, "LOCAL_VECTORS", most)
+        monkeypatch.setattr(trees, "REFRESH", 3)
+        assert np.allclose(want[0], fit()) and np.allclose(want[1], fit(early_stopping_rounds=4))
+    assert min(jobs) == 3 and max(jobs) > 8
+    columns = [np.array(x) for x in ([0, 1, 0, 1, 1, 0, 1], [0, 0, 0, 1, 1, 2, 2], [1, 0, 1, 0, 1, 0, 1])]
+    grids = [np.array([0.5]), np.array([0.5, 1.5]), np.array([0.5])]
+    own, w, g = hg.combinations(columns, np.arange(1.0, 8), np.ones(7), grids, [0, 2])
+    assert sorted(zip(own[0].tolist(), own[2].tolist(), w.tolist(), g.tolist())) == [(0, 0, 6.0, 1.0), (0, 1, 4.0, 2.0), (1, 0, 6.0, 2.0), (1, 1, 12.0, 2.0)]
+    whole = hg.combinations(columns, np.ones(7), np.ones(7), grids, [0, 1, 2])  # twelve combinations of seven rows
+    assert whole[0] is columns
