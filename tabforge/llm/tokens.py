@@ -112,7 +112,7 @@ class Encoder:
                 alone.append(k)
         spaced = [k for k in plain if k[0] == " " or isinstance(k, str) and k[0] != "\n"]
         if spaced:
-            plain = [k for k in plain if k[0] == "" or isinstance(k, str) and k[0] == "\n"]
+            plain = [k for k in plain if k[0] in ("", "first") or isinstance(k, str) and k[0] == "\n"]
         for at in range(0, len(spaced), TOGETHER):
             some = spaced[at : at + TOGETHER]
             ids = np.array(self._ids(["".join(" " + (k if isinstance(k, str) else k[1]) for k in some)])[0], np.uint32)

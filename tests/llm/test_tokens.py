@@ -41,6 +41,12 @@ def test_pieces_encode_like_whole_texts(texts):
     assert ids.tolist() == [i for w in whole for i in w] and sizes.tolist() == [len(w) for w in whole]
 
 
+def test_a_text_that_is_not_plain_may_begin_with_a_plain_piece():
+    fresh = Encoder(default_tokenizer())  # knows no piece yet
+    ids, sizes = fresh.encode(["one two b\n\nc"])
+    assert ids.tolist() == fresh.tokenizer.encode("one two b\n\nc", add_special_tokens=False).ids == ids[: sizes[0]].tolist()
+
+
 def expected_index(rows):
     out, start = Counter(), 0
     for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
