@@ -1,7 +1,7 @@
 """Token ids of documents in files of Simple-8b words.
 
-Encoding: the tokenizer never joins two pieces over a single space or line end, so a text is cut there and each
-distinct piece is given to the tokenizer once per worker (a memo of bounded size).
+Encoding: texts are cut where the tokenizer itself cuts them, and each distinct piece is given to its model once per
+worker (a memo of bounded size).
 
 A file row (a chunk) holds whole documents: their ids, their numbers of tokens, and blocks of ``BLOCK`` token ids.
 Each block is packed by itself into 64-bit words, so any block can be decoded alone; ``offsets`` says where the words
@@ -13,10 +13,11 @@ Rows are written as Parquet (little-endian words in ``payload``), parts and chun
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import uuid
 import zlib
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -34,9 +35,10 @@ CHUNK_IDS = 1 << 20
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2])
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30])
 ESCAPE = 15
-MEMO_BYTES = 112 << 20  # of a worker's memo, as estimated from its pieces and ids
+MEMO_BYTES = 64 << 20  # of a worker's memo, as estimated from its pieces and ids
 ENTRY_BYTES = 130
-TOGETHER = 10_000  # pieces of one string
+TOGETHER = 10_000  # new pieces
+LONG_PIECE = 1024  # bytes; longer ones are not kept
 ENCODE_BYTES = 2 << 20
 U = np.uint64
 
@@ -53,20 +55,18 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Ids of texts, equal to encoding each whole text, for byte-level BPE that pre-splits at white space.
-
-    A single space or line end between other characters always ends a piece of the tokenizer: the space belongs to
-    the piece that follows, the line end is a token of its own. Plain texts are cut at all of them; the key of a piece is
-    ``p`` for a space and p, a line end and p for just that, and ("", p) for p at the start of a text. Where a key shows
-    other white space, its text is not plain: it is cut only at its safe spaces, with keys ("first", p) and (" ", p).
-
-    New pieces without white space go to the tokenizer many in one string, each after a space (the only spaces of the string, so
-    tokens that begin with a space begin the pieces) or, where no space belongs to them, after a line end, whose tokens tell them
-    apart. The others are encoded one by one.
+    """Ids of texts, equal to encoding each whole text with the tokenizers library.
+
+    A byte-level tokenizer first cuts a text into pieces: a contraction, or a run of letters, digits or other characters with at most
+    one space before it, or white space. The cuts follow from the classes of neighbouring characters, so they are found for all texts
+    of a slice at once; the tokenizer itself is asked for the class of each character that it has not seen. Each distinct piece
+    goes to the tokenizer's model once and its ids are kept in a memo of two generations: when the younger one is full, the elder is
+    forgotten and pieces that are still in use move on. Texts that hold an added token, and all texts of a tokenizer
+    of another kind, are encoded whole.
     """
 
-    SAFE = re.compile(r"(?<=\S) (?=\S)")
-    SPACE = re.compile(r"\s")
+    CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
+    LETTER, NUMBER, OTHER, SPACE = 1, 2, 3, 4
 
     def __init__(self, path: str, special_as_text: bool = False, memo: int = MEMO_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -74,99 +74,147 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.memo = memo
-        (self.line_end,) = self._ids(["\n"])[0]
-        vocabulary = self.tokenizer.get_vocab()
-        self.after_space = np.zeros(max(vocabulary.values()) + 1, bool)  # a byte-level vocabulary writes a space as U+0120
-        self.after_space[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
-        self._forget()
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
+        self.by_pieces = self._cuts_by_class()
+        self.added = [
+            t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content and not (t.special and special_as_text)
+        ]
+        self.kinds = np.zeros(0x110000, np.int8)  # 0: not asked for yet
+        self.letters = byte_letters()
+        self.half = memo // 2
+        self.young: dict[bytes, bytes] = {}
+        self.elder: dict[bytes, bytes] = {}
+        self.size = 0
+
+    def _cuts_by_class(self) -> bool:
+        """Whether pieces are cut as described, with nothing before or after."""
+        told = json.loads(self.tokenizer.to_str())
+        cut, model = told["pre_tokenizer"] or {}, told["model"]
+        return (
+            cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+            and model.get("type") == "BPE" and not model.get("dropout")
+            and not any(told.get(k) for k in ("normalizer", "truncation", "padding"))
+        )
+
+    # -- pieces
+
+    def _ask(self, codes: np.ndarray) -> None:
+        """The classes of characters, as the tokenizer joins them to a letter, a digit or another character."""
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        for c in codes.tolist():
+            beside = (kind for kind, x in ((self.LETTER, "a"), (self.NUMBER, "1"), (self.OTHER, "!")) if len(cut(x + chr(c))) == 1)
+            self.kinds[c] = next(beside, self.SPACE)
+
+    def _starts(self, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Byte positions at which the pieces of all texts begin."""
+        if data.max() < 0x80:
+            codes, lead = data, None
+        else:
+            codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+            lead = np.flatnonzero((data & 0xC0) != 0x80)
+            begins = np.searchsorted(lead, begins)
+        kind = self.kinds[codes]
+        if not kind.all():
+            self._ask(np.unique(codes[kind == 0]))
+            kind = self.kinds[codes]
+        n = len(codes)
+        edge = np.zeros(n + 1, bool)
+        edge[begins] = True
+        start = edge.copy()
+        start[1:n] |= kind[1:] != kind[:-1]
+        # the last white space before another character stands alone; a space goes with what follows
+        white = kind == self.SPACE
+        last = np.flatnonzero(white[:-1] & ~white[1:] & ~edge[1:n])
+        start[last] = True
+        start[last[codes[last] == 0x20] + 1] = False
+        quote = np.flatnonzero((codes == 0x27) & start[:n])
+        for letters in self.CONTRACTIONS:
+            at = quote[quote + len(letters) < n]
+            for j, letter in enumerate(letters, 1):
+                at = at[(codes[at + j] == ord(letter)) & ~edge[at + j]]
+            start[at + 1] = False
+            start[at + 1 + len(letters)] = True
+        found = np.flatnonzero(start[:n])
+        return found if lead is None else lead[found]
+
+    # -- ids of pieces
+
+    def _piece_ids(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each of different pieces, as bytes of 32-bit numbers."""
+        found = list(map(self.young.get, pieces))
+        absent = [i for i, ids in enumerate(found) if ids is None]
+        for at in range(0, len(absent), TOGETHER):
+            some = absent[at : at + TOGETHER]
+            new = []
+            for i in some:
+                found[i] = ids = self.elder.get(pieces[i])
+                if ids is None:
+                    new.append(i)
+            if new:
+                model = self.tokenizer.model.tokenize
+                for i, text in zip(new, self._byte_texts([pieces[i] for i in new])):
+                    found[i] = array("I", [t.id for t in model(text)]).tobytes()
+            short = {pieces[i]: found[i] for i in some if len(pieces[i]) <= LONG_PIECE}
+            self.young.update(short)
+            self.size += sum(map(len, short)) + sum(map(len, short.values())) + ENTRY_BYTES * len(short)
+            if self.size > self.half:
+                self.elder, self.young, self.size = self.young, {}, 0
+        return found
+
+    def _byte_texts(self, pieces: list[bytes]) -> list[str]:
+        """The pieces as the vocabulary writes them, one character for each byte."""
+        return self.letters[np.frombuffer(b"\xff".join(pieces), np.uint8)].tobytes().decode("utf-32-le").split(" ")
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _forget(self):
-        self.place: dict[str | tuple[str, str], int] = {}  # -1: a key that no plain text has
-        self.known, self.size = 0, 0
-        self.begin = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _add(self, keys: list, sizes: np.ndarray, ids: np.ndarray) -> None:
-        self.place.update(zip(keys, range(self.known, self.known + len(keys))))
-        self.known += len(keys)
-        self.size += sum(len(k) if isinstance(k, str) else len(k[1]) for k in keys) + ENTRY_BYTES * len(keys) + 4 * len(ids)
-        self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(sizes)))
-        self.ids = np.concatenate((self.ids, ids))
-
-    def _learn(self, keys: list) -> None:
-        plain, alone = [], []
-        for k in keys:
-            if isinstance(k, str):
-                odd = k in ("", "\n") or self.SPACE.search(k, k[0] == "\n")
-            else:
-                odd = not k[1] or self.SPACE.search(k[1])
-            if not odd:
-                plain.append(k)
-            elif isinstance(k, str) or k[0] == "":
-                self.place[k] = -1
-            else:
-                alone.append(k)
-        spaced = [k for k in plain if k[0] == " " or isinstance(k, str) and k[0] != "\n"]
-        if spaced:
-            plain = [k for k in plain if k[0] in ("", "first") or isinstance(k, str) and k[0] == "\n"]
-        for at in range(0, len(spaced), TOGETHER):
-            some = spaced[at : at + TOGETHER]
-            ids = np.array(self._ids(["".join(" " + (k if isinstance(k, str) else k[1]) for k in some)])[0], np.uint32)
-            cuts = np.flatnonzero(self.after_space[ids])
-            if len(cuts) == len(some) and cuts[0] == 0:
-                self._add(some, np.diff(np.append(cuts, len(ids))), ids)
-            else:
-                plain += some
-        for at in range(0, len(plain), TOGETHER):
-            some = plain[at : at + TOGETHER]
-            bodies = [(k if k[0] == "\n" else "\n " + k) if isinstance(k, str) else "\n " + k[1] if k[0] == " " else "\n" + k[1] for k in some]
-            ids = np.array(self._ids(["".join(bodies)])[0], np.uint32)
-            cuts = np.flatnonzero(ids == self.line_end)
-            if len(cuts) != len(some):  # a tokenizer that treats line ends otherwise
-                raise ValueError("this tokenizer does not keep line ends as tokens of their own")
-            own = np.fromiter((isinstance(k, str) and k[0] == "\n" for k in some), bool, len(some))
-            kept = np.ones(len(ids), bool)
-            kept[cuts[~own]] = False
-            self._add(some, np.diff(np.append(cuts, len(ids))) - ~own, ids[kept])
-        if alone:
-            got = self._ids([p if lead == "first" else " " + p for lead, p in alone])
-            self._add(alone, np.fromiter(map(len, got), np.int64, len(got)), np.fromiter(chain.from_iterable(got), np.uint32))
-
-    def _places(self, keys: list) -> np.ndarray:
-        if self.size > self.memo:
-            self._forget()
-        missing = list(set(keys).difference(self.place))
-        if missing:
-            self._learn(missing)
-        return np.fromiter(map(self.place.__getitem__, keys), np.int64, len(keys))
-
-    def _keys(self, text: str | None, plain: bool) -> list:
-        if not text:
-            return []
-        own: list = text.replace("\n", " \n").split(" ") if plain else self.SAFE.split(text)
-        if not plain:
-            own[1:] = [(" ", p) for p in own[1:]]
-        own[0] = ("" if plain else "first", own[0])
-        return own
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
-        keys = [self._keys(t, True) for t in texts]
-        first = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int64)
-        at = self._places(list(chain.from_iterable(keys)))
-        if len(at) and at.min() < 0:
-            for i in np.unique(np.searchsorted(first, np.flatnonzero(at < 0), side="right") - 1).tolist():
-                keys[i] = self._keys(texts[i], False)
-            first = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int64)
-            at = self._places(list(chain.from_iterable(keys)))
-        sizes = self.begin[at + 1] - self.begin[at]
+        data, begins = flat(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        n = len(begins) - 1
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(n, np.int64)
+        raw = data.tobytes()
+        whole = range(n)
+        if self.by_pieces:
+            whole = [i for i in range(n) if any(t in raw[begins[i] : begins[i + 1]] for t in self.added)] if any(t in raw for t in self.added) else []
+        if not whole:
+            return self._by_pieces(data, begins)
+        parts: list[np.ndarray] = []
+        sizes = np.zeros(n, np.int64)
+        done = 0
+        for i in [*whole, n]:
+            if done < i:
+                ids, sizes[done:i] = self._by_pieces(data[begins[done] : begins[i]], begins[done : i + 1] - begins[done])
+                parts.append(ids)
+            if i < n:
+                parts.append(np.array(self._whole([raw[begins[i] : begins[i + 1]].decode()])[0], np.uint32))
+                sizes[i] = len(parts[-1])
+            done = i + 1
+        return np.concatenate(parts), sizes
+
+    def _by_pieces(self, data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(begins) - 1, np.int64)
+        starts = self._starts(data, begins)
+        offsets = np.append(starts, len(data)).astype(np.int64)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        at = pieces.indices.to_numpy()
+        own = self._piece_ids(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        begin = np.concatenate(([0], np.cumsum(np.fromiter(map(len, own), np.int64, len(own)) // 4)))
+        sizes = np.diff(begin)[at]
         upto = np.concatenate(([0], np.cumsum(sizes)))
-        ids = self.ids[np.repeat(self.begin[at] - upto[:-1], sizes) + np.arange(upto[-1])]
-        return ids, np.diff(upto[first])
+        ids = np.frombuffer(b"".join(own), np.uint32)[np.repeat(begin[at] - upto[:-1], sizes) + np.arange(upto[-1])]
+        return ids, np.diff(upto[np.searchsorted(starts, begins)])
+
+
+def byte_letters() -> np.ndarray:
+    """The code points by which byte-level vocabularies write bytes: those that print stand for themselves, the others follow from U+0100
+    on. The byte 0xFF, which no text holds, is a space."""
+    letters = np.arange(256, dtype="<u4")
+    other = np.array([b for b in range(256) if not (0x21 <= b < 0x7F or 0xA1 <= b < 0xAD or 0xAE <= b)])
+    letters[other] = 0x100 + np.arange(len(other))
+    letters[0xFF] = 0x20
+    return letters
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -188,7 +236,7 @@ def encoded(texts: pa.Array, path: str, end_id: int, special_as_text: bool = Fal
     while row < len(texts):
         stop = max(row + 1, int(np.searchsorted(begins, begins[row] + ENCODE_BYTES, side="right")) - 1)
         stop = min(stop, len(texts))
-        ids, sizes = encoder(path, special_as_text).encode(texts.slice(row, stop - row).to_pylist())
+        ids, sizes = encoder(path, special_as_text).encode(texts.slice(row, stop - row))
         ends = np.cumsum(sizes + 1) - 1
         out = np.empty(len(ids) + len(sizes), np.uint32)
         inner = np.ones(len(out), bool)
@@ -217,34 +265,37 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     padded = np.zeros(n_blocks * block, np.uint32)
     padded[: len(ids)] = ids
     laid[:, :block] = padded.reshape(n_blocks, block)
-    need = _bits(laid)
-    # the selector of a word that would begin at each place: the most ids that fit
+    # the selector of a word that would begin at each place: the most ids that fit. Widest ids of ever longer stretches
+    # come from those of two shorter ones
     best = np.full((n_blocks, block), ESCAPE, np.int8)
+    widest = {1: _bits(laid)}
     for s in range(len(COUNTS) - 1, -1, -1):
-        wide = np.zeros((n_blocks, room + 1), np.int32)
-        np.cumsum(need > WIDTHS[s], axis=1, out=wide[:, 1:])
-        best[wide[:, COUNTS[s] : COUNTS[s] + block] == wide[:, :block]] = s
+        count = int(COUNTS[s])
+        half = max(c for c in widest if c < count)
+        rest = min(c for c in widest if c + half >= count)
+        widest[count] = np.maximum(widest[half][:, : room - count + 1], widest[rest][:, count - rest : room - rest + 1])
+        np.copyto(best, s, where=widest[count][:, :block] <= WIDTHS[s])
     step = np.ones(16, np.int64)
     step[: len(COUNTS)] = COUNTS
     sizes = np.full(n_blocks, block)
     sizes[-1] = len(ids) - (n_blocks - 1) * block
     # all blocks walk from word to word together
-    at, alive, rows, cols = np.zeros(n_blocks, np.int64), np.arange(n_blocks), [], []
+    at, alive, begins = np.zeros(n_blocks, np.int64), np.arange(n_blocks), np.zeros((n_blocks, block), bool)
     while len(alive):
-        rows.append(alive)
-        cols.append(at[alive])
+        begins[alive, at[alive]] = True
         at[alive] += step[best[alive, at[alive]]]
         alive = alive[at[alive] < sizes[alive]]
-    row, col = np.concatenate(rows), np.concatenate(cols)
-    order = np.lexsort((col, row))
-    row, col = row[order], col[order]
+    row, col = np.nonzero(begins)
     chosen = best[row, col]
     words = chosen.astype(U) << U(60)
+    place, values = row * room + col, laid.reshape(-1)
     for s in np.unique(chosen):
         own = np.flatnonzero(chosen == s)
         count, width = (1, 32) if s == ESCAPE else (int(COUNTS[s]), int(WIDTHS[s]))
+        word, first = words[own], place[own]
         for j in range(count):
-            words[own] |= laid[row[own], col[own] + j].astype(U) << U(j * width)
+            word |= values[first + j].astype(U) << U(j * width)
+        words[own] = word
     return words, np.searchsorted(row, np.arange(n_blocks + 1)).astype(np.int32)
 
 

@@ -3,12 +3,14 @@ from collections import Counter
 from uuid import uuid4
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
 from conftest import pairs
 from tabforge.llm.mixing import apportion, mixed, mixture
 from tabforge.llm.separators import FILE_SCHEMA, document_counts, write_flat
+from tabforge.llm.words import flat
 from tabforge.llm.tokens import BLOCK, Encoder, default_tokenizer, pack, read_ids, token_index, unpack, write_tokens
 from pyspark.sql import functions as F
 
@@ -47,6 +49,43 @@ def test_a_text_that_is_not_plain_may_begin_with_a_plain_piece():
     assert ids.tolist() == fresh.tokenizer.encode("one two b\n\nc", add_special_tokens=False).ids == ids[: sizes[0]].tolist()
 
 
+HARD_TEXT = st.text(alphabet=st.sampled_from(list(" \n\t'strevmldSa1!.\u00a0\u2003\u0301é٣中\U0001f600\U00020000")), max_size=40)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(HARD_TEXT, max_size=5))
+def test_pieces_begin_where_the_tokenizer_cuts(texts):
+    data, begins = flat(pa.array(texts, pa.string()))
+    got = ENCODER._starts(data, begins).tolist() if len(data) else []
+    want = []
+    for text, begin in zip(texts, begins.tolist()):
+        cut = ENCODER.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+        want += [begin + len(text[:a].encode()) for _, (a, _) in cut]
+    assert got == want
+
+
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_added_tokens_within_texts(special_as_text):
+    encoder = Encoder(default_tokenizer(), special_as_text)
+    texts = ["it's plain", None, "a <|endoftext|>  b", "", "<|endoftext|>", "don't\r\n\n stop ", "x<|endoftext|"]
+    ids, sizes = encoder.encode(texts)
+    whole = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for w in whole for i in w] and sizes.tolist() == [len(w) for w in whole]
+
+
+def test_a_full_memo_keeps_the_pieces_in_use(monkeypatch):
+    encoder = Encoder(default_tokenizer(), memo=40_000)
+    common = " of the word"
+    encoder.encode(["x" + common])
+    asked = []
+    own = encoder._byte_texts
+    monkeypatch.setattr(encoder, "_byte_texts", lambda pieces: asked.extend(pieces) or own(pieces))
+    for i in range(400):
+        encoder.encode([f"x{common} q{chr(97 + i % 26)}{chr(97 + i // 26)}z. word, word; word"])
+    assert not {b"x", b" of", b" the", b" word"} & set(asked)  # nor a piece again for each sign after it
+    assert encoder.size <= 20_000 and len(encoder.young) + len(encoder.elder) < 400
+
+
 def expected_index(rows):
     out, start = Counter(), 0
     for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
