@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .tokens import default_tokenizer, encoded
+from .tokens import default_tokenizer, encoded, task_ends
 
 END_ID = 50_256
 BLOCK_IDS = 1 << 18
@@ -45,6 +45,7 @@ def write_flat(
                     block, rest = block + 1, rest[block_ids:]
         if len(rest):
             yield row(rest)
+        task_ends()
 
     docs.select(text).mapInArrow(run, FILE_SCHEMA).write.option("compression", "zstd").parquet(folder)
 

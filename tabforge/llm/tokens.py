@@ -1,7 +1,7 @@
 """Token ids of documents in files of Simple-8b words.
 
 Encoding: texts are cut where the tokenizer itself cuts them, and each distinct piece is given to its model once per
-worker (a memo of bounded size).
+task (a memo of bounded size).
 
 A file row (a chunk) holds whole documents: their ids, their numbers of tokens, and blocks of ``BLOCK`` token ids.
 Each block is packed by itself into 64-bit words, so any block can be decoded alone; ``offsets`` says where the words
@@ -13,6 +13,7 @@ Rows are written as Parquet (little-endian words in ``payload``), parts and chun
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import uuid
@@ -81,18 +82,16 @@ class Encoder:
         self.kinds = np.zeros(0x110000, np.int8)  # 0: not asked for yet
         self.letters = byte_letters()
         self.half = memo // 2
-        self.young: dict[bytes, bytes] = {}
-        self.elder: dict[bytes, bytes] = {}
-        self.size = 0
+        self.forget()
 
     def _cuts_by_class(self) -> bool:
         """Whether pieces are cut as described, with nothing before or after."""
-        told = json.loads(self.tokenizer.to_str())
-        cut, model = told["pre_tokenizer"] or {}, told["model"]
+        own = self.tokenizer
+        cut = json.loads(own.pre_tokenizer.__getstate__()) if own.pre_tokenizer else {}
         return (
             cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
-            and model.get("type") == "BPE" and not model.get("dropout")
-            and not any(told.get(k) for k in ("normalizer", "truncation", "padding"))
+            and type(own.model).__name__ == "BPE" and not own.model.dropout
+            and not (own.normalizer or own.truncation or own.padding)
         )
 
     # -- pieces
@@ -138,6 +137,11 @@ class Encoder:
 
     # -- ids of pieces
 
+    def forget(self) -> None:
+        self.young: dict[bytes, bytes] = {}
+        self.elder: dict[bytes, bytes] = {}
+        self.size = 0
+
     def _piece_ids(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each of different pieces, as bytes of 32-bit numbers."""
         found = list(map(self.young.get, pieces))
@@ -221,7 +225,7 @@ _encoders: dict[tuple, Encoder] = {}
 
 
 def encoder(path: str, special_as_text: bool = False) -> Encoder:
-    """One encoder per worker and tokenizer file, so the memo outlives a task."""
+    """One encoder per worker and tokenizer file."""
     key = (path, special_as_text)
     if key not in _encoders:
         words.release()  # tables of earlier tasks of other kinds
@@ -229,6 +233,14 @@ def encoder(path: str, special_as_text: bool = False) -> Encoder:
     return _encoders[key]
 
 
+def task_ends() -> None:
+    """Forget the memos: workers take turns, and an executor may have more of them than cores, so each would keep one while it waits."""
+    for each in _encoders.values():
+        each.forget()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def encoded(texts: pa.Array, path: str, end_id: int, special_as_text: bool = False):
     """(first row, row after the last, ids with an end id after each text, ids per text) of consecutive slices."""
     _, begins = flat(texts)
@@ -250,9 +262,13 @@ def encoded(texts: pa.Array, path: str, end_id: int, special_as_text: bool = Fal
 # ---- Simple-8b -----------------------------------------------------------------------------------------------------
 
 
+HALF_BITS = np.maximum(np.frexp(np.arange(1 << 16, dtype=np.float64))[1], 1).astype(np.int8)
+
+
 def _bits(x: np.ndarray) -> np.ndarray:
     """Bits that each 32-bit value needs, 1 at least."""
-    return np.maximum(np.frexp(x.astype(np.float64))[1], 1).astype(np.int8)
+    out, high = HALF_BITS[x & 0xFFFF], x >> 16
+    return np.where(high > 0, HALF_BITS[high] + np.int8(16), out) if high.any() else out
 
 
 def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -358,6 +374,8 @@ def write_tokens(
                     chunk, ids, doc_ids, sizes, held = chunk + 1, [], [], [], 0
         if ids:
             yield row()
+        ids = []
+        task_ends()
 
     chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ordered = chosen.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")

@@ -86,6 +86,19 @@ def test_a_full_memo_keeps_the_pieces_in_use(monkeypatch):
     assert encoder.size <= 20_000 and len(encoder.young) + len(encoder.elder) < 400
 
 
+def test_a_worker_keeps_no_memo_between_tasks(spark, documents, tmp_path):
+    write_tokens(documents, str(tmp_path / "t"))
+
+    def held(batches):
+        from tabforge.llm import tokens
+
+        for batch in batches:
+            n = sum(len(e.young) + len(e.elder) for e in tokens._encoders.values())
+            yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64())], names=["n"])
+
+    assert {n for n, in spark.range(64).repartition(16).mapInArrow(held, "n long").collect()} == {0}
+
+
 def expected_index(rows):
     out, start = Counter(), 0
     for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
