@@ -11,6 +11,7 @@ from ..functions.buckets import order_value
 from ..functions.hashing import HASH_RANGE, key_hash
 from ..functions.ordered import row_numbers
 from ..functions.quantiles import order_statistics
+from ..schema import q_col
 from .scale import apply_scaling, fit_scaling, scale_plan
 
 
@@ -21,22 +22,27 @@ def train_test_split(
     test_size: float = 0.2,
     seed: int = 42,
     exact: bool = True,
+    hashed: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test), both plain filters of ``df``.
 
     ``exact``: the ceil(test_size x rows) rows with the smallest key hash are the test side;
     the hash of that rank is found by bracket passes, nothing is sorted. Otherwise a fixed
     hash threshold gives the fraction in expectation, with no job at all. Rows that share a
-    key always stay on one side.
+    key always stay on one side. ``hashed`` names a column of ``df`` that holds the key hash of
+    this seed, for a table that many passes read; it is on neither side.
     """
-    is_test = test_side(df, key, test_size=test_size, seed=seed, exact=exact)
-    return df.where(~is_test), df.where(is_test)
+    is_test = test_side(df, key, test_size=test_size, seed=seed, exact=exact, hashed=hashed)
+    sides = df.where(~is_test), df.where(is_test)
+    return tuple(side.drop(q_col(hashed)) for side in sides) if hashed else sides
 
 
-def test_side(df: DataFrame, key: Sequence[str] | str, *, test_size: float, seed: int, exact: bool) -> Column:
+def test_side(
+    df: DataFrame, key: Sequence[str] | str, *, test_size: float, seed: int, exact: bool, hashed: str | None = None
+) -> Column:
     if not 0.0 < test_size < 1.0:
         raise ValueError("test_size must lie between 0 and 1")
-    h = key_hash(key, seed)
+    h = q_col(hashed) if hashed else key_hash(key, seed)
     if not exact:
         return h < int(test_size * HASH_RANGE)
     hashed = df.select(h.alias("h"))

@@ -10,6 +10,7 @@ from typing import Any
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.hashing import key_hash
 from ..models import results as rs
 from ..models.registry import TRAINERS, SavedModel, get_trainer
 from ..models.search import search
@@ -23,6 +24,7 @@ from ..sources import writers
 from .fitted import FeaturePlan, FittedPlan
 
 SELECTION_THRESHOLD = 0.3
+KEY_HASH = "_key_hash"
 
 
 def prepare(df: DataFrame, constraints: Mapping[str, Mapping[str, Any]], *, unify: bool = True) -> DataFrame:
@@ -159,8 +161,13 @@ def run_training(
     """From a raw table to ranked models; ``plan.key`` must identify rows."""
     if not plan.key:
         raise ValueError("a training run needs key columns: the split and row sampling hash them")
-    raw = stored(prepare(df, plan.constraints, unify=plan.unify))
-    train, test = train_test_split(raw, list(plan.key), test_size=test_size, seed=plan.seed)
+    # the key hash is stored beside the rows: every statistic of the fit reads one side of the split
+    cleaned = prepare(df, plan.constraints, unify=plan.unify)
+    hashed = KEY_HASH
+    while hashed in {c.lower() for c in cleaned.columns}:
+        hashed = "_" + hashed
+    raw = stored(cleaned.withColumn(hashed, key_hash(plan.key, plan.seed)))
+    train, test = train_test_split(raw, list(plan.key), test_size=test_size, seed=plan.seed, hashed=hashed)
     fitted, train_ready = plan.fit_transform(train)
     test_ready = fitted.transform(test)
     # selection and training read what was written, not the steps that led there

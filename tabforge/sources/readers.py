@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -57,15 +58,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     reader = spark.read.options(header=True, **options)
     if schema is not None:
         text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-        raw = _without_tokens(reader.schema(text).csv(path))
+        raw = reader.schema(text).csv(path)
+        # no token parses as a number, and NaN is missing: numbers need no look at the tokens
+        raw = _without_tokens(raw, [f.name for f in schema.fields if not isinstance(f.dataType, T.NumericType)])
         return raw.select(*[_parsed(q_col(f.name), f.dataType).alias(f.name) for f in schema.fields])
-    raw = _without_tokens(reader.csv(path))
+    raw = reader.csv(path)
+    raw = _without_tokens(raw, raw.columns)
     types = _inferred(raw)
     return raw.select(*[_parsed(q_col(c), types[c]).alias(c) for c in raw.columns])
 
 
-def _without_tokens(raw: DataFrame) -> DataFrame:
-    return raw.select(*[F.when(~q_col(c).isin(*NA_TOKENS), q_col(c)).alias(c) for c in raw.columns])
+def _without_tokens(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return raw.select(*[F.when(~q_col(c).isin(*NA_TOKENS), q_col(c)).alias(c) if c in columns else q_col(c) for c in raw.columns])
 
 
 def _parsed(text: Column, kind: T.DataType) -> Column:

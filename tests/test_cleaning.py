@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -178,6 +180,20 @@ def test_csv_tokens_and_inference(spark, tmp_path):
     assert roles.numeric == ["a", "b"] and roles.boolean == ["d"]
 
 
+def test_csv_numbers_need_no_tokens(spark, tmp_path):
+    schema = spark.createDataFrame([], "n int, x double, k long, t string").schema
+    cells = [*readers.NA_TOKENS, "1d", "1.F ", "1e3", "Infinity", " 7 ", "x", "d", "12"]
+    (tmp_path / "t.csv").write_text("n,x,k,t\n" + "".join(f'{i},"{c}","{c}","{c}"\n' for i, c in enumerate(cells)))
+    got = readers.read_table(spark, str(tmp_path / "t.csv"), schema=schema)
+    rows = got.orderBy("n").collect()
+    first = len(readers.NA_TOKENS)
+    assert all(r["x"] is None and r["k"] is None and r["t"] is None for r in rows[:first])
+    assert [r["x"] for r in rows[first:]] == [None, None, 1000.0, math.inf, 7.0, None, None, 12.0]
+    assert [r["k"] for r in rows[first:]] == [None, None, None, None, 7, None, None, 12]
+    # the tokens are looked up for the text column alone
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("#N/A N/A") == 1
+
+
 def test_csv_options_pass_through(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a;b\n1;2\n")
     assert readers.read_table(spark, str(tmp_path / "t.csv"), sep=";").columns == ["a", "b"]

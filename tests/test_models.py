@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabforge.models import histograms as hg, results as rs, search as se, trees
 from tabforge.models.linear import fit_polynomial_ridge, term_count
 from tabforge.models.registry import TRAINERS, Param, SavedModel, Trainer, get_trainer, register
+from tabforge.operators.split import train_test_split
 from tabforge.plans.fitted import FeaturePlan
 from tabforge.plans.scoring import score_file
 from tabforge.plans.training import TrainingRun, run_training
@@ -300,6 +301,22 @@ def test_training_run(spark, saved):
         rs.compare_importances(spark, {"extra_trees": run.models["extra_trees"]})
 
 
+class SeenPlan(FeaturePlan):
+    def fit_transform(self, train):
+        self.seen = train
+        return super().fit_transform(train)
+
+
+def test_a_run_hashes_its_keys_once(spark):
+    df = spark.range(200).selectExpr("id", "id % 7 AS a", "id % 5 + id % 7 AS y", "id % 3 AS _key_hash")
+    plan = SeenPlan("y", ["id"])
+    run, _ = run_training(df.union(df), plan, names=["polynomial"])  # copies go before the split
+    assert "md5" not in plan.seen._jdf.queryExecution().toString()
+    assert plan.seen.columns == df.columns and run.data_info() == {"n_train": 160, "n_test": 40, "n_features": 2}
+    train, _ = train_test_split(df, "id")
+    assert {tuple(r) for r in plan.seen.collect()} == {tuple(r) for r in train.collect()}
+
+
 @pytest.mark.parametrize("name", ["polynomial", "extra_trees"])
 def test_scoring_files(spark, saved, tmp_path, name):
     folder, raw, run, fitted = saved
