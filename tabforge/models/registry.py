@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schema import q_col
 from ..sources.writers import read_json_record, write_json_record
-from . import trees
+from . import histograms as hg, trees
 from .gram import ridge_fold_errors
 from .linear import fit_polynomial_ridge
+from .ml_forest import fit_by_vector
 
 
 class Regressor(Protocol):
@@ -118,7 +119,8 @@ def fixed_layout(df: DataFrame, key: Sequence[str], parts: int) -> DataFrame:
 def _random_forest(df, features, target, key, *, seed, backend="cells", layout=FOREST_LAYOUT, **params):
     """The cell-based forest, or (``backend="ml"``) Spark ML's.
 
-    Spark ML has no ``min_samples_split``; it serves where ``min_samples_leaf`` already implies it.
+    Spark ML has no ``min_samples_split``; it serves where ``min_samples_leaf`` already implies it. Over more than
+    ``histograms.LOCAL_ROWS`` rows its trees grow from sums by vector of bins where :func:`ml_forest.fit_by_vector` can.
     """
     if backend == "cells":
         return trees.fit_forest(df, features, target, key, bootstrap=True, seed=seed, **params)
@@ -138,6 +140,13 @@ def _random_forest(df, features, target, key, *, seed, backend="cells", layout=F
     )
     assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="error")
     rows = fixed_layout(df.select(*[q_col(c) for c in {*features, target, *key}]), key, layout) if key else df
+    if key and (n := df.count()) > hg.LOCAL_ROWS:
+        rows = hg.keep(rows.select(*[q_col(c) for c in {*features, target}]))  # several passes, without sorting again
+        try:
+            grown = fit_by_vector(forest, assembler.transform(rows), features, n)
+            return PipelineModel([assembler, grown]) if grown is not None else Pipeline(stages=[assembler, forest]).fit(rows)
+        finally:
+            rows.unpersist()
     return Pipeline(stages=[assembler, forest]).fit(rows)
 
 

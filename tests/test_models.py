@@ -1,19 +1,21 @@
 import dataclasses
 import math
 import pickle
+import uuid
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tabforge.models import histograms as hg, results as rs, search as se, trees
+from tabforge.models import histograms as hg, ml_forest, registry, results as rs, search as se, trees
 from tabforge.models.linear import fit_polynomial_ridge, term_count
 from tabforge.models.registry import TRAINERS, Param, SavedModel, Trainer, get_trainer, register
 from tabforge.operators.split import train_test_split
 from tabforge.plans.fitted import FeaturePlan
 from tabforge.plans.scoring import score_file
 from tabforge.plans.training import TrainingRun, run_training
+from tabforge.session import checkpoint_dir
 from tabforge.streaming.scoring import read_stream, start_scoring
 
 X = ["a", "b", "c"]
@@ -268,6 +270,41 @@ def test_spark_forest_backend(sample):
         trainer.train(df, X, "y", ["id"], backend="ml")
 
 
+@pytest.mark.parametrize("rows_at_once", [64, 1 << 18])
+def test_spark_forest_is_the_same_from_sums_by_vector(spark, monkeypatch, rows_at_once):
+    # few different vectors, one of them frequent
+    rows = [(i or None, float(i * i % 7 if i % 3 else 0), float(i * i % 11 if i % 3 else 0), float(i * i % 13) + math.sqrt(i % 17)) for i in range(1600)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double")
+    trainer = get_trainer("random_forest")
+    small = {"backend": "ml", "n_estimators": 7, "max_depth": 5, "min_samples_split": 4}
+    want = trainer.train(df, ["a", "b"], "y", ["id"], **small)
+    grown = []
+    by_vector = registry.fit_by_vector
+    monkeypatch.setattr(registry, "fit_by_vector", lambda *given: grown.append(by_vector(*given)) or grown[-1])
+    monkeypatch.setattr(hg, "LOCAL_ROWS", 100)
+    monkeypatch.setattr(ml_forest, "SUM_ROWS", rows_at_once)
+    got = trainer.train(df, ["a", "b"], "y", ["id"], **small)
+    assert len(grown) == 1 and got.model.stages[-1] is grown[0]
+
+    def nodes(model):
+        path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+        model.model.stages[-1].write().save(path)
+        table = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").select("*", "split.*").drop("split")
+        return table.toPandas().sort_values(["treeID", "id"], ignore_index=True)
+
+    a, b = nodes(want), nodes(got)
+    for c in ("treeID", "id", "leftChild", "rightChild", "featureIndex", "rawCount"):
+        assert a[c].tolist() == b[c].tolist(), c
+    assert a["leftCategoriesOrThreshold"].map(list).tolist() == b["leftCategoriesOrThreshold"].map(list).tolist() and len(a) > 100
+    for c in ("prediction", "impurity", "gain"):
+        assert np.allclose(a[c], b[c], atol=1e-9), c
+    assert got.model.stages[-1].explainParams() == want.model.stages[-1].explainParams()
+    assert got.importances() == pytest.approx(want.importances())
+    # as many vectors as rows: the rows themselves
+    monkeypatch.setattr(hg, "LOCAL_VECTORS", 0)
+    assert trainer.train(df, ["a", "b"], "y", ["id"], **small).importances() == want.importances() and grown[1] is None
+
+
 # -- a whole run --------------------------------------------------------------------------
 
 
