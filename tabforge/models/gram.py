@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..schema import q_col, usable_subset
-from .linear import TooWide, term_count
+from .linear import TooWide, term_count, term_limit
 
 ROUNDING = 1e-11  # errors below this share of the label's variance are rounding and count as none
 GRAM_TERMS = 1024  # monomials of one pass; a matrix has 8 MB at most
@@ -114,9 +114,10 @@ def ridge_fold_errors(
         return None
     columns = list(chosen.pop())
     widths = [term_count(len(columns), p["degree"]) for p in points]
-    feasible = [p.get("max_terms") is None or w <= p["max_terms"] for p, w in zip(points, widths)]
+    limits = [term_limit(p.get("max_terms")) for p in points]
+    feasible = [limit is None or w <= limit for limit, w in zip(limits, widths)]
     if not any(feasible):
-        raise TooWide("no setting is within max_terms")
+        raise TooWide("no setting is feasible: all are wider than max_terms")
     most = max(w for w, ok in zip(widths, feasible) if ok)
     if most > GRAM_TERMS:
         return None

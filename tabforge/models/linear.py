@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..schema import q_col, usable_subset
 
 NORMAL_TERMS = 4096  # width up to which the normal equations are solved in one pass; iterations beyond
+MAX_TERMS: int | None = None  # width up to which any setting is taken; None: no limit but the caller's
 
 
 class TooWide(ValueError):
@@ -24,6 +25,11 @@ def term_count(n_features: int, degree: int) -> int:
     return comb(n_features + degree, degree) - 1
 
 
+def term_limit(max_terms: int | None) -> int | None:
+    """The smaller of the caller's limit and ``MAX_TERMS``."""
+    return min((n for n in (max_terms, MAX_TERMS) if n is not None), default=None)
+
+
 def fit_polynomial_ridge(
     df: DataFrame,
     features: Sequence[str],
@@ -42,9 +48,9 @@ def fit_polynomial_ridge(
     too wide for them has the same objective minimised by L-BFGS. ``max_terms`` is the caller's own limit.
     """
     chosen = usable_subset(feature_subset, features)
-    terms = term_count(len(chosen), degree)
-    if max_terms is not None and terms > max_terms:
-        raise TooWide(f"{len(chosen)} features at degree {degree} expand to {terms} terms, more than {max_terms}")
+    terms, limit = term_count(len(chosen), degree), term_limit(max_terms)
+    if limit is not None and terms > limit:
+        raise TooWide(f"{len(chosen)} features at degree {degree} expand to {terms} terms, more than {limit}")
     stats = df.agg(F.count("*").alias("n"), F.stddev_pop(q_col(label)).alias("sd")).first()
     penalty = alpha / stats["n"] * (stats["sd"] or 1.0)
     return Pipeline(
