@@ -8,7 +8,7 @@ from typing import Any, Protocol
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schema import q_col
@@ -39,6 +39,13 @@ class SavedModel:
         # expansion and assembly are stages of the model; their vectors are not part of the result
         return scored.select(*[q_col(c) for c in df.columns if c != out], F.col("prediction").alias(out))
 
+    def gathered(self, df: DataFrame) -> DataFrame:
+        """The same rows; those that go alike through Spark ML's trees stand together in a task, so that it finds their nodes in a core's cache."""
+        if isinstance(self.model, trees.TreeEnsemble) or not isinstance(self.model.stages[-1], RandomForestRegressionModel):
+            return df
+        share = self.importances()
+        return df.sortWithinPartitions(*[q_col(c) for c in sorted(self.features, key=lambda c: (share[c], c))])  # what splits most comes last
+
     def importances(self) -> dict[str, float] | None:
         """Per-feature shares; None where the model has none."""
         if isinstance(self.model, trees.TreeEnsemble):

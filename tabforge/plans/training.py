@@ -59,7 +59,7 @@ class TrainingRun:
 
     def train_one(self, name: str, **params: Any) -> SavedModel:
         model = get_trainer(name).train(self.train, self.features, self.target, self.key, seed=self.seed, **params)
-        sides = [regression_metrics(model.transform(d, "_p"), self.target, "_p", side) for side, d in (("train", self.train), ("test", self.test))]
+        sides = [regression_metrics(model.transform(model.gathered(d), "_p"), self.target, "_p", side) for side, d in (("train", self.train), ("test", self.test))]
         on_train = on_test = sides[0].crossJoin(sides[1]).first().asDict()  # one row each, one job for both
         self.models[name] = model
         self.results[name] = {

@@ -305,6 +305,21 @@ def test_spark_forest_is_the_same_from_sums_by_vector(spark, monkeypatch, rows_a
     assert trainer.train(df, ["a", "b"], "y", ["id"], **small).importances() == want.importances() and grown[1] is None
 
 
+def test_rows_are_gathered_for_spark_forests_only(sample):
+    df, _ = sample
+    forest = get_trainer("random_forest").train(df, X, "y", ["id"], backend="ml", n_estimators=2, max_depth=3, min_samples_split=4)
+    laid = forest.gathered(df)
+    task = F.spark_partition_id()
+    assert {tuple(r) for r in laid.select(task, "*").collect()} == {tuple(r) for r in df.select(task, "*").collect()}  # in the same tasks
+    share = forest.importances()
+    first = min(X, key=lambda c: (share[c], c))
+    for rows in laid.select(first).rdd.glom().collect():
+        assert [r[first] for r in rows] == sorted(r[first] for r in rows) and len(rows) > 100
+    cells = get_trainer("extra_trees").train(df, X, "y", ["id"], n_estimators=2, max_depth=3)
+    ridge = get_trainer("polynomial").train(df, X, "y", ["id"], degree=1)
+    assert cells.gathered(df) is df and ridge.gathered(df) is df
+
+
 # -- a whole run --------------------------------------------------------------------------
 
 
